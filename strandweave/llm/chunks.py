@@ -16,7 +16,7 @@ class ChunkEncoder:
     ``limit`` entries, the older of which is dropped when the younger is full; this changes no result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}

@@ -193,8 +193,8 @@ def chunk_tokenizer(path: str) -> ChunkEncoder:
         widths[i] = len(token)
 
     def encode(texts: list[str]) -> list[bytes]:
-        """Chunks that start with a blank go in as one text and are cut where their bytes end."""
-        if len(texts) < 3 or not all(t[:1] == " " for t in texts):
+        """Words behind a blank or line break go in as one text and are cut where their bytes end."""
+        if len(texts) < 3 or not all(t[:1] in (" ", "\n") for t in texts):
             return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
         out = []
         for at in range(0, len(texts), 1000):
