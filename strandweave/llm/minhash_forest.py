@@ -189,11 +189,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, reach: i
 
 
 def confirmed(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links on their full shingle sets; only documents of some pair are read again."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs (a, b) that are links on their full shingle sets; only documents of some pair are read again.
+
+    Both the named documents and the pairs grow with the corpus, so these joins are never broadcast.
+    """
+    named = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
     sets = Cut(_sets(rows.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "sets").df
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return pairs.join(left, "a").join(right, "b").where(common * 100 >= union * percent).select("a", "b")
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(common * 100 >= union * percent).select("a", "b")
