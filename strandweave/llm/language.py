@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandweave.session import Cut
+
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -19,12 +21,15 @@ UNKNOWN = "und"
 def train(labelled: DataFrame, max_docs: int = 8000, max_words: int = 60_000, max_grams: int = 40_000, longest_gram: int = 4) -> dict:
     """Word and character n-gram frequencies per language from rows ``(doc_id, text, lang)``.
 
-    Fitted on a bounded sample: the ``max_docs`` labelled documents of smallest hash of doc_id, of which the
-    ``max_words`` most frequent words and ``max_grams`` most frequent n-grams are kept, so the model that is sent to
+    Fitted on a bounded sample: of n labelled documents those whose hash lies in the lowest ``max_docs`` / n of all
+    hashes, about ``max_docs`` rows that are picked where they are read; of their words and n-grams the ``max_words`` and ``max_grams`` most frequent are kept, so the model that is sent to
     the executors has at most that many entries. Counting is done by Spark; n-grams carry the counts of the words that
     hold them, words being marked at both ends. Null texts and languages are ignored.
     """
-    sample = labelled.where("text is not null and lang is not null").orderBy(F.xxhash64(F.col("doc_id").cast("string"), "text")).limit(max_docs)
+    usable = labelled.where("text is not null and lang is not null")
+    share = max_docs / max(usable.select("lang").count(), 1)
+    low = F.lit(True) if share >= 1 else F.xxhash64(F.col("doc_id").cast("string")) < F.lit(int((share - 0.5) * 2**64))
+    sample = Cut(usable.where(low).select("text", "lang"), "language-sample").df
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("item"))
         .groupBy("lang", "item").agg(F.count("*").alias("n"))
