@@ -14,6 +14,7 @@ from strandweave.operators import alignment as L
 from strandweave.operators import filters as P
 from strandweave.operators import graph as G
 from strandweave.operators import joins as J
+from strandweave.operators import lookups as K
 from strandweave.sources import files as R
 
 FLAGSHIP = "AGG-03"
@@ -197,6 +198,35 @@ def _ranges(x: Inputs) -> DataFrame:
 
 _add("SRC-24", _ranges, "SELECT seq_id AS range_id, substr(dna,95,161) AS seq FROM x_seq WHERE length(dna)>=260")
 
+# further lookups and similarity joins
+_add("FLT-05", lambda x: P.with_clean_peptides(x.x_exon.where("is_coding = 1").join(J.covering_pairs(x.x_exon).select(F.col("covered").alias("exon_id")), "exon_id", "left_anti"), _exon_peptides(x)).select("exon_id", "pep"),
+     f"SELECT e.exon_id, replace(p.pep,'X','') AS pep FROM x_exon e JOIN {EXON_PEP} p ON e.exon_id=p.exon_id WHERE is_coding=1 AND length(replace(p.pep,'X',''))>0 AND e.exon_id NOT IN (SELECT covered FROM {COVER} c)")
+_add("FLT-08", lambda x: K.on_region(x.x_gene, x.nation.select(F.col("n_nationkey").cast("long").alias("region_id"), F.col("n_name").alias("region_name")), "NATION_4").select("gene_id"), "SELECT gene_id FROM x_gene WHERE region_id IN (SELECT n_nationkey FROM nation WHERE n_name='NATION_4')")
+_add("FLT-09", lambda x: K.by_synonym_or_description(x.customer.select(F.col("c_name").alias("name")), x.customer.where("c_custkey % 3 = 0").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("gene_id")), x.customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("name"), (-F.col("c_custkey")).alias("gene_id"))).where("gene_id is not null"),
+     "SELECT c_name AS name, CASE WHEN c_custkey%3=0 THEN c_custkey ELSE -c_custkey END AS gene_id FROM customer WHERE c_custkey%3=0 OR c_custkey%2=0")
+_add("JOIN-11", lambda x: x.x_exon.select("gene_id", F.col("exon_id").alias("a"), F.col("start_in_gene").alias("s"), F.col("end_in_gene").alias("e")).join(x.x_exon, "gene_id").where(F.col("a") < F.col("exon_id")).where(J.overlap(F.col("s"), F.col("e"), F.col("start_in_gene"), F.col("end_in_gene"))).select("a", F.col("exon_id").alias("b")),
+     "SELECT a.exon_id AS a, b.exon_id AS b FROM x_exon a JOIN x_exon b ON a.gene_id=b.gene_id AND a.exon_id<b.exon_id AND NOT (b.end_in_gene<a.start_in_gene) AND NOT (a.end_in_gene<b.start_in_gene)")
+_add("JOIN-13", lambda x: K.update_from(x.x_exon.select("exon_id"), x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), F.col("lang")), "exon_id", "lang").where("lang is not null"), "SELECT exon_id, lang FROM x_exon JOIN x_seq ON exon_id=seq_id*100+1 WHERE lang IS NOT NULL")
+_add("JOIN-14", lambda x: K.maps_of_genes(x.x_exon, x.x_pair).select("gene_id", "exon_id", "cognate_exon_id", "part"), "SELECT e.gene_id, e.exon_id, p.cognate_exon_id, p.part FROM x_exon e JOIN x_pair p ON e.exon_id=p.exon_id")
+_add("JOIN-16", lambda x: K.reverse_maps(x.x_pair), "SELECT cognate_exon_id AS exon_id, exon_id AS reference_exon_id FROM (SELECT *, row_number() OVER (PARTITION BY cognate_exon_id ORDER BY similarity DESC, exon_id, part) AS rn FROM x_pair) q WHERE rn=1")
+_add("JOIN-19", lambda x: x.x_exon.select("exon_id", "gene_id").join(x.x_gene.select("gene_id", "stable_id"), "gene_id").select("exon_id", "stable_id"), "SELECT exon_id, stable_id FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id")
+_add("JOIN-27", lambda x: x.x_gene.join(x.nation.select(F.col("n_nationkey").cast("long").alias("region_id"), F.col("n_name").alias("region_name")), "region_id").select("gene_id", "region_name", "region_start", "region_end", "strand"), "SELECT gene_id, n_name AS region_name, region_start, region_end, strand FROM x_gene JOIN nation ON region_id=n_nationkey")
+_add("JOIN-28", lambda x: _ortho(x).where(F.col("cognate_species").isin(1, 4, 9)).select("gene_id", "cognate_gene_id").distinct(), f"SELECT DISTINCT gene_id, cognate_gene_id FROM {ORTHO} q WHERE cognate_species IN (1,4,9)")
+_add("AGG-04", lambda x: K.assembled_cdna(_strand(x).where("is_coding = 1").join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.col("dna").alias("whole")), "gene_id").withColumn("dna", F.substring(F.col("whole"), F.col("phase") + 1, F.lit(30)))),
+     "SELECT gene_id, CASE WHEN min(strand)<0 THEN reverse(translate(string_agg(d,'' ORDER BY start_in_gene, exon_id),'ACGTacgt','TGCAtgca')) ELSE string_agg(d,'' ORDER BY start_in_gene, exon_id) END AS cdna FROM (SELECT e.*, g.strand, substr(s.dna, e.phase+1, 30) AS d FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id WHERE is_coding=1) q GROUP BY gene_id")
+_add("AGG-13", lambda x: K.coverage(x.x_gene.select("gene_id"), x.x_exon.select("gene_id").distinct(), "gene_id"), "SELECT count(*) AS total, count(CASE WHEN gene_id NOT IN (SELECT gene_id FROM x_exon) THEN 1 END) AS without_hit FROM x_gene")
+_add("TOP-01", lambda x: x.x_gene.groupBy("species_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "species_id"), "SELECT species_id, count(*) AS n FROM x_gene GROUP BY species_id ORDER BY n DESC, species_id")
+_add("TOP-08", lambda x: x.x_hom.groupBy("homology_id").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "homology_id"), "SELECT homology_id, count(*) AS size FROM x_hom GROUP BY homology_id ORDER BY size DESC, homology_id")
+_add("SEQ-07", lambda x: _pairs(x).select("a_id", "b_id", S.cigar(F.col("a"), F.col("b")).alias("cigar")),
+     f"SELECT a_id, b_id, array_to_string(list_transform(regexp_extract_all(st,'M+|A+|B+'), lambda r: CAST(length(r) AS VARCHAR) || substr(r,1,1)),'') AS cigar FROM (SELECT a_id, b_id, array_to_string(list_transform(ps, lambda p: CASE WHEN substr(a,p,1)='-' AND substr(b,p,1)='-' THEN '' WHEN substr(a,p,1)='-' THEN 'A' WHEN substr(b,p,1)='-' THEN 'B' ELSE 'M' END),'') AS st FROM {PAIRS} q) q")
+_add("SEQ-11", lambda x: _pairs(x).select("a_id", "b_id", (S.similar(F.col("a"), F.col("b")) / F.nullif(S.common(F.col("a"), F.col("b")), F.lit(0))).alias("similarity")),
+     f"SELECT a_id, b_id, len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(translate(a,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)=substr(translate(b,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)))/nullif(len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(b,p,1)<>'-')),0) AS similarity FROM {PAIRS} q")
+_add("SEQ-34", lambda x: x.x_seq.select("seq_id", F.regexp_replace(F.regexp_replace(F.concat(F.lit("XX"), F.substring("pep", 1, 50), F.lit("*")), "^X+", ""), r"\*$", "").alias("pep")), "SELECT seq_id, ltrim(substr(pep,1,50),'X') AS pep FROM x_seq")
+_add("GRA-04", lambda x: K.class_by_ancestor(G.ancestors(x.x_tree), "n1", "r"), f"{UP} SELECT node, coalesce(arg_min(contains(ancestor,'n1'), distance) FILTER (WHERE contains(ancestor,'n1') OR contains(ancestor,'r')), false) AS is_inside FROM up GROUP BY node")
+_add("SIM-04", lambda x: K.self_maps(x.x_exon), "SELECT exon_id, exon_id AS cognate_exon_id, CAST(1.0 AS DOUBLE) AS similarity, CAST(end_in_gene-start_in_gene+1 AS VARCHAR) || 'M' AS cigar FROM x_exon")
+_add("SIM-05", lambda x: K.similar_sequences(x.x_seq.select("seq_id", F.col("pep").alias("seq")), 25, 0.2),
+     "WITH k AS (SELECT seq_id, unnest(list_distinct(list_transform(range(1, greatest(length(s)-24,1)+1), lambda p: substr(s,p,25)))) AS gram FROM (SELECT seq_id, pep AS s FROM x_seq) q), n AS (SELECT seq_id, count(*) AS n FROM k GROUP BY seq_id), p AS (SELECT a.seq_id AS a, b.seq_id AS b, count(*) AS c FROM k a JOIN k b ON a.gram=b.gram AND a.seq_id<b.seq_id GROUP BY 1,2) SELECT a, b, c/(x.n+y.n-c) AS jaccard FROM p JOIN n x ON x.seq_id=a JOIN n y ON y.seq_id=b WHERE c/(x.n+y.n-c)>=0.2")
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, build=build: build(Inputs(spark, sf_dir))) for name, build in _QUERIES.items()}
