@@ -27,15 +27,11 @@ def translate(dna: Column, start: Column | int = 0, mitochondrial: bool = False)
     A codon's place in the table is computed from its bases, so the expression is as long for any sequence.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    n = F.floor((F.length(dna) - start) / 3).cast("int")
     table = F.lit(MITOCHONDRIAL if mitochondrial else STANDARD)
-    digits = F.translate(F.upper(dna), BASES, "0123")
-
-    def residue(i: Column) -> Column:
-        codon = F.substring(digits, start + i * 3 + 1, F.lit(3))
-        return F.when(codon.rlike("^[0-3]{3}$"), F.substring(table, F.conv(codon, 4, 10).cast("int") + 1, F.lit(1))).otherwise("X")
-
-    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), residue), "")).otherwise("")
+    digits = F.translate(F.upper(F.substring(dna, start + 1, F.length(dna))), BASES, "0123")
+    codons = F.regexp_extract_all(digits, F.lit("(?s)(.{3})"), 1)
+    residue = lambda c: F.when(c.rlike("^[0-3]{3}$"), F.substring(table, F.conv(c, 4, 10).cast("int") + 1, F.lit(1))).otherwise("X")
+    return F.array_join(F.transform(codons, residue), "")
 
 
 def retry_translation(dna: Column, phase: Column, all_frames: bool = False) -> Column:

@@ -65,8 +65,8 @@ def similar_sequences(sequences: DataFrame, size: int, least: float, most_shared
 
     ``most_shared`` leaves out k-mers of more sequences than that before pairing; None keeps all.
     """
-    places = F.sequence(F.lit(1), F.greatest(F.length("seq") - size + 1, F.lit(1)))
-    grams = sequences.select("seq_id", F.explode(F.array_distinct(F.transform(places, lambda p: F.substring(F.col("seq"), p, F.lit(size))))).alias("gram"))
+    every = F.when(F.length("seq") < size, F.array("seq")).otherwise(F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
+    grams = sequences.select("seq_id", F.explode(F.array_distinct(every)).alias("gram"))
     sizes = grams.groupBy("seq_id").agg(F.count("*").alias("n"))
     if most_shared is not None:
         grams = grams.join(grams.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") <= most_shared).select("gram"), "gram", "left_semi")

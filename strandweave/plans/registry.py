@@ -29,10 +29,10 @@ def _add(name: str, build: Callable[[Inputs], DataFrame], sql: str) -> None:
 
 def _exon_peptides(x: Inputs) -> DataFrame:
     """A peptide for a third of the exons: exon n of gene g has the sequence of number g."""
-    return x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), F.substring("pep", 1, 40).alias("pep"))
+    return x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), "pep")
 
 
-EXON_PEP = "(SELECT seq_id*100+1 AS exon_id, substr(pep,1,40) AS pep FROM x_seq)"
+EXON_PEP = "(SELECT seq_id*100+1 AS exon_id, pep FROM x_seq)"
 
 
 def _strand(x: Inputs) -> DataFrame:
@@ -83,7 +83,7 @@ _add("FLT-14", lambda x: x.orders.join(x.customer.where("c_acctbal > 0"), F.col(
 _add("FLT-15", lambda x: P.mismatching_ids(x.x_gene.select("gene_id", "species_id"), x.orders.select(F.col("o_orderkey").alias("gene_id"), (F.col("o_custkey") % 25).alias("other_species")), "gene_id", "species_id", "other_species"),
      "SELECT gene_id, species_id, o_custkey%25 AS other_species FROM x_gene JOIN orders ON gene_id=o_orderkey WHERE species_id<>o_custkey%25")
 _add("FLT-17", lambda x: x.x_seq.select("seq_id", F.contains("dna", F.lit("TTT")).alias("has_run")), "SELECT seq_id, contains(dna,'TTT') AS has_run FROM x_seq")
-_add("FLT-18", lambda x: x.x_seq.select("seq_id", P.inner_stop(S.translate(F.substring("dna", 1, 300))).alias("rejected")), "SELECT seq_id, rejected FROM (SELECT seq_id, contains(substr(p,1,greatest(length(p)-1,0)),'*') AS rejected FROM (SELECT seq_id, {T300} AS p FROM x_seq) q) q")
+_add("FLT-18", lambda x: x.x_seq.select("seq_id", P.inner_stop(S.translate(F.col("dna"))).alias("rejected")), "SELECT seq_id, rejected FROM (SELECT seq_id, contains(substr(p,1,greatest(length(p)-1,0)),'*') AS rejected FROM (SELECT seq_id, {PEPTIDE} AS p FROM x_seq) q) q")
 _add("FLT-19", lambda x: P.with_integer_suffix(x.nation.select("n_name"), "n_name"), r"SELECT n_name, CASE WHEN regexp_matches(n_name,'_[0-9]+$') THEN regexp_replace(n_name,'_[0-9]+$','') END AS base, CASE WHEN regexp_matches(n_name,'_[0-9]+$') THEN CAST(regexp_extract(n_name,'_([0-9]+)$',1) AS BIGINT) END AS copy_no FROM nation")
 _add("FLT-20", lambda x: x.x_pair.where("similarity >= 0.8").select("exon_id", "cognate_exon_id", F.col("similarity").cast("double").alias("similarity")), "SELECT exon_id, cognate_exon_id, CAST(similarity AS DOUBLE) AS similarity FROM x_pair WHERE similarity>=0.8")
 
@@ -122,8 +122,8 @@ _add("AGG-23", lambda x: A.table_sizes({"gene": x.x_gene, "exon": x.x_exon, "map
 
 # windows
 _add("WIN-01", lambda x: A.running_ids(x.x_gene.select("species_id", "gene_id"), "species_id", ["gene_id"]).withColumn("id", F.col("id").cast("long")), "SELECT species_id, gene_id, row_number() OVER (PARTITION BY species_id ORDER BY gene_id) AS id FROM x_gene")
-_add("WIN-02", lambda x: A.decorated(_strand(x).join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.substring("pep", 1, 12).alias("pep")), "gene_id")),
-     "SELECT gene_id, string_agg('B' || lpad(CAST(r AS VARCHAR),3,'0') || pep || 'Z', '' ORDER BY r) AS decorated FROM (SELECT e.gene_id, substr(s.pep,1,12) AS pep, row_number() OVER (PARTITION BY e.gene_id ORDER BY CASE WHEN g.strand<0 THEN -start_in_gene ELSE start_in_gene END, exon_id) AS r FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id) q GROUP BY gene_id")
+_add("WIN-02", lambda x: A.decorated(_strand(x).join(x.x_seq.select(F.col("seq_id").alias("gene_id"), "pep"), "gene_id")),
+     "SELECT gene_id, string_agg('B' || lpad(CAST(r AS VARCHAR),3,'0') || pep || 'Z', '' ORDER BY r) AS decorated FROM (SELECT e.gene_id, s.pep, row_number() OVER (PARTITION BY e.gene_id ORDER BY CASE WHEN g.strand<0 THEN -start_in_gene ELSE start_in_gene END, exon_id) AS r FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id) q GROUP BY gene_id")
 _add("WIN-03", lambda x: A.neighbours(x.x_exon).select("exon_id", "prev_exon", "next_exon"), "SELECT exon_id, lag(exon_id) OVER w AS prev_exon, lead(exon_id) OVER w AS next_exon FROM x_exon WINDOW w AS (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)")
 _add("WIN-04", lambda x: A.cdna_positions(_strand(x).where("is_coding = 1")).select("exon_id", "cdna_start", "cdna_end"), "SELECT exon_id, CAST(coalesce(sum(n) OVER w,0)+1 AS BIGINT) AS cdna_start, CAST(coalesce(sum(n) OVER w,0)+n AS BIGINT) AS cdna_end FROM (SELECT e.*, end_in_gene-start_in_gene+1 AS n, CASE WHEN strand<0 THEN -start_in_gene ELSE start_in_gene END AS k FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id WHERE is_coding=1) q WINDOW w AS (PARTITION BY gene_id ORDER BY k, exon_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 _add("WIN-06", lambda x: A.overlaps_previous(x.x_exon), "SELECT gene_id, coalesce(max(h),0) AS overlapping FROM (SELECT gene_id, CAST(lag(end_in_gene) OVER (PARTITION BY gene_id ORDER BY start_in_gene, exon_id) > start_in_gene AS INT) AS h FROM x_exon) q GROUP BY gene_id")
@@ -135,11 +135,11 @@ _add("TOP-02", lambda x: A.best_maps(x.x_pair, 0.33333).select("species_id", "ex
 _add("SET-01", lambda x: A.complement(x.x_gene.where("biotype = 'protein_coding'"), [x.labels.where("quality = 1").select(F.col("doc_id").alias("gene_id")), x.labels.where("toxic = 1").select(F.col("doc_id").alias("gene_id"))]), "SELECT DISTINCT gene_id FROM x_gene WHERE biotype='protein_coding' AND gene_id NOT IN (SELECT doc_id FROM labels WHERE quality=1 OR toxic=1)")
 _add("SET-02", lambda x: x.x_exon.join(x.x_pair.select("exon_id").unionByName(x.x_pair.select(F.col("cognate_exon_id").alias("exon_id"))).distinct(), "exon_id", "left_semi").select("gene_id").distinct(), "SELECT DISTINCT gene_id FROM x_exon WHERE exon_id IN (SELECT exon_id FROM x_pair UNION SELECT cognate_exon_id FROM x_pair)")
 _add("SET-03", lambda x: x.x_tr.select("gene_id", "exon_id").distinct(), "SELECT DISTINCT gene_id, exon_id FROM x_tr")
-_add("SET-04", lambda x: A.shared_sets(x.x_hom.where("gene_member_id % 3 = 0"), "gene_member_id", "homology_id"), "SELECT a.gene_member_id AS a, b.gene_member_id AS b, count(*) AS n_shared FROM x_hom a JOIN x_hom b ON a.homology_id=b.homology_id AND a.gene_member_id<b.gene_member_id WHERE a.gene_member_id%3=0 AND b.gene_member_id%3=0 GROUP BY 1, 2")
+_add("SET-04", lambda x: A.shared_sets(x.x_hom, "gene_member_id", "homology_id"), "SELECT a.gene_member_id AS a, b.gene_member_id AS b, count(*) AS n_shared FROM x_hom a JOIN x_hom b ON a.homology_id=b.homology_id AND a.gene_member_id<b.gene_member_id GROUP BY 1, 2")
 
 # sequences
-T300 = "coalesce(list_aggregate(list_transform(range(0, CAST(floor(length(substr(dna,1,300))/3) AS BIGINT)), lambda i: substr('" + S.STANDARD + "', CAST(1+16*(strpos('TCAG', substr(dna, 3*i+1, 1))-1)+4*(strpos('TCAG', substr(dna, 3*i+2, 1))-1)+(strpos('TCAG', substr(dna, 3*i+3, 1))-1) AS INT), 1)), 'string_agg', ''), '')"
-_SQL["FLT-18"] = _SQL["FLT-18"].replace("{T300}", T300)
+PEPTIDE = "coalesce(list_aggregate(list_transform(range(0, CAST(floor(length(dna)/3) AS BIGINT)), lambda i: substr('" + S.STANDARD + "', CAST(1+16*(strpos('TCAG', substr(dna, 3*i+1, 1))-1)+4*(strpos('TCAG', substr(dna, 3*i+2, 1))-1)+(strpos('TCAG', substr(dna, 3*i+3, 1))-1) AS INT), 1)), 'string_agg', ''), '')"
+_SQL["FLT-18"] = _SQL["FLT-18"].replace("{PEPTIDE}", PEPTIDE)
 PAIRS = "(SELECT a.aln_id, a.seq_id AS a_id, b.seq_id AS b_id, a.seq AS a, b.seq AS b, range(1, length(a.seq)+1) AS ps FROM x_aln a JOIN x_aln b ON a.aln_id=b.aln_id AND a.seq_id<b.seq_id)"
 COUNT = lambda test: f"len(list_filter(ps, lambda p: {test}))"
 
@@ -150,7 +150,7 @@ def _pairs(x: Inputs) -> DataFrame:
 
 
 _add("SEQ-01", lambda x: x.x_seq.select("seq_id", S.reverse_complement(F.col("dna")).alias("rc")), "SELECT seq_id, reverse(translate(dna,'ACGTacgt','TGCAtgca')) AS rc FROM x_seq")
-_add("SEQ-02", lambda x: x.x_seq.select("seq_id", S.translate(F.substring("dna", 1, 300)).alias("peptide")), f"SELECT seq_id, {T300} AS peptide FROM x_seq")
+_add("SEQ-02", lambda x: x.x_seq.select("seq_id", S.translate(F.col("dna")).alias("peptide")), f"SELECT seq_id, {PEPTIDE} AS peptide FROM x_seq")
 _add("SEQ-03", lambda x: x.x_exon.select("exon_id", S.offset(F.col("phase")).alias("off")), "SELECT exon_id, (3-greatest(phase,0))%3 AS off FROM x_exon")
 _add("SEQ-05", lambda x: x.x_seq.select("seq_id", S.crop(F.col("dna"), (F.col("seq_id") % 50).cast("int") - 5, (F.col("seq_id") % 70 + 10).cast("int")).alias("cut")), "SELECT seq_id, substr(dna, greatest(seq_id%50-5,1), greatest(seq_id%70+10-greatest(seq_id%50-5,1)+1,0)) AS cut FROM x_seq")
 _add("SEQ-10", lambda x: _pairs(x).select("aln_id", "a_id", "b_id", S.identity(F.col("a"), F.col("b")).alias("identity")), f"SELECT aln_id, a_id, b_id, {COUNT(chr(39).join(['substr(a,p,1)=substr(b,p,1) AND substr(a,p,1)<>', '-', '']))}/length(a) AS identity FROM {PAIRS} q")
@@ -181,7 +181,7 @@ _add("GRA-05", lambda x: G.covering_roots(J.covering_pairs(x.x_exon)), f"WITH RE
 _add("GRA-07", lambda x: G.serialised(x.x_tree), "WITH n AS (SELECT parent, '(' || string_agg(node, ',' ORDER BY node) || ')' || parent AS text FROM x_tree WHERE node LIKE 'c%' GROUP BY parent), t AS (SELECT x.node, x.parent, coalesce(n.text, x.node) AS text FROM x_tree x LEFT JOIN n ON n.parent=x.node WHERE x.node LIKE 'n%'), r AS (SELECT parent, '(' || string_agg(text, ',' ORDER BY node) || ')' || parent AS text FROM t GROUP BY parent) SELECT x.node, coalesce(r.text, x.node) AS text FROM x_tree x LEFT JOIN r ON r.parent=x.node WHERE x.parent='root'")
 
 # sources and sinks
-_add("SRC-03", lambda x: R.fasta_text(x.x_seq.select("seq_id", F.substring("pep", 1, 120).alias("pep")), F.col("seq_id").cast("string"), F.col("pep")), r"SELECT '>' || seq_id || chr(10) || rtrim(regexp_replace(substr(pep,1,120),'(.{50})','\1' || chr(10),'g'), chr(10)) AS value FROM x_seq")
+_add("SRC-03", lambda x: R.fasta_text(x.x_seq.select("seq_id", "pep"), F.col("seq_id").cast("string"), F.col("pep")), r"SELECT '>' || seq_id || chr(10) || rtrim(regexp_replace(pep,'(.{50})','\1' || chr(10),'g'), chr(10)) AS value FROM x_seq")
 _add("SRC-10", lambda x: R.theme_genes(x.labels.where("quality = 1").select(F.concat(F.lit("G"), F.lpad(F.col("doc_id").cast("string"), 11, "0")).alias("stable_id")), x.x_gene), "SELECT gene_id, stable_id FROM x_gene WHERE gene_id IN (SELECT doc_id FROM labels WHERE quality=1)")
 _add("SRC-11", lambda x: R.insert_ignore(x.orders.where("o_orderdate < '1996-01-01'").select("o_orderkey", "o_totalprice"), x.orders.where("o_orderdate >= '1995-06-01'").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")), ["o_orderkey"]), "SELECT o_orderkey, CASE WHEN o_orderdate<TIMESTAMP '1996-01-01' THEN o_totalprice ELSE o_totalprice+1 END AS o_totalprice FROM orders")
 _add("SRC-12", lambda x: R.upsert(x.orders.where("o_orderdate < '1996-01-01'").select("o_orderkey", "o_totalprice"), x.orders.where("o_orderdate >= '1995-06-01'").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")), ["o_orderkey"], ["o_totalprice"]), "SELECT o_orderkey, CASE WHEN o_orderdate>=TIMESTAMP '1995-06-01' THEN o_totalprice+1 ELSE o_totalprice END AS o_totalprice FROM orders")
@@ -221,7 +221,7 @@ _add("SEQ-07", lambda x: _pairs(x).select("a_id", "b_id", S.cigar(F.col("a"), F.
      f"SELECT a_id, b_id, array_to_string(list_transform(regexp_extract_all(st,'M+|A+|B+'), lambda r: CAST(length(r) AS VARCHAR) || substr(r,1,1)),'') AS cigar FROM (SELECT a_id, b_id, array_to_string(list_transform(ps, lambda p: CASE WHEN substr(a,p,1)='-' AND substr(b,p,1)='-' THEN '' WHEN substr(a,p,1)='-' THEN 'A' WHEN substr(b,p,1)='-' THEN 'B' ELSE 'M' END),'') AS st FROM {PAIRS} q) q")
 _add("SEQ-11", lambda x: _pairs(x).select("a_id", "b_id", (S.similar(F.col("a"), F.col("b")) / F.nullif(S.common(F.col("a"), F.col("b")), F.lit(0))).alias("similarity")),
      f"SELECT a_id, b_id, len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(translate(a,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)=substr(translate(b,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)))/nullif(len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(b,p,1)<>'-')),0) AS similarity FROM {PAIRS} q")
-_add("SEQ-34", lambda x: x.x_seq.select("seq_id", F.regexp_replace(F.regexp_replace(F.concat(F.lit("XX"), F.substring("pep", 1, 50), F.lit("*")), "^X+", ""), r"\*$", "").alias("pep")), "SELECT seq_id, ltrim(substr(pep,1,50),'X') AS pep FROM x_seq")
+_add("SEQ-34", lambda x: x.x_seq.select("seq_id", F.regexp_replace(F.regexp_replace(F.concat(F.lit("XX"), F.col("pep"), F.lit("*")), "^X+", ""), r"\*$", "").alias("pep")), "SELECT seq_id, ltrim(pep,'X') AS pep FROM x_seq")
 _add("GRA-04", lambda x: K.class_by_ancestor(G.ancestors(x.x_tree), "n1", "r"), f"{UP} SELECT node, coalesce(arg_min(contains(ancestor,'n1'), distance) FILTER (WHERE contains(ancestor,'n1') OR contains(ancestor,'r')), false) AS is_inside FROM up GROUP BY node")
 _add("SIM-04", lambda x: K.self_maps(x.x_exon), "SELECT exon_id, exon_id AS cognate_exon_id, CAST(1.0 AS DOUBLE) AS similarity, CAST(end_in_gene-start_in_gene+1 AS VARCHAR) || 'M' AS cigar FROM x_exon")
 _add("SIM-05", lambda x: K.similar_sequences(x.x_seq.select("seq_id", F.col("pep").alias("seq")), 25, 0.2),
