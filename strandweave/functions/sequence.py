@@ -134,3 +134,123 @@ def fasta_id(header: Column) -> Column:
 
 def wrapped(seq: Column, width: int) -> Column:
     return F.rtrim(F.regexp_replace(seq, f"(.{{{width}}})", "$1\n"), F.lit("\n"))
+
+
+def without_double_gaps(a: Column, b: Column, keep: Column) -> Column:
+    """``keep`` (one of the two) without the columns in which both have a gap."""
+    cells = F.zip_with(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x == "-") & (y == "-")), F.split(keep, ""), lambda gap, ch: F.when(gap, "").otherwise(ch))
+    return F.array_join(cells, "")
+
+
+def unfolded(ungapped: Column, line: Column, gap_letter: str) -> Column:
+    """One side of an alignment from its sequence and the cigar; ``gap_letter`` is A for the first side, B for the second."""
+    runs = F.regexp_extract_all(line, F.lit(r"(\d+[MAB])"), 1)
+    state = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"))
+
+    def step(s: Column, r: Column) -> Column:
+        n = F.regexp_extract(r, r"(\d+)", 1).cast("int")
+        gap = F.endswith(r, F.lit(gap_letter))
+        piece = F.when(gap, F.repeat(F.lit("-"), n)).otherwise(F.substring(ungapped, s["at"], n))
+        return F.struct((s["at"] + F.when(gap, 0).otherwise(n)).alias("at"), F.concat(s["text"], piece).alias("text"))
+
+    return F.aggregate(runs, state, step, lambda s: s["text"])
+
+
+def matched_of_shorter(line: Column, a: Column, b: Column) -> Column:
+    """Matched columns over the length of the shorter sequence without gaps, 0 if that is empty."""
+    m = F.aggregate(F.regexp_extract_all(line, F.lit(r"(\d+)M"), 1), F.lit(0), lambda s, x: s + x.cast("int"))
+    n = F.least(ungapped_length(a), ungapped_length(b))
+    return F.when(n > 0, m / n).otherwise(0.0)
+
+
+def name_parts(name: Column) -> Column:
+    """(species, exon_id, known, start) of ``species_exon_known_start``; the species may hold underscores."""
+    part = lambda i: F.regexp_extract(name, r"^(.*)_(\d+)_(\d+)_(-?\d+)$", i)
+    return F.struct(part(1).alias("species"), part(2).try_cast("long").alias("exon_id"), part(3).try_cast("int").alias("known"), part(4).try_cast("long").alias("start"))
+
+
+def padded(seq: Column, start: Column, other: Column, other_start: Column) -> Column:
+    """A sequence with gaps on both sides, to the frame that it shares with another."""
+    left = F.greatest(start - F.least(start, other_start), F.lit(0))
+    width = F.greatest(start + F.length(seq), other_start + F.length(other)) - F.least(start, other_start)
+    return F.rpad(F.concat(F.repeat(F.lit("-"), left.cast("int")), seq), width.cast("int"), F.lit("-"))
+
+
+def exon_spans(text: Column) -> Column:
+    """[(label, first, last)] of every B...Z, 0-based half-open: label is the three letters behind B, the span what follows up to Z."""
+    gaps, pieces = (F.regexp_extract_all(text, F.lit("(?s)(.*?)(B.*?Z)"), i) for i in (1, 2))
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<label:string,first:int,last:int>>").alias("spans"))
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + F.length(x["g"])
+        end = start + F.length(x["p"])
+        span = F.struct(F.substring(x["p"], 2, 3).alias("label"), (start + 4).alias("first"), (end - 1).alias("last"))
+        return F.struct(end.alias("at"), F.concat(s["spans"], F.array(span)).alias("spans"))
+
+    return F.aggregate(F.zip_with(gaps, pieces, lambda g, p: F.struct(g.alias("g"), p.alias("p"))), state, step, lambda s: s["spans"])
+
+
+def flanked_codons(aligned: Column, dna: Column, left: Column, right: Column, flank: int) -> Column:
+    """Threaded codons between lowercase flanks cut or padded to one length; an empty exon is all gaps."""
+    n = F.length(aligned)
+    inner = F.concat(F.lpad(F.lower(F.when(F.length(left) > flank, F.right(left, F.lit(flank))).otherwise(left)), flank, "-"), thread_codons(aligned, dna), F.rpad(F.lower(right), flank, "-"))
+    return F.when(ungapped_length(aligned) == 0, F.repeat(F.lit("-"), (2 * flank + 3 * n).cast("int"))).otherwise(inner)
+
+
+def patched(target: Column, template: Column) -> Column:
+    """(text, codons): single gaps of the target's codons filled from the template unless a stop would arise; the codons filled, from 0."""
+    cut = lambda s: F.regexp_extract_all(s, F.lit("(?s)(.{1,3})"), 1)
+
+    def one(t: Column, m: Column) -> Column:
+        place = F.locate("-", t)
+        base = F.substring(m, place, F.lit(1))
+        new = F.concat(F.substring(t, F.lit(1), place - 1), base, F.substring(t, place + 1, F.lit(3)))
+        return F.when((F.length(t) == 3) & (F.length(t) - F.length(F.replace(t, F.lit("-"), F.lit(""))) == 1) & (base != "-") & ~translate(new).isin("*"), new).otherwise(t)
+
+    before = cut(target)
+    after = F.zip_with(before, cut(template), one)
+    places = F.filter(F.transform(F.zip_with(before, after, lambda x, y: x != y), lambda d, i: F.when(d, i)), lambda i: i.isNotNull())
+    return F.struct(F.array_join(after, "").alias("text"), places.alias("codons"))
+
+
+def start_codon(dna: Column, joint: Column, up: int, down: int, code: str = "ATG") -> Column:
+    """0-based place of the nearest start codon in steps of three upstream of a joint, else downstream; null if none."""
+    places = F.concat(F.transform(F.sequence(F.lit(1), F.lit(up)), lambda i: joint - 3 * i), F.transform(F.sequence(F.lit(0), F.lit(down)), lambda i: joint + 3 * i))
+    return F.get(F.filter(places, lambda p: (p >= 0) & (F.substring(dna, (p + 1).cast("int"), F.lit(3)) == code)), F.lit(0))
+
+
+def positions_of(text: Column) -> Column:
+    """0-based positions of a ``start end`` range."""
+    p = F.split(F.trim(text), r"\s+")
+    return F.transform(F.sequence(F.get(p, F.lit(0)).cast("long"), F.get(p, F.lit(1)).cast("long")), lambda x: x - 1)
+
+
+def reconstructed(exons: Column, mitochondrial: bool = False, frame: int = 0) -> Column:
+    """Peptide of ordered exons [(dna, phase)]: bases behind the last codon go over to the next exon.
+
+    Where the next exon's phase differs from what is left over, that is dropped and 3 - phase bases are skipped.
+    ``frame`` bases of the first exon are left out.
+    """
+    state = F.struct(F.lit("").alias("carry"), F.lit("").alias("pep"), F.lit(True).alias("first"))
+
+    def step(s: Column, x: Column) -> Column:
+        own = F.when(s["first"], F.expr("''")).otherwise(s["carry"])
+        fits = s["first"] | (F.length(s["carry"]) == x["phase"])
+        skipped = F.when(s["first"], frame + offset(x["phase"])).otherwise(F.when(fits, 0).otherwise(offset(x["phase"])))
+        dna = F.concat(F.when(fits, own).otherwise(""), F.substring(x["dna"], skipped + 1, F.length(x["dna"])))
+        rest = F.length(dna) % 3
+        return F.struct(F.when(rest > 0, F.right(dna, rest)).otherwise("").alias("carry"), F.concat(s["pep"], translate(dna, 0, mitochondrial)).alias("pep"), F.lit(False).alias("first"))
+
+    return F.regexp_replace(F.aggregate(exons, state, step, lambda s: s["pep"]), r"\*$", "")
+
+
+def reading_of(exons: Column, mitochondrial: bool = False) -> Column:
+    """The first reading without an inner stop: as given, with the mitochondrial table, from frame 1, from frame 2; else as given."""
+    tries = F.array(reconstructed(exons, mitochondrial), reconstructed(exons, True), reconstructed(exons, mitochondrial, 1), reconstructed(exons, mitochondrial, 2))
+    return F.coalesce(F.get(F.filter(tries, lambda p: ~F.contains(p, F.lit("*"))), F.lit(0)), F.get(tries, F.lit(0)))
+
+
+def with_selenocysteine(pep: Column, positions: Column) -> Column:
+    """U at 0-based positions."""
+    letters = F.filter(F.split(pep, ""), lambda x: x != "")
+    return F.array_join(F.transform(letters, lambda c, i: F.when(F.array_contains(positions, i.cast("long")), "U").otherwise(c)), "")
