@@ -230,7 +230,7 @@ _add("SIM-05", lambda x: K.similar_sequences(x.x_seq.select("seq_id", F.col("pep
      "WITH k AS (SELECT seq_id, unnest(list_distinct(list_transform(range(1, greatest(length(s)-24,1)+1), lambda p: substr(s,p,25)))) AS gram FROM (SELECT seq_id, pep AS s FROM x_seq) q), n AS (SELECT seq_id, count(*) AS n FROM k GROUP BY seq_id), p AS (SELECT a.seq_id AS a, b.seq_id AS b, count(*) AS c FROM k a JOIN k b ON a.gram=b.gram AND a.seq_id<b.seq_id GROUP BY 1,2) SELECT a, b, c/(x.n+y.n-c) AS jaccard FROM p JOIN n x ON x.seq_id=a JOIN n y ON y.seq_id=b WHERE c/(x.n+y.n-c)>=0.2")
 
 
-from strandweave.plans import catalog, tracks  # noqa: E402, F401  they register queries with the fragments above
+from strandweave.plans import catalog, mapping, tracks  # noqa: E402, F401  they register queries with the fragments above
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
