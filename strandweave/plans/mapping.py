@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from strandweave.adapters import Inputs
 from strandweave.operators import aggregates as A
 from strandweave.operators import pairwise as W
+from strandweave.operators import splicing as Y
 from strandweave.plans.registry import _add, _ortho, _strand
+from strandweave.plans.tracks import SLICES, _slices
 
 
 def _strings(x: Inputs) -> DataFrame:
@@ -36,3 +38,35 @@ def paralogue_strings(x: Inputs) -> DataFrame:
 _add("SIM-01", lambda x: W.align(orthologue_strings(x)), None)
 _add("SIM-02", lambda x: W.exon_maps(W.align(orthologue_strings(x))), None)
 _add("SIM-03", lambda x: W.paralogue_maps(W.align(paralogue_strings(x))), None)
+
+
+def _sites(x: Inputs) -> DataFrame:
+    """9-mers over the ends of coding exons: three bases of the exon, six behind it."""
+    return _slices(x).select("exon_id", F.concat(F.right("dna", F.lit(3)), F.left("right_flank", F.lit(6))).alias("site")).where("length(site) = 9")
+
+
+def _donor_table(x: Inputs) -> DataFrame:
+    return _sites(x).groupBy(Y.donor_rest(F.col("site")).alias("word")).agg((F.count("*") / 16.0).alias("value"))
+
+
+SITES = f"(SELECT exon_id, right(dna,3) || left(right_flank,6) AS site FROM {SLICES} q WHERE length(right(dna,3) || left(right_flank,6))=9)"
+_LOG = lambda letter, share: "log2(CASE " + letter + " " + " ".join(f"WHEN '{c}' THEN {v / Y.BACKGROUND[c]!r}" for c, v in share.items()) + " END)"
+DONOR = f"{_LOG('substr(site,4,1)', Y.DONOR[0])}+{_LOG('substr(site,5,1)', Y.DONOR[1])}"
+_add("SEQ-22", lambda x: Y.donor_scores(_sites(x), _donor_table(x)).select("exon_id", F.round("score", 6).alias("score")),
+     f"SELECT exon_id, round({DONOR}+log2(count(*) OVER (PARTITION BY substr(site,1,3) || substr(site,6,4))/16.0),6) AS score FROM {SITES} q")
+
+
+def _acceptor_sites(x: Inputs) -> DataFrame:
+    return x.x_seq.select(F.expr("substr(dna, CAST(1 + seq_id % 40 AS INT), 23)").alias("site")).where("length(site) = 23")
+
+
+def _acceptor_tables(x: Inputs) -> DataFrame:
+    return _acceptor_sites(x).select(F.inline(Y.acceptor_words(F.col("site")))).groupBy("part", "word").agg((F.count("*") / 8.0).alias("value"))
+
+
+WORDS = " UNION ALL ".join(f"SELECT site, {k} AS part, substr(r,{at + 1},{n}) AS word FROM a" for k, (at, n) in enumerate(Y.PARTS))
+_add("SEQ-22-acceptor", lambda x: Y.acceptor_scores(_acceptor_sites(x), _acceptor_tables(x)).select("site", F.round("score", 6).alias("score")),
+     f"WITH a AS (SELECT site, substr(site,1,18) || substr(site,21,3) AS r FROM (SELECT substr(dna, 1+seq_id%40, 23) AS site FROM x_seq) q WHERE length(site)=23), w AS ({WORDS}), t AS (SELECT part, word, count(*)/8.0 AS value FROM w GROUP BY part, word) SELECT site, round({_LOG('substr(site,19,1)', Y.ACCEPTOR[0])}+{_LOG('substr(site,20,1)', Y.ACCEPTOR[1])}+sum(CASE WHEN part<5 THEN 1 ELSE -1 END*log2(value)),6) AS score FROM (SELECT DISTINCT site, part, word FROM w) d JOIN t USING (part, word) GROUP BY site")
+_add("SEQ-23", lambda x: Y.best_donor(_slices(x).select(F.col("exon_id").alias("window_id"), F.concat(F.right("dna", F.lit(13)), "right_flank").alias("text")), _donor_table(x), -12.0).select("window_id", "shift"),
+     f"WITH t AS (SELECT substr(site,1,3) || substr(site,6,4) AS word, count(*)/16.0 AS value FROM {SITES} q GROUP BY 1), w AS (SELECT exon_id, text, unnest(range(0, length(text)-8)) AS i FROM (SELECT exon_id, right(dna,13) || right_flank AS text FROM {SLICES} q) q), s AS (SELECT exon_id, i, {DONOR}+log2(value) AS score FROM (SELECT exon_id, i, substr(text, CAST(i+1 AS INT), 9) AS site FROM w) q JOIN t ON t.word=substr(site,1,3) || substr(site,6,4)), b AS (SELECT *, row_number() OVER (PARTITION BY exon_id ORDER BY score DESC, i) AS rn FROM s) SELECT exon_id AS window_id, CAST(i AS INT) AS shift FROM b WHERE rn=1 AND score>=-12 AND i<>0")
+_add("SIM-06", lambda x: Y.missing_exons(_slices(x).where("length(dna) >= 24").select(F.col("exon_id").alias("query_id"), F.col("dna").alias("seq")), x.x_seq.select(F.col("seq_id").alias("target_id"), F.col("dna").alias("seq"))), None)

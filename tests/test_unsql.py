@@ -8,6 +8,7 @@ from strandweave.adapters import Inputs
 from strandweave.functions import sequence as S
 from strandweave.operators import audits as C
 from strandweave.operators import pairwise as W
+from strandweave.operators import splicing
 from strandweave.plans import mapping, registry, tracks
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +128,19 @@ def test_sample_does_not_depend_on_the_split(spark):
     assert one == two and len(set(one)) == 20
     assert sorted(r.gene_id for r in C.random_rows(rows, 20, 6, "gene_id").collect()) != one
     assert registry.queries()["TOP-05"](spark, SF).where(F.col("gene_id").isNull()).count() == 0
+
+
+def test_planted_exons_are_found_at_their_places(spark):
+    rnd = random.Random(9)
+    bases = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    exons = [bases(90) for _ in range(6)]
+    changed = [e[:44] + ("A" if e[44] != "A" else "C") + e[45:] for e in exons]
+    regions, places = [], {}
+    for k, e in enumerate(changed[:5]):
+        before = bases(200 + 430 * k)
+        regions.append((100 + k, before + e + bases(700)))
+        places[k] = (100 + k, len(before))
+    templates = spark.createDataFrame(list(enumerate(exons)), "query_id long, seq string")
+    got = splicing.missing_exons(templates, spark.createDataFrame(regions, "target_id long, seq string"), piece=600, lap=150).collect()
+    assert {r.query_id: r.target_id for r in got} == {k: v[0] for k, v in places.items()}
+    assert all(r.match_length >= 90 and abs(r["first"] - places[r.query_id][1]) <= 60 for r in got)
