@@ -73,12 +73,13 @@ def best_donor(windows: DataFrame, table: DataFrame, least: float, compat_zero:
     return out.where("shift <> 0") if compat_zero else out
 
 
-def missing_exons(templates: DataFrame, regions: DataFrame, piece: int = 15_000, lap: int = 1_000, word: int = 21, least_words: int = 2, margin: int = 60) -> DataFrame:
+def missing_exons(templates: DataFrame, regions: DataFrame, piece: int = 15_000, lap: int = 1_000, word: int = 21, least_words: int = 2, window: int = 1_024) -> DataFrame:
     """(query_id, target_id, match_length, first): the best place of each template (query_id, seq) in the regions (target_id, seq).
 
-    Regions are cut to overlapping pieces. A piece is a candidate if it shares words with the template (an equi join);
-    the part around the shared words is aligned, and the longest good match of each template stays. ``first`` is the
-    0-based place in the whole region.
+    Regions are cut to overlapping pieces. A window of a piece is a candidate if it shares words with the template (an
+    equi join); what lies around the shared words, a template's length on either side, is aligned, so a match over the
+    edge of a window is whole in both. The longest good match of each template stays; ``first`` is the 0-based place
+    in the whole region. Templates are searched in the direction they are given in.
     """
     step = piece - lap
     starts = F.sequence(F.lit(0), F.greatest(F.length("seq") - lap - 1, F.lit(0)), F.lit(step))
@@ -87,11 +88,11 @@ def missing_exons(templates: DataFrame, regions: DataFrame, piece: int = 15_000,
     asked = templates.select("query_id", F.explode(F.array_distinct(F.regexp_extract_all("seq", cut, 1))).alias("w"))
     known = asked.select("w").distinct()
     found = pieces.select("target_id", "start", F.posexplode(F.regexp_extract_all("text", cut, 1)).alias("at", "w")).join(known, "w", "left_semi")
-    seen = found.join(asked, "w").groupBy("query_id", "target_id", "start").agg(F.countDistinct("w").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).where(F.col("n") >= least_words)
-    near = seen.join(templates, "query_id").join(pieces, ["target_id", "start"])
-    from_ = F.greatest(F.col("lo") - margin, F.lit(0))
+    seen = found.join(asked, "w").groupBy("query_id", "target_id", "start", F.floor(F.col("at") / window).alias("window")).agg(F.countDistinct("w").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).where(F.col("n") >= least_words)
+    near = seen.drop("window").join(templates, "query_id").join(pieces, ["target_id", "start"])
+    from_ = F.greatest(F.col("lo") - F.length("seq"), F.lit(0))
     pairs = near.select(F.col("query_id").alias("a_id"), F.col("target_id").alias("b_id"), (F.col("start") + from_).alias("offset"), F.concat(F.lit("B"), "seq", F.lit("Z")).alias("first"),
-                        F.concat(F.lit("B"), F.substring(F.col("text"), from_ + 1, F.col("hi") - from_ + word + margin), F.lit("Z")).alias("second"))
+                        F.concat(F.lit("B"), F.substring(F.col("text"), from_ + 1, F.col("hi") - from_ + word + F.length("seq")), F.lit("Z")).alias("second"))
     tidy = lambda c: F.translate(c, GAP + "BZ", "---")
     aligned = align(pairs).select("a_id", "b_id", "offset", tidy("first").alias("x"), tidy("second").alias("y"))
     line = S.cigar(F.col("x"), F.col("y"))
