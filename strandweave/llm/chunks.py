@@ -1,8 +1,22 @@
-"""Encoding of texts by cached chunks, shared by the tokenising operators."""
+"""Encoding of texts by remembered chunks, shared by the tokenising operators."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+
+def slices(texts: pa.Array, at_once: int) -> Iterator[pa.Array]:
+    """Runs of whole texts of about ``at_once`` bytes; a longer text is a run of its own."""
+    if not len(texts):
+        return
+    group = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // at_once
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for a, b in zip(edges, edges[1:], strict=False):
+        yield texts.slice(a, b - a)
 
 
 class ChunkEncoder:
@@ -10,46 +24,64 @@ class ChunkEncoder:
 
     A cut before a single blank that stands between two characters that are not white space is always a boundary of
     the pre-tokenising pattern, and what the pattern finds on either side does not depend on the other. Texts with a
-    blank next to other white space are encoded whole. ``encode`` maps a list of strings to a list of id bytes; all
-    strings but those of whole texts and first chunks start with a blank and hold no other white space at their ends,
-    so that they may be encoded in one piece and cut again. Chunks are remembered in two generations of at most
-    ``limit`` entries, the older of which is dropped when the younger is full; this changes no result.
+    blank next to other white space are encoded whole. ``encode(strings, parts)`` maps strings to id bytes; with
+    ``parts`` each string is a blank and a chunk without white space at its ends, so that they may be encoded in one
+    piece and cut again. Chunks are told apart and put together by Arrow for some ``at_once`` bytes of text at a time,
+    so that Python sees each different chunk once. They are remembered in two generations of about ``limit`` entries,
+    the older of which is dropped when the younger is full; this changes no result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], limit: int = 500_000, at_once: int = 8_000_000):
+        self.encode, self.limit, self.at_once = encode, limit, at_once
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, wanted: set[str]) -> None:
-        if len(self.young) + len(wanted) > self.limit:
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        if len(self.young) + len(chunks) > self.limit:
             self.young, self.old = {}, self.young
+        found = list(map(self.young.get, chunks))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for chunk in wanted:
-            if (ids := self.old.get(chunk)) is not None:
-                self.young[chunk] = ids
+        for i in gaps:
+            if (ids := self.old.get(chunks[i])) is None:
+                new.append(i)
             else:
-                new.append(chunk)
-        self.young.update(zip(new, self.encode([" " + c for c in new]), strict=True))
+                found[i] = ids
+        if new:
+            for i, ids in zip(new, self.encode([" " + chunks[i] for i in new], True), strict=True):
+                found[i] = ids
+        self.young.update((chunks[i], found[i]) for i in gaps)
+        return found
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
+    def ids(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; a null text has none."""
-        split = [text.split(" ") if text else [] for text in texts]
-        every = {chunk for parts in split for chunk in parts[1:]}
-        odd = {c for c in every if not c or c[0].isspace() or c[-1].isspace()}
-        whole = [bool(parts) and (len(parts) == 1 or parts[0][-1:].isspace() or bool(odd) and not odd.isdisjoint(parts[1:])) for parts in split]
-        wanted = {chunk for chunk in every if chunk not in self.young} - odd
-        if len(every) > self.limit:  # more at once than are remembered
-            return [x for text in texts for x in self.ids([text])] if len(texts) > 1 else [self.encode([text])[0] if text else b"" for text in texts]
-        if wanted:
-            fresh = len(self.young) + len(wanted) > self.limit
-            self._learn(every - odd if fresh else wanted)
-        heads = self.encode(["".join(text) if all_ else parts[0] for text, parts, all_ in zip(texts, split, whole, strict=True) if parts])
-        out, at, get = [], 0, self.young.__getitem__
-        for parts, all_ in zip(split, whole, strict=True):
-            if not parts:
-                out.append(b"")
-                continue
-            out.append(heads[at] if all_ else heads[at] + b"".join(map(get, parts[1:])))
-            at += 1
-        return out
+        for part in slices(texts, self.at_once):
+            yield from self._ids(pc.fill_null(part, ""))
+
+    def _ids(self, texts: pa.Array) -> list[bytes]:
+        split = pc.split_pattern(texts, " ")
+        starts = split.offsets.to_numpy()
+        first, sizes = starts[:-1], np.diff(starts)
+        cut = split.values.dictionary_encode()
+        codes, chunks = cut.indices.to_numpy().copy(), cut.dictionary.to_pylist()
+        odd = np.fromiter((not c or c[0].isspace() or c[-1].isspace() for c in chunks), np.bool_, len(chunks))[codes]
+        heads = [chunks[c] for c in codes[first]]
+        odd[first] = [h[-1:].isspace() for h in heads]
+        whole = (sizes == 1) | np.logical_or.reduceat(odd, first)
+        for i in np.flatnonzero(whole).tolist():
+            heads[i] = texts[i].as_py()
+        inner = ~np.repeat(whole, sizes)
+        inner[first] = False
+        used = np.zeros(len(chunks), np.bool_)
+        used[codes[inner]] = True
+        used = np.flatnonzero(used)
+        # the place of each chunk among those used, then the heads, then one empty entry
+        place = np.zeros(len(chunks), np.int64)
+        place[used] = np.arange(len(used))
+        at = np.where(inner, place[codes], len(used) + len(heads))
+        at[first] = len(used) + np.arange(len(heads))
+        table = pa.array([*self._known([chunks[i] for i in used.tolist()]), *self.encode(heads, False), b""], pa.large_binary()).take(pa.array(at))
+        data = table.buffers()[2]
+        view = memoryview(data) if data is not None else memoryview(b"")
+        ends = np.frombuffer(table.buffers()[1], np.int64)[starts].tolist()
+        return [view[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]

@@ -78,14 +78,14 @@ class PieceCodec:
         self.split = regex.compile(pattern).findall
         self.encoder = ChunkEncoder(self._encode_many)
 
-    def _encode_many(self, texts: list[str]) -> list[bytes]:
+    def _encode_many(self, texts: list[str], parts: bool) -> list[bytes]:
         """Each pre-token separately, as bytes in Latin-1; one that is a token is not merged again."""
         found = [[pre.encode().decode("latin-1") for pre in self.split(text)] for text in texts]
         unseen = list({pre for pres in found for pre in pres if pre not in self.whole})
         merged = dict(zip(unseen, self.model.encode([pre.translate(self.letters) for pre in unseen], num_threads=1), strict=True)) if unseen else {}
         return [np.array([i for pre in pres for i in ((self.whole[pre],) if pre in self.whole else merged[pre])], dtype="<u4").tobytes() for pres in found]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         return self.encoder.ids(texts)
 
@@ -110,7 +110,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         own = codec(path, pattern)
         for batch in batches:
             for part in _slices(batch):
-                ids = own.encode(part.column(1).to_pylist())
+                ids = list(own.encode(part.column(1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())], [id_col, "ids", "decoded"])
 
     rows = docs.select(id_col, text_col)
@@ -132,11 +132,10 @@ def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in batches:
             n, first, second = [], [], []
-            for part in _slices(batch):
-                for ids in own.encode(part.column(1).to_pylist()):
-                    n.append(len(ids) // 4)
-                    first.append(hashlib.sha256(ids).hexdigest())
-                    second.append(hashlib.sha256(own.decode(ids)).hexdigest())
+            for ids in own.encode(batch.column(1)):
+                n.append(len(ids) // 4)
+                first.append(hashlib.sha256(ids).hexdigest())
+                second.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select("doc_id", "text")

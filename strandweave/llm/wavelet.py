@@ -192,9 +192,9 @@ def chunk_tokenizer(path: str) -> ChunkEncoder:
     for token, i in own.get_vocab().items():
         widths[i] = len(token)
 
-    def encode(texts: list[str]) -> list[bytes]:
-        """Words behind a blank or line break go in as one text and are cut where their bytes end."""
-        if len(texts) < 3 or not all(t[:1] in (" ", "\n") for t in texts):
+    def encode(texts: list[str], parts: bool) -> list[bytes]:
+        """Chunks behind a blank go in as one text and are cut where their bytes end."""
+        if not parts:
             return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
         out = []
         for at in range(0, len(texts), 1000):
@@ -238,14 +238,12 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("path", pa.string()), *((c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "n_ids"))]))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc, ids in zip(part.column(0).to_pylist(), own.ids(part.column(1).to_pylist()), strict=True):
-                    names.append(doc)
-                    codes.append(ids + end)
-                    held += len(codes[-1]) // 4
-                    if held >= shard_ids:
-                        yield flush()
+            for doc, ids in zip(batch.column(0).to_pylist(), own.ids(batch.column(1)), strict=True):
+                names.append(doc)
+                codes.append(ids + end)
+                held += len(codes[-1]) // 4
+                if held >= shard_ids:
+                    yield flush()
         if names:
             yield flush()
 
