@@ -72,7 +72,8 @@ class PieceCodec:
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
         self.whole = {token.decode("latin-1"): rank for token, rank in ranks.items()}
-        self.inverse = {rank: token for token, rank in ranks.items()}
+        tokens = {rank: token for token, rank in ranks.items()}
+        self.inverse = pa.array([tokens.get(rank) for rank in range(max(tokens) + 1)], pa.large_binary())
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.split = regex.compile(pattern).findall
@@ -90,7 +91,9 @@ class PieceCodec:
         return self.encoder.ids(texts)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.inverse.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        tokens = self.inverse.take(pa.array(np.frombuffer(ids, "<u4")))
+        end, data = int(np.frombuffer(tokens.buffers()[1], np.int64)[len(tokens)]) if ids else 0, tokens.buffers()[2]
+        return data[:end].to_pybytes() if end else b""
 
 
 @lru_cache(maxsize=2)
