@@ -75,7 +75,7 @@ class Scorer:
             return np.array(own)
         if not any(map(str.isalpha, word)):
             return None
-        marked = f"<{word[:200]}>" if len(word) > 200 else f"<{word}>"
+        marked = f"<{word}>"
         for k in range(min(self.model["longest"], len(marked)), 0, -1):
             found = [g for i in range(len(marked) - k + 1) if (g := self.model["grams"].get(marked[i : i + k])) is not None]
             if found:
