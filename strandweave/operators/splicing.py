@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from strandweave.functions import sequence as S
 from strandweave.operators.audits import best_hits
@@ -101,3 +105,47 @@ def missing_exons(templates: DataFrame, regions: DataFrame, piece: int = 15_000,
     hits = aligned.select(F.col("a_id").alias("query_id"), F.col("b_id").alias("target_id"), "offset", matched.alias("match_length"), S.ungapped_length(F.col("x")).alias("query_length"), S.ungapped_length(F.col("y")).alias("target_length"), lead.alias("first"),
                           (100.0 * S._pairs(F.col("x"), F.col("y"), lambda p, q: (p == q) & (p != "-")) / F.greatest(matched, F.lit(1))).alias("identity"))
     return best_hits(hits)
+
+
+@F.pandas_udf(StructType([StructField("ratio", DoubleType()), StructField("at", IntegerType()), StructField("size", IntegerType())]))
+def likeness(pep: pd.Series, template: pd.Series) -> pd.DataFrame:
+    """Share of two peptides in matching blocks, and the stretch of the first from its first block to its last."""
+    out = []
+    for own, other in zip(pep, template, strict=True):
+        matcher = SequenceMatcher(None, own, other)
+        blocks = [m for m in matcher.get_matching_blocks() if m.size]
+        at = blocks[0].a if blocks else 0
+        out.append((matcher.ratio(), at, blocks[-1].a + blocks[-1].size - at if blocks else 0))
+    return pd.DataFrame(out, columns=["ratio", "at", "size"])
+
+
+def best_frames(hits: DataFrame, most_shift: int = 2, least: float = 0.5) -> DataFrame:
+    """(hit_id, pep, match_start, match_end): the reading of each hit (hit_id, template, seq, match_start, match_end) most like its template.
+
+    Bounds are 0-based and half open. The hit as it is stays if its peptide equals the template, or is alike by more
+    than ``least`` without a stop. Else both ends are shifted; of the most alike the least shift of the start, then of
+    the end, counts. A longer peptide with a stop is cut to the stretch that matches if that is as long as the
+    template. The peptide is empty where a stop is left, where nothing is alike, or where a hit ends with its sequence
+    or behind it; in the last two cases the bounds stay. Null texts count as empty, hit_id is a key.
+    """
+    text = hits.select("hit_id", "match_start", "match_end", *(F.coalesce(c, F.lit("")).alias(c) for c in ("template", "seq")))
+    shifts = F.sequence(F.lit(-most_shift), F.lit(most_shift))
+    tries = text.withColumn("b", F.explode(shifts)).withColumn("e", F.explode(shifts))
+    first, end = F.col("match_start") + F.col("b"), F.col("match_end") + F.col("e")
+    as_is = (F.col("b") == 0) & (F.col("e") == 0)
+    tries = tries.where(as_is | ((first >= 0) & (first <= F.length("seq")) & (end >= 0) & (end <= F.length("seq"))))
+    read = tries.select("hit_id", "template", first.alias("first"), end.alias("end"), "b", "e", as_is.alias("as_is"), (F.col("match_end") >= F.length("seq")).alias("over"),
+                        S.translate(F.substring("seq", first + 1, F.greatest(end - first, F.lit(0)))).alias("pep"))
+    scored = read.withColumn("like", likeness("pep", "template"))
+    stop = F.contains("pep", F.lit("*"))
+    enough = as_is & ((F.col("pep") == F.col("template")) | ((F.col("like.ratio") > least) & ~stop))
+    trim = stop & (F.length("pep") > F.length("template")) & (F.col("like.size") == F.length("template"))
+    start = F.col("first") + F.when(trim, 3 * F.col("like.at")).otherwise(0)
+    cut = F.when(trim, F.expr("substr(pep, like.at + 1, like.size)")).otherwise(F.col("pep"))
+    done = F.struct(F.when(F.contains(cut, F.lit("*")), "").otherwise(cut).alias("pep"), start.alias("match_start"), F.when(trim, start + 3 * F.col("like.size")).otherwise(F.col("end")).alias("match_end"))
+    plain = F.struct("pep", F.col("first").alias("match_start"), F.col("end").alias("match_end"))
+    rank = F.struct(F.col("like.ratio").alias("r"), (-F.col("b")).alias("b"), (-F.col("e")).alias("e"))
+    best = scored.groupBy("hit_id").agg(F.max_by(done, rank).alias("moved"), F.max("like.ratio").alias("r"), F.max(F.when(as_is, plain)).alias("own"), F.bool_or(enough).alias("enough"), F.bool_or("over").alias("over"))
+    none = F.struct(F.lit("").alias("pep"), F.col("own.match_start").alias("match_start"), F.col("own.match_end").alias("match_end"))
+    chosen = F.when(F.col("over"), none).when(F.col("enough"), F.col("own")).when(F.col("r") < least, none).otherwise(F.col("moved"))
+    return best.select("hit_id", chosen.alias("c")).select("hit_id", "c.*")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.adapters import Inputs
+from strandweave.functions import sequence as S
 from strandweave.operators import aggregates as A
 from strandweave.operators import pairwise as W
 from strandweave.operators import splicing as Y
@@ -70,3 +71,14 @@ _add("SEQ-22-acceptor", lambda x: Y.acceptor_scores(_acceptor_sites(x), _accepto
 _add("SEQ-23", lambda x: Y.best_donor(_slices(x).select(F.col("exon_id").alias("window_id"), F.concat(F.right("dna", F.lit(13)), "right_flank").alias("text")), _donor_table(x), -12.0).select("window_id", "shift"),
      f"WITH t AS (SELECT substr(site,1,3) || substr(site,6,4) AS word, count(*)/16.0 AS value FROM {SITES} q GROUP BY 1), w AS (SELECT exon_id, text, unnest(range(0, length(text)-8)) AS i FROM (SELECT exon_id, right(dna,13) || right_flank AS text FROM {SLICES} q) q), s AS (SELECT exon_id, i, {DONOR}+log2(value) AS score FROM (SELECT exon_id, i, substr(text, CAST(i+1 AS INT), 9) AS site FROM w) q JOIN t ON t.word=substr(site,1,3) || substr(site,6,4)), b AS (SELECT *, row_number() OVER (PARTITION BY exon_id ORDER BY score DESC, i) AS rn FROM s) SELECT exon_id AS window_id, CAST(i AS INT) AS shift FROM b WHERE rn=1 AND score>=-12 AND i<>0")
 _add("SIM-06", lambda x: Y.missing_exons(_slices(x).where("length(dna) >= 24").select(F.col("exon_id").alias("query_id"), F.col("dna").alias("seq")), x.x_seq.select(F.col("seq_id").alias("target_id"), F.col("dna").alias("seq"))), None)
+
+
+def hits(x: Inputs) -> DataFrame:
+    """Coding exons between their flanks, found some bases beside their ends."""
+    start = F.length("left_flank") + F.col("exon_id") % 5 - 2
+    rows = _slices(x).where("length(dna) >= 12").select(F.col("exon_id").alias("hit_id"), S.translate(F.col("dna")).alias("template"), F.concat("left_flank", "dna", "right_flank").alias("seq"),
+                                                       start.cast("int").alias("match_start"), (F.length("left_flank") + F.length("dna") + F.col("exon_id") % 3 - 1).cast("int").alias("match_end"))
+    return rows.where("match_start >= 0")
+
+
+_add("SEQ-21", lambda x: Y.best_frames(hits(x)), None)

@@ -1,6 +1,8 @@
 """Queries without SQL against brute force on the smallest tables."""
 
+import itertools
 import random
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
@@ -144,3 +146,38 @@ def test_planted_exons_are_found_at_their_places(spark):
     got = splicing.missing_exons(templates, spark.createDataFrame(regions, "target_id long, seq string"), piece=600, lap=150).collect()
     assert {r.query_id: r.target_id for r in got} == {k: v[0] for k, v in places.items()}
     assert all(r.match_length >= 90 and abs(r["first"] - places[r.query_id][1]) <= 60 for r in got)
+
+
+def frame(template, seq, start, end):
+    """One hit at a time, by trying all shifts."""
+    template, seq = template or "", seq or ""
+    code = {"".join(c): S.STANDARD[i] for i, c in enumerate(itertools.product(S.BASES, repeat=3))}
+    read = lambda a, b: "".join(code.get(seq[i : i + 3], "X") for i in range(a, min(b, len(seq)) - 2, 3))
+    like = lambda p: SequenceMatcher(None, p, template).ratio()
+    own = read(start, end)
+    if end >= len(seq):
+        return "", start, end
+    if own == template or (like(own) > 0.5 and "*" not in own):
+        return own, start, end
+    tries = [(start + b, end + e) for b in range(-2, 3) for e in range(-2, 3) if 0 <= start + b <= len(seq) and 0 <= end + e <= len(seq)]
+    first, last = max(tries, key=lambda t: like(read(*t)))
+    pep = read(first, last)
+    if like(pep) < 0.5:
+        return "", start, end
+    if "*" in pep and len(pep) > len(template):
+        blocks = [m for m in SequenceMatcher(None, pep, template).get_matching_blocks() if m.size]
+        size = blocks[-1].a + blocks[-1].size - blocks[0].a
+        if size == len(template):
+            pep, first = pep[blocks[0].a : blocks[0].a + size], first + 3 * blocks[0].a
+            last = first + 3 * size
+    return ("" if "*" in pep else pep), first, last
+
+
+def test_best_frames(spark):
+    x = Inputs(spark, SF)
+    odd = [(-1, None, None, 0, 0), (-2, "MK", "ATGAAATAAGG", 0, 9), (-3, "MK", "CATGAAATAAGG", 0, 9), (-4, "MK", "ATGAAA", 0, 6), (-5, "WWWW", "ATGAAATAAGG", 1, 8), (-6, "MK", "ATGAAATAAGG", 4, 2)]
+    hits = mapping.hits(x).unionByName(spark.createDataFrame(odd, "hit_id long, template string, seq string, match_start int, match_end int"))
+    want = {r.hit_id: frame(r.template, r.seq, r.match_start, r.match_end) for r in hits.collect()}
+    got = {r.hit_id: (r.pep, r.match_start, r.match_end) for r in splicing.best_frames(hits).collect()}
+    assert len(got) > len(odd) and got == want
+    assert registry.queries()["SEQ-21"](spark, SF).count() == len(want) - len(odd)
