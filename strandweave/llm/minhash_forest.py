@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -108,7 +109,8 @@ def _neighbours(depth: int, reach: int, percent: int):
     """Pairs of rows near one another in an order whose keys share a prefix.
 
     A row is paired with the next ``reach`` rows that share at least ``depth`` values. Where that many and more do, the
-    region is dense and its depth is raised to the prefix that the row shares with its nearest neighbour.
+    region is dense and its depth is raised to the prefix that the row shares with its nearest neighbour; what that
+    leaves out is compared by ``crowded``.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +165,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, reach: i
     Equal shingle sets are one class from the start, whatever its size. The class representatives stand in 24 sorted
     signature orders; neighbours with a long common prefix are candidates, so that a class or family of any size gives
     a number of candidates that grows with its members and is split over tasks by sort range. Every candidate is
-    confirmed on the full sets (64-bit shingle hashes). What stands on either side of a task's range is not compared in
-    that order; the other orders cover it. component_id is the least doc_id reachable. Null, empty and wordless texts
+    confirmed on the full sets (64-bit shingle hashes). Where more than ``reach`` documents share a prefix, all of them
+    that are not yet in one component are compared as well. What stands on either side of a task's range is not compared
+    in that order if fewer share the prefix; the other orders cover it. component_id is the least doc_id reachable. Null, empty and wordless texts
     have no shingles and stand alone. doc_id is an integer and identifies a document; a repeated row comes out as often.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -175,10 +178,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, reach: i
     orders = Cut(firsts.mapInArrow(_tree_rows, "tree int, key binary, doc_id long, n_shingles long"), "orders")
     dealt = orders.df.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
     pairs = Cut(dealt.mapInArrow(_neighbours(depth, reach, percent), "a long, b long").distinct(), "candidates")
-    orders.drop()
     links = Cut(confirmed(rows, pairs.df, percent), "links")
     pairs.drop()
-    groups = connected_components(links.df, "a", "b")
+    groups = Cut(connected_components(links.df, "a", "b"), "groups").df
+    more = crowded(rows, orders.df, groups, percent, depth, reach)
+    orders.drop()
+    if more is not None:
+        wider = connected_components(more, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        every_node = groups.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node", "left_anti").withColumn("component", F.col("node")))
+        groups = every_node.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
     out = (
         every.df.select("doc_id", "n_shingles", "set_hash")
         .join(classes.df, "set_hash", "left")
@@ -200,3 +208,86 @@ def confirmed(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(common * 100 >= union * percent).select("a", "b")
+
+
+def crowded(rows: DataFrame, orders: DataFrame, groups: DataFrame, percent: int, depth: int, reach: int, members: int = 256, shingles: int = 1_000_000) -> DataFrame | None:
+    """Edges (a, b) between components, from all pairs that share a prefix with more than ``reach`` documents; None if there are none.
+
+    ``groups`` (node, component) holds the components found so far; pairs inside one are not compared, so a group of near
+    copies costs what it has members. A component of more than ``members`` documents or ``shingles`` shingles is cut to
+    parts, smaller ones are packed to parts; two parts at a time are compared in one task on their full sets, so no task
+    grows with the group. The number of comparisons grows with the square of a group that is not linked.
+    """
+    spots = orders.select(F.xxhash64("tree", F.substring("key", 1, 2 * depth)).alias("spot"), "doc_id", "n_shingles")
+    dense = spots.groupBy("spot").agg(F.count("*").alias("n")).where(F.col("n") > reach).select("spot")
+    inside = Cut(spots.join(dense.hint("merge"), "spot"), "crowds")
+    of = Cut(inside.df.join(groups.select(F.col("node").alias("doc_id"), "component").hint("merge"), "doc_id", "left").select("spot", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("own")), "crowd-members")
+    inside.drop()
+    parts = lambda n, total: F.ceil(F.greatest(n / members, total / shingles, F.lit(1.0))).cast("int")
+    sizes = of.df.groupBy("spot", "own").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    sizes = Cut(sizes.withColumn("big", (F.col("n") > members) | (F.col("total") > shingles)), "crowd-sizes").df
+    small = lambda c: F.sum(F.when(~F.col("big"), F.col(c)).otherwise(0))
+    mixed = sizes.groupBy("spot").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), parts(small("n"), small("total")).alias("packed")).where("lo < hi").select("spot", "packed")
+    placed = sizes.join(mixed.hint("merge"), "spot").select("spot", "own", "big", F.when(F.col("big"), parts(F.col("n"), F.col("total"))).otherwise(F.col("packed")).alias("parts"))
+    placed = Cut(placed, "crowd-parts").df
+    if placed.isEmpty():
+        return None
+    name = lambda part: F.concat_ws("/", F.when(F.col("big"), F.col("own").cast("string")).otherwise("-"), part.cast("string")).alias("part")
+    mine = F.pmod(F.when(F.col("big"), F.xxhash64("doc_id")).otherwise(F.xxhash64("own")), F.col("parts"))
+    dealt = Cut(of.df.join(placed.hint("merge"), ["spot", "own"]).select("spot", "doc_id", "own", name(mine)), "crowd-dealt")
+    of.drop()
+    slots = placed.select("spot", F.when(F.col("big"), F.col("own")).alias("whole"), "big", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k")).select("spot", "whole", name(F.col("k"))).distinct()
+    a, b = slots.select("spot", F.col("whole").alias("wa"), F.col("part").alias("pa")), slots.select("spot", F.col("whole").alias("wb"), F.col("part").alias("pb"))
+    meet = a.join(b, "spot").where((F.col("pa") <= F.col("pb")) & ~F.coalesce(F.col("wa") == F.col("wb"), F.lit(False))).withColumn("block", F.concat_ws(" ", F.col("spot").cast("string"), "pa", "pb"))
+    sides = F.when(F.col("pa") == F.col("pb"), F.array(F.struct(F.col("pa").alias("part"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("pa").alias("part"), F.lit(0).alias("side")), F.struct(F.col("pb").alias("part"), F.lit(1).alias("side"))))
+    called = meet.select("spot", "block", F.inline(sides))
+    named = dealt.df.select("doc_id").distinct()
+    sets = Cut(_sets(rows.join(named.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "crowd-sets")
+    blocks = dealt.df.join(called.hint("merge"), ["spot", "part"]).join(sets.df.hint("merge"), "doc_id").select("block", "side", "own", "shingles")
+    out = Cut(blocks.groupBy("block").applyInPandas(_across(percent), "a long, b long").distinct(), "crowd-links").df
+    dealt.drop()
+    sets.drop()
+    return out
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """How many values each sorted set of the one side shares with each of the other."""
+    words = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.int64)
+    if not len(words):
+        return out
+    sides = []
+    for sets in (left, right):
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+        hit = words[at] == flat
+        at, row = at[hit], row[hit]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], row[order]))
+    for low in range(0, len(words), width):
+        marks = []
+        for (at, row), sets in zip(sides, (left, right), strict=True):
+            first, last = np.searchsorted(at, [low, low + width])
+            own = np.zeros((len(sets), min(width, len(words) - low)), np.float32)
+            own[row[first:last], at[first:last] - low] = 1
+            marks.append(own)
+        out += (marks[0] @ marks[1].T).astype(np.int64)
+    return out
+
+
+def _across(percent: int):
+    """The linked components (a, b) of a block: its left members (side 0 or 2) against its right ones (1 or 2)."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf.side != 1], pdf[pdf.side != 0]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        x, y = (list(map(np.asarray, side.shingles)) for side in (left, right))
+        common = common_shingles(x, y)
+        union = np.array(list(map(len, x)))[:, None] + np.array(list(map(len, y)))[None, :] - common
+        a, b = left.own.to_numpy(), right.own.to_numpy()
+        i, j = np.nonzero((100 * common >= percent * union) & (a[:, None] != b[None, :]))
+        pairs = np.unique(np.stack([np.minimum(a[i], b[j]), np.maximum(a[i], b[j])], axis=1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return work

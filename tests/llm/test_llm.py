@@ -96,6 +96,25 @@ def test_minhash_forest_equals_brute_force(docs, empty, real):
     assert minhash_forest.near_duplicates(empty).count() == 0
 
 
+def test_minhash_finds_pairs_in_a_template_family_just_under_the_threshold(spark):
+    template = " ".join(f"t{i}" for i in range(104))  # 100 shingles that all share
+    tail = lambda i: [f"s{i // 2}x{k}" for k in range(3)] + [f"p{i}x{k}" for k in range(16)]
+    rows = [(i, " ".join([template, *tail(i)])) for i in range(600)]  # 103 / 135 within a pair, 100 / 138 between pairs
+    copies = [(1000 + i, f"{template} copy{i}") for i in range(300)]  # 100 / 120 with any of the others
+    own = {i: sets(text) for i, text in rows[:4]}
+    assert 100 * len(own[0] & own[1]) >= 75 * len(own[0] | own[1]) and 100 * len(own[0] & own[2]) < 75 * len(own[0] | own[2])
+    got = {r.doc_id: r.component_id for r in minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+    got = {r.doc_id: r.component_id for r in minhash_forest.near_duplicates(spark.createDataFrame(rows + copies, "doc_id long, text string")).collect()}
+    assert set(got.values()) == {0}  # the copies lie near every other document
+
+
+def test_common_shingles_equal_brute_force():
+    rng = np.random.default_rng(5)
+    x, y = ([np.unique(rng.integers(-40, 40, n)) for n in (0, 1, 30, 60)] for _ in range(2))
+    assert minhash_forest.common_shingles(x, y, width=7).tolist() == [[len(np.intersect1d(a, b)) for b in y] for a in x]
+
+
 def test_near_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(12, 16))
