@@ -28,11 +28,11 @@ _CUES = frozenset([*_KIND_OF_NAME, *TITLES, *(f"{t}." for t in TITLES)])
 _SURNAME = r"[^\W\d_a-zа-я][^\W\d_]{2,}(?:-[^\W\d_a-zа-я][^\W\d_]+)?"
 _NAME = re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? )?(?:(?P<given>{'|'.join(_KIND_OF_NAME)}) )?(?P<surname>{_SURNAME})(?!\w)")
 _EMAIL = re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key)\"?[ \t]*[=:][ \t]*(?:\"([^\"\n]{4,200})\"|'([^'\n]{4,200})'|([^\s\"',;<>]{6,200}))")
+_SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key)\"?[ \t]*[=:][ \t]*(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"',;<>]{6,}))")
 _DIGITS = re.compile(
     r"""(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))
     |(?P<key>(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,}|AIza[\w-]{30,}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9]))
-    |(?P<hex>(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{18,128}(?![A-Za-z0-9]))
+    |(?P<hex>(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{18,}(?![A-Za-z0-9]))
     |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
     |(?P<card>(?<![\w.])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,7}(?![\w]))
     |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))

@@ -187,6 +187,16 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(set(final.values())) == 40 and not set(final.values()) & set(values)
 
 
+@pytest.mark.parametrize("size", [129, 201, 5000])
+def test_long_secrets_are_replaced_whole(size):
+    value = ("Ab3xY9" * size)[:size]
+    for text in (f"access_key={value} end", f'token: "{value}" end', f"password = '{value}' end"):
+        assert [v for *_, v in surrogates.detect(text)] == [value]
+        new, n = surrogates._replace(text, "k", {}, {})
+        assert n == 1 and len(new) == len(text) and value[-20:] not in new
+    assert [v for *_, v in surrogates.detect(f"sum {'0a' * size} end")] == ["0a" * size]
+
+
 def test_mixing_meets_targets(spark, docs, empty, real):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = mixing.mix(real, labels).collect()
