@@ -24,9 +24,10 @@ TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Señora Sr
 
 SYLLABLES = {"latin": ("b d f g h k l m n p r s t v w".split(), "a e i o u".split()), "cyrillic": ("б в г д ж к л м н п р с т".split(), "а е и о у".split())}
 _KIND_OF_NAME = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
-_CUES = frozenset([*_KIND_OF_NAME, *TITLES, *(f"{t}." for t in TITLES)])
-_SURNAME = r"[^\W\d_a-zа-я][^\W\d_]{2,}(?:-[^\W\d_a-zа-я][^\W\d_]+)?"
-_NAME = re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? )?(?:(?P<given>{'|'.join(_KIND_OF_NAME)}) )?(?P<surname>{_SURNAME})(?!\w)")
+_CUES = frozenset([*_KIND_OF_NAME, *TITLES])
+_WORD = re.compile(r"\w+")
+_SURNAME = r"(?!(?:Mr|Ms|Dr|Sr)(?!\w))[^\W\d_a-zа-я][^\W\d_]+(?:-[^\W\d_a-zа-я][^\W\d_]+)?"
+_NAME = re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? )*(?:(?P<given>{'|'.join(_KIND_OF_NAME)}) )?(?P<surname>{_SURNAME})(?!\w)")
 _EMAIL = re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key)\"?[ \t]*[=:][ \t]*(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"',;<>]{6,}))")
 _DIGITS = re.compile(
@@ -43,7 +44,10 @@ _ANY_DIGIT = re.compile("[0-9]")
 
 
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, value) of the entities of a text, in order and without overlap; earlier kinds win."""
+    """(start, end, kind, value) of the entities of a text, in order and without overlap; earlier kinds win.
+
+    A name is found behind a title or given name; where it stands alone elsewhere in the text, it is the same entity.
+    """
     if not text:
         return []
     found: list[tuple[int, int, str]] = []
@@ -53,13 +57,20 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
         found += [(*m.span(m.lastindex), "secret") for m in _SECRET.finditer(text)]
     if _ANY_DIGIT.search(text):
         found += [(m.start(), m.end(), m.lastgroup) for m in _DIGITS.finditer(text)]
-    if not _CUES.isdisjoint(text.split()):
+    if not _CUES.isdisjoint(_WORD.findall(text)):
+        known: dict[str, str] = {}
+        alone = []
         for m in _NAME.finditer(text):
             if m["given"] or m.start("surname") > m.start():
                 if m["given"]:
-                    found.append((*m.span("given"), "given:{}:{}".format(*_KIND_OF_NAME[m["given"]])))
+                    kind = known[m["given"]] = "given:{}:{}".format(*_KIND_OF_NAME[m["given"]])
+                    found.append((*m.span("given"), kind))
                 script = "cyrillic" if "а" <= m["surname"][-1].lower() <= "я" else "latin"
-                found.append((*m.span("surname"), f"surname:{script}"))
+                kind = known[m["surname"]] = known[m["surname"].upper()] = f"surname:{script}"
+                found.append((*m.span("surname"), kind))
+            else:
+                alone.append(m)
+        found += [(m.start(), m.end(), known[m[0]]) for m in alone if m[0] in known]
     out, end = [], 0
     for start, stop, kind in sorted(found, key=lambda x: x[0]):
         if start >= end:

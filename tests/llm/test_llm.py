@@ -197,6 +197,14 @@ def test_long_secrets_are_replaced_whole(size):
     assert [v for *_, v in surrogates.detect(f"sum {'0a' * size} end")] == ["0a" * size]
 
 
+def test_names_beside_punctuation_short_and_bare_repeats():
+    values = lambda text: [v for *_, v in surrogates.detect(text)]
+    assert values('"Mary Smith said') == ["Mary", "Smith"] and values("(James Brown") == ["James", "Brown"] and values("-Dr. Weber") == ["Weber"]
+    assert values("then Mr Wu met Dr. Li") == ["Wu", "Li"] and values("Prof. Dr. Weber and Frau Dr. Li") == ["Weber", "Li"]
+    assert values("Smith came. Mary Smith said so, Smith's friends and Mary agreed, SMITH too") == ["Smith", "Mary", "Smith", "Smith", "Mary", "SMITH"]
+    assert values("Smith and a brown dog met James Brown") == ["James", "Brown"]
+
+
 def test_mixing_meets_targets(spark, docs, empty, real):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = mixing.mix(real, labels).collect()
