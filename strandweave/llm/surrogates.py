@@ -54,7 +54,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
     if "=" in text or ":" in text:
-        found += [(*m.span(m.lastindex), "secret") for m in _SECRET.finditer(text)]
+        found += [(*m.span(m.lastindex), "secret") for m in _SECRET.finditer(text) if any(c.isalpha() or c.isdecimal() for c in m[m.lastindex])]
     if _ANY_DIGIT.search(text):
         found += [(m.start(), m.end(), m.lastgroup) for m in _DIGITS.finditer(text)]
     if not _CUES.isdisjoint(_WORD.findall(text)):
@@ -116,7 +116,13 @@ def luhn(digits: str) -> bool:
 
 
 def _candidate(kind: str, value: str, key: str, attempt: int) -> str:
-    """value: normalised. The surrogate of an entity in normal form; its mentions take on their own punctuation."""
+    """value: normalised. The surrogate of an entity in normal form; its mentions take on their own punctuation.
+
+    From the sixth attempt on a shape that can be short (secrets, local parts of e-mail addresses, phone numbers) gets
+    longer by two characters an attempt, so that it cannot run out.
+    """
+    more = 2 * max(0, attempt % 1000 - 5)
+    longer = _shaped(("0" if kind == "phone" else "a") * more, _stream(key, kind, value, attempt, "more", size=more)) if more else ""
     noise = _stream(key, kind, value, attempt, size=max(64, len(value)))
     family, _, rest = kind.partition(":")
     if family == "given":
@@ -131,7 +137,7 @@ def _candidate(kind: str, value: str, key: str, attempt: int) -> str:
         labels = domain.split(".")
         fixed = 2 if len(labels) > 2 else 1
         own = ".".join(labels[:-fixed])
-        return _shaped(local, noise) + "@" + ".".join([_shaped(own, _stream(key, "domain", domain, size=len(own) + 1)), *labels[-fixed:]])
+        return _shaped(local, noise) + longer + "@" + ".".join([_shaped(own, _stream(key, "domain", domain, size=len(own) + 1)), *labels[-fixed:]])
     if kind == "ip":
         return ".".join(str(1 + b % 254) for b in noise[:4])
     if kind == "key":
@@ -145,9 +151,9 @@ def _candidate(kind: str, value: str, key: str, attempt: int) -> str:
     if kind == "phone":
         head = re.match(r"\+1|\+\d{2}|", value)[0]
         body = _shaped(value[len(head) :], noise)
-        return head + (str(2 + noise[-1] % 8) + body[1:] if body[0] in "01" else body)
+        return head + (str(2 + noise[-1] % 8) + body[1:] if body[0] in "01" else body) + longer
     hexadecimal = bool(re.fullmatch("[0-9a-f]+", value)) and not value.isdecimal()
-    return _shaped(value, noise, hexadecimal)
+    return _shaped(value, noise, hexadecimal) + (longer if kind == "secret" else "")
 
 
 def surrogate(kind: str, value: str, key: str, attempt: int = 0) -> str:
@@ -163,7 +169,7 @@ def fitted(kind: str, mention: str, new: str) -> str:
     """``new`` with the punctuation and case of a mention."""
     if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(new.replace("+", ""))
-        return "".join(c if c in " .()-+" else next(rest) for c in mention)
+        return "".join([c if c in " .()-+" else next(rest) for c in mention] + list(rest))
     if kind.startswith("surname"):
         return new.upper() if mention.isupper() else new.capitalize()
     return new

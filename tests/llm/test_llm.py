@@ -205,6 +205,21 @@ def test_names_beside_punctuation_short_and_bare_repeats():
     assert values("Smith and a brown dog met James Brown") == ["James", "Brown"]
 
 
+def test_masked_secrets_stay_and_exhausted_shapes_grow(spark):
+    texts = ["password: ******** x", "pwd=...... x", 'secret: "------" x', "token: 12*456 x"]
+    got = [surrogates._replace(t, "k", {}, {}) for t in texts]
+    assert [n for _, n in got] == [0, 0, 0, 1] and [t for t, _ in got[:3]] == texts[:3]
+    full = [("secret", f"**{i}*") for i in range(10)] + [("phone", f"+1234{i}") for i in range(3)]
+    found = spark.createDataFrame([(k, v, surrogates.surrogate(k, v, "k")) for k, v in full], "kind string, value string, surrogate string").coalesce(1)
+    settled = {r.value: r.surrogate for r in surrogates.settle(found, "k").collect()}
+    final = {v: settled.get(v, surrogates.surrogate(k, v, "k")) for k, v in full}
+    assert len(set(final.values())) == len(full) and not set(final.values()) & set(final)
+    for kind, value in [("secret", "**1*"), ("email", "a@x.de"), ("phone", "+12345")]:
+        assert len({surrogates.surrogate(kind, value, "k", n) for n in range(5, 24)}) == 19
+        assert len(surrogates.surrogate(kind, value, "k", 9)) == len(value) + 8
+    assert surrogates.fitted("phone", "+1 23 45", surrogates.surrogate("phone", "+12345", "k", 9)).startswith("+1 ")
+
+
 def test_mixing_meets_targets(spark, docs, empty, real):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = mixing.mix(real, labels).collect()
