@@ -144,9 +144,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
     into shards; every class belongs to the ``overlap`` nearest. A shard above ``block`` members is split into blocks
     that are compared two at a time, so no task grows with the data. Each block gets a robust-pruned graph, the
     adjacency lists of a class are united over its blocks, and each block is searched along the united lists from its
-    medoids. Links are decided in double precision; one that several blocks find counts in the first. The recall of
-    n_links is audited against brute force over at most 500 vectors, and where it falls short, the work is repeated
-    with twice the overlap. Vectors that are null, zero or hold null or non-finite components, and those without a
+    medoids. Links are decided in double precision; one that several blocks find counts once. The recall of
+    n_links, in sum and as the mean over vectors, is audited against brute force over at most 500 vectors; where it falls
+    short, the work is repeated with twice the overlap, and at last with all pairs of a label compared, in blocks. Vectors that are null, zero or hold null or non-finite components, and those without a
     label, have no links and are components of their own. Vectors of different lengths link with nothing.
     """
     good = Cut(valid_vectors(vectors), "vectors").df
@@ -155,6 +155,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
         counts, edges = _linked(classes, least, overlap * more, per_shard, block, most_centres)
         if audit_recall(classes, counts, least) >= target_recall:
             break
+    else:
+        counts, edges = _linked(classes, least, overlap, per_shard, block, most_centres, exact=True)
     groups = connected_components(edges, "a", "b")
     members = (
         good.join(classes.select("label", "embedding", "rep", "weight"), ["label", "embedding"])
@@ -167,10 +169,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, block: int, most_centres: int) -> tuple[DataFrame, DataFrame]:
-    """((vec_id, links), (a, b)): linked weight of each class and edges that connect its component."""
+def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, block: int, most_centres: int, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """((vec_id, links), (a, b)): linked weight of each class and edges that connect its component; ``exact``: from all pairs of a label."""
     spark = classes.sparkSession
-    centres = spark.sparkContext.broadcast(choose_centres(classes, per_shard, most_centres))
+    centres = spark.sparkContext.broadcast({} if exact else choose_centres(classes, per_shard, most_centres))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -194,11 +196,13 @@ def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, bloc
     # part i of a shard meets every part j in block (min, max); a pair inside part i is decided in block (i, i)
     mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     blocks = parts.withColumn("part", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.withColumn("block", F.concat_ws("/", "shard", F.least("part", "other"), F.greatest("part", "other"))).select("block", "shard", "shards", "part", "rep", "weight", "embedding")
+    blocks = blocks.withColumn("block", F.concat_ws("/", "shard", F.least("part", "other"), F.greatest("part", "other"))).select("block", "part", "rep", "embedding")
 
     def adjacency(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
         ids = pdf.rep.to_numpy()
+        if exact:
+            return pd.DataFrame({"rep": ids, "near": [ids[:0]] * len(ids)})
         graph = build_graph(unit(np.stack(pdf.embedding.to_numpy())).astype(np.float32))
         return pd.DataFrame({"rep": ids, "near": [ids[g[g >= 0]] for g in graph]})
 
@@ -214,33 +218,31 @@ def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, bloc
         graph = np.full((n, max(1, max(map(len, here)))), -1, np.int32)
         for i, e in enumerate(here):
             graph[i, : len(e)] = e
-        hit = range_search(x.astype(np.float32), graph, least - 1e-5, medoids(x))
+        hit = (x @ x.T >= least - 1e-5) & ~np.eye(n, dtype=bool) if exact else range_search(x.astype(np.float32), graph, least - 1e-5, medoids(x))
         rows, cols = np.nonzero(hit)
-        exact = np.concatenate([np.einsum("ij,ij->i", x[rows[i : i + 200_000]], x[cols[i : i + 200_000]]) for i in range(0, len(rows), 200_000)]) if len(rows) else np.zeros(0)
-        hit[rows[exact < least], cols[exact < least]] = False
-        # a pair counts in the first shard that both belong to; inside one part, in that part's own block
+        cosine = np.concatenate([np.einsum("ij,ij->i", x[rows[i : i + 200_000]], x[cols[i : i + 200_000]]) for i in range(0, len(rows), 200_000)]) if len(rows) else np.zeros(0)
+        hit[rows[cosine < least], cols[cosine < least]] = False
+        # a pair inside one part is decided in that part's own block
         part, name = pdf.part.to_numpy(), pdf.block.iloc[0]
         if (part != part[0]).any():
             hit &= part[:, None] != part[None, :]
         elif not name.endswith(f"/{part[0]}/{part[0]}"):
             hit[:] = False
-        counted = hit.copy()
-        shard = pdf.shard.iloc[0]
-        before = [{s for s in own if s < shard} for own in pdf.shards]
-        for s in set().union(*before):
-            both = np.array([s in own for own in before])
-            counted &= ~(both[:, None] & both[None, :])
         edges: list = [[] for _ in range(n)]
         for a, b in forest(hit):
             edges[a].append(ids[b])
-        return pd.DataFrame({"vec_id": ids, "links": (counted * pdf.weight.to_numpy()[None, :]).sum(axis=1), "edges": edges})
+        return pd.DataFrame({"vec_id": ids, "linked": [ids[h] for h in hit], "edges": edges})
 
-    found = Cut(blocks.join(united, "rep").groupBy("block").applyInPandas(search, "vec_id long, links long, edges array<long>"), "vector-links").df
-    return found.groupBy("vec_id").agg(F.sum("links").alias("links")), found.select(F.col("vec_id").alias("a"), F.explode("edges").alias("b"))
+    found = Cut(blocks.join(united, "rep").groupBy("block").applyInPandas(search, "vec_id long, linked array<long>, edges array<long>"), "vector-links").df
+    # several blocks can find a link, and any of them counts, but once
+    pairs = found.select("vec_id", F.explode("linked").alias("other")).distinct()
+    weights = classes.select(F.col("rep").alias("other"), "weight")
+    counts = Cut(pairs.join(weights, "other").groupBy("vec_id").agg(F.sum("weight").alias("links")), "vector-counts").df
+    return counts, found.select(F.col("vec_id").alias("a"), F.explode("edges").alias("b"))
 
 
 def audit_recall(classes: DataFrame, counts: DataFrame, least: float, sample: int = 500) -> float:
-    """Links found / links there are, of the ``sample`` classes of smallest hash against all classes, in blocks."""
+    """Links found / links there are, in sum or as the mean over vectors, whichever is less, of the ``sample`` classes of smallest hash against all classes, in blocks."""
     rows = classes.orderBy(F.xxhash64("rep", F.lit("audit")), "rep").limit(sample).select("rep", "label", "embedding").collect()
     if not rows:
         return 1.0
@@ -261,5 +263,6 @@ def audit_recall(classes: DataFrame, counts: DataFrame, least: float, sample: in
                 yield pd.DataFrame({"vec_id": ids, "truth": (near * pdf.weight.to_numpy()[at][None, :]).sum(axis=1)})
 
     truth = classes.mapInPandas(work, "vec_id long, truth long").groupBy("vec_id").agg(F.sum("truth").alias("truth"))
-    got = truth.join(counts, "vec_id", "left").agg(F.sum("truth").alias("t"), F.sum(F.least(F.coalesce("links", F.lit(0)), "truth")).alias("g")).first()
-    return (got["g"] or 0) / got["t"] if got["t"] else 1.0
+    found = F.least(F.coalesce("links", F.lit(0)), "truth")
+    got = truth.where("truth > 0").join(counts, "vec_id", "left").agg(F.sum("truth").alias("t"), F.sum(found).alias("g"), F.avg(found / F.col("truth")).alias("each")).first()
+    return min((got["g"] or 0) / got["t"], got["each"]) if got["t"] else 1.0

@@ -135,6 +135,15 @@ def test_near_vectors_equal_brute_force(spark):
         assert got[i][1] == min(seen)
 
 
+def test_vector_recall_is_audited_per_vector(spark):
+    hot, cold = [[1.0, 0.0], [1.0, 0.01]], [[0.0, 1.0], [0.01, 1.0]]
+    classes = spark.createDataFrame([(i, "x", v, 1000 if i < 2 else 1) for i, v in enumerate(hot + cold)], "rep long, label string, embedding array<double>, weight long").coalesce(1)
+    counts = spark.createDataFrame([(0, 1000), (1, 1000)], "vec_id long, links long").coalesce(1)
+    assert vector_graph.audit_recall(classes, counts, 0.98) == 0.5
+    links, _ = vector_graph._linked(classes, 0.98, 1, 1, 2, 4096, exact=True)
+    assert {r.vec_id: r.links for r in links.collect()} == {0: 1000, 1: 1000, 2: 1, 3: 1}
+
+
 def measures(text):
     words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
