@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import gc
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: A word of Latin letters and signs behind it, which are two pre-tokens: letters, and what is neither letter, digit nor blank.
+WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ʯ]+)([.,;:!?#*$%&)\"]*)")
+
 
 def slices(texts: pa.Array, at_once: int) -> Iterator[pa.Array]:
     """Runs of whole texts of about ``at_once`` bytes; a longer text is a run of its own."""
@@ -20,68 +25,106 @@ def slices(texts: pa.Array, at_once: int) -> Iterator[pa.Array]:
 
 
 class ChunkEncoder:
-    """Encodes a text as the ids of its blank-separated chunks, remembering the ids of chunks met before.
+    """Encodes a text as the ids of its blank-separated chunks, remembering what it met before.
 
     A cut before a single blank that stands between two characters that are not white space is always a boundary of
     the pre-tokenising pattern, and what the pattern finds on either side does not depend on the other. Texts with a
-    blank next to other white space are encoded whole. ``encode(strings, parts)`` maps strings to id bytes; with
-    ``parts`` each string is a blank and a chunk without white space at its ends, so that they may be encoded in one
-    piece and cut again. Chunks are told apart and put together by Arrow for some ``at_once`` bytes of text at a time,
-    so that Python sees each different chunk once. They are remembered in two generations of about ``limit`` entries,
-    the older of which is dropped when the younger is full; this changes no result.
+    blank next to other white space are encoded whole.
+
+    ``whole(texts)`` gives the id bytes of any texts, ``pieces(pre_tokens)`` those of single pre-tokens, and
+    ``split(text)`` the pre-tokens of a text, or None where only ``whole`` may judge it. ``end`` is appended to every
+    text. Arrow tells chunks apart, finds those met before and puts their ids together for some ``at_once`` bytes of
+    text at a time, so that Python sees each new chunk once. About ``limit`` chunks and as many pre-tokens are
+    remembered; what is forgotten is encoded again, which changes no result.
     """
 
-    def __init__(self, encode: Callable[[list[str], bool], list[bytes]], limit: int = 500_000, at_once: int = 8_000_000):
-        self.encode, self.limit, self.at_once = encode, limit, at_once
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _known(self, chunks: list[str]) -> list[bytes]:
-        if len(self.young) + len(chunks) > self.limit:
-            self.young, self.old = {}, self.young
-        found = list(map(self.young.get, chunks))
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        new = []
-        for i in gaps:
-            if (ids := self.old.get(chunks[i])) is None:
-                new.append(i)
+    def __init__(self, whole: Callable, pieces: Callable, split: Callable, end: bytes = b"", limit: int = 1_000_000, at_once: int = 16_000_000):
+        self.whole, self.pieces, self.split, self.end, self.limit, self.at_once = whole, pieces, split, end, limit, at_once
+        self.keys, self.values = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.pre: dict[str, bytes] = {}
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that stand behind a blank."""
+        word, split, cut = WORD.fullmatch, self.split, []
+        for c in chunks:
+            found = word(c)
+            if found:
+                head, tail = found.groups()
+                cut.append((" " + head, tail) if tail else (" " + head,))
             else:
-                found[i] = ids
-        if new:
-            for i, ids in zip(new, self.encode([" " + chunks[i] for i in new], True), strict=True):
-                found[i] = ids
-        self.young.update((chunks[i], found[i]) for i in gaps)
-        return found
-
-    def ids(self, texts: pa.Array) -> Iterator[bytes]:
-        """The ids of each text; a null text has none."""
+                cut.append(split(" " + c))
+        unseen = {p for own in cut if own for p in own}
+        if len(self.pre) + len(unseen) > self.limit:
+            self.pre = {}
+        unseen = list(unseen.difference(self.pre))
+        self.pre.update(zip(unseen, self.pieces(unseen), strict=True))
+        hard = [" " + c for c, own in zip(chunks, cut, strict=True) if own is None]
+        judged = iter(self.whole(hard) if hard else ())
+        known, join = self.pre, b"".join
+        return [next(judged) if own is None else known[own[0]] if len(own) == 1 else join([known[p] for p in own]) for own in cut]
+
+    def _known(self, chunks: pa.Array) -> pa.Array:
+        place = pc.index_in(chunks, value_set=self.keys)
+        fresh = place.is_null()
+        new = chunks.filter(fresh)
+        if not len(new):
+            return self.values.take(place)
+        if len(self.keys) + len(new) > self.limit:
+            seen = place.drop_null()
+            self.keys, self.values = self.keys.take(seen), self.values.take(seen)
+            place = pc.index_in(chunks, value_set=self.keys)
+        mask = fresh.to_numpy(zero_copy_only=False)
+        at = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        at[mask] = len(self.keys) + np.arange(len(new))
+        self.keys = pa.concat_arrays([self.keys, new])
+        self.values = pa.concat_arrays([self.values, pa.array(self._new(new.to_pylist()), pa.large_binary())])
+        return self.values.take(pa.array(at))
+
+    def runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of some texts in a row, where each text ends among them); a null text has no ids but ``end``."""
         for part in slices(texts, self.at_once):
-            yield from self._ids(pc.fill_null(part, ""))
+            was = gc.isenabled()
+            gc.disable()  # the many small tuples of a run form no cycles
+            try:
+                found = self._run(pc.fill_null(part, ""))
+            finally:
+                if was:
+                    gc.enable()
+            yield found
+
+    def ids(self, texts: pa.Array) -> Iterator[memoryview]:
+        """The id bytes of each text."""
+        for ids, ends in self.runs(texts):
+            view = memoryview(ids).cast("B")
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                yield view[4 * a : 4 * b]
 
-    def _ids(self, texts: pa.Array) -> list[bytes]:
+    def _run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.split_pattern(texts, " ")
         starts = split.offsets.to_numpy()
         first, sizes = starts[:-1], np.diff(starts)
         cut = split.values.dictionary_encode()
-        codes, chunks = cut.indices.to_numpy().copy(), cut.dictionary.to_pylist()
-        odd = np.fromiter((not c or c[0].isspace() or c[-1].isspace() for c in chunks), np.bool_, len(chunks))[codes]
-        heads = [chunks[c] for c in codes[first]]
-        odd[first] = [h[-1:].isspace() for h in heads]
+        codes, chunks = cut.indices.to_numpy(), cut.dictionary
+        width, bare = pc.binary_length(chunks).to_numpy(), pc.binary_length(pc.utf8_trim_whitespace(chunks)).to_numpy()
+        odd = ((width == 0) | (width != bare))[codes]
+        heads = chunks.take(pa.array(codes[first]))
+        odd[first] = pc.binary_length(pc.utf8_rtrim_whitespace(heads)).to_numpy() != pc.binary_length(heads).to_numpy()
         whole = (sizes == 1) | np.logical_or.reduceat(odd, first)
-        for i in np.flatnonzero(whole).tolist():
-            heads[i] = texts[i].as_py()
+        asked = pc.if_else(pa.array(whole), texts, heads).to_pylist()
         inner = ~np.repeat(whole, sizes)
         inner[first] = False
         used = np.zeros(len(chunks), np.bool_)
         used[codes[inner]] = True
         used = np.flatnonzero(used)
-        # the place of each chunk among those used, then the heads, then one empty entry
+        # the place of each chunk among those used, then the heads, the end and one empty entry
         place = np.zeros(len(chunks), np.int64)
         place[used] = np.arange(len(used))
-        at = np.where(inner, place[codes], len(used) + len(heads))
-        at[first] = len(used) + np.arange(len(heads))
-        table = pa.array([*self._known([chunks[i] for i in used.tolist()]), *self.encode(heads, False), b""], pa.large_binary()).take(pa.array(at))
+        at = np.where(inner, place[codes], len(used) + len(asked) + 1)
+        at[first] = len(used) + np.arange(len(asked))
+        if self.end:
+            at = np.insert(at, starts[1:], len(used) + len(asked))
+            starts = starts + np.arange(len(starts))
+        table = pa.concat_arrays([self._known(chunks.take(pa.array(used))), pa.array([*self.whole(asked), self.end, b""], pa.large_binary())]).take(pa.array(at))
+        ends = np.frombuffer(table.buffers()[1], np.int64)[starts] // 4
         data = table.buffers()[2]
-        view = memoryview(data) if data is not None else memoryview(b"")
-        ends = np.frombuffer(table.buffers()[1], np.int64)[starts].tolist()
-        return [view[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+        return np.frombuffer(data if data is not None else b"", "<u4")[: ends[-1]], ends[1:]

@@ -77,22 +77,28 @@ class PieceCodec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.split = regex.compile(pattern).findall
-        self.encoder = ChunkEncoder(self._encode_many)
+        self.encoder = ChunkEncoder(self._whole, self._pieces, self.split)
 
-    def _encode_many(self, texts: list[str], parts: bool) -> list[bytes]:
+    def _pieces(self, pres: list[str]) -> list[bytes]:
         """Each pre-token separately, as bytes in Latin-1; one that is a token is not merged again."""
-        found = [[pre.encode().decode("latin-1") for pre in self.split(text)] for text in texts]
-        unseen = list({pre for pres in found for pre in pres if pre not in self.whole})
-        merged = dict(zip(unseen, self.model.encode([pre.translate(self.letters) for pre in unseen], num_threads=1), strict=True)) if unseen else {}
-        return [np.array([i for pre in pres for i in ((self.whole[pre],) if pre in self.whole else merged[pre])], dtype="<u4").tobytes() for pres in found]
-
-    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        raw = [pre.encode().decode("latin-1") for pre in pres]
+        unseen = [pre for pre in raw if pre not in self.whole]
+        merged = iter(self.model.encode([pre.translate(self.letters) for pre in unseen], num_threads=1)) if unseen else iter(())
+        return [np.array((self.whole[pre],) if pre in self.whole else next(merged), dtype="<u4").tobytes() for pre in raw]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = [self.split(text) for text in texts]
+        pres = list({pre for own in found for pre in own})
+        ids = dict(zip(pres, self._pieces(pres), strict=True))
+        return [b"".join([ids[pre] for pre in own]) for own in found]
+
+    def encode(self, texts: pa.Array) -> Iterator[memoryview]:
         """Little-endian unsigned 32-bit ids of each text."""
         return self.encoder.ids(texts)
 
-    def decode(self, ids: bytes) -> bytes:
+    def decode(self, ids: bytes | memoryview) -> bytes:
         tokens = self.inverse.take(pa.array(np.frombuffer(ids, "<u4")))
-        end, data = int(np.frombuffer(tokens.buffers()[1], np.int64)[len(tokens)]) if ids else 0, tokens.buffers()[2]
+        end, data = int(np.frombuffer(tokens.buffers()[1], np.int64)[len(tokens)]) if len(ids) else 0, tokens.buffers()[2]
         return data[:end].to_pybytes() if end else b""
 
 
@@ -113,7 +119,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         own = codec(path, pattern)
         for batch in batches:
             for part in _slices(batch):
-                ids = list(own.encode(part.column(1)))
+                ids = [bytes(x) for x in own.encode(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())], [id_col, "ids", "decoded"])
 
     rows = docs.select(id_col, text_col)

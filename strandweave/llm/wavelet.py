@@ -6,33 +6,41 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandweave.llm.chunks import ChunkEncoder
+from strandweave.llm.piece_bpe import byte_letters
 from strandweave.session import Cut, fresh_path
 
-MAGIC = b"WMX1"
+MAGIC = b"WMX2"
 BLOCK = 512
+#: Bytes of a bit-plane that are compressed together.
+PAGE = 4096
 MANIFEST = "path string, first_doc long, last_doc long, n_docs long, n_ids long"
 
 
 class WaveletMatrix:
     """A sequence of n ids below 2**bits as one bit-plane per bit, the highest first, each stably parted by its bits.
 
-    ``planes`` holds little-endian packed bits, ``ranks`` the ones before every block of 512 bits; both may be views of
-    a file that was mapped or read. Everything below works on whole arrays of positions.
+    ``planes[level]`` holds little-endian packed bits, ``ranks[level]`` the ones before every block of 512 bits: arrays,
+    or the compressed pages of a file. Everything below works on whole arrays of positions.
     """
 
-    def __init__(self, n: int, bits: int, planes: np.ndarray, ranks: np.ndarray, zeros: np.ndarray):
+    def __init__(self, n: int, bits: int, planes, ranks, zeros: np.ndarray):
         self.n, self.bits, self.planes, self.ranks, self.zeros = n, bits, planes, ranks, zeros
 
     @classmethod
@@ -63,12 +71,14 @@ class WaveletMatrix:
         block = at // BLOCK
         out = self.ranks[level].take(block).astype(np.int64)
         plane, byte = self.planes[level], block * (BLOCK // 8)
+        if not self.n:
+            return out
         for _ in range(BLOCK // 8):
             left = at - byte * 8
             inside = left > 0
             if not inside.any():
                 break
-            value = plane.take(np.minimum(byte, len(plane) - 1)) & ((1 << np.clip(left, 0, 8)) - 1).astype(np.uint8)
+            value = plane.take(np.minimum(byte, (self.n - 1) // 8)) & ((1 << np.clip(left, 0, 8)) - 1).astype(np.uint8)
             out += np.where(inside, np.bitwise_count(value), 0)
             byte = byte + 1
         return out
@@ -108,7 +118,7 @@ class WaveletMatrix:
         if not one:
             counts = np.arange(len(counts)) * BLOCK - counts
         block = np.searchsorted(counts, k, side="right") - 1
-        span = self.planes[level].reshape(-1, BLOCK // 8)[block]
+        span = self.planes[level].take(block[:, None] * (BLOCK // 8) + np.arange(BLOCK // 8))
         bits = np.unpackbits(span, axis=1, bitorder="little")
         inside = np.cumsum(bits if one else 1 - bits, axis=1)
         return block * BLOCK + (inside > (k - counts[block])[:, None]).argmax(axis=1)
@@ -129,7 +139,7 @@ class WaveletMatrix:
         dtype = np.uint16 if self.bits <= 16 else np.uint32
         out = np.zeros(self.n, dtype)
         for level in reversed(range(self.bits)):
-            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(np.bool_)
+            one = np.unpackbits(np.asarray(self.planes[level]), count=self.n, bitorder="little").view(np.bool_)
             before, zeros = np.empty_like(out), int(self.zeros[level])
             before[np.flatnonzero(~one)] = out[:zeros]
             before[np.flatnonzero(one)] = out[zeros:] | dtype(1 << (self.bits - 1 - level))
@@ -137,25 +147,76 @@ class WaveletMatrix:
         return out
 
 
-def pack(doc_ids: np.ndarray, sizes: np.ndarray, matrix: WaveletMatrix) -> bytes:
-    """A shard file: magic, length and JSON of the header, then document ids, sizes, zeros, planes and rank table."""
-    parts = [doc_ids.astype("<i8"), sizes.astype("<i8"), matrix.zeros.astype("<i8"), matrix.planes, matrix.ranks.astype("<u4")]
-    head = json.dumps({"n": matrix.n, "bits": matrix.bits, "docs": len(doc_ids), "parts": [p.nbytes for p in parts]}).encode()
-    return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *(p.tobytes() for p in parts)])
+class Pages:
+    """A bit-plane in a file: fixed pages, each compressed on its own, of which only those asked for are read."""
+
+    def __init__(self, read, ends: np.ndarray, size: int):
+        self.read, self.ends, self.size = read, ends, size
+        self.held: dict[int, np.ndarray] = {}
+
+    def page(self, k: int) -> np.ndarray:
+        if k not in self.held:
+            if len(self.held) >= 64:
+                self.held.clear()
+            start = int(self.ends[k])
+            raw = zstandard.ZstdDecompressor().decompress(self.read(start, int(self.ends[k + 1]) - start))
+            self.held[k] = np.frombuffer(raw, np.uint8)
+        return self.held[k]
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        at = np.asarray(at)
+        out = np.empty(at.shape, np.uint8)
+        own = at // PAGE
+        for k in np.unique(own).tolist():
+            mine = own == k
+            out[mine] = self.page(k)[at[mine] - k * PAGE]
+        return out
 
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        start = int(self.ends[0])
+        blob, inflate = memoryview(self.read(start, int(self.ends[-1]) - start)), zstandard.ZstdDecompressor().decompress
+        return np.frombuffer(b"".join([inflate(blob[a - start : b - start]) for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True)]), np.uint8)
 
-def unpack(blob: bytes | memoryview | pa.Buffer) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
-    view = memoryview(blob)
-    if bytes(view[:4]) != MAGIC:
+
+def pack(doc_ids: np.ndarray, sizes: np.ndarray, matrix: WaveletMatrix) -> bytes:
+    """A shard file: magic, length and JSON of the header, index, rank table, then the planes in compressed pages.
+
+    The index holds document ids, sizes, zeros and where each page ends. Ranks are stored per level as the ones in each
+    block, compressed; a page of a plane is read and inflated alone, so a position costs one page a level.
+    """
+    deflate = zstandard.ZstdCompressor(level=1).compress
+    width = matrix.planes.shape[1]
+    pages = [deflate(plane[at : at + PAGE].tobytes()) for plane in matrix.planes for at in range(0, width, PAGE)]
+    ranks = [deflate(np.diff(r).astype("<u2").tobytes()) for r in matrix.ranks]
+    ends = np.cumsum([len(b) for b in [*ranks, *pages]], dtype="<i8")
+    index = [doc_ids.astype("<i8"), sizes.astype("<i8"), matrix.zeros.astype("<i8"), ends]
+    head = json.dumps({"n": matrix.n, "bits": matrix.bits, "docs": len(doc_ids), "width": width, "parts": [p.nbytes for p in index]}).encode()
+    return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *(p.tobytes() for p in index), *ranks, *pages])
+
+
+def unpack(read) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
+    """(document ids, sizes, matrix) of a shard file; ``read(start, size)`` gives bytes of it, and only the index, the ranks and the pages that answers need are read."""
+    if bytes(read(0, 4)) != MAGIC:
         raise ValueError("not a wavelet-matrix shard")
-    at = 8 + int.from_bytes(view[4:8], "little")
-    head = json.loads(bytes(view[8:at]))
+    at = 8 + int.from_bytes(read(4, 4), "little")
+    head = json.loads(bytes(read(8, at - 8)))
     parts = []
-    for size, kind in zip(head["parts"], ("<i8", "<i8", "<i8", "u1", "<u4"), strict=True):
-        parts.append(np.frombuffer(view[at : at + size], kind))
+    for size in head["parts"]:
+        parts.append(np.frombuffer(read(at, size), "<i8"))
         at += size
-    doc_ids, sizes, zeros, planes, ranks = parts
-    return doc_ids, sizes, WaveletMatrix(head["n"], head["bits"], planes.reshape(head["bits"], -1), ranks.reshape(head["bits"], -1), zeros)
+    doc_ids, sizes, zeros, ends = parts
+    ends = at + np.concatenate([[0], ends])
+    bits, each = head["bits"], -(-head["width"] // PAGE)
+    inflate = zstandard.ZstdDecompressor().decompress
+    counts = [np.frombuffer(inflate(read(int(a), int(b - a))), "<u2") for a, b in zip(ends[:bits], ends[1 : bits + 1], strict=True)]
+    ranks = [np.concatenate([[0], np.cumsum(c, dtype=np.int64)]) for c in counts]
+    planes = [Pages(read, ends[bits + level * each : bits + (level + 1) * each + 1], head["width"]) for level in range(bits)]
+    return doc_ids, sizes, WaveletMatrix(head["n"], bits, planes, ranks, zeros)
+
+
+def in_memory(blob: bytes | pa.Buffer):
+    view = memoryview(blob)
+    return lambda start, size: view[start : start + size]
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -178,76 +239,100 @@ def read_file(uri: str) -> pa.Buffer:
         return file.read_buffer()
 
 
+@contextmanager
+def shard(uri: str):
+    """The shard at ``uri``, of which only the parts that are used are read."""
+    store, path = open_store(uri)
+    with store.open_input_file(path) as file:
+        yield unpack(lambda start, size: file.read_at(size, start))
+
+
+#: Pre-tokens of letters, digits and signs below this character are cut here, others by the library alone.
+FAMILIAR = "\u0530"
+
+
 @lru_cache(maxsize=2)
-def chunk_tokenizer(path: str) -> ChunkEncoder:
-    """One for each Python worker."""
+def chunk_tokenizer(path: str, end: bytes = b"") -> ChunkEncoder:
+    """One for each Python worker: chunks are cut to pre-tokens, which the library's model encodes one by one.
+
+    A chunk that may hold an added token of the file (such as ``<|endoftext|>``), or unfamiliar characters, is encoded
+    by the library whole, as are texts that are not cut.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     own.no_padding()
     own.no_truncation()
-    widths = np.zeros(own.get_vocab_size(), np.int64)  # bytes of each token: the vocabulary has one character for each byte
-    for token, i in own.get_vocab().items():
-        widths[i] = len(token)
-
-    def encode(texts: list[str], parts: bool) -> list[bytes]:
-        """Chunks behind a blank go in as one text and are cut where their bytes end."""
-        if not parts:
-            return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
-        out = []
-        for at in range(0, len(texts), 1000):
-            part = texts[at : at + 1000]
-            ids = np.array(own.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum([len(t.encode()) for t in part])) + 1
-            out += [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        return out
+    added = tuple(t.content for t in own.get_added_tokens_decoder().values())
+    letters = dict(enumerate(byte_letters()))
+    find, tokenize = regex.compile(public_tokenizers.PATTERN).findall, own.model.tokenize
+
+    def split(text: str) -> list[str] | None:
+        return None if max(text) >= FAMILIAR or any(t in text for t in added) else find(text)
+
+    def pieces(pres: list[str]) -> list[bytes]:
+        mapped = (p.replace(" ", letters[32]) if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(letters) for p in pres)
+        return [array("I", [t.id for t in tokens]).tobytes() for tokens in map(tokenize, mapped)]
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return ChunkEncoder(encode)
+    return ChunkEncoder(whole, pieces, split, end)
 
 
-def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 2, shard_ids: int = 4_000_000, part_bytes: int = 16_000_000) -> DataFrame:
+def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 2, shard_ids: int = 4_000_000, part_bytes: int = 16_000_000, most_parts: int = 20_000) -> DataFrame:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes shards in ascending ``doc_id`` order.
 
     Documents are dealt out by ranges of doc_id and sorted inside, so shards follow one another without a global pass.
-    A shard closes after ``shard_ids`` ids at the latest with the document that reaches it; memory is bounded by that
-    and by the longest document. Returns the manifest, one row per shard, for ``read_shards``: (path, first_doc,
-    last_doc, n_docs, n_ids). A repeated doc_id is written as often as it comes; a null doc_id is an error. An empty
-    table has an empty manifest.
+    A range has about ``part_bytes`` of text; of very large tables there are ``most_parts`` ranges, each with many
+    shards. A shard closes after ``shard_ids`` ids at the latest with the document that reaches it; memory is bounded by
+    that, the encoder's run of texts and the longest document. Returns the manifest, one row per shard, for
+    ``read_shards``: (path, first_doc, last_doc, n_docs, n_ids). A repeated doc_id is written as often as it comes, its
+    rows in the order of a hash of their texts; a null doc_id comes first and raises ValueError. An empty table has an
+    empty manifest.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-int(total) // part_bytes))
+    parts = min(most_parts, max(1, -(-int(total) // part_bytes)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number = chunk_tokenizer(tokenizer_path), 0
-        end = np.array([end_id], "<u4").tobytes()
-        names: list[int] = []
-        codes: list[bytes] = []
+        own, number = chunk_tokenizer(tokenizer_path, np.array([end_id], "<u4").tobytes()), 0
+        names: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        codes: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal number, held
-            ids = np.frombuffer(b"".join(codes), "<u4")
+            ids, docs_, ns = (np.concatenate(x) for x in (codes, names, sizes))
             uri = f"{out_dir}/shard-{TaskContext.get().partitionId():06d}-{number:04d}-{uuid.uuid4().hex[:8]}.wmx"
-            write_file(uri, pack(np.array(names), np.array([len(c) // 4 for c in codes]), WaveletMatrix.build(ids)))
-            row = {"path": uri, "first_doc": names[0], "last_doc": names[-1], "n_docs": len(names), "n_ids": len(ids)}
-            names.clear(), codes.clear()
+            write_file(uri, pack(docs_, ns, WaveletMatrix.build(ids)))
+            row = {"path": uri, "first_doc": int(docs_[0]), "last_doc": int(docs_[-1]), "n_docs": len(docs_), "n_ids": len(ids)}
+            names.clear(), sizes.clear(), codes.clear()
             number, held = number + 1, 0
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("path", pa.string()), *((c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "n_ids"))]))
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), own.ids(batch.column(1)), strict=True):
-                names.append(doc)
-                codes.append(ids + end)
-                held += len(codes[-1]) // 4
-                if held >= shard_ids:
-                    yield flush()
+            if batch.column(0).null_count:
+                raise ValueError("a document without doc_id has no place in the order")
+            docs_, at = batch.column(0).to_numpy(), 0
+            for ids, ends in own.runs(batch.column(1)):
+                mine, starts, base = docs_[at : at + len(ends)], np.concatenate([[0], ends[:-1]]), 0
+                at += len(ends)
+                while base < len(ends):
+                    # the first document with which the shard is full, or the last of the run
+                    stop = min(len(ends), int(np.searchsorted(ends, starts[base] + shard_ids - held)) + 1)
+                    names.append(mine[base:stop]), codes.append(ids[starts[base] : ends[stop - 1]])
+                    sizes.append(ends[base:stop] - starts[base:stop])
+                    held += int(ends[stop - 1] - starts[base])
+                    base = stop
+                    if held >= shard_ids:
+                        yield flush()
         if names:
             yield flush()
 
-    dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    dealt = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     return Cut(dealt.mapInArrow(work, MANIFEST), "wavelet-manifest").df
 
 
@@ -265,7 +350,7 @@ def read_shards(manifest: DataFrame, spark: SparkSession) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                doc_ids, sizes, matrix = unpack(read_file(path))
+                doc_ids, sizes, matrix = unpack(in_memory(read_file(path)))
                 ids = matrix.all().astype("<u4").view(np.uint8)
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
@@ -284,7 +369,8 @@ def lookup(manifest: DataFrame, token: int, most: int | None = None) -> DataFram
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(unpack(read_file(path))[2].occurrences(token, 0, most) + base)], ["position"])
+                with shard(path) as (_, _, matrix):
+                    yield pa.RecordBatch.from_arrays([pa.array(matrix.occurrences(token, 0, most) + base)], ["position"])
 
     return with_starts(manifest).select("path", "base").mapInArrow(work, "position long")
 
@@ -295,7 +381,8 @@ def count(manifest: DataFrame, token: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([unpack(read_file(path))[2].count(token)], pa.int64())], ["n"])
+                with shard(path) as (_, _, matrix):
+                    yield pa.RecordBatch.from_arrays([pa.array([matrix.count(token)], pa.int64())], ["n"])
 
     return manifest.select("path").mapInArrow(work, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 

@@ -13,7 +13,7 @@ import pytest
 from strandweave.llm import chat, language, minhash_forest, mixing, piece_bpe, quality, surrogates, url_filter, vector_graph, wavelet
 
 SF = "/root/testdata/sf0.001"
-ODD = [None, "", " ", "  a", "a  b", "x\n y", "\n\n a b", "日本語 テキスト", "don't we'll", "😀 😀", "\x00\x01 \x7f", "a" * 300 + " b", "1 2 3", "ab " * 4000]
+ODD = [None, "", " ", "  a", "a  b", "x\n y", "\n\n a b", "日本語 テキスト", "don't we'll", "😀 😀", "\x00\x01 \x7f", "a" * 300 + " b", "1 2 3", "ab " * 4000, "x <|endoftext|> y<|endoftext|>, z", "<|endoftext|>", "a.\nB c?!\n\nd \u0531\u0532, ŝ", "one.\u2028two \x1cthree"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -51,7 +51,6 @@ def test_wavelet_shards_hold_the_tokenizers_ids(spark, docs, empty, real):
 
     path = P.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     table = docs.dropDuplicates(["doc_id"]).unionByName(real.selectExpr("doc_id + 1000 as doc_id", "text", "lang", "source", "n_chars"))
     manifest = wavelet.write_shards(table, wavelet.fresh_path(spark, "t"), path, shard_ids=20_000, part_bytes=200_000)
     got = {r.doc_id: r for r in wavelet.read_shards(manifest, spark).collect()}
@@ -68,7 +67,7 @@ def test_wavelet_shards_hold_the_tokenizers_ids(spark, docs, empty, real):
 
 def test_wavelet_matrix_access():
     ids = np.random.default_rng(1).integers(0, 50257, 3000)
-    _, _, matrix = wavelet.unpack(wavelet.pack(np.array([1]), np.array([3000]), wavelet.WaveletMatrix.build(ids)))
+    _, _, matrix = wavelet.unpack(wavelet.in_memory(wavelet.pack(np.array([1]), np.array([3000]), wavelet.WaveletMatrix.build(ids))))
     assert (matrix.access(np.arange(3000)) == ids).all() and (matrix.all() == ids).all()
 
 
