@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import gc
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: A word of Latin letters and signs behind it, which are two pre-tokens: letters, and what is neither letter, digit nor blank.
-WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ʯ]+)([.,;:!?#*$%&)\"]*)")
+#: A chunk of these letters and then these signs is two pre-tokens: the letters, and the signs.
+LETTERS = "".join(c for c in map(chr, range(ord("A"), 0x2B0)) if c.isalpha())
+SIGNS = '.,;:!?#*$%&)"'
+
+
+def byte_letters() -> list[str]:
+    """One printable character for each byte: itself if printable in Latin-1, else the next one from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
 def slices(texts: pa.Array, at_once: int) -> Iterator[pa.Array]:
@@ -34,36 +41,50 @@ class ChunkEncoder:
     ``whole(texts)`` gives the id bytes of any texts, ``pieces(pre_tokens)`` those of single pre-tokens, and
     ``split(text)`` the pre-tokens of a text, or None where only ``whole`` may judge it. ``end`` is appended to every
     text. Arrow tells chunks apart, finds those met before and puts their ids together for some ``at_once`` bytes of
-    text at a time, so that Python sees each new chunk once. About ``limit`` chunks and as many pre-tokens are
-    remembered; what is forgotten is encoded again, which changes no result.
+    text at a time, so that Python sees each new one once. About ``limit`` chunks and as many pre-tokens are remembered; what is forgotten is encoded again, which changes no result.
     """
 
     def __init__(self, whole: Callable, pieces: Callable, split: Callable, end: bytes = b"", limit: int = 1_000_000, at_once: int = 16_000_000):
         self.whole, self.pieces, self.split, self.end, self.limit, self.at_once = whole, pieces, split, end, limit, at_once
         self.keys, self.values = pa.array([], pa.string()), pa.array([], pa.large_binary())
         self.pre: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that stand behind a blank."""
-        word, split, cut = WORD.fullmatch, self.split, []
-        for c in chunks:
-            found = word(c)
-            if found:
-                head, tail = found.groups()
-                cut.append((" " + head, tail) if tail else (" " + head,))
-            else:
-                cut.append(split(" " + c))
+    def _new(self, units: pa.Array) -> pa.Array:
+        """Ids of words or chunks that stand behind a blank."""
+        plain = pc.equal(pc.binary_length(pc.utf8_ltrim(units, LETTERS)), 0)
+        words, others = ([" " + u for u in units.filter(mask).to_pylist()] for mask in (plain, pc.invert(plain)))
+        cut = list(map(self.split, others))
         unseen = {p for own in cut if own for p in own}
         if len(self.pre) + len(unseen) > self.limit:
             self.pre = {}
         unseen = list(unseen.difference(self.pre))
         self.pre.update(zip(unseen, self.pieces(unseen), strict=True))
-        hard = [" " + c for c, own in zip(chunks, cut, strict=True) if own is None]
-        judged = iter(self.whole(hard) if hard else ())
-        known, join = self.pre, b"".join
-        return [next(judged) if own is None else known[own[0]] if len(own) == 1 else join([known[p] for p in own]) for own in cut]
+        hard = [t for t, own in zip(others, cut, strict=True) if own is None]
+        judged, known = iter(self.whole(hard) if hard else ()), self.pre
+        ids = self.pieces(words) + [next(judged) if own is None else b"".join([known[p] for p in own]) for own in cut]
+        order = np.argsort(np.concatenate([np.flatnonzero(m.to_numpy(zero_copy_only=False)) for m in (plain, pc.invert(plain))]))
+        return pa.array(ids, pa.large_binary()).take(pa.array(order))
+
+    def _chunks(self, chunks: pa.Array) -> pa.Array:
+        """Ids of chunks that stand behind a blank; signs behind a word are looked up apart from it."""
+        rest = pc.utf8_ltrim(chunks, LETTERS)
+        plain = pc.and_(pc.equal(pc.binary_length(pc.utf8_rtrim(rest, SIGNS)), 0), pc.less(pc.binary_length(rest), pc.binary_length(chunks)))
+        heads = pc.if_else(plain, pc.utf8_rtrim(chunks, SIGNS), chunks).dictionary_encode()
+        tails = pc.if_else(plain, rest, "").dictionary_encode()
+        signs = [t for t in tails.dictionary.to_pylist() if t and t not in self.signs]
+        if len(self.signs) > self.limit:
+            self.signs = {}
+            signs = [t for t in tails.dictionary.to_pylist() if t]
+        self.signs.update(zip(signs, self.pieces(signs), strict=True))
+        table = pa.concat_arrays([self._known(heads.dictionary), pa.array([self.signs[t] if t else b"" for t in tails.dictionary.to_pylist()], pa.large_binary())])
+        both = np.stack([heads.indices.to_numpy(), tails.indices.to_numpy() + len(heads.dictionary)], axis=1).ravel()
+        pairs = table.take(pa.array(both))
+        ends = np.frombuffer(pairs.buffers()[1], np.int64)[: len(both) + 1 : 2].copy()
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(ends), pairs.buffers()[2]])
 
     def _known(self, chunks: pa.Array) -> pa.Array:
+        """Ids of different words or chunks, remembered or new."""
         place = pc.index_in(chunks, value_set=self.keys)
         fresh = place.is_null()
         new = chunks.filter(fresh)
@@ -77,7 +98,7 @@ class ChunkEncoder:
         at = pc.fill_null(place, 0).to_numpy().astype(np.int64)
         at[mask] = len(self.keys) + np.arange(len(new))
         self.keys = pa.concat_arrays([self.keys, new])
-        self.values = pa.concat_arrays([self.values, pa.array(self._new(new.to_pylist()), pa.large_binary())])
+        self.values = pa.concat_arrays([self.values, self._new(new)])
         return self.values.take(pa.array(at))
 
     def runs(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -124,7 +145,7 @@ class ChunkEncoder:
         if self.end:
             at = np.insert(at, starts[1:], len(used) + len(asked))
             starts = starts + np.arange(len(starts))
-        table = pa.concat_arrays([self._known(chunks.take(pa.array(used))), pa.array([*self.whole(asked), self.end, b""], pa.large_binary())]).take(pa.array(at))
+        table = pa.concat_arrays([self._chunks(chunks.take(pa.array(used))), pa.array([*self.whole(asked), self.end, b""], pa.large_binary())]).take(pa.array(at))
         ends = np.frombuffer(table.buffers()[1], np.int64)[starts] // 4
         data = table.buffers()[2]
         return np.frombuffer(data if data is not None else b"", "<u4")[: ends[-1]], ends[1:]

@@ -14,14 +14,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from strandweave.llm.chunks import ChunkEncoder
-
-
-def byte_letters() -> list[str]:
-    """One printable character for each byte: itself if printable in Latin-1, else the next one from U+0100 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+from strandweave.llm.chunks import ChunkEncoder, byte_letters
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandweave.llm.chunks import ChunkEncoder
-from strandweave.llm.piece_bpe import byte_letters
+from strandweave.llm.chunks import ChunkEncoder, byte_letters
 from strandweave.session import Cut, fresh_path
 
 MAGIC = b"WMX2"
