@@ -228,6 +228,48 @@ def test_masked_secrets_stay_and_exhausted_shapes_grow(spark):
     assert surrogates.fitted("phone", "+1 23 45", surrogates.surrogate("phone", "+12345", "k", 9)).startswith("+1 ")
 
 
+def brute_surrogates(texts, key):
+    """All entities of all texts in one process, colliding ones drawn again round by round."""
+    found = {(k, surrogates.norm(k, v)): surrogates.surrogate(k, surrogates.norm(k, v), key) for t in texts for _, _, k, v in surrogates.detect(t)}
+    values = {v for _, v in found}
+    settled, todo, attempt = {}, set(found), 0
+    while todo:
+        fresh = {e: surrogates.surrogate(*e, key, attempt) for e in todo}
+        least = {}
+        for e, new in fresh.items():
+            least[new] = min(least.get(new, e), e)
+        taken = values | set(settled.values())
+        again = {e for e, new in fresh.items() if least[new] != e or (not e[0].startswith("given") and new in taken)}
+        settled.update({e: new for e, new in fresh.items() if e not in again})
+        todo, attempt = again, attempt + 1
+    return settled, [surrogates._replace(t, key, settled, {})[0] for t in texts]
+
+
+def test_surrogates_equal_one_process_and_never_fail(spark):
+    texts = [f"{c}@gmail.com wrote" for c in "abcdefghijklmnopqrstuvwxyz"]
+    texts += [f'password="{i:04d}" and token: "{i % 50:04d}"' for i in range(0, 9000, 9)]
+    texts += ["Mr James Smith met Frau Ωμέγα. Smith and Ωμέγα left", "Госпожа Мария Иванова, Иванова", "my name is Zoltan Müller-Weiß", "Herr 田中 and 田中", "Mrs Brown", None, "", "a@gmail.com"]
+    rows = [(i if i else None, t, "x", "y") for i, t in enumerate(texts)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, own_ string, digest string").repartition(4)
+    settled, want = brute_surrogates(texts, "k")
+    assert len(set(settled.values())) == len(settled)
+    for most in (50_000, 0):
+        got = surrogates.pseudonymise(table, "k", most_broadcast=most)
+        assert got.columns == ["doc_id", "text", "own_", "digest", "n_entities"]
+        assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((i if i else None, t) for i, t in list(enumerate(want)) * 2)
+
+
+def test_surrogates_keep_script_gender_and_format():
+    new = lambda text: surrogates._replace(text, "k", {}, {})[0]
+    assert surrogates.script_of(new("Frau Ωμέγα")[5]) == "greek" and surrogates.script_of(new("Herr 田中")[5]) == "cjk"
+    he, she = new("Господин Иванов").split()[1], new("Госпожа Иванова").split()[1]
+    assert she == he + "а" and surrogates.script_of(he[0]) == "cyrillic"
+    assert new("Mrs Lüders-Braun").count("-") == 1 and new("Mrs Zoltana Ray").split()[1].endswith("a")
+    assert "Smith" not in new("Mr James Smith met them. Smith said no. James left.") and "James" not in new("Mr James Smith met them. James left.")
+    card = surrogates.detect("4111 1111 1111 1111, 4111111111111112")
+    assert [v for *_, v in card] == ["4111 1111 1111 1111"] and surrogates.luhn(new("4111 1111 1111 1111").replace(" ", ""))
+
+
 def test_mixing_meets_targets(spark, docs, empty, real):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = mixing.mix(real, labels).collect()
