@@ -17,20 +17,18 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
-def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Rows ``(node, component)``: the least node reachable from every node that has an edge.
 
     Nodes without an edge are not listed; self-loops and null ends are ignored. Each round links every node's larger
     neighbours to its least neighbour and then flattens the resulting stars, so long chains end in a logarithmic number
-    of rounds. A hub is never gathered: minima are pre-aggregated and joined back to the edges, and a skewed join side
+    of rounds; it goes on until nothing changes. A hub is never gathered: minima are pre-aggregated and joined back to the edges, and a skewed join side
     can be split at run time. Every round is written to the shared folder, the round before is deleted.
     """
     start = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
     now = Cut(start.where("u <> v").distinct(), "components")
     seen = _fingerprint(now.df)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
+    while seen[0]:
         both = now.df.unionByName(now.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = _least_neighbour(both).select("u", F.least("m", "u").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

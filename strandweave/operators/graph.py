@@ -8,22 +8,25 @@ from pyspark.sql import functions as F
 from strandweave.session import Cut
 
 
-def ancestors(tree: DataFrame, most_depth: int = 64) -> DataFrame:
+def ancestors(tree: DataFrame) -> DataFrame:
     """(node, ancestor, distance) for all ancestors of every node of a table (node, parent).
 
-    Paths double in length each round, so a tree of depth d takes about log2(d) joins.
+    Paths double in length each round, so a tree of depth d takes about log2(d) joins. A table with a cycle is no tree
+    and raises ValueError.
     """
     paths = Cut(tree.where("parent is not null").select("node", F.col("parent").alias("ancestor"), F.lit(1).alias("distance")), "paths").df
     reach = 1
-    while reach < most_depth:
+    while True:
         upper = paths.where(F.col("distance") <= reach).select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far"), F.col("distance").alias("more"))
         longer = paths.where(F.col("distance") == reach).join(upper, "ancestor").select("node", F.col("far").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance"))
         longer = Cut(longer, "paths").df
-        if longer.isEmpty():
-            break
+        rows = longer.agg(F.count("*").alias("n"), F.count_if(F.col("node") == F.col("ancestor")).alias("loops")).first()
+        if rows["loops"]:
+            raise ValueError("a node is its own ancestor")
+        if not rows["n"]:
+            return paths
         paths = paths.unionByName(longer)
         reach *= 2
-    return paths
 
 
 def leaves(tree: DataFrame) -> DataFrame:
@@ -38,33 +41,36 @@ def subtree_leaves(tree: DataFrame) -> DataFrame:
 def by_tree_distance(tree: DataFrame, query: str) -> DataFrame:
     """(node, steps): leaves by the number of levels up to the ancestor they share with a query leaf, which comes first."""
     up = ancestors(tree)
+    # the path from one node to the root: as many rows as the tree is deep
     own = up.where(F.col("node") == query).select("ancestor", F.col("distance").alias("steps"))
     shared = up.join(leaves(tree), "node", "left_semi").join(F.broadcast(own), "ancestor").groupBy("node").agg(F.min("steps").alias("steps"))
     return shared.withColumn("steps", F.when(F.col("node") == query, 0).otherwise(F.col("steps")))
 
 
-def covering_roots(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def covering_roots(edges: DataFrame) -> DataFrame:
     """(exon_id, root): for every covered exon its least root, for roots -1; edges are (gene_id, master, covered).
 
-    Roots are masters that nothing covers. Labels go down the edges, one level a round; nodes of a cycle without a
-    root get none.
+    Roots are masters that nothing covers. Each exon carries the least root that reached it and hands it down only when
+    it got a lesser one, so a round moves a row per exon at most and the work ends with the longest chain; nodes of a
+    cycle without a root get none.
     """
-    roots = edges.select(F.col("master").alias("exon_id")).distinct().join(edges.select(F.col("covered").alias("exon_id")), "exon_id", "left_anti")
-    front = Cut(roots.select("exon_id", F.col("exon_id").alias("root")), "roots").df
-    found = front
-    for _ in range(most_rounds):
-        down = front.join(edges, F.col("exon_id") == F.col("master")).select(F.col("covered").alias("exon_id"), "root").distinct()
-        front = Cut(down.join(found, ["exon_id", "root"], "left_anti"), "roots").df
-        if front.isEmpty():
-            break
-        found = found.unionByName(front)
-    least = found.groupBy("exon_id").agg(F.min("root").alias("root"))
-    return least.withColumn("root", F.when(F.col("root") == F.col("exon_id"), F.lit(-1).cast("long")).otherwise(F.col("root")))
-
-
-def serialised(tree: DataFrame, most_depth: int = 64) -> DataFrame:
+    down = Cut(edges.select("master", "covered").distinct(), "covers")
+    roots = down.df.select(F.col("master").alias("exon_id")).distinct().join(down.df.select(F.col("covered").alias("exon_id")), "exon_id", "left_anti")
+    state = Cut(roots.select("exon_id", F.col("exon_id").alias("root"), F.lit(True).alias("fresh")), "roots")
+    while not state.df.where("fresh").isEmpty():
+        handed = state.df.where("fresh").join(down.df, F.col("exon_id") == F.col("master")).select(F.col("covered").alias("exon_id"), "root", F.lit(None).cast("long").alias("had"))
+        both = state.df.select("exon_id", "root", F.col("root").alias("had")).unionByName(handed)
+        least = both.groupBy("exon_id").agg(F.min("root").alias("root"), F.min("had").alias("had"))
+        after = Cut(least.select("exon_id", "root", (F.col("had").isNull() | (F.col("root") < F.col("had"))).alias("fresh")), "roots")
+        state.drop()
+        state = after
+    down.drop()
+    return state.df.select("exon_id", F.when(F.col("root") == F.col("exon_id"), F.lit(-1).cast("long")).otherwise(F.col("root")).alias("root"))
+
+
+def serialised(tree: DataFrame) -> DataFrame:
     """(node, text): nested parentheses of each node directly below the root, children in order of name, bottom-up."""
-    depth = ancestors(tree, most_depth).groupBy("node").agg(F.max("distance").alias("depth"))
+    depth = ancestors(tree).groupBy("node").agg(F.max("distance").alias("depth"))
     level = depth.agg(F.max("depth")).first()[0] or 0
     now = tree.join(depth, "node")
     text = now.where(F.col("depth") == level).select("node", "parent", F.col("node").alias("text"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandweave.session import Cut
+
 
 def on_region(genes: DataFrame, regions: DataFrame, name: str) -> DataFrame:
     """Genes on the region of one name."""
@@ -60,17 +62,28 @@ def class_by_ancestor(paths: DataFrame, inside: str, outside: str) -> DataFrame:
     return paths.select("node").distinct().join(nearest, "node", "left").select("node", F.coalesce("is_inside", F.lit(False)).alias("is_inside"))
 
 
-def similar_sequences(sequences: DataFrame, size: int, least: float, most_shared: int | None = None) -> DataFrame:
-    """(a, b, jaccard): pairs of sequences by their common distinct k-mers; an equi join on k-mers, never a cross join.
+def similar_sequences(sequences: DataFrame, size: int, least: float) -> DataFrame:
+    """(a, b, jaccard): pairs of sequences whose distinct k-mers overlap by ``least`` or more of all they have.
 
-    ``most_shared`` leaves out k-mers of more sequences than that before pairing; None keeps all.
+    Equal sequences are compared once. With the k-mers of every sequence in one order, the rarest first, two sequences
+    that are alike enough share one of their first n - ceil(least * n) + 1; candidates meet on these, so that a k-mer
+    of very many sequences seldom brings any together, and are counted on all their k-mers. No pair is lost.
     """
     every = F.when(F.length("seq") < size, F.array("seq")).otherwise(F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
-    grams = sequences.select("seq_id", F.explode(F.array_distinct(every)).alias("gram"))
-    sizes = grams.groupBy("seq_id").agg(F.count("*").alias("n"))
-    if most_shared is not None:
-        grams = grams.join(grams.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") <= most_shared).select("gram"), "gram", "left_semi")
-    pairs = grams.select("gram", F.col("seq_id").alias("a")).join(grams.select("gram", F.col("seq_id").alias("b")), "gram").where("a < b").groupBy("a", "b").agg(F.count("*").alias("c"))
-    na, nb = sizes.select(F.col("seq_id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("seq_id").alias("b"), F.col("n").alias("nb"))
-    scored = pairs.join(na, "a").join(nb, "b").withColumn("jaccard", F.col("c") / (F.col("na") + F.col("nb") - F.col("c")))
-    return scored.where(F.col("jaccard") >= least).select("a", "b", "jaccard")
+    firsts = sequences.groupBy("seq").agg(F.min("seq_id").alias("rep"))
+    grams = Cut(firsts.select("rep", F.explode(F.array_distinct(every)).alias("gram")), "grams").df
+    often = grams.groupBy("gram").agg(F.count("*").alias("often"))
+    ordered = grams.join(often, "gram").groupBy("rep").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", F.xxhash64("gram").alias("h"), "gram"))), lambda x: x["gram"]).alias("grams"))
+    ordered = Cut(ordered.withColumn("n", F.size("grams")), "gram-sets").df
+    prefix = F.slice("grams", 1, (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
+    keys = ordered.select("rep", "n", F.explode(prefix).alias("gram"))
+    a, b = keys.select("gram", F.col("rep").alias("a"), F.col("n").alias("na")), keys.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    met = a.join(b, "gram").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * (least - 1e-9))).select("a", "b").distinct()
+    sets = lambda side: ordered.select(F.col("rep").alias(side), F.col("grams").alias(f"grams_{side}"))
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    scored = met.join(sets("a"), "a").join(sets("b"), "b").select("a", "b", (common / (F.size("grams_a") + F.size("grams_b") - common)).alias("jaccard")).where(F.col("jaccard") >= least)
+    scored = scored.unionByName(firsts.select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("jaccard")))
+    members = sequences.select("seq_id", "seq").join(firsts, "seq").select("seq_id", "rep")
+    left, right = members.select(F.col("seq_id").alias("x"), F.col("rep").alias("a")), members.select(F.col("seq_id").alias("y"), F.col("rep").alias("b"))
+    pairs = scored.join(left, "a").join(right, "b").where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")

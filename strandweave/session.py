@@ -11,10 +11,12 @@ _OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one of our own only where that is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, as in tests, a temporary one, on a local master only."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="strandweave-"))
     return _OWN[0]

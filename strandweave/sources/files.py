@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strandweave.session import Cut
+
 
 def fasta_records(spark: SparkSession, path: str) -> DataFrame:
     """(name, seq) of all records below a path; blanks leave the header, line breaks the sequence; of equal names the longest path wins."""
@@ -56,8 +58,17 @@ def delete_keys(base: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 
 def sharded(rows: DataFrame, order: list[str], shards: int) -> DataFrame:
-    """``shard``: rows dealt out in turn."""
-    return rows.withColumn("shard", ((F.row_number().over(Window.orderBy(*order)) - 1) % shards).cast("int"))
+    """``shard``: rows dealt out in turn, in the given order.
+
+    Rows are sorted by ranges in parallel and written once with their place in their range; the rows in the ranges
+    before, one small number for each range, make the place a global one.
+    """
+    whole = F.monotonically_increasing_id()  # range and place in it
+    placed = Cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"range_": F.shiftright(whole, 33), "place_": whole.bitwiseAND((1 << 33) - 1)}), "shards").df
+    before = Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("range_").count().select("range_", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start_"))
+    dealt = placed.join(F.broadcast(starts), "range_")  # as many rows as there are shuffle partitions
+    return dealt.withColumn("shard", ((F.col("start_") + F.col("place_")) % shards).cast("int")).select(*rows.columns, "shard")
 
 
 def file_mapping(regions: DataFrame, files: DataFrame) -> DataFrame:
