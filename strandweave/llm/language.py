@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,39 +19,66 @@ WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
-def train(labelled: DataFrame, max_docs: int = 8000, max_words: int = 60_000, max_grams: int = 40_000, longest_gram: int = 4) -> dict:
+def train(labelled: DataFrame, max_docs: int = 8000, longest_gram: int = 4) -> dict:
     """Word and character n-gram frequencies per language from rows ``(doc_id, text, lang)``.
 
-    Fitted on a bounded sample: of n labelled documents those whose hash lies in the lowest ``max_docs`` / n of all
-    hashes, about ``max_docs`` rows that are picked where they are read; of their words and n-grams the ``max_words`` and ``max_grams`` most frequent are kept, so the model that is sent to
-    the executors has at most that many entries. Counting is done by Spark; n-grams carry the counts of the words that
-    hold them, words being marked at both ends. Null texts and languages are ignored.
+    Fitted on a bounded sample: each of the L languages gives the labelled documents whose hash lies in its lowest
+    ``max_docs`` / L / n of all hashes, n being its documents, so that a rare language is not crowded out; those are about
+    ``max_docs`` rows, picked where they are read. All their words and all n-grams of these, of any length of word,
+    make up the model that is sent to the executors. Counting is done by Spark with the words that scoring finds; an
+    n-gram carries the counts of the words that hold it, words being marked at both ends. Null texts and languages are
+    ignored; without usable rows there are no languages.
     """
-    usable = labelled.where("text is not null and lang is not null")
-    share = max_docs / max(usable.select("lang").count(), 1)
-    low = F.lit(True) if share >= 1 else F.xxhash64(F.col("doc_id").cast("string")) < F.lit(int((share - 0.5) * 2**64))
-    sample = Cut(usable.where(low).select("text", "lang"), "language-sample").df
-    words = (
-        sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("item"))
-        .groupBy("lang", "item").agg(F.count("*").alias("n"))
-    )
-    marked = F.concat(F.lit("<"), "item", F.lit(">"))
-    size = F.length("marked")
-    grams = F.array_distinct(F.flatten(F.array(*(
-        F.when(size >= k, F.transform(F.sequence(F.lit(1), F.greatest(size - (k - 1), F.lit(1))), lambda i, k=k: F.substring(F.col("marked"), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-        for k in range(1, longest_gram + 1)
-    ))))
-    parts = words.where(F.length("item") <= 40).withColumn("marked", marked).select("lang", F.explode(grams).alias("item"), "n").groupBy("lang", "item").agg(F.sum("n").alias("n"))
-
-    def gathered(counts: DataFrame, most: int) -> dict[str, dict[str, int]]:
-        rows = counts.groupBy("item").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.desc("all"), "item").limit(most)
-        return {r["item"]: r["by"] for r in rows.collect()}
-
-    known, chars = gathered(words, max_words), gathered(parts, max_grams)
+    usable = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
+    if not sizes:
+        return {"langs": [], "words": {}, "grams": {}, "longest": longest_gram}
+    each = max_docs / len(sizes)
+    top = F.create_map(*(F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, 2**63 - 1 if n <= each else int((each / n - 0.5) * 2**64))))
+    sample = Cut(usable.where(F.xxhash64(F.col("doc_id").cast("string")) <= F.element_at(top, F.col("lang"))), "language-sample")
+    columns = "lang string, item string, n long"
+
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                found.update((lang, word) for word in WORD.findall(text.lower()))
+            yield _counted(found)
+
+    def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for gram in grams(word, longest_gram):
+                    found[lang, gram] += n
+            yield _counted(found)
+
+    counted = lambda rows: rows.groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    words = Cut(counted(sample.df.mapInArrow(words_of, columns)), "language-words")
+    parts = counted(words.df.mapInArrow(grams_of, columns))
+
+    def gathered(counts: DataFrame) -> dict[str, dict[str, int]]:
+        rows = counts.groupBy("item").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+        return {r["item"]: r["by"] for r in rows.collect()}  # bounded by the sample
+
+    known, chars = gathered(words.df), gathered(parts)
+    sample.drop()
+    words.drop()
     langs = sorted({lang for by in known.values() for lang in by})
     return {"langs": langs, "words": _logs(known, langs), "grams": _logs(chars, langs), "longest": longest_gram}
 
 
+def grams(word: str, longest: int) -> set[str]:
+    """The different n-grams of a word that is marked at both ends."""
+    marked = f"<{word}>"
+    return {marked[i : i + k] for k in range(1, longest + 1) for i in range(len(marked) - k + 1)}
+
+
+def _counted(found: Counter) -> pa.RecordBatch:
+    keys = list(found)
+    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "item", "n"])
+
+
 def _logs(counts: dict[str, dict[str, int]], langs: list[str], add: float = 0.1) -> dict[str, list[float]]:
     totals = {lang: sum(by.get(lang, 0) for by in counts.values()) for lang in langs}
     size = len(counts)

@@ -80,75 +80,106 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, keywords: int
 
 
 def posteriors(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>...) of every whole text; n_tokens counts words between ASCII white space."""
-    text = F.coalesce("text", F.lit(""))
-    binned = docs.select("doc_id", F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("double").alias("n_tokens"), *(v.alias(f"bin_{k}") for k, v in _bins(docs, model["keywords"]).items()))
+    """(row_, n_tokens, p_<domain>...) of every whole text; n_tokens counts words between ASCII white space.
+
+    ``row_`` is the row of ``docs`` as a struct, so that its columns may have any names.
+    """
+    rows = docs.select(F.struct("*").alias("row_"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    binned = rows.select("row_", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("double").alias("n_tokens"), *(v.alias(f"bin_{k}") for k, v in _bins(rows, model["keywords"]).items()))
     scores = {}
     for d in model["domains"]:
         value = F.lit(model["prior"][d])
         for f, edges in EDGES.items():
             value = value + F.get(F.array(*(F.lit(model["logs"][d, f, b]) for b in range(len(edges) + 1))), F.col(f"bin_{f}"))
         scores[d] = value
-    scored = binned.select("doc_id", "n_tokens", *(v.alias(f"s_{d}") for d, v in scores.items()))
+    scored = binned.select("row_", "n_tokens", *(v.alias(f"s_{d}") for d, v in scores.items()))
     top = F.greatest(*(F.col(f"s_{d}") for d in model["domains"])) if len(model["domains"]) > 1 else F.col(f"s_{model['domains'][0]}")
-    expd = scored.withColumn("top", top).select("doc_id", "n_tokens", *(F.exp(F.col(f"s_{d}") - F.col("top")).alias(f"e_{d}") for d in model["domains"]))
+    expd = scored.withColumn("top", top).select("row_", "n_tokens", *(F.exp(F.col(f"s_{d}") - F.col("top")).alias(f"e_{d}") for d in model["domains"]))
     norm = sum((F.col(f"e_{d}") for d in model["domains"]), F.lit(0.0))
-    return expd.select("doc_id", "n_tokens", *(F.round(F.col(f"e_{d}") / norm, 6).alias(f"p_{d}") for d in model["domains"]))
+    return expd.select("row_", "n_tokens", *(F.round(F.col(f"e_{d}") / norm, 6).alias(f"p_{d}") for d in model["domains"]))
+
 
+def _moved(rate: Column, step: list[Column], domains: list[str]) -> Column:
+    """A document's rate after a step along its posteriors, which stays >= 0."""
+    return F.greatest(F.lit(0.0), rate - sum((F.col(f"p_{d}") * v for d, v in zip(domains, step, strict=True)), F.lit(0.0)))
 
-def _rate(domains: list[str], steps: list[dict[str, float]], rate: Column | None = None) -> Column:
-    """The projected-gradient path of a document's rate: from 1, each step moves along its posteriors and stays >= 0."""
-    moves = F.array(*(F.array(*(F.lit(float(s[d])) for d in domains)) for s in steps)) if steps else F.array().cast("array<array<double>>")
-    move = lambda r, s: F.greatest(F.lit(0.0), r - sum((F.col(f"p_{d}") * F.get(s, F.lit(i)) for i, d in enumerate(domains)), F.lit(0.0)))
-    return F.aggregate(moves, F.lit(1.0), move)
 
+def _rate(domains: list[str], steps: list[dict[str, float]]) -> Column:
+    """The projected-gradient path of a document's rate, from 1."""
+    if not steps:
+        return F.lit(1.0)
+    path = F.array(*(F.array(*(F.lit(float(s[d])) for d in domains)) for s in steps))
+    return F.aggregate(path, F.lit(1.0), lambda r, s: _moved(r, [F.get(s, F.lit(i)) for i in range(len(domains))], domains))
 
-def solve(members: DataFrame, domains: list[str], targets: dict[str, float], rounds: int = 60, tolerance: float = 1e-4) -> list[dict[str, float]]:
-    """Steps of projected gradient descent for min |A r - t|^2, r >= 0.
+
+def solve(members: DataFrame, domains: list[str], targets: dict[str, float], tolerance: float = 1e-4) -> list[dict[str, float]]:
+    """Steps of projected gradient descent for min |A r - t|, r >= 0.
 
     A r are the expected tokens of each domain under rates r, t the targets times all tokens. The gradient is taken in
     the metric of the documents' tokens, in which a step of a document is its posteriors times a vector of one number
     per domain, so rates depend on posteriors alone: documents of equal posteriors are summed first, and each round
-    reads these sums and sends back a few numbers. The vector is the residual, scaled by the inverse Gram matrix of the
-    documents whose rate is above 0; where that did not shrink the residual, the round after takes the plain gradient
-    with a step below 2 / (largest eigenvalue), which always descends.
+    reads these sums and sends back a few numbers. A round searches along the projected path of the gradient, plain (in
+    lengths from 1.9 / (largest eigenvalue of the Gram matrix), which always descends) and scaled by the inverse Gram
+    matrix of the documents whose rate is above 0, and takes the length of least |A r - t|, all in one pass. The end is
+    a residual of at most ``tolerance`` of all tokens or, where no rates meet the targets, the point where a round
+    gains less than a hundredth of that; since every other round gains more, there is an end.
     """
     keys = [f"p_{d}" for d in domains]
-    groups = Cut(members.groupBy(*keys).agg(F.sum("n_tokens").alias("n_tokens")), "mixing-groups").df
-    total = groups.agg(F.sum("n_tokens")).first()[0] or 0.0
+    groups = Cut(members.groupBy(*keys).agg(F.sum("n_tokens").alias("n_tokens")).coalesce(8), "mixing-groups")
+    total = groups.df.agg(F.sum("n_tokens")).first()[0] or 0.0
     if not total:
         return []
     share = sum(targets.values())
     goal = np.array([total * targets.get(d, 0.0) / share for d in domains])
+    pairs = [(a, b) for a in keys for b in keys]
+    tokens = lambda rate: [F.sum(F.col("n_tokens") * F.col(k) * rate) for k in keys]
+    named = lambda move: dict(zip(domains, map(float, move), strict=True))
     steps: list[dict[str, float]] = []
-    before, plain = math.inf, False
-    for _ in range(rounds):
-        rated = groups.withColumn("r", _rate(domains, steps))
-        sums = [F.sum(F.col("n_tokens") * F.col(k) * F.col("r")).alias(k) for k in keys]
-        gram = [F.sum(F.when((F.col("r") > 0) | F.lit(plain), F.col("n_tokens") * F.col(a) * F.col(b)).otherwise(0.0)).alias(f"{a}*{b}") for a in keys for b in keys]
-        got = rated.agg(*sums, *gram).first()
-        off = np.array([got[k] for k in keys]) - goal
+    while True:
+        rated = groups.df.withColumn("r", _rate(domains, steps))
+        gram = lambda kept: [F.sum(F.when(kept, F.col("n_tokens") * F.col(a) * F.col(b)).otherwise(0.0)) for a, b in pairs]
+        got = np.array(rated.agg(*tokens(F.col("r")), *gram(F.col("r") > 0), *gram(F.lit(True))).first(), float)
+        off = got[: len(keys)] - goal
         if abs(off).max() <= tolerance * total:
             break
-        matrix = np.array([[got[f"{a}*{b}"] for b in keys] for a in keys])
-        plain = not plain and float(np.linalg.norm(off)) >= before
-        before = float(np.linalg.norm(off))
-        move = off * 1.9 / np.linalg.eigvalsh(matrix).max() if plain else np.linalg.lstsq(matrix, off, rcond=1e-9)[0]
-        steps.append(dict(zip(domains, map(float, move), strict=True)))
+        active, whole = got[len(keys) :].reshape(2, len(keys), len(keys))
+        scaled, largest = np.linalg.lstsq(active, off, rcond=1e-9)[0], np.linalg.eigvalsh(whole).max()
+        moves = [scaled * 0.5**i for i in range(8)] + [off * c / largest for c in (1.9, 8.0, 32.0, 128.0, 512.0)]
+        sums = [x for m in moves for x in tokens(_moved(F.col("r"), [F.lit(v) for v in named(m).values()], domains))]
+        ends = np.array(rated.agg(*sums).first(), float).reshape(len(moves), len(keys))
+        lengths = np.linalg.norm(ends - goal, axis=1)
+        if np.linalg.norm(off) - lengths.min() <= 0.01 * tolerance * total:
+            break
+        steps.append(named(moves[int(lengths.argmin())]))
+    groups.drop()
     return steps
 
 
+def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """(row_, n_tokens, p_<domain>..., rate, copies) of every row of ``docs``; see ``mix``."""
+    model = fit(docs, labels)
+    members = Cut(posteriors(docs, model), "mixing-members").df
+    steps = solve(members, model["domains"], targets or TARGETS)
+    found = members.withColumn("rate", _rate(model["domains"], steps))
+    chance = F.pmod(F.xxhash64("row_.doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    copies = F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0)
+    return found.withColumn("copies", copies.cast("long"))
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """Rows ``(doc_id, n_tokens, p_<domain>..., rate, copies)``: how often each document shall be used.
 
     ``rate`` >= 0 is fitted so that expected tokens per domain match ``targets`` (shares, default ``TARGETS``);
-    ``copies`` is the rate rounded up or down by a hash of doc_id, in proportion. Every document has a row; null and
-    empty texts have no tokens and their copies follow their rate all the same. Without labels, posteriors are equal.
+    ``copies`` is the rate rounded up or down by a hash of doc_id, in proportion. Every row has a row, repeated ones
+    too; each counts with its tokens. Null and empty texts have no tokens and their copies follow their rate all the
+    same. A document labelled twice has the last of its domains in order of name. Without labels, posteriors are equal;
+    an empty table stays empty. Columns besides doc_id and text are not read.
     """
-    model = fit(docs, labels)
-    members = Cut(posteriors(docs, model), "mixing-members").df
-    steps = solve(members, model["domains"], targets or TARGETS)
-    rated = members.withColumn("rate", _rate(model["domains"], steps))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    copies = F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return rated.withColumn("copies", copies.cast("long"))
+    found = rated(docs.select("doc_id", "text"), labels, targets)
+    return found.select("row_.doc_id", *(c for c in found.columns if c != "row_"))
+
+
+def resampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as its ``copies`` say; columns of any name are kept, no row is joined."""
+    found = rated(docs, labels, targets).where("copies > 0")
+    return found.select("row_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row_.*")
