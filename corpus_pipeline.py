@@ -13,33 +13,48 @@ from strandweave.llm.queries import SURROGATE_KEY
 from strandweave.session import shared_dir
 
 
+def _aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns of these names under ones that cannot clash, and the new names of all columns."""
+    new = [f"{c}_{uuid.uuid4().hex}" if c in names else c for c in docs.columns]
+    return docs.toDF(*new), new
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letters, or no language ahead of the others."""
+    """Drops documents without a language: no letters, or no language ahead of the others.
+
+    The model learns from text and lang of the stage's own documents whose crc32(doc_id) mod 4 is not 2. A null text goes;
+    repeated rows are judged each; an empty table, and one without any lang, gives an empty table.
+    """
     model = language.train(docs.where(~language.held_out()).select("doc_id", "text", "lang"))
-    judged = language.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    rows, names = _aside(docs, ["lang_pred", "score"])
+    judged = language.predict(rows, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5))
+    return judged.select(*names).toDF(*docs.columns)
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each group of near duplicates."""
+    """Keeps the document of least doc_id of each group of near duplicates.
+
+    A doc_id is one document: its rows stay or go together, and a null one goes. Documents without words stay.
+    """
     kept = minhash_forest.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data and secrets; n_chars follows the new text."""
-    new = surrogates.pseudonymise(docs, SURROGATE_KEY).drop("n_entities")
-    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Replaces personal data and secrets; n_chars follows the new text. Every row stays, null texts as they are."""
+    rows, names = _aside(docs, ["n_entities"])
+    new = surrogates.pseudonymise(rows, SURROGATE_KEY)
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return new.select(*(size.alias(c) if c == "n_chars" else F.col(c) for c in names)).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and drops documents as their rates say."""
-    rates = mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("copies > 0").select(F.col("doc_id").alias("rated_id"), "copies")
-    return docs.join(rates, F.col("doc_id") == F.col("rated_id")).withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    """Repeats and drops rows as their rates say, each row by itself, whether its doc_id comes once or often."""
+    return mixing.resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document the number of ids and the digests of the ids and of what they decode to."""
+    """Per row the number of ids and the digests of the ids and of what they decode to; a null text has no ids."""
     return piece_bpe.digest_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
