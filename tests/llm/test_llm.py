@@ -407,3 +407,21 @@ def test_pipeline_keeps_the_columns_and_cleans(spark):
         now = stage(spark, now, SF).cache()
         assert now.columns == docs.columns and 0 < now.count(), name
     assert corpus_pipeline.STAGES[-1][1](spark, now, SF).count() == now.count()
+
+
+def test_pipeline_stages_take_odd_tables(spark, docs, empty, real):
+    import corpus_pipeline
+
+    odd = docs.selectExpr("*", "1 as score", "'x' as n_entities", "2 as copies", "3 as kept_id", "'y' as row_", "4 as component_id")
+    odd = odd.unionByName(real.limit(60).selectExpr("doc_id + 1000 as doc_id", "text", "lang", "source", "n_chars", "1 as score", "'x' as n_entities", "2 as copies", "3 as kept_id", "'y' as row_", "4 as component_id"))
+    twice = odd.unionByName(odd)
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        once, again = stage(spark, odd, SF), stage(spark, twice, SF)
+        assert once.columns == odd.columns, name
+        counts[name] = once.count(), again.count()
+        assert stage(spark, empty, SF).count() == 0, name
+    # repeated rows stay or go together; the model of languages and the rates see twice the counts
+    assert all(2 * a == b for name, (a, b) in counts.items() if name in ("minhash", "pii")) and counts["language_id"][1] % 2 == 0, counts
+    assert counts["pii"][0] == odd.count() and 0 < counts["mixing"][1] <= 3 * counts["mixing"][0]
+    assert corpus_pipeline.STAGES[-1][1](spark, twice, SF).count() == twice.count()
