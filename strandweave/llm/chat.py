@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,61 +11,99 @@ from pyspark.sql import functions as F
 
 from strandweave.session import Cut
 
-#: The grammar: conversation = { OPEN role BREAK text CLOSE }; neither role nor text holds a bare control string.
-OPEN, BREAK, CLOSE = "### ", ": ", "</turn>\n"
-#: In roles and texts a backslash stands before each of these characters: none is then left bare.
-ESCAPED = re.compile(r"[\\#<]")
-ROLE_ESCAPED = re.compile(r"[\\#<:]")
-TURN = re.compile(r"### ((?:[^\\#<:]|\\.)*): ((?:[^\\#<]|\\.)*)</turn>\n", re.S)
-UNESCAPE = re.compile(r"\\(.)", re.S)
+#: The grammar: conversation = { OPEN role BREAK text CLOSE newline }. A role ends at the first BREAK that is not
+#: escaped, a text at the first CLOSE that is not; neither holds a bare OPEN or CLOSE.
+OPEN, BREAK, CLOSE = "### ", ": ", "</turn>"
+#: What a backslash may stand before: itself and the characters that CLOSE, OPEN and BREAK begin with.
+MARKS = "\\<#:"
 
 
 class GrammarError(ValueError):
     pass
 
 
-
-def render_turn(role: str, text: str) -> str:
-    """One turn; content is escaped wherever its plain form would not be read back as it was."""
-    return f"{OPEN}{escape(role, ROLE_ESCAPED)}{BREAK}{escape(text)}{CLOSE}"
-
-
-def escape(text: str, pattern: re.Pattern = ESCAPED) -> str:
-    return pattern.sub(lambda m: "\\" + m[0], text)
+def escape(text: str, marks: str) -> str:
+    for mark in marks:  # the backslash comes first
+        text = text.replace(mark, "\\" + mark)
+    return text
 
 
 def unescape(text: str) -> str:
-    return UNESCAPE.sub(r"\1", text)
+    """Without the backslash before each character that one stands before."""
+    if "\\" not in text:
+        return text
+    parts = text.split("\\")
+    out, i = [parts[0]], 1
+    while i < len(parts):
+        if parts[i] or i + 1 == len(parts):
+            out.append(parts[i])
+            i += 1
+        else:  # two in a row are one
+            out += ["\\", parts[i + 1]]
+            i += 2
+    return "".join(out)
+
+
+def _find(rendered: str, marker: str, at: int, stop: int) -> int:
+    """Where ``marker`` next stands bare, that is behind an even number of backslashes; -1 if nowhere before ``stop``."""
+    while (at := rendered.find(marker, at, stop)) >= 0:
+        back = at
+        while back > 0 and rendered[back - 1] == "\\":
+            back -= 1
+        if (at - back) % 2 == 0:
+            break
+        at += 1
+    return at
 
 
 def parse(rendered: str) -> list[tuple[str, str, tuple[int, int]]]:
-    """(role, text, span of the escaped text) of each turn; deterministic, since no two turns can be read in two ways."""
-    out, at = [], 0
-    while at < len(rendered):
-        turn = TURN.match(rendered, at)
-        if not turn:
+    """(role, text, span of the escaped text) of each turn, by searching for the markers in order; one reading only."""
+    out, at, size = [], 0, len(rendered)
+    while at < size:
+        first = at + len(OPEN)
+        stop = _find(rendered, BREAK, first, size)
+        text = stop + len(BREAK)
+        end = _find(rendered, CLOSE, text, size) if stop >= 0 else -1
+        if end < 0 or not rendered.startswith(OPEN, at) or not rendered.startswith("\n", end + len(CLOSE)):
             raise GrammarError(f"no turn at {at}: {rendered[at : at + 40]!r}")
-        out.append((unescape(turn[1]), unescape(turn[2]), turn.span(2)))
-        at = turn.end()
+        if _find(rendered, OPEN, first, stop) >= 0 or _find(rendered, CLOSE, first, stop) >= 0 or _find(rendered, OPEN, text, end) >= 0:
+            raise GrammarError(f"a bare marker inside the turn at {at}: {rendered[at : at + 40]!r}")
+        out.append((unescape(rendered[first:stop]), unescape(rendered[text:end]), (text, end)))
+        at = end + len(CLOSE) + 1
     return out
 
 
+def render_turn(role: str, text: str) -> tuple[str, tuple[int, int]]:
+    """One turn and the span of its text: rendered plain, read back and, as long as that differs, escaped further.
+
+    Content that comes back as it was is left as it is. Else its backslashes are escaped and, one more at a time, the
+    characters that markers begin with, until what is read back is identical.
+    """
+    for n in range(len(MARKS) + 1):
+        line = f"{OPEN}{escape(role, MARKS[:n])}{BREAK}{escape(text, MARKS[:n])}{CLOSE}\n"
+        try:
+            back = parse(line)
+        except GrammarError:
+            continue
+        if [b[:2] for b in back] == [(role, text)]:
+            return line, back[0][2]
+    raise GrammarError(f"not read back: {line[:80]!r}")
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text, rendered, loss_start, loss_end): each turn rendered, parsed back and compared.
 
-    A null role or text counts as empty. ``loss_start`` and ``loss_end`` delimit, inside ``rendered``, the escaped text
-    of an assistant turn and are both 0 elsewhere. A turn that the parser does not give back is an error, not dropped.
+    A null role or text counts as empty. ``loss_start`` and ``loss_end`` delimit, inside ``rendered``, the text of an
+    assistant turn and are both 0 elsewhere. Texts of any length take memory in proportion; repeated rows stay, other
+    columns are not read, an empty table has no rows. A turn that the parser does not give back is an error, not dropped.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rendered, starts, ends = [], [], []
             for role, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                line = render_turn(role or "", text or "")
-                back = parse(line)
-                if [b[:2] for b in back] != [(role or "", text or "")]:
-                    raise GrammarError(f"not read back: {line[:80]!r}")
-                span = back[0][2] if role == "assistant" else (0, 0)
+                line, span = render_turn(role or "", text or "")
+                span = span if role == "assistant" else (0, 0)
                 rendered.append(line), starts.append(span[0]), ends.append(span[1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rendered, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], [*batch.schema.names, "rendered", "loss_start", "loss_end"])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -17,6 +16,8 @@ from strandweave.session import Cut
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: Added to every count.
+SMOOTH = 0.1
 
 
 def train(labelled: DataFrame, max_docs: int = 8000, longest_gram: int = 4) -> dict:
@@ -32,7 +33,8 @@ def train(labelled: DataFrame, max_docs: int = 8000, longest_gram: int = 4) -> d
     usable = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
-        return {"langs": [], "words": {}, "grams": {}, "longest": longest_gram}
+        none = np.zeros((0, 0), np.float32)
+        return {"langs": [], "words": {}, "word_logs": none, "grams": {}, "gram_logs": none, "longest": longest_gram}
     each = max_docs / len(sizes)
     top = F.create_map(*(F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, 2**63 - 1 if n <= each else int((each / n - 0.5) * 2**64))))
     sample = Cut(usable.where(F.xxhash64(F.col("doc_id").cast("string")) <= F.element_at(top, F.col("lang"))), "language-sample")
@@ -57,15 +59,20 @@ def train(labelled: DataFrame, max_docs: int = 8000, longest_gram: int = 4) -> d
     words = Cut(counted(sample.df.mapInArrow(words_of, columns)), "language-words")
     parts = counted(words.df.mapInArrow(grams_of, columns))
 
-    def gathered(counts: DataFrame) -> dict[str, dict[str, int]]:
-        rows = counts.groupBy("item").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return {r["item"]: r["by"] for r in rows.collect()}  # bounded by the sample
+    langs = sorted(sizes)
 
-    known, chars = gathered(words.df), gathered(parts)
+    def gathered(counts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+        """Items with their rows in a table of log frequencies by language; bounded by the sample."""
+        by = (F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs))
+        table = counts.groupBy("item").agg(*by).toArrow()
+        n = np.stack([table.column(i + 1).to_numpy() for i in range(len(langs))], axis=1).astype(np.float64)
+        logs = np.log((n + SMOOTH) / (n.sum(axis=0) + SMOOTH * max(len(n), 1)))
+        return {item: i for i, item in enumerate(table.column(0).to_pylist())}, logs.astype(np.float32)
+
+    (known, word_logs), (chars, gram_logs) = gathered(words.df), gathered(parts)
     sample.drop()
     words.drop()
-    langs = sorted({lang for by in known.values() for lang in by})
-    return {"langs": langs, "words": _logs(known, langs), "grams": _logs(chars, langs), "longest": longest_gram}
+    return {"langs": langs, "words": known, "word_logs": word_logs, "grams": chars, "gram_logs": gram_logs, "longest": longest_gram}
 
 
 def grams(word: str, longest: int) -> set[str]:
@@ -79,12 +86,6 @@ def _counted(found: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "item", "n"])
 
 
-def _logs(counts: dict[str, dict[str, int]], langs: list[str], add: float = 0.1) -> dict[str, list[float]]:
-    totals = {lang: sum(by.get(lang, 0) for by in counts.values()) for lang in langs}
-    size = len(counts)
-    return {item: [math.log((by.get(lang, 0) + add) / (totals[lang] + add * size)) for lang in langs] for item, by in counts.items()}
-
-
 class Scorer:
     """Scores texts; the rows of words met before are kept, at most ``limit`` of them at a time."""
 
@@ -100,14 +101,14 @@ class Scorer:
     def word(self, word: str) -> np.ndarray | None:
         """Log frequencies of a known word; else the mean of its longest n-grams that are known at all."""
         if (own := self.model["words"].get(word)) is not None:
-            return np.array(own)
+            return self.model["word_logs"][own]
         if not any(map(str.isalpha, word)):
             return None
-        marked = f"<{word}>"
+        marked, known = f"<{word}>", self.model["grams"]
         for k in range(min(self.model["longest"], len(marked)), 0, -1):
-            found = [g for i in range(len(marked) - k + 1) if (g := self.model["grams"].get(marked[i : i + k])) is not None]
+            found = [g for i in range(len(marked) - k + 1) if (g := known.get(marked[i : i + k])) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.model["gram_logs"][found].mean(axis=0, dtype=np.float64)
         return np.zeros(len(self.model["langs"]))
 
     def _index(self, words: list[str]) -> np.ndarray:

@@ -50,7 +50,7 @@ def op7_minhash_forest(spark, sf_dir):
 
 def op8_digest_array(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    files = url_filter.write_digests(url_filter.junk_hosts(pages), "entry")
+    files = url_filter.write_digests(url_filter.listed_entries(pages), "entry")
     return url_filter.judge(pages, URL_RULES, files)
 
 
@@ -88,22 +88,25 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, c.m AS component_id, s.d
 """
 OP8 = r"""
 WITH h AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-  CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages),
+  CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path, url FROM pages),
+b AS (SELECT host AS entry FROM h WHERE host <> '' GROUP BY host HAVING regexp_matches(host, '(^|[.-])(spam|ads|ad|porn|casino|malware|phish|track|tracker)([.-]|$)') OR (count(*) >= 2 AND 100 * count(*) FILTER (WHERE regexp_matches(url, '[?&]utm_')) >= 30 * count(*))),
 j AS (SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
   WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
   WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
   WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN regexp_matches(host, '(^|[.-])(spam|ads|ad|porn|casino|malware|phish|track|tracker)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM j
+  WHEN EXISTS (SELECT 1 FROM b WHERE j.host = entry OR ends_with(j.host, '.' || entry)) THEN 'block' ELSE 'allow' END AS verdict FROM j
 """
 OP9 = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (SELECT *, CASE WHEN contains(role, ': ') THEN '[^\\<#:]' WHEN contains(role, '### ') OR contains(text, '### ') THEN '[^\\<#]'
+  WHEN contains(role, '</turn>') OR contains(text, '</turn>') THEN '[^\\<]' WHEN contains(role, '\') OR contains(text, '\') THEN '[^\\]' END AS others FROM t)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn), '')) AS loss_sha256,
-  CAST(sum(14 + length(role) + length(text) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) + length(regexp_replace(text, '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
+  CAST(sum(14 + length(role) + length(text) + coalesce(length(regexp_replace(role || text, others, '', 'g')), 0)) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
 """
 OP2 = r"""
 WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,6 +20,8 @@ from strandweave.session import Cut, fresh_path
 URL = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
 #: Words in a host name that mark it as junk, for lists that are taken from a table of pages.
 JUNK_HOST = r"(^|[.-])(spam|ads|ad|porn|casino|malware|phish|track|tracker)([.-]|$)"
+#: Parameters of a campaign in a url.
+CAMPAIGN = r"[?&]utm_"
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -32,7 +35,8 @@ def write_digests(entries: DataFrame, column: str, shard_rows: int = 2_000_000)
     """Files of sorted 64-bit xxhash keys with the full strings behind them; returns (path, low, high, n) per file.
 
     Entries are host names, or ``host/path`` prefixes. Null and empty entries are left out, repeated ones kept once.
-    Keys are computed and dealt out by key range in Spark, so no list passes through the driver or one task.
+    Keys are computed and dealt out by key range in Spark, so no list passes through the driver, and a task writes a
+    file after about every ``shard_rows`` entries, which is all it holds. An empty list has no files.
     """
     out_dir = fresh_path(entries.sparkSession, "digests")
 
@@ -43,15 +47,27 @@ def write_digests(entries: DataFrame, column: str, shard_rows: int = 2_000_000)
             yield pa.RecordBatch.from_arrays([pa.array(signed), batch.column(0)], ["key", "entry"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        for table in [pa.Table.from_batches(got)] if got else []:
-            for number, at in enumerate(range(0, table.num_rows, shard_rows)):
-                key = table.column(0).slice(at, shard_rows).to_numpy()
-                texts = [t.encode() for t in table.column(1).slice(at, shard_rows).to_pylist()]
-                ends = np.cumsum([0, *map(len, texts)], dtype="<i8")
-                path = f"{out_dir}/{TaskContext.get().partitionId():05d}-{number:04d}.dig"
-                write_file(path, len(key).to_bytes(8, "little") + key.astype("<i8").tobytes() + ends.tobytes() + b"".join(texts))
-                yield pa.RecordBatch.from_pylist([{"path": path, "low": int(key[0]), "high": int(key[-1]), "n": len(key)}])
+        held: list[pa.RecordBatch] = []
+        number = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal number
+            table = pa.Table.from_batches(held)
+            key, texts = table.column(0).to_numpy(), [t.encode() for t in table.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, texts)], dtype="<i8")
+            path = f"{out_dir}/{TaskContext.get().partitionId():05d}-{number:04d}-{uuid.uuid4().hex[:8]}.dig"
+            write_file(path, len(key).to_bytes(8, "little") + key.astype("<i8").tobytes() + ends.tobytes() + b"".join(texts))
+            held.clear()
+            number += 1
+            return pa.RecordBatch.from_pylist([{"path": path, "low": int(key[0]), "high": int(key[-1]), "n": len(key)}])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= shard_rows:
+                yield flush()
+        if held:
+            yield flush()
 
     rows = entries.select(F.col(column).alias("entry")).where("entry is not null and entry <> ''").distinct()
     keyed = rows.mapInArrow(keys, "key long, entry string")
@@ -131,7 +147,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], files: DataFrame,
     return rows.mapInArrow(work, f"page_id {rows.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, verdict string")
 
 
-def junk_hosts(pages: DataFrame) -> DataFrame:
-    """(entry): distinct hosts of a page table that name themselves as junk by ``JUNK_HOST``."""
+def listed_entries(pages: DataFrame, least_urls: int = 2, percent: int = 30) -> DataFrame:
+    """(entry): hosts of a page table to list, by what all their urls together show.
+
+    Those that name themselves as junk by ``JUNK_HOST``, and those of ``least_urls`` urls or more of which ``percent``
+    in a hundred or more carry campaign parameters. Null urls and empty hosts are left out.
+    """
     host = F.translate(F.regexp_extract("url", r"://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return pages.select(host.alias("entry")).where(F.col("entry").rlike(JUNK_HOST)).distinct()
+    seen = pages.select(host.alias("entry"), F.col("url").rlike(CAMPAIGN).alias("marked")).where("entry <> ''")
+    sums = seen.groupBy("entry").agg(F.count("*").alias("n"), F.count_if("marked").alias("k"))
+    return sums.where(F.col("entry").rlike(JUNK_HOST) | ((F.col("n") >= least_urls) & (100 * F.col("k") >= percent * F.col("n")))).select("entry")

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
-from strandweave.llm import chat, language, minhash_forest, mixing, piece_bpe, quality, surrogates, url_filter, vector_graph, wavelet
+from strandweave.llm import chat, language, minhash_forest, mixing, piece_bpe, quality, queries, surrogates, url_filter, vector_graph, wavelet
 
 SF = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "  a", "a  b", "x\n y", "\n\n a b", "日本語 テキスト", "don't we'll", "😀 😀", "\x00\x01 \x7f", "a" * 300 + " b", "1 2 3", "ab " * 4000, "x <|endoftext|> y<|endoftext|>, z", "<|endoftext|>", "a.\nB c?!\n\nd \u0531\u0532, ŝ", "one.\u2028two \x1cthree"]
@@ -213,7 +213,8 @@ def test_language_equals_one_process(spark, docs):
         items = {w for _, w in counts}
         totals = {x: sum(n for (y, _), n in counts.items() if y == x) for x in model["langs"]}
         logs[name] = {w: [math.log((counts[x, w] + 0.1) / (totals[x] + 0.1 * len(items))) for x in model["langs"]] for w in items}
-        assert set(model[name]) == items and all(np.allclose(model[name][w], logs[name][w]) for w in items)
+        table = model[f"{name[:-1]}_logs"]
+        assert set(model[name]) == items and all(np.allclose(table[model[name][w]], logs[name][w], atol=1e-5) for w in items)
 
     def score(word):
         if word in logs["words"]:
@@ -232,7 +233,7 @@ def test_language_equals_one_process(spark, docs):
             assert (r.lang_pred, r.score) == ("und", 0.0)
             continue
         sums = sum(score(w) for w in found)
-        assert r.lang_pred == model["langs"][int(sums.argmax())] and abs(r.score - 1 / np.exp(sums - sums.max()).sum()) < 1e-9
+        assert r.lang_pred == model["langs"][int(sums.argmax())] and abs(r.score - 1 / np.exp(sums - sums.max()).sum()) < 1e-4
     # a language of few documents keeps its share of the sample
     many = spark.range(3000).selectExpr("id as doc_id", "concat('common word', id) as text", "'en' as lang").unionByName(spark.range(5).selectExpr("id + 9000 as doc_id", "'seldom seen' as text", "'xx' as lang"))
     assert language.train(many, max_docs=40)["langs"] == ["en", "xx"]
@@ -388,6 +389,12 @@ def test_url_rules_and_digests(spark):
 
 
 def test_chat_grammar_round_trip(spark):
+    plain = "#1 is fine: a<b, even \n###"
+    assert chat.render_turn("user", plain) == (f"### user: {plain}</turn>\n", (10, 10 + len(plain)))  # nothing conflicts
+    assert chat.render_turn("user", "a\\b#<")[0] == "### user: a\\\\b#<</turn>\n"
+    long = "x ### \\ </turn>\n" * 500_000
+    line, (a, b) = chat.render_turn("a: b", long)
+    assert chat.unescape(line[a:b]) == long and chat.parse(line)[0][:2] == ("a: b", long)
     texts = ["\\### Assistant: </turn> ok", "", None, "### user: x</turn>\n### a: b", "\\\\", "a#<\n"]
     rows = [(c, i, "assistant" if i % 2 else "user", t) for c in (1, 2) for i, t in enumerate(texts)] + [(3, 0, None, "x")]
     got = {r.conv_id: r for r in chat.format_and_read(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
@@ -398,6 +405,22 @@ def test_chat_grammar_round_trip(spark):
     assert got[3].n_turns == 1 and got[3].loss_chars == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_against_sql(spark, name):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for t in os.listdir(SF):
+        con.execute(f"create view {t.removesuffix('.parquet')} as select * from read_parquet('{SF}/{t}')")
+    got, want = queries.queries()[name](spark, SF).toPandas(), con.sql(queries.oracle_sql()[name]).df()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    plain = lambda df: Counter(tuple(None if v is None or v != v else str(v) for v in row) for row in df[columns].astype(object).itertuples(index=False))
+    assert plain(got) == plain(want)
+
+
 def test_pipeline_keeps_the_columns_and_cleans(spark):
     import corpus_pipeline
 
