@@ -42,6 +42,35 @@ def boundaries(aln: DataFrame, mark: str = "-Z-") -> DataFrame:
     return aln.select("aln_id", F.explode(places).alias("pos")).distinct()
 
 
+def protein_to_dna(aln: DataFrame, exons: DataFrame, flank: int, mark: str = "-Z-") -> DataFrame:
+    """(aln_id, seq_id, row): aligned peptides (aln_id, seq_id, seq) as dna, with room for the boundaries of all sequences.
+
+    A sequence's own marks part it to exons; each becomes codons between lowercase flanks (``flanked_codons``) from
+    ``exons`` (seq_id, exon_no, dna, left_flank, right_flank), or gaps of the same length where there is none that fits.
+    A boundary that another sequence has inside an exon takes the place of its three residues as flank gaps, mark, flank
+    gaps; exons are joined by the mark. One row per alignment, its boundaries, meets the sequences.
+    """
+    bounds = boundaries(aln, mark).groupBy("aln_id").agg(F.array_sort(F.collect_list(F.col("pos") - 1)).alias("bounds"))
+    rows = aln.select("aln_id", "seq_id", "seq").join(bounds, "aln_id", "left").withColumn("bounds", F.coalesce("bounds", F.array().cast("array<int>")))
+    rows = rows.withColumn("own", F.filter("bounds", lambda p: F.substring(F.col("seq"), p + 1, F.lit(len(mark))) == mark))
+    starts, ends = F.concat(F.array(F.lit(0)), F.transform("own", lambda p: p + len(mark))), F.concat("own", F.array(F.length("seq")))
+    parts = rows.select("aln_id", "seq_id", "seq", "bounds", F.posexplode(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("exon_no", "x"))
+    parts = parts.select("aln_id", "seq_id", "exon_no", F.col("x.a").alias("start"), F.substring("seq", F.col("x.a") + 1, F.col("x.b") - F.col("x.a")).alias("pep"), F.filter("bounds", lambda g: (g > F.col("x.a") - len(mark)) & (g < F.col("x.b"))).alias("inside"))
+    gaps = F.repeat(F.lit("-"), (2 * flank + 3 * F.length("pep")).cast("int"))
+    made = parts.join(exons, ["seq_id", "exon_no"], "left").withColumn("dna_row", F.coalesce(S.flanked_codons(F.col("pep"), F.col("dna"), F.col("left_flank"), F.col("right_flank"), flank), gaps))
+    room = "-" * flank + mark + "-" * flank
+
+    def step(s, g):
+        at = flank + 3 * (g - F.col("start"))
+        before = F.substring(F.col("dna_row"), s["at"] + 1, F.greatest(at - s["at"], F.lit(0)))
+        return F.struct((at + 9).alias("at"), F.concat(s["text"], before, F.lit(room)).alias("text"))
+
+    whole = F.aggregate("inside", F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda s: F.concat(s["text"], F.substring(F.col("dna_row"), s["at"] + 1, F.length("dna_row"))))
+    texts = made.select("aln_id", "seq_id", "exon_no", whole.alias("text"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("exon_no", "text"))), lambda x: x["text"])
+    return texts.groupBy("aln_id", "seq_id").agg(F.array_join(ordered, mark).alias("row"))
+
+
 def settled_pieces(pieces: DataFrame, targets: DataFrame) -> DataFrame:
     """(aln_id, seq_id, piece_no): pieces that survive all their overlaps, in the order of their first residues.
 

@@ -196,28 +196,28 @@ _add("JOIN-18", lambda x: C.genes_of_exons(x.x_tr.select("exon_id", (F.col("exon
 
 
 def _regions(x: Inputs) -> DataFrame:
-    own = x.x_seq.where("length(pep) >= 20").select(F.col("seq_id").alias("gene_id"), F.substring("pep", 1, 20).alias("stored"))
+    own = x.x_seq.where("length(pep) >= 20").select(F.col("seq_id").alias("gene_id"), F.col("pep").alias("stored"))
     one = lambda source, priority, built: own.select("gene_id", F.lit(source).alias("source"), F.lit(priority).alias("priority"), built.alias("built"), "stored")
     primary = F.when(F.col("gene_id") % 3 == 0, F.reverse("stored")).otherwise(F.concat(F.lit("XX"), "stored"))
-    return one("primary", 0, primary).unionByName(one("patch", 1, F.when(F.col("gene_id") % 2 == 0, F.expr("substr(stored, 1, 18)")).otherwise(F.lit(""))))
+    return one("primary", 0, primary).unionByName(one("patch", 1, F.when(F.col("gene_id") % 2 == 0, F.expr("substr(stored, 1, length(stored) - 2)")).otherwise(F.lit(""))))
 
 
 _add("JOIN-29", lambda x: C.region_choice(_regions(x)),
-     "WITH o AS (SELECT seq_id AS g, ltrim(substr(pep,1,20),'X') AS s, ltrim(reverse(substr(pep,1,20)),'X') AS r FROM x_seq WHERE length(pep)>=20), k AS (SELECT g, CASE WHEN g%3=0 THEN abs(length(s)-length(r))<=3 AND len(list_filter(range(1,least(length(s),length(r))+1), lambda p: substr(s,p,1)<>substr(r,p,1)))<=2 ELSE true END AS p FROM o) SELECT g AS gene_id, CASE WHEN p THEN 'primary' ELSE 'patch' END AS source FROM k WHERE p OR g%2=0")
+     "WITH o AS (SELECT seq_id AS g, ltrim(pep,'X') AS s, ltrim(reverse(pep),'X') AS r FROM x_seq WHERE length(pep)>=20), k AS (SELECT g, CASE WHEN g%3=0 THEN abs(length(s)-length(r))<=3 AND len(list_filter(range(1,least(length(s),length(r))+1), lambda p: substr(s,p,1)<>substr(r,p,1)))<=2 ELSE true END AS p FROM o) SELECT g AS gene_id, CASE WHEN p THEN 'primary' ELSE 'patch' END AS source FROM k WHERE p OR g%2=0")
 _add("AGG-09", lambda x: C.map_holes(x.x_exon.where("is_canonical = 1 and is_coding = 1").select("gene_id", "exon_id"), x.x_pair.withColumn("novel", (F.col("part") % 4 == 0).cast("int"))),
      "WITH e AS (SELECT gene_id, exon_id FROM x_exon WHERE is_canonical=1 AND is_coding=1), i AS (SELECT * FROM e WHERE gene_id IN (SELECT gene_id FROM e JOIN x_pair p ON p.exon_id=e.exon_id)), g AS (SELECT s.species_id, i.exon_id, max(p.similarity) AS m, max(CASE WHEN p.part%4=0 THEN 1 ELSE 0 END) AS nv FROM (SELECT DISTINCT species_id FROM x_pair WHERE exon_id IN (SELECT exon_id FROM i)) s CROSS JOIN i LEFT JOIN x_pair p ON p.exon_id=i.exon_id AND p.species_id=s.species_id GROUP BY 1,2) SELECT species_id, count(*) AS n_exons, count(CASE WHEN m IS NULL OR m<0.2 THEN 1 END) AS n_holes, CAST(sum(CASE WHEN m IS NOT NULL THEN nv ELSE 0 END) AS BIGINT) AS n_novel FROM g GROUP BY species_id")
 
 
 def _stored(x: Inputs) -> DataFrame:
-    seq = x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), "seq_id", F.expr("substr(dna, 1, 90)").alias("dna"))
+    seq = x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), "seq_id", "dna")
     pep = F.when(F.col("seq_id") % 7 == 0, "-10").when(F.col("seq_id") % 2 == 0, S.translate(F.col("dna"))).otherwise("M")
     return x.x_exon.where("is_coding = 1").select("exon_id").join(seq.withColumn("pep", pep), "exon_id", "left")
 
 
 _add("AGG-14", lambda x: C.translation_audit(_stored(x)),
-     f"SELECT status, count(*) AS n FROM (SELECT CASE WHEN dna IS NULL THEN 'no_sequence' WHEN length(dna)<3 THEN 'too_short' WHEN seq_id%7=0 THEN 'failed' WHEN seq_id%2=0 OR p='M' THEN 'ok' ELSE 'mismatch' END AS status FROM x_exon LEFT JOIN (SELECT seq_id, dna, {PEPTIDE} AS p FROM (SELECT seq_id, substr(dna,1,90) AS dna FROM x_seq) q) s ON exon_id=seq_id*100+1 WHERE is_coding=1) q GROUP BY status")
-_add("AGG-15", lambda x: C.length_agreement(A.reading_frames(P.effective_bounds(_marked(x))), x.x_seq.select(F.col("seq_id").alias("gene_id"), F.expr("substr(pep, 1, 60)").alias("pep"))),
-     f"SELECT gene_id, n AS coding_length, length(p) AS pep_length, abs(floor(n/3)-length(p))<=3 AS agrees FROM (SELECT gene_id, CAST(sum(CASE WHEN is_coding=1 THEN CASE WHEN canon_transl_end<0 THEN end_in_gene ELSE canon_transl_end END - CASE WHEN canon_transl_start<0 THEN start_in_gene ELSE canon_transl_start END + 1 ELSE 0 END) AS BIGINT) AS n FROM {MARKED} q WHERE in_canonical=1 GROUP BY gene_id) q JOIN (SELECT seq_id, substr(pep,1,60) AS p FROM x_seq) s ON seq_id=gene_id")
+     f"SELECT status, count(*) AS n FROM (SELECT CASE WHEN dna IS NULL THEN 'no_sequence' WHEN length(dna)<3 THEN 'too_short' WHEN seq_id%7=0 THEN 'failed' WHEN seq_id%2=0 OR p='M' THEN 'ok' ELSE 'mismatch' END AS status FROM x_exon LEFT JOIN (SELECT seq_id, dna, {PEPTIDE} AS p FROM x_seq) s ON exon_id=seq_id*100+1 WHERE is_coding=1) q GROUP BY status")
+_add("AGG-15", lambda x: C.length_agreement(A.reading_frames(P.effective_bounds(_marked(x))), x.x_seq.select(F.col("seq_id").alias("gene_id"), "pep")),
+     f"SELECT gene_id, n AS coding_length, length(p) AS pep_length, abs(floor(n/3)-length(p))<=3 AS agrees FROM (SELECT gene_id, CAST(sum(CASE WHEN is_coding=1 THEN CASE WHEN canon_transl_end<0 THEN end_in_gene ELSE canon_transl_end END - CASE WHEN canon_transl_start<0 THEN start_in_gene ELSE canon_transl_start END + 1 ELSE 0 END) AS BIGINT) AS n FROM {MARKED} q WHERE in_canonical=1 GROUP BY gene_id) q JOIN (SELECT seq_id, pep AS p FROM x_seq) s ON seq_id=gene_id")
 _add("WIN-11", lambda x: C.reading_length(_marked(x).select("gene_id", "exon_id", "start_in_gene", "end_in_gene", (F.col("canon_transl_start") >= 0).cast("int").alias("is_first"), (F.col("canon_transl_end") >= 0).cast("int").alias("is_last"))),
      f"SELECT gene_id, CAST(sum(CASE WHEN b=1 AND coalesce(e,0)=0 THEN end_in_gene-start_in_gene+1 ELSE 0 END) AS BIGINT) AS reading_length FROM (SELECT *, max(CASE WHEN canon_transl_start>=0 THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b, max(CASE WHEN canon_transl_end>=0 THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM {MARKED} q WINDOW w AS (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)) q GROUP BY gene_id")
 _add("AGG-20", lambda x: C.splice_audit(x.x_tr.where("transcript_id % 3 = 0").select("gene_id", "exon_id"), x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), F.when(F.col("seq_id") % 4 > 0, F.col("pep")).alias("pep"), F.when(F.col("seq_id") % 5 > 0, F.col("dna")).alias("dna")), J.covering_pairs(x.x_exon).select(F.col("covered").alias("exon_id"), "master")),

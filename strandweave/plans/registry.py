@@ -214,8 +214,8 @@ _add("JOIN-16", lambda x: K.reverse_maps(x.x_pair), "SELECT cognate_exon_id AS e
 _add("JOIN-19", lambda x: x.x_exon.select("exon_id", "gene_id").join(x.x_gene.select("gene_id", "stable_id"), "gene_id").select("exon_id", "stable_id"), "SELECT exon_id, stable_id FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id")
 _add("JOIN-27", lambda x: x.x_gene.join(x.nation.select(F.col("n_nationkey").cast("long").alias("region_id"), F.col("n_name").alias("region_name")), "region_id").select("gene_id", "region_name", "region_start", "region_end", "strand"), "SELECT gene_id, n_name AS region_name, region_start, region_end, strand FROM x_gene JOIN nation ON region_id=n_nationkey")
 _add("JOIN-28", lambda x: _ortho(x).where(F.col("cognate_species").isin(1, 4, 9)).select("gene_id", "cognate_gene_id").distinct(), f"SELECT DISTINCT gene_id, cognate_gene_id FROM {ORTHO} q WHERE cognate_species IN (1,4,9)")
-_add("AGG-04", lambda x: K.assembled_cdna(_strand(x).where("is_coding = 1").join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.col("dna").alias("whole")), "gene_id").withColumn("dna", F.substring(F.col("whole"), F.col("phase") + 1, F.lit(30)))),
-     "SELECT gene_id, CASE WHEN min(strand)<0 THEN reverse(translate(string_agg(d,'' ORDER BY start_in_gene, exon_id),'ACGTacgt','TGCAtgca')) ELSE string_agg(d,'' ORDER BY start_in_gene, exon_id) END AS cdna FROM (SELECT e.*, g.strand, substr(s.dna, e.phase+1, 30) AS d FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id WHERE is_coding=1) q GROUP BY gene_id")
+_add("AGG-04", lambda x: K.assembled_cdna(_strand(x).where("is_coding = 1").join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.col("dna").alias("whole")), "gene_id").where("start_in_gene > 0").withColumn("dna", F.expr("substr(whole, start_in_gene, end_in_gene - start_in_gene + 1)"))),
+     "SELECT gene_id, CASE WHEN min(strand)<0 THEN reverse(translate(string_agg(d,'' ORDER BY start_in_gene, exon_id),'ACGTacgt','TGCAtgca')) ELSE string_agg(d,'' ORDER BY start_in_gene, exon_id) END AS cdna FROM (SELECT e.*, g.strand, substr(s.dna, start_in_gene, end_in_gene-start_in_gene+1) AS d FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id WHERE is_coding=1 AND start_in_gene>0) q GROUP BY gene_id")
 _add("AGG-13", lambda x: K.coverage(x.x_gene.select("gene_id"), x.x_exon.select("gene_id").distinct(), "gene_id"), "SELECT count(*) AS total, count(CASE WHEN gene_id NOT IN (SELECT gene_id FROM x_exon) THEN 1 END) AS without_hit FROM x_gene")
 _add("TOP-01", lambda x: x.x_gene.groupBy("species_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "species_id"), "SELECT species_id, count(*) AS n FROM x_gene GROUP BY species_id ORDER BY n DESC, species_id")
 _add("TOP-08", lambda x: x.x_hom.groupBy("homology_id").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "homology_id"), "SELECT homology_id, count(*) AS size FROM x_hom GROUP BY homology_id ORDER BY size DESC, homology_id")

@@ -27,8 +27,8 @@ ALIKE = f"substr(translate(a,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)=substr(tran
 SCORE = f"CASE WHEN length(replace(a,'-',''))=0 OR length(replace(b,'-',''))=0 OR len(list_filter(range(1,61), lambda p: substr(a,p,1)<>'-' AND substr(b,p,1)<>'-'))=0 THEN 0.0 ELSE sqrt(CAST(len(list_filter(range(1,61), lambda p: {ALIKE})) AS DOUBLE)*len(list_filter(range(1,61), lambda p: {ALIKE}))/(CAST(length(replace(a,'-','')) AS DOUBLE)*length(replace(b,'-','')))) END"
 
 # sequences
-_add("SEQ-04", lambda x: x.x_seq.select("seq_id", S.retry_translation(F.expr("substr(dna, 1, 60)"), (F.col("seq_id") % 3).cast("int")).alias("pep")),
-     f"WITH f AS (SELECT seq_id, k, substr(substr(dna,1,60), 1+(3-(seq_id%3+k)%3)%3) AS dna FROM x_seq, (SELECT unnest([0,1,3]) AS k) q), t AS (SELECT seq_id, k, regexp_replace({PEPTIDE},'\\*$','') AS p FROM f) SELECT seq_id, coalesce(min_by(p, k) FILTER (WHERE NOT contains(p,'*')),'') AS pep FROM t GROUP BY seq_id")
+_add("SEQ-04", lambda x: x.x_seq.select("seq_id", S.retry_translation(F.col("dna"), (F.col("seq_id") % 3).cast("int")).alias("pep")),
+     f"WITH f AS (SELECT seq_id, k, substr(dna, 1+(3-(seq_id%3+k)%3)%3) AS dna FROM x_seq, (SELECT unnest([0,1,3]) AS k) q), t AS (SELECT seq_id, k, regexp_replace({PEPTIDE},'\\*$','') AS p FROM f) SELECT seq_id, coalesce(min_by(p, k) FILTER (WHERE NOT contains(p,'*')),'') AS pep FROM t GROUP BY seq_id")
 
 
 def _slices(x: Inputs) -> DataFrame:
@@ -59,8 +59,8 @@ def _framed(x: Inputs) -> DataFrame:
 
 _add("SEQ-15", lambda x: _framed(x).select("a_id", "b_id", *(S.without_double_gaps(F.col("a"), F.col("b"), F.col(c)).alias(n) for c, n in (("a", "first"), ("b", "second")))),
      f"SELECT a_id, b_id, {BOTH.format('a')} AS first, {BOTH.format('b')} AS second FROM (SELECT a_id, b_id, rpad(repeat('-', a_id%5-least(a_id%5,b_id%4)) || a, CAST(60+abs(a_id%5-b_id%4) AS INT), '-') AS a, rpad(repeat('-', b_id%4-least(a_id%5,b_id%4)) || b, CAST(60+abs(a_id%5-b_id%4) AS INT), '-') AS b, range(1,66) AS ps FROM {PAIRS} q) q")
-_add("SEQ-16", lambda x: A.decorated(_strand(x).join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.expr("substr(pep, 1, 12)").alias("pep")), "gene_id")).select("gene_id", F.explode(S.exon_spans(F.col("decorated"))).alias("s")).select("gene_id", "s.*"),
-     "SELECT gene_id, lpad(CAST(r AS VARCHAR),3,'0') AS label, CAST((r-1)*(n+5)+4 AS INT) AS first, CAST((r-1)*(n+5)+4+n AS INT) AS last FROM (SELECT e.gene_id, length(substr(s.pep,1,12)) AS n, row_number() OVER (PARTITION BY e.gene_id ORDER BY CASE WHEN g.strand<0 THEN -start_in_gene ELSE start_in_gene END, exon_id) AS r FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id) q")
+_add("SEQ-16", lambda x: A.decorated(_strand(x).join(x.x_seq.select(F.col("seq_id").alias("gene_id"), "pep"), "gene_id")).select("gene_id", F.explode(S.exon_spans(F.col("decorated"))).alias("s")).select("gene_id", "s.*"),
+     "SELECT gene_id, lpad(CAST(r AS VARCHAR),3,'0') AS label, CAST((r-1)*(n+5)+4 AS INT) AS first, CAST((r-1)*(n+5)+4+n AS INT) AS last FROM (SELECT e.gene_id, length(s.pep) AS n, row_number() OVER (PARTITION BY e.gene_id ORDER BY CASE WHEN g.strand<0 THEN -start_in_gene ELSE start_in_gene END, exon_id) AS r FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id JOIN x_seq s ON s.seq_id=e.gene_id) q")
 
 
 def _threads(x: Inputs) -> DataFrame:
@@ -85,10 +85,10 @@ _patch = lambda x: _base_pairs(x).select("a_id", "b_id", S.patched(F.col("a"), F
 BASES = "translate({},'ARNDCQEGHILKMFPSTWYVX','ACGTACGTACGTACGTACGTA')"
 _add("SEQ-20", _patch,
      f"WITH c AS (SELECT a_id, b_id, i, substr(a,3*i+1,3) AS t, substr(b,3*i+1,3) AS m FROM (SELECT a_id, b_id, {BASES.format('a')} AS a, {BASES.format('b')} AS b, unnest(range(0,20)) AS i FROM {PAIRS} q) q), n AS (SELECT *, CASE WHEN length(replace(t,'-',''))=2 AND substr(m,strpos(t,'-'),1)<>'-' THEN replace(t,'-',substr(m,greatest(strpos(t,'-'),1),1)) END AS w FROM c), k AS (SELECT *, CASE WHEN w IS NOT NULL AND w NOT IN ('TAA','TAG','TGA') THEN w END AS f FROM n) SELECT a_id, b_id, string_agg(coalesce(f,t),'' ORDER BY i) AS patched, coalesce(string_agg(CAST(i AS VARCHAR),',' ORDER BY i) FILTER (WHERE f IS NOT NULL),'') AS codons FROM k GROUP BY a_id, b_id")
-_add("SEQ-24", lambda x: x.x_seq.select("seq_id", S.start_codon(F.expr("substr(dna, 1, 300)"), (F.col("seq_id") % 60).cast("int"), 10, 30).alias("place")),
-     "SELECT seq_id, CAST(list_filter(list_concat(list_transform(range(1,11), lambda i: seq_id%60-3*i), list_transform(range(0,31), lambda i: seq_id%60+3*i)), lambda p: p>=0 AND substr(substr(dna,1,300),CAST(p+1 AS INT),3)='ATG')[1] AS INT) AS place FROM x_seq")
-_add("SEQ-26", lambda x: _pairs(x).select("a_id", "b_id", S.close_enough(F.expr("substr(a, 1, 6)"), F.expr("substr(b, 1, 7)")).alias("close")),
-     f"SELECT a_id, b_id, abs(length(a)-length(b))<=3 AND len(list_filter(range(1,least(length(a),length(b))+1), lambda p: substr(a,p,1)<>substr(b,p,1)))<=2 AS close FROM (SELECT a_id, b_id, ltrim(substr(a,1,6),'X') AS a, ltrim(substr(b,1,7),'X') AS b FROM {PAIRS} q) q")
+_add("SEQ-24", lambda x: x.x_seq.select("seq_id", S.start_codon(F.col("dna"), (F.col("seq_id") % 60).cast("int"), 10, 30).alias("place")),
+     "SELECT seq_id, CAST(list_filter(list_concat(list_transform(range(1,11), lambda i: seq_id%60-3*i), list_transform(range(0,31), lambda i: seq_id%60+3*i)), lambda p: p>=0 AND substr(dna,CAST(p+1 AS INT),3)='ATG')[1] AS INT) AS place FROM x_seq")
+_add("SEQ-26", lambda x: _pairs(x).select("a_id", "b_id", S.close_enough(F.col("a"), F.col("b")).alias("close")),
+     f"SELECT a_id, b_id, abs(length(a)-length(b))<=3 AND len(list_filter(range(1,least(length(a),length(b))+1), lambda p: substr(a,p,1)<>substr(b,p,1)))<=2 AS close FROM (SELECT a_id, b_id, ltrim(a,'X') AS a, ltrim(b,'X') AS b FROM {PAIRS} q) q")
 _add("SEQ-27", lambda x: x.x_gene.select("gene_id", F.explode(S.positions_of(F.concat_ws(" ", (F.col("gene_id") % 50 + 1).cast("string"), (F.col("gene_id") % 50 + 1 + F.col("species_id") % 4).cast("string")))).alias("pos")), "SELECT gene_id, unnest(range(gene_id%50, gene_id%50+1+species_id%4)) AS pos FROM x_gene")
 _add("SEQ-30", lambda x: A.cdna_positions(_slices(x)).select("gene_id", F.col("cdna_end").alias("position"), F.left("right_flank", F.lit(9)).alias("donor"), F.right("left_flank", F.lit(12)).alias("acceptor")),
      f"SELECT gene_id, CAST(sum(end_in_gene-start_in_gene+1) OVER (PARTITION BY gene_id ORDER BY CASE WHEN strand<0 THEN -start_in_gene ELSE start_in_gene END, exon_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS position, left(right_flank,9) AS donor, right(left_flank,12) AS acceptor FROM {SLICES} q")
@@ -114,6 +114,34 @@ _add("ALN-08", lambda x: T.conserved_levels(x.x_aln, x.x_seq.select("seq_id", (F
 _add("ALN-09", lambda x: T.boundaries(x.x_aln.withColumn("seq", F.translate("seq", "RST", "ZZZ"))), f"SELECT DISTINCT aln_id, pos FROM {LONG} q WHERE substr(translate(seq,'RST','ZZZ'),pos,3)='-Z-'")
 
 
+def _marked_peptides(x: Inputs) -> DataFrame:
+    """Aligned rows with a boundary mark at a column that changes with the sequence, and a second one in every other row."""
+    at = (F.col("seq_id") % 3 * 10 + 6).cast("int")
+    one = F.concat(F.substring("seq", F.lit(1), at), F.lit("-Z-"), F.substring(F.col("seq"), at + 4, F.length("seq")))
+    two = F.when(F.col("seq_id") % 2 == 0, F.concat(F.substring("one", 1, 40), F.lit("-Z-"), F.expr("substring(one, 44)"))).otherwise(F.col("one"))
+    return x.x_aln.withColumn("one", one).select("aln_id", "seq_id", two.alias("seq"))
+
+
+def _exons_of_rows(x: Inputs) -> DataFrame:
+    """For each exon of these rows as many bases of the sequence as it has residues, and ten on both sides."""
+    rows = _marked_peptides(x).select("seq_id", F.posexplode(F.split("seq", "-Z-")).alias("exon_no", "pep")).join(x.x_seq.select("seq_id", F.col("dna").alias("whole")), "seq_id")
+    rows = rows.withColumn("n", 3 * F.length(_bare(F.col("pep"))))
+    return rows.select("seq_id", "exon_no", F.expr("substring(whole, 100 * exon_no + 11, n)").alias("dna"), F.expr("substring(whole, 100 * exon_no + 1, 10)").alias("left_flank"), F.expr("substring(whole, 100 * exon_no + 11 + n, 10)").alias("right_flank"))
+
+
+ROWS_Z = "(SELECT aln_id, seq_id, CASE WHEN seq_id%2=0 THEN substr(one,1,40)||'-Z-'||substr(one,44) ELSE one END AS seq FROM (SELECT aln_id, seq_id, substr(seq,1,CAST(seq_id%3*10+6 AS INT))||'-Z-'||substr(seq,CAST(seq_id%3*10+10 AS INT)) AS one FROM x_aln) q)"
+_add("ALN-18", lambda x: T.protein_to_dna(_marked_peptides(x), _exons_of_rows(x), 12),
+     f"WITH m AS (SELECT * FROM {ROWS_Z} q), b AS (SELECT aln_id, list_sort(list(DISTINCT i)) AS bs FROM (SELECT aln_id, seq, unnest(range(0,60)) AS i FROM m) q WHERE substr(seq,i+1,3)='-Z-' GROUP BY aln_id), "
+     "r AS (SELECT m.*, bs, list_filter(bs, lambda p: substr(seq,p+1,3)='-Z-') AS own FROM m JOIN b USING (aln_id)), "
+     "e AS (SELECT *, unnest(range(0,len(own)+1)) AS k FROM r), "
+     "p AS (SELECT aln_id, seq_id, k, seq, bs, CASE WHEN k=0 THEN 0 ELSE own[k]+3 END AS a, CASE WHEN k=len(own) THEN length(seq) ELSE own[k+1] END AS z FROM e), "
+     "d AS (SELECT p.*, substr(seq,a+1,z-a) AS pep, list_filter(bs, lambda g: g>a-3 AND g<z) AS ins, 3*length(replace(substr(seq,a+1,z-a),'-','')) AS n, s.dna AS w FROM p LEFT JOIN x_seq s USING (seq_id)), "
+     "t AS (SELECT *, CASE WHEN n=0 OR w IS NULL OR length(substr(w,100*k+11,n))<>n THEN repeat('-',CAST(24+3*length(pep) AS INT)) ELSE lpad(lower(substr(w,100*k+1,10)),12,'-') || array_to_string(list_transform(range(1,length(pep)+1), lambda i: CASE WHEN substr(pep,i,1)='-' THEN '---' ELSE substr(w,100*k+11+3*length(replace(substr(pep,1,i-1),'-','')),3) END),'') || rpad(lower(substr(w,100*k+11+n,10)),12,'-') END AS line FROM d), "
+     "u AS (SELECT *, list_transform(ins, lambda g: 12+3*(g-a)) AS c FROM t), "
+     "v AS (SELECT aln_id, seq_id, k, array_to_string(list_transform(range(0,len(c)+1), lambda j: substr(line, CASE WHEN j=0 THEN 1 ELSE c[j]+10 END, greatest((CASE WHEN j=len(c) THEN length(line) ELSE c[j+1] END) - (CASE WHEN j=0 THEN 0 ELSE c[j]+9 END), 0))), repeat('-',12)||'-Z-'||repeat('-',12)) AS txt FROM u) "
+     "SELECT aln_id, seq_id, string_agg(txt, '-Z-' ORDER BY k) AS row FROM v GROUP BY aln_id, seq_id")
+
+
 def _pieces(x: Inputs) -> DataFrame:
     k = (F.col("seq_id") % 6 * 9).cast("int")
     return x.x_aln.select("aln_id", "seq_id", F.rpad(F.concat(F.repeat(F.lit("-"), k), F.substring(F.col("seq"), k + 1, F.lit(8))), 60, "-").alias("seq"))
