@@ -12,85 +12,140 @@ from pyspark.sql import functions as F
 from strandweave.operators.components import connected_components
 from strandweave.session import Cut
 
-POOL, DEGREE, ALPHA, STARTS, BEAM = 48, 16, 1.2, 8, 4
+POOL, DEGREE, ALPHA, STARTS, BATCH = 48, 16, 1.2, 8, 128
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def build_graph(x: np.ndarray, pool: int = POOL, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
-    """Robust-pruned neighbours of each vector of a shard, (n, degree), -1 where there are fewer.
-
-    From the nearest ``pool`` vectors, the nearest is kept and every other one dropped that lies alpha times nearer to
-    it than to the vector itself, and so on; all rows at once.
-    """
-    n = len(x)
-    pool = min(pool, n - 1)
-    out = np.full((n, degree), -1, np.int32)
-    if pool < 1:
-        return out
-    sims = x @ x.T
-    np.fill_diagonal(sims, -2)
-    near = np.argpartition(-sims, pool - 1, axis=1)[:, :pool]
-    own = np.take_along_axis(sims, near, 1)
-    order = np.argsort(-own, axis=1, kind="stable")
-    near, own = np.take_along_axis(near, order, 1), np.take_along_axis(own, order, 1)
-    far = np.maximum(1 - own, 0)
-    alive = np.ones_like(near, bool)
-    rows = np.arange(n)
-    for slot in range(min(degree, pool)):
-        first = alive.argmax(axis=1)
-        some = alive[rows, first]
-        pick = near[rows, first]
-        out[some, slot] = pick[some]
-        between = np.maximum(1 - sims[pick[:, None], near], 0)
-        alive &= alpha * between > far
-        alive[rows, first] = False
-        if not some.any():
+class Walker:
+    """Walks over the graph of one shard; similarities are computed for the visited vectors only and counted in ``evaluations``."""
+
+    def __init__(self, x: np.ndarray, graph: np.ndarray):
+        self.x, self.graph, self.evaluations = x, graph, 0
+
+    def sims(self, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+        self.evaluations += len(q)
+        steps = range(0, len(q), 200_000)
+        return np.concatenate([np.einsum("ij,ij->i", self.x[q[i : i + 200_000]], self.x[v[i : i + 200_000]]) for i in steps]) if len(q) else np.zeros(0, self.x.dtype)
+
+    def greedy(self, queries: np.ndarray, starts: np.ndarray, width: int = POOL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nearest, their similarities, seen): the ``width`` nearest vectors that a best-first walk from ``starts`` meets."""
+        n, m = len(self.x), len(queries)
+        seen = np.zeros((m, n), bool)
+        near = np.full((m, width), -1, np.int64)
+        value = np.full((m, width), -3.0, self.x.dtype)
+        closed = np.ones((m, width), bool)
+        rows = np.arange(m)
+        fresh = np.broadcast_to(starts, (m, len(starts)))
+        while len(rows):
+            new = (fresh >= 0) & ~seen[rows[:, None], np.maximum(fresh, 0)]
+            at, slot = np.nonzero(new)
+            found = np.full(fresh.shape, -3.0, self.x.dtype)
+            found[at, slot] = self.sims(queries[rows[at]], fresh[at, slot])
+            seen[rows[at], fresh[at, slot]] = True
+            ids = np.hstack([near[rows], np.where(new, fresh, -1)])
+            score = np.hstack([value[rows], found])
+            shut = np.hstack([closed[rows], ~new])
+            top = np.argpartition(-score, width - 1, axis=1)[:, :width]
+            near[rows], value[rows], closed[rows] = (np.take_along_axis(a, top, 1) for a in (ids, score, shut))
+            rows = rows[~closed[rows].all(axis=1)]
+            pick = np.where(closed[rows], -4, value[rows]).argmax(axis=1)
+            closed[rows, pick] = True
+            fresh = self.graph[near[rows, pick]]
+        return near, value, seen
+
+    def in_range(self, queries: np.ndarray, starts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, vector) pairs within range: the greedy walk, then along all neighbours of whatever lies in range."""
+        near, value, seen = self.greedy(queries, starts)
+        n = len(self.x)
+        q, slot = np.nonzero(value >= least)
+        v = near[q, slot]
+        all_q, all_v = [q], [v]
+        while len(q):
+            key = (q[:, None] * n + self.graph[v])[self.graph[v] >= 0]
+            key = np.unique(key)
+            key = key[~seen.ravel()[key]]
+            seen.ravel()[key] = True
+            q, v = key // n, key % n
+            ok = self.sims(queries[q], v) >= least
+            q, v = q[ok], v[ok]
+            all_q.append(q)
+            all_v.append(v)
+        found, others = queries[np.concatenate(all_q)], np.concatenate(all_v)
+        return found[found != others], others[found != others]
+
+
+def prune(walker: Walker, rows: np.ndarray, pool: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """Robust-pruned neighbours, (len(rows), degree): the nearest of the pool is kept and every other one dropped that lies
+    alpha times nearer to it than to the vector itself, and so on."""
+    out = np.full((len(rows), degree), -1, np.int64)
+    at, slot = np.nonzero(pool >= 0)
+    far = np.full(pool.shape, np.inf)
+    far[at, slot] = np.maximum(1 - walker.sims(rows[at], pool[at, slot]), 0)
+    alive = (pool >= 0) & (pool != rows[:, None])
+    for k in range(degree):
+        some = np.flatnonzero(alive.any(axis=1))
+        if not len(some):
             break
+        first = np.where(alive[some], far[some], np.inf).argmin(axis=1)
+        pick = pool[some, first]
+        out[some, k] = pick
+        alive[some, first] = False
+        alive[some] &= pool[some] != pick[:, None]
+        at, slot = np.nonzero(alive[some])
+        between = np.maximum(1 - walker.sims(pick[at], pool[some[at], slot]), 0)
+        drop = alpha * between <= far[some[at], slot]
+        alive[some[at[drop]], slot[drop]] = False
     return out
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, least: float, starts: np.ndarray, rounds: int = 64) -> np.ndarray:
-    """Which vectors of a shard lie within range of which, (n, n) bool, as the graph finds them.
+def build_graph(x: np.ndarray, pool: int = POOL, degree: int = DEGREE, alpha: float = ALPHA) -> Walker:
+    """The robust-pruned graph of a shard, up to 2 * degree neighbours a vector (-1 where fewer).
 
-    Every vector is a query: a greedy walk from the medoids to its nearest vectors, a beam at a time, and from the
-    vectors found in range on along all their neighbours, until no new one is in range.
+    Vectors enter in batches of fixed size, in an order that does not depend on their ids: each walks the graph so far,
+    its pool is what the walk meets and the nearest of its own batch, and its kept neighbours get an edge back; lists
+    that overflow are pruned again. The work for a vector does not grow with the shard beyond the length of its walk.
     """
     n = len(x)
-    sims = x @ x.T
-    seen = np.zeros((n, n), bool)
-    done = np.zeros((n, n), bool)
-    seen[:, starts] = True
-    queries = np.arange(n)
-    active = queries
-    for _ in range(rounds):
-        open_ = np.where(seen[active] & ~done[active], sims[active], -3)
-        top = np.argpartition(-open_, min(BEAM, n - 1), axis=1)[:, :BEAM] if n > BEAM else np.tile(np.arange(n), (len(active), 1))
-        value = np.take_along_axis(open_, top, 1)
-        best = np.where(done[active], sims[active], -3).max(axis=1)
-        go = (value > -3) & ((value >= best[:, None] - 0.05) | (value >= least))
-        if not go.any():
-            break
-        q, v = np.repeat(active, top.shape[1])[go.ravel()], top.ravel()[go.ravel()]
-        done[q, v] = True
-        q2, v2 = np.repeat(q, graph.shape[1]), graph[v].ravel()
-        seen[q2[v2 >= 0], v2[v2 >= 0]] = True
-        active = active[go.any(axis=1)]
-    hit = seen & (sims >= least)
-    front = hit & ~done
-    while front.any():
-        done |= front
-        q, v = np.nonzero(front)
-        for at in range(0, len(q), 2_000_000):
-            q2, v2 = np.repeat(q[at : at + 2_000_000], graph.shape[1]), graph[v[at : at + 2_000_000]].ravel()
-            seen[q2[v2 >= 0], v2[v2 >= 0]] = True
-        hit = seen & (sims >= least)
-        front = hit & ~done
-    hit |= hit.T
-    np.fill_diagonal(hit, False)
-    return hit
+    graph = np.full((n, 2 * degree), -1, np.int64)
+    filled = np.zeros(n, np.int64)
+    walker = Walker(x, graph)
+    order = np.random.default_rng(n).permutation(n)
+    for begin in range(0, n, BATCH):
+        rows = order[begin : begin + BATCH]
+        mates = x[rows] @ x[rows].T
+        walker.evaluations += mates.size
+        np.fill_diagonal(mates, -3)
+        top = np.argsort(-mates, axis=1, kind="stable")[:, : min(degree, len(rows) - 1)]
+        pools = [rows[top]]
+        if begin:
+            pools.append(walker.greedy(rows, order[: min(STARTS, begin)], pool)[0])
+        kept = prune(walker, rows, np.hstack(pools), degree, alpha)
+        graph[rows, :degree] = kept
+        filled[rows] = (kept >= 0).sum(axis=1)
+        src, slot = np.nonzero(kept >= 0)
+        back: dict[int, list] = {}
+        for a, v in zip(rows[src].tolist(), kept[src, slot].tolist(), strict=True):
+            back.setdefault(v, []).append(a)
+        full = []
+        for v, new in back.items():
+            new = [a for a in new if a not in graph[v, : filled[v]]]
+            if filled[v] + len(new) <= 2 * degree:
+                graph[v, filled[v] : filled[v] + len(new)] = new
+                filled[v] += len(new)
+            else:
+                full.append((v, [*graph[v, : filled[v]].tolist(), *new]))
+        if full:
+            wide = np.full((len(full), max(len(p) for _, p in full)), -1, np.int64)
+            for i, (_, p) in enumerate(full):
+                wide[i, : len(p)] = p
+            own = np.array([v for v, _ in full])
+            graph[own] = -1
+            graph[own, :degree] = prune(walker, own, wide, degree, alpha)
+            filled[own] = (graph[own] >= 0).sum(axis=1)
+    return walker
 
 
 def medoids(x: np.ndarray, count: int = STARTS, rounds: int = 3) -> np.ndarray:
@@ -103,19 +158,18 @@ def medoids(x: np.ndarray, count: int = STARTS, rounds: int = 3) -> np.ndarray:
     return np.unique((x @ means.T).argmax(axis=0))
 
 
-def forest(hit: np.ndarray) -> list[tuple[int, int]]:
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect what the links connect: each vector with the first of its component."""
-    out, left = [], np.ones(len(hit), bool)
-    for root in range(len(hit)):
-        if not left[root]:
-            continue
-        left[root] = False
-        front = hit[root] & left
-        while front.any():
-            left &= ~front
-            out += [(root, int(i)) for i in np.flatnonzero(front)]
-            front = hit[front].any(axis=0) & left
-    return out
+    low = np.arange(n)
+    while len(a):
+        before = low.copy()
+        np.minimum.at(low, a, low[b])
+        np.minimum.at(low, b, low[a])
+        low = low[low]
+        if (low == before).all():
+            break
+    rest = np.flatnonzero(low != np.arange(n))
+    return low[rest], rest
 
 
 def valid_vectors(vectors: DataFrame) -> DataFrame:
@@ -137,17 +191,22 @@ def choose_centres(classes: DataFrame, per_shard: int, most: int) -> dict:
     return {k: unit(np.array(v)) for k, v in groups.items()}
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_shard: int = 1000, block: int = 1500, most_centres: int = 4096, target_recall: float = 0.95) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_shard: int = 1000, block: int = 6000, most_centres: int = 4096, target_recall: float = 0.95) -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept)``: vectors of equal label linked where their cosine is >= ``least``.
 
     Equal vectors of a label are one class from the start. Centres, a bounded sample (``most_centres``), cut each label
-    into shards; every class belongs to the ``overlap`` nearest. A shard above ``block`` members is split into blocks
-    that are compared two at a time, so no task grows with the data. Each block gets a robust-pruned graph, the
-    adjacency lists of a class are united over its blocks, and each block is searched along the united lists from its
-    medoids. Links are decided in double precision; one that several blocks find counts once. The recall of
+    into shards; every class belongs to the ``overlap`` nearest. A shard above ``block`` members is cut again around
+    centres of its own until none is, so no task grows with the data. Each shard gets a robust-pruned graph, the
+    adjacency lists of a class are united over its shards, and each class walks from the medoids of its shards along the
+    united lists; from what it finds in range on, edges into other shards are followed by joins until nothing new is in
+    range. Links are decided in double precision; one that several shards find counts once. The recall of
     n_links, in sum and as the mean over vectors, is audited against brute force over at most 500 vectors; where it falls
-    short, the work is repeated with twice the overlap, and at last with all pairs of a label compared, in blocks. Vectors that are null, zero or hold null or non-finite components, and those without a
-    label, have no links and are components of their own. Vectors of different lengths link with nothing.
+    short, the work is repeated with twice the overlap, and at last with all pairs of a label compared, in blocks.
+
+    Vectors that are null, zero or hold null or non-finite components, and those without a label, have no links and are
+    components of their own. Vectors of different lengths link with nothing. A repeated vec_id gives one row per row of
+    the input; equal repeats link with each other, and all rows of an id share its component. An empty table gives an
+    empty one. Other columns of the input, whatever their names, are not read.
     """
     good = Cut(valid_vectors(vectors), "vectors").df
     classes = Cut(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "vector-classes").df
@@ -156,7 +215,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
         if audit_recall(classes, counts, least) >= target_recall:
             break
     else:
-        counts, edges = _linked(classes, least, overlap, per_shard, block, most_centres, exact=True)
+        counts, edges = _all_pairs(classes, least)
     groups = connected_components(edges, "a", "b")
     members = (
         good.join(classes.select("label", "embedding", "rep", "weight"), ["label", "embedding"])
@@ -169,76 +228,163 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, block: int, most_centres: int, exact: bool = False) -> tuple[DataFrame, DataFrame]:
-    """((vec_id, links), (a, b)): linked weight of each class and edges that connect its component; ``exact``: from all pairs of a label."""
-    spark = classes.sparkSession
-    centres = spark.sparkContext.broadcast({} if exact else choose_centres(classes, per_shard, most_centres))
+def _nearest(x: np.ndarray, centres: np.ndarray, overlap: int) -> list[list[int]]:
+    k = min(overlap, len(centres))
+    return np.sort(np.argpartition(-(x @ centres.T), k - 1, axis=1)[:, :k], axis=1).tolist()
+
+
+def place(classes: DataFrame, overlap: int, per_shard: int, block: int, most_centres: int) -> DataFrame:
+    """(rep, embedding, shard): every class in the shards of its nearest centres, none of them above ``block`` members."""
+    if block < 3 * overlap:
+        raise ValueError("shards of that size cannot be cut with so much overlap")
+    centres = classes.sparkSession.sparkContext.broadcast(choose_centres(classes, per_shard, most_centres))
+    schema = "rep long, embedding array<double>, shard string"
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            shards: list = [None] * len(pdf)
             for (label, size), at in pdf.groupby([pdf.label, pdf.embedding.map(len)]).indices.items():
                 own = centres.value.get((label, size))
-                if own is None:
-                    found = [[f"{label}/{size}/0"]] * len(at)
-                else:
-                    k = min(overlap, len(own))
-                    top = np.argpartition(-(unit(np.stack(pdf.embedding.to_numpy()[at])) @ own.T), k - 1, axis=1)[:, :k]
-                    found = [[f"{label}/{size}/{j}" for j in sorted(row)] for row in top.tolist()]
-                for i, s in zip(at, found, strict=True):
-                    shards[i] = s
-            yield pd.DataFrame({"rep": pdf.rep, "weight": pdf.weight, "embedding": pdf.embedding, "shards": shards})
-
-    placed = Cut(classes.select("label", "rep", "weight", "embedding").mapInPandas(assign, "rep long, weight long, embedding array<double>, shards array<string>"), "shards").df
-    in_shard = placed.withColumn("shard", F.explode("shards"))
-    sizes = in_shard.groupBy("shard").agg(F.count("*").alias("size"))
-    parts = in_shard.join(sizes, "shard").withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
-    # part i of a shard meets every part j in block (min, max); a pair inside part i is decided in block (i, i)
-    mine = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    blocks = parts.withColumn("part", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.withColumn("block", F.concat_ws("/", "shard", F.least("part", "other"), F.greatest("part", "other"))).select("block", "part", "rep", "embedding")
+                part = pdf.iloc[at][["rep", "embedding"]]
+                found = [[0]] * len(at) if own is None else _nearest(unit(np.stack(part.embedding.to_numpy())), own, overlap)
+                yield part.assign(shard=[[f"{label}/{size}/{j}" for j in row] for row in found]).explode("shard")
+
+    def divide(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf[pdf.centre].sort_values("rep")
+        part = pdf.loc[~pdf.centre, ["rep", "embedding", "shard"]]
+        if not len(own) or not len(part):
+            return part
+        found = _nearest(unit(np.stack(part.embedding.to_numpy())), unit(np.stack(own.embedding.to_numpy())), overlap)
+        return part.assign(shard=[[f"{s}/{j}" for j in row] for s, row in zip(part.shard, found, strict=True)]).explode("shard")
+
+    cut, level = Cut(classes.select("label", "rep", "embedding").mapInPandas(assign, schema), "shards"), 0
+    while True:
+        sizes = cut.df.groupBy("shard").agg(F.count("*").alias("size"))
+        large = sizes.where(F.col("size") > block)
+        if large.isEmpty():
+            return cut.df
+        level += 1
+        # about as many centres as make shards of per_shard, from 4 * overlap to most_centres; another draw each round
+        wanted = F.least(F.lit(most_centres), F.greatest(F.lit(4 * overlap), F.ceil(F.col("size") / per_shard)))
+        members = cut.df.join(large, "shard").withColumn("buckets", F.ceil(F.col("size") / block).cast("int"))
+        chosen = F.pmod(F.xxhash64("rep", F.lit(level)), F.ceil(F.col("size") / wanted)) == 0
+        own = members.where(chosen).withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1))).withColumn("centre", F.lit(True))
+        members = members.withColumn("bucket", F.pmod(F.xxhash64("rep", F.lit("bucket")), "buckets").cast("int")).withColumn("centre", F.lit(False))
+        both = members.unionByName(own).select("shard", "bucket", "centre", "rep", "embedding")
+        split = both.groupBy("shard", "bucket").applyInPandas(divide, schema)
+        after = Cut(cut.df.join(large, "shard", "left_anti").select("rep", "embedding", "shard").unionByName(split), "shards")
+        cut.drop()
+        cut = after
+
+
+def _ends(ids: np.ndarray, lists: pd.Series) -> np.ndarray:
+    """The united lists as places in ``ids`` (sorted), without the vectors of other shards; -1 fills up."""
+    size = lists.map(len).to_numpy()
+    flat = np.concatenate(lists.to_list()) if size.sum() else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(ids)), size)
+    at = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
+    row, at = row[ids[at] == flat], at[ids[at] == flat]
+    slot = np.arange(len(row)) - np.searchsorted(row, row)
+    out = np.full((len(ids), max(1, int(slot.max(initial=0)) + 1)), -1, np.int64)
+    out[row, slot] = at
+    return out
+
+
+def _exact(x: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose cosine in double precision is in range."""
+    keep = [np.einsum("ij,ij->i", x[a[i : i + 200_000]], x[b[i : i + 200_000]]) >= least for i in range(0, len(a), 200_000)]
+    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+    return a[keep], b[keep]
+
+
+def _rows(ids: np.ndarray, a: np.ndarray, b: np.ndarray, cost: int) -> pd.DataFrame:
+    """One row per vector: the vectors linked with it, edges that connect its component, and its share of the comparisons."""
+    n = len(ids)
+    order = np.argsort(a, kind="stable")
+    linked = np.split(ids[b[order]], np.searchsorted(a[order], np.arange(1, n)))
+    roots, leaves = forest(n, a, b)
+    order = np.argsort(roots, kind="stable")
+    edges = np.split(ids[leaves[order]], np.searchsorted(roots[order], np.arange(1, n)))
+    return pd.DataFrame({"vec_id": ids, "linked": linked, "edges": edges, "cost": np.full(n, cost / n)})
+
+
+FOUND = "vec_id long, linked array<long>, edges array<long>, cost double"
+
+
+def _counts(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    weights = classes.select(F.col("rep").alias("other"), "weight")
+    return Cut(pairs.join(weights, "other").groupBy("vec_id").agg(F.sum("weight").alias("links")), "vector-counts").df
+
+
+def search_shards(placed: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(found, united lists): what each class finds within its shards, as FOUND, and ``(rep, near)``."""
 
     def adjacency(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
         ids = pdf.rep.to_numpy()
-        if exact:
-            return pd.DataFrame({"rep": ids, "near": [ids[:0]] * len(ids)})
-        graph = build_graph(unit(np.stack(pdf.embedding.to_numpy())).astype(np.float32))
+        graph = build_graph(unit(np.stack(pdf.embedding.to_numpy())).astype(np.float32)).graph
         return pd.DataFrame({"rep": ids, "near": [ids[g[g >= 0]] for g in graph]})
 
-    lists = blocks.groupBy("block").applyInPandas(adjacency, "rep long, near array<long>")
+    lists = placed.groupBy("shard").applyInPandas(adjacency, "rep long, near array<long>")
     united = Cut(lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency").df
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
         ids, x = pdf.rep.to_numpy(), unit(np.stack(pdf.embedding.to_numpy()))
-        n = len(ids)
-        ends = [np.searchsorted(ids, own[(own >= ids[0]) & (own <= ids[-1])]) for own in map(np.asarray, pdf.near)]
-        here = [e[ids[e] == own[(own >= ids[0]) & (own <= ids[-1])]] for e, own in zip(ends, map(np.asarray, pdf.near), strict=True)]
-        graph = np.full((n, max(1, max(map(len, here)))), -1, np.int32)
-        for i, e in enumerate(here):
-            graph[i, : len(e)] = e
-        hit = (x @ x.T >= least - 1e-5) & ~np.eye(n, dtype=bool) if exact else range_search(x.astype(np.float32), graph, least - 1e-5, medoids(x))
-        rows, cols = np.nonzero(hit)
-        cosine = np.concatenate([np.einsum("ij,ij->i", x[rows[i : i + 200_000]], x[cols[i : i + 200_000]]) for i in range(0, len(rows), 200_000)]) if len(rows) else np.zeros(0)
-        hit[rows[cosine < least], cols[cosine < least]] = False
+        walker = Walker(x.astype(np.float32), _ends(ids, pdf.near))
+        starts = medoids(walker.x)
+        hits = [walker.in_range(np.arange(i, min(i + 1024, len(ids))), starts, least - 1e-5) for i in range(0, len(ids), 1024)]
+        a, b = _exact(x, np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits]), least)
+        both = np.unique(np.concatenate([a * len(ids) + b, b * len(ids) + a]))
+        return _rows(ids, both // len(ids), both % len(ids), walker.evaluations)
+
+    return Cut(placed.join(united, "rep").groupBy("shard").applyInPandas(search, FOUND), "vector-links").df, united
+
+
+def _linked(classes: DataFrame, least: float, overlap: int, per_shard: int, block: int, most_centres: int) -> tuple[DataFrame, DataFrame]:
+    """((vec_id, links), (a, b)): linked weight of each class and edges that connect its component."""
+    placed = place(classes, overlap, per_shard, block, most_centres)
+    found, united = search_shards(placed, least)
+    pairs = Cut(found.select("vec_id", F.explode("linked").alias("other")).distinct(), "vector-pairs").df
+    edges = found.select(F.col("vec_id").alias("a"), F.explode("edges").alias("b"))
+    shards = Cut(placed.groupBy("rep").agg(F.collect_set("shard").alias("shards")), "vector-shards").df
+    steps = united.select(F.col("rep").alias("other"), F.explode("near").alias("next"))
+    steps = steps.join(shards.select(F.col("rep").alias("next"), F.col("shards").alias("next_shards")), "next")
+    own = classes.select(F.col("rep").alias("vec_id"), F.col("embedding").alias("x"))
+    their = classes.select(F.col("rep").alias("next"), F.col("embedding").alias("y"))
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+    front = pairs
+    while True:
+        # edges that leave the shards of a vector, from what it has in range
+        out = front.join(shards.withColumnRenamed("rep", "vec_id"), "vec_id").join(steps, "other").where("vec_id <> next").where(~F.arrays_overlap("shards", "next_shards"))
+        new = out.select("vec_id", "next").distinct().join(pairs.withColumnRenamed("other", "next"), ["vec_id", "next"], "left_anti")
+        near = new.join(own, "vec_id").join(their, "next").where(dot("x", "y") / F.sqrt(dot("x", "x")) / F.sqrt(dot("y", "y")) >= least)
+        sides = F.explode(F.array(F.struct("vec_id", F.col("next").alias("other")), F.struct(F.col("next").alias("vec_id"), F.col("vec_id").alias("other"))))
+        front = Cut(near.select(sides.alias("p")).select("p.*").distinct(), "vector-pairs").df
+        if front.isEmpty():
+            return _counts(classes, pairs), edges
+        pairs = pairs.unionByName(front)
+        edges = edges.unionByName(front.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
+
+
+def _all_pairs(classes: DataFrame, least: float, block: int = 1500) -> tuple[DataFrame, DataFrame]:
+    """As ``_linked``, from all pairs of a label: its classes in parts, two parts a task; the last resort where the audit fails."""
+    keyed = classes.select("rep", "embedding", F.concat_ws("/", "label", F.size("embedding")).alias("shard"))
+    sizes = keyed.groupBy("shard").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    blocks = keyed.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("rep"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = blocks.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).select("shard", "low", "high", "part", "rep", "embedding")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        ids, x = pdf.rep.to_numpy(), unit(np.stack(pdf.embedding.to_numpy()))
+        part = pdf.part.to_numpy()
         # a pair inside one part is decided in that part's own block
-        part, name = pdf.part.to_numpy(), pdf.block.iloc[0]
-        if (part != part[0]).any():
-            hit &= part[:, None] != part[None, :]
-        elif not name.endswith(f"/{part[0]}/{part[0]}"):
-            hit[:] = False
-        edges: list = [[] for _ in range(n)]
-        for a, b in forest(hit):
-            edges[a].append(ids[b])
-        return pd.DataFrame({"vec_id": ids, "linked": [ids[h] for h in hit], "edges": edges})
-
-    found = Cut(blocks.join(united, "rep").groupBy("block").applyInPandas(search, "vec_id long, linked array<long>, edges array<long>"), "vector-links").df
-    # several blocks can find a link, and any of them counts, but once
+        hit = (x @ x.T >= least - 1e-5) & ((part[:, None] != part[None, :]) | (pdf.low.iloc[0] == pdf.high.iloc[0])) & ~np.eye(len(ids), dtype=bool)
+        a, b = _exact(x, *np.nonzero(hit), least)
+        return _rows(ids, a, b, len(ids) ** 2)
+
+    found = Cut(blocks.groupBy("shard", "low", "high").applyInPandas(compare, FOUND), "vector-links").df
     pairs = found.select("vec_id", F.explode("linked").alias("other")).distinct()
-    weights = classes.select(F.col("rep").alias("other"), "weight")
-    counts = Cut(pairs.join(weights, "other").groupBy("vec_id").agg(F.sum("weight").alias("links")), "vector-counts").df
-    return counts, found.select(F.col("vec_id").alias("a"), F.explode("edges").alias("b"))
+    return _counts(classes, pairs), found.select(F.col("vec_id").alias("a"), F.explode("edges").alias("b"))
 
 
 def audit_recall(classes: DataFrame, counts: DataFrame, least: float, sample: int = 500) -> float:

@@ -156,12 +156,55 @@ def test_near_vectors_equal_brute_force(spark):
         assert got[i][1] == min(seen)
 
 
+def planted(n, size=32):
+    """Unit vectors in groups of four, within a group at all distances around the threshold."""
+    rng = np.random.default_rng(n)
+    rows = np.repeat(rng.normal(size=(n // 4, size)), 4, axis=0) + rng.normal(size=(n, size)) * 0.15 * rng.random((n, 1))
+    return vector_graph.unit(rows)
+
+
+def test_graph_walks_find_the_links_with_few_comparisons():
+    cost = {}
+    for n in (1000, 4000):
+        x = planted(n)
+        built = vector_graph.build_graph(x.astype(np.float32))
+        walker = vector_graph.Walker(built.x, built.graph)
+        a, b = vector_graph._exact(x, *walker.in_range(np.arange(n), vector_graph.medoids(x), 0.98 - 1e-5), 0.98)
+        truth = x @ x.T >= 0.98
+        np.fill_diagonal(truth, False)
+        assert truth[a, b].all()
+        assert len(set(zip(a.tolist(), b.tolist(), strict=True))) >= 0.97 * truth.sum()
+        cost[n] = (built.evaluations + walker.evaluations) / n
+    assert cost[4000] < 1.6 * cost[1000]
+
+
+def test_large_shards_are_cut_again_and_edges_lead_from_shard_to_shard(spark):
+    x = planted(600)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    classes = table.selectExpr("label", "embedding", "vec_id as rep", "1L as weight")
+    placed = vector_graph.place(classes, 2, 400, 150, 4096)
+    assert placed.groupBy("shard").count().agg({"count": "max"}).first()[0] <= 150
+    assert placed.select("rep").distinct().count() == 600
+    got = {r.vec_id: r.n_links for r in vector_graph.near_vectors(table, overlap=2, per_shard=60, block=150, target_recall=0.0).collect()}
+    truth = (x @ x.T >= 0.98).sum(axis=1) - 1
+    assert all(got[i] <= truth[i] for i in range(600)) and sum(got.values()) >= 0.9 * truth.sum()
+
+
+def test_vectors_repeated_empty_and_with_other_columns(spark):
+    schema = "vec_id long, embedding array<float>, label int, shard string, rep int, near string, weight string, other int"
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0), (3, [0.0, 1.0], 0), (4, [1.0, 0.0], 1)]
+    table = spark.createDataFrame([(*r, "s", 1, None, "w", 0) for r in rows], schema)
+    got = sorted(tuple(r) for r in vector_graph.near_vectors(table).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True)]
+    assert vector_graph.near_vectors(table.limit(0)).count() == 0
+
+
 def test_vector_recall_is_audited_per_vector(spark):
     hot, cold = [[1.0, 0.0], [1.0, 0.01]], [[0.0, 1.0], [0.01, 1.0]]
     classes = spark.createDataFrame([(i, "x", v, 1000 if i < 2 else 1) for i, v in enumerate(hot + cold)], "rep long, label string, embedding array<double>, weight long").coalesce(1)
     counts = spark.createDataFrame([(0, 1000), (1, 1000)], "vec_id long, links long").coalesce(1)
     assert vector_graph.audit_recall(classes, counts, 0.98) == 0.5
-    links, _ = vector_graph._linked(classes, 0.98, 1, 1, 2, 4096, exact=True)
+    links, _ = vector_graph._all_pairs(classes, 0.98, block=2)
     assert {r.vec_id: r.links for r in links.collect()} == {0: 1000, 1: 1000, 2: 1, 3: 1}
 
 
