@@ -205,7 +205,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
 
     Vectors that are null, zero or hold null or non-finite components, and those without a label, have no links and are
     components of their own. Vectors of different lengths link with nothing. A repeated vec_id gives one row per row of
-    the input; equal repeats link with each other, and all rows of an id share its component. An empty table gives an
+    the input; equal repeats link with each other, and all rows of an id bear its most links and its least component. An empty table gives an
     empty one. Other columns of the input, whatever their names, are not read.
     """
     good = Cut(valid_vectors(vectors), "vectors").df
@@ -223,6 +223,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_
         .join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .select(F.col("vec_id").alias("of"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
     )
+    members = members.groupBy("of").agg(F.max("links").alias("links"), F.min("component").alias("component"))
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
     out = every.join(members, F.col("vec_id") == F.col("of"), "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
