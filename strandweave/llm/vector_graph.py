@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandweave.operators.components import connected_components
 from strandweave.session import Cut
 
-POOL, DEGREE, ALPHA, STARTS, BATCH = 48, 16, 1.2, 8, 128
+POOL, DEGREE, ALPHA, STARTS, BATCH = 32, 16, 1.2, 8, 128
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -30,14 +30,14 @@ class Walker:
         steps = range(0, len(q), 200_000)
         return np.concatenate([np.einsum("ij,ij->i", self.x[q[i : i + 200_000]], self.x[v[i : i + 200_000]]) for i in steps]) if len(q) else np.zeros(0, self.x.dtype)
 
-    def greedy(self, queries: np.ndarray, starts: np.ndarray, width: int = POOL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(nearest, their similarities, seen): the ``width`` nearest vectors that a best-first walk from ``starts`` meets."""
+    def greedy(self, queries: np.ndarray, starts: np.ndarray, width: int = POOL, least: float = 3.0) -> tuple[np.ndarray, np.ndarray, list]:
+        """(nearest, seen, hits): the ``width`` nearest vectors that a best-first walk from ``starts`` meets, and all (query, vector) it meets in range."""
         n, m = len(self.x), len(queries)
         seen = np.zeros((m, n), bool)
         near = np.full((m, width), -1, np.int64)
         value = np.full((m, width), -3.0, self.x.dtype)
         closed = np.ones((m, width), bool)
-        rows = np.arange(m)
+        rows, hits = np.arange(m), []
         fresh = np.broadcast_to(starts, (m, len(starts)))
         while len(rows):
             new = (fresh >= 0) & ~seen[rows[:, None], np.maximum(fresh, 0)]
@@ -45,6 +45,8 @@ class Walker:
             found = np.full(fresh.shape, -3.0, self.x.dtype)
             found[at, slot] = self.sims(queries[rows[at]], fresh[at, slot])
             seen[rows[at], fresh[at, slot]] = True
+            ok = found[at, slot] >= least
+            hits.append((rows[at[ok]], fresh[at[ok], slot[ok]]))
             ids = np.hstack([near[rows], np.where(new, fresh, -1)])
             score = np.hstack([value[rows], found])
             shut = np.hstack([closed[rows], ~new])
@@ -54,14 +56,13 @@ class Walker:
             pick = np.where(closed[rows], -4, value[rows]).argmax(axis=1)
             closed[rows, pick] = True
             fresh = self.graph[near[rows, pick]]
-        return near, value, seen
+        return near, seen, hits
 
     def in_range(self, queries: np.ndarray, starts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """(query, vector) pairs within range: the greedy walk, then along all neighbours of whatever lies in range."""
-        near, value, seen = self.greedy(queries, starts)
+        _, seen, hits = self.greedy(queries, starts, least=least)
         n = len(self.x)
-        q, slot = np.nonzero(value >= least)
-        v = near[q, slot]
+        q, v = (np.concatenate([h[i] for h in hits]) for i in (0, 1))
         all_q, all_v = [q], [v]
         while len(q):
             key = (q[:, None] * n + self.graph[v])[self.graph[v] >= 0]
@@ -79,49 +80,59 @@ class Walker:
 
 def prune(walker: Walker, rows: np.ndarray, pool: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """Robust-pruned neighbours, (len(rows), degree): the nearest of the pool is kept and every other one dropped that lies
-    alpha times nearer to it than to the vector itself, and so on."""
+    alpha times nearer to it than to the vector itself, and so on. The first half of the places is given with alpha 1, so
+    that a dense group does not take all of them and stays in touch with the rest."""
     out = np.full((len(rows), degree), -1, np.int64)
     at, slot = np.nonzero(pool >= 0)
     far = np.full(pool.shape, np.inf)
     far[at, slot] = np.maximum(1 - walker.sims(rows[at], pool[at, slot]), 0)
     alive = (pool >= 0) & (pool != rows[:, None])
+    spare = np.zeros_like(alive)
     for k in range(degree):
+        if k == degree // 2:
+            alive |= spare
         some = np.flatnonzero(alive.any(axis=1))
         if not len(some):
-            break
+            continue
         first = np.where(alive[some], far[some], np.inf).argmin(axis=1)
         pick = pool[some, first]
         out[some, k] = pick
         alive[some, first] = False
-        alive[some] &= pool[some] != pick[:, None]
+        again = pool[some] == pick[:, None]
+        alive[some] &= ~again
+        spare[some] &= ~again
         at, slot = np.nonzero(alive[some])
         between = np.maximum(1 - walker.sims(pick[at], pool[some[at], slot]), 0)
-        drop = alpha * between <= far[some[at], slot]
+        drop = (1.0 if k < degree // 2 else alpha) * between <= far[some[at], slot]
         alive[some[at[drop]], slot[drop]] = False
+        spare[some[at[drop]], slot[drop]] = k < degree // 2
     return out
 
 
 def build_graph(x: np.ndarray, pool: int = POOL, degree: int = DEGREE, alpha: float = ALPHA) -> Walker:
     """The robust-pruned graph of a shard, up to 2 * degree neighbours a vector (-1 where fewer).
 
-    Vectors enter in batches of fixed size, in an order that does not depend on their ids: each walks the graph so far,
-    its pool is what the walk meets and the nearest of its own batch, and its kept neighbours get an edge back; lists
-    that overflow are pruned again. The work for a vector does not grow with the shard beyond the length of its walk.
+    Vectors enter in batches of fixed size, the medoids first and the rest in an order that does not depend on their ids:
+    each walks the graph so far from the medoids, its pool is what the walk meets, the medoids and the nearest of its own
+    batch, and its kept neighbours get an edge back; lists that overflow are pruned again. The work for a vector does
+    not grow with the shard beyond the length of its walk.
     """
     n = len(x)
     graph = np.full((n, 2 * degree), -1, np.int64)
     filled = np.zeros(n, np.int64)
     walker = Walker(x, graph)
+    starts = medoids(x)
     order = np.random.default_rng(n).permutation(n)
+    order = np.concatenate([starts, order[~np.isin(order, starts)]])
     for begin in range(0, n, BATCH):
         rows = order[begin : begin + BATCH]
         mates = x[rows] @ x[rows].T
         walker.evaluations += mates.size
         np.fill_diagonal(mates, -3)
         top = np.argsort(-mates, axis=1, kind="stable")[:, : min(degree, len(rows) - 1)]
-        pools = [rows[top]]
+        pools = [rows[top], np.broadcast_to(starts, (len(rows), len(starts)))]
         if begin:
-            pools.append(walker.greedy(rows, order[: min(STARTS, begin)], pool)[0])
+            pools.append(walker.greedy(rows, starts, pool)[0])
         kept = prune(walker, rows, np.hstack(pools), degree, alpha)
         graph[rows, :degree] = kept
         filled[rows] = (kept >= 0).sum(axis=1)
@@ -191,7 +202,7 @@ def choose_centres(classes: DataFrame, per_shard: int, most: int) -> dict:
     return {k: unit(np.array(v)) for k, v in groups.items()}
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 3, per_shard: int = 1000, block: int = 6000, most_centres: int = 4096, target_recall: float = 0.95) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.98, overlap: int = 2, per_shard: int = 1000, block: int = 6000, most_centres: int = 4096, target_recall: float = 0.95) -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept)``: vectors of equal label linked where their cosine is >= ``least``.
 
     Equal vectors of a label are one class from the start. Centres, a bounded sample (``most_centres``), cut each label

@@ -166,7 +166,9 @@ def planted(n, size=32):
 def test_graph_walks_find_the_links_with_few_comparisons():
     cost = {}
     for n in (1000, 4000):
+        # and a dense group of a fifth of all, whose members have more links than a walk keeps
         x = planted(n)
+        x[: n // 5] = vector_graph.unit(x[0] + np.random.default_rng(1).normal(size=(n // 5, 32)) * 0.01)
         built = vector_graph.build_graph(x.astype(np.float32))
         walker = vector_graph.Walker(built.x, built.graph)
         a, b = vector_graph._exact(x, *walker.in_range(np.arange(n), vector_graph.medoids(x), 0.98 - 1e-5), 0.98)
