@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandweave.operators.components import connected_components
 from strandweave.session import Cut
 
-POOL, DEGREE, ALPHA, STARTS, BATCH = 32, 16, 1.2, 8, 128
+POOL, DEGREE, ALPHA, STARTS, BATCH = 32, 16, 1.2, 8, 256
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -106,7 +106,7 @@ def prune(walker: Walker, rows: np.ndarray, pool: np.ndarray, degree: int, alpha
         drop = (1.0 if k < degree // 2 else alpha) * between <= far[some[at], slot]
         alive[some[at[drop]], slot[drop]] = False
         spare[some[at[drop]], slot[drop]] = k < degree // 2
-    return out
+    return np.take_along_axis(out, np.argsort(out < 0, axis=1, kind="stable"), 1)
 
 
 def build_graph(x: np.ndarray, pool: int = POOL, degree: int = DEGREE, alpha: float = ALPHA) -> Walker:
@@ -137,25 +137,20 @@ def build_graph(x: np.ndarray, pool: int = POOL, degree: int = DEGREE, alpha: fl
         graph[rows, :degree] = kept
         filled[rows] = (kept >= 0).sum(axis=1)
         src, slot = np.nonzero(kept >= 0)
-        back: dict[int, list] = {}
-        for a, v in zip(rows[src].tolist(), kept[src, slot].tolist(), strict=True):
-            back.setdefault(v, []).append(a)
-        full = []
-        for v, new in back.items():
-            new = [a for a in new if a not in graph[v, : filled[v]]]
-            if filled[v] + len(new) <= 2 * degree:
-                graph[v, filled[v] : filled[v] + len(new)] = new
-                filled[v] += len(new)
-            else:
-                full.append((v, [*graph[v, : filled[v]].tolist(), *new]))
-        if full:
-            wide = np.full((len(full), max(len(p) for _, p in full)), -1, np.int64)
-            for i, (_, p) in enumerate(full):
-                wide[i, : len(p)] = p
-            own = np.array([v for v, _ in full])
-            graph[own] = -1
-            graph[own, :degree] = prune(walker, own, wide, degree, alpha)
-            filled[own] = (graph[own] >= 0).sum(axis=1)
+        new, to = rows[src], kept[src, slot]
+        unknown = ~(graph[to] == new[:, None]).any(axis=1)
+        by = np.argsort(to[unknown], kind="stable")
+        new, to = new[unknown][by], to[unknown][by]
+        place = filled[to] + np.arange(len(to)) - np.searchsorted(to, to)
+        own, most = np.unique(to), int(place.max(initial=0)) + 1
+        wide = np.full((len(own), max(most, 2 * degree)), -1, np.int64)
+        wide[:, : 2 * degree] = graph[own]
+        wide[np.searchsorted(own, to), place] = new
+        full = (wide >= 0).sum(axis=1) > 2 * degree
+        graph[own[~full]] = wide[~full, : 2 * degree]
+        graph[own[full]] = -1
+        graph[own[full], :degree] = prune(walker, own[full], wide[full], degree, alpha)
+        filled[own] = (graph[own] >= 0).sum(axis=1)
     return walker
 
 
