@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandweave.llm import chat, language, minhash_forest, mixing, piece_bpe, quality, surrogates, url_filter, vector_graph, wavelet
+from strandweave.llm import chat, filter_audit, language, minhash_forest, mixing, piece_bpe, quality, secret_scan, spelling, surrogates, url_filter, vector_graph, wavelet
 
 #: Secret of the surrogates in the registered queries; a real job sets its own.
 SURROGATE_KEY = "strandweave"
@@ -65,6 +65,24 @@ def op10_piece_model(spark, sf_dir):
     return piece_bpe.digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_bloom_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_shapley(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    counts = filter_audit.tabulate(docs, table(spark, sf_dir, "labels"), filter_audit.text_rules(F.col("text")), "E")
+    return filter_audit.audit(counts, "ABCDE")
+
+
+def op13_guess_cost(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda x: x["kind"].isin(*kinds))
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    base = F.sha2(secret_scan.joined(of("assign", "access", "hex")), 256)
+    return found.select("doc_id", *counts[:3], base.alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"), counts[3], "most_bits")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -72,7 +90,7 @@ def pipeline(spark, sf_dir):
 
 
 def queries() -> dict:
-    own = [op1_surrogates, op2_vector_graph, op3_adaptive_quality, op4_word_backoff, op5_wavelet_shards, op6_soft_mixing, op7_minhash_forest, op8_digest_array, op9_chat_grammar, op10_piece_model, pipeline]
+    own = [op1_surrogates, op2_vector_graph, op3_adaptive_quality, op4_word_backoff, op5_wavelet_shards, op6_soft_mixing, op7_minhash_forest, op8_digest_array, op9_chat_grammar, op10_piece_model, op11_bloom_spelling, op12_exact_shapley, op13_guess_cost, pipeline]
     return {f.__name__: f for f in own}
 
 
@@ -114,7 +132,19 @@ p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label
 r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
 SELECT v.vec_id, coalesce(n.k, 0) AS n_links, c.m AS component_id, v.vec_id = c.m AS kept FROM embeddings v JOIN (SELECT x, min(y) AS m FROM r GROUP BY x) c ON v.vec_id = c.x LEFT JOIN (SELECT x, count(*) AS k FROM p GROUP BY x) n ON n.x = v.vec_id
 """
+OP12 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+f AS (SELECT doc_id, part, CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+  + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS m FROM w),
+x AS (SELECT part, m, count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND quality = 1)) AS g, count(*) FILTER (EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND toxic = 1)) AS b FROM f GROUP BY part, m),
+c AS (SELECT part, s, sum(CASE WHEN m & s <> 0 THEN n ELSE 0 END) AS v, sum(CASE WHEN m & s <> 0 THEN g ELSE 0 END) AS vg, sum(CASE WHEN m & s <> 0 THEN b ELSE 0 END) AS vb, sum(n) AS total FROM x, (SELECT unnest(range(0, 32)) AS s) q GROUP BY part, s),
+p AS (SELECT '' AS o, 0 AS s, 0 AS before, 0 AS own UNION ALL SELECT o || l, s + b, s, b FROM p, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) q(l, b) WHERE s & b = 0),
+r AS (SELECT z.part, w.o AS filter_order, length(p.o) AS step, p.own, z.total - z.v AS kept, z.v - a.v AS removed, i.v - (z.v - a.v) AS redundant, e.v - r.v AS unique_fails, z.vg - a.vg AS good_lost, z.vb - a.vb AS toxic_lost
+  FROM (SELECT o FROM p WHERE length(o) = 5) w JOIN p ON starts_with(w.o, p.o) AND p.o <> '' JOIN c z ON z.s = p.s JOIN c a ON a.part = z.part AND a.s = p.before JOIN c i ON i.part = z.part AND i.s = p.own JOIN c e ON e.part = z.part AND e.s = 31 JOIN c r ON r.part = z.part AND r.s = 31 - p.own)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_vector_graph": OP2, "op7_minhash_forest": OP7, "op8_digest_array": OP8, "op9_chat_grammar": OP9}
+    return {"op12_exact_shapley": OP12, "op2_vector_graph": OP2, "op7_minhash_forest": OP7, "op8_digest_array": OP8, "op9_chat_grammar": OP9}
