@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -64,58 +65,99 @@ def _between(codes: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def align_pair(first: str, second: str, gap_open: int, gap_extend: int, table: np.ndarray) -> tuple[str, str]:
-    """The best alignment from the two origins, the rest of both behind it; cells are filled by anti-diagonals.
+@dataclass(frozen=True)
+class Gaps:
+    opening: int
+    extending: int
 
-    Only three diagonals of scores are kept, and one byte a cell for the way back. On equal scores a match goes before
-    a gap in the second and that before a gap in the first; of equal best cells the first in row order counts.
+
+def _fill(profile: np.ndarray, b: np.ndarray, free: tuple[np.ndarray, np.ndarray], rows: tuple[int, int], top: tuple[np.ndarray, np.ndarray], gaps: Gaps, keep: bool):
+    """Cells of the rows after ``rows[0]`` up to ``rows[1]`` below a known row ``top`` (scores, ways), by anti-diagonals.
+
+    Returns (last row, best score, its cell, ways of the rows if they are kept). Ways are 0 match, 1 along the first,
+    2 along the second.
     """
-    a, b = (np.frombuffer(s.encode("ascii", "replace"), dtype=np.uint8) & 127 for s in (first, second))
-    m, n = len(a), len(b)
-    out_a, out_b = _between(a), _between(b)
-    way = np.zeros((m + 1, n + 1), dtype=np.int8)  # 0 match, 1 along the first, 2 along the second
-    older, old = np.full(m + 1, 0, dtype=np.int64), np.zeros(m + 1, dtype=np.int64)
+    (lo, hi), n = rows, len(b)
+    k = hi - lo
+    older, old, turned = np.zeros(k + 1, np.int64), np.zeros(k + 1, np.int64), np.zeros(k + 1, np.int8)
+    old[0], turned[0] = top[0][0], top[1][0]
+    last, last_way = np.zeros(n + 1, np.int64), np.ones(n + 1, np.int8)
+    ways = np.zeros((k + 1, n + 1), np.int8) if keep else None
     best, best_at = 0, (0, 0)
-    for d in range(1, m + n + 1):
-        lo, hi = max(0, d - n), min(m, d)
-        i = np.arange(lo, hi + 1)
+    free_a, free_b = free
+    for d in range(1, k + n + 1):
+        low, high = max(1, d - n), min(k, d)
+        i = np.arange(low, high + 1)
         j = d - i
-        none = np.iinfo(np.int64).min // 2
-        up, left, diag = (np.full(len(i), none, dtype=np.int64) for _ in range(3))
-        k = i > 0
-        cost = np.where(way[i[k] - 1, j[k]] == 1, gap_extend, gap_open)
-        up[k] = old[i[k] - 1] + np.where(np.where(j[k] > 0, out_b[j[k]], out_a[i[k]]), 0, cost)
-        k = j > 0
-        cost = np.where(way[i[k], j[k] - 1] == 2, gap_extend, gap_open)
-        left[k] = old[i[k]] + np.where(np.where(i[k] > 0, out_a[i[k]], out_b[j[k]]), 0, cost)
-        k = (i > 0) & (j > 0)
-        diag[k] = older[i[k] - 1] + table[a[i[k] - 1], b[j[k] - 1]]
-        top = diag.copy()
-        turn = np.zeros(len(i), dtype=np.int8)
-        for value, mark in ((up, 1), (left, 2)):
-            better = value > top
-            top[better], turn[better] = value[better], mark
-        way[i, j] = turn
-        top = np.maximum(top, 0)
-        high = int(top.max())
-        at = int(np.argmax(top))
-        if high > best or (high == best and high > 0 and int(i[at]) < best_at[0]):
-            best, best_at = high, (int(i[at]), int(j[at]))
-        now = np.zeros(m + 1, dtype=np.int64)
-        now[i] = top
-        older, old = old, now
+        above, beside = slice(low - 1, high), slice(low, high + 1)
+        up = old[above] + np.where(free_b[j], 0, np.where(turned[above] == 1, gaps.extending, gaps.opening))
+        left = old[beside] + np.where(free_a[lo + i], 0, np.where(turned[beside] == 2, gaps.extending, gaps.opening))
+        value = older[above] + profile[lo + i - 1, b[j - 1]]
+        turn = np.zeros(len(i), np.int8)
+        for other, mark in ((up, 1), (left, 2)):
+            better = other > value
+            value[better], turn[better] = other[better], mark
+        np.maximum(value, 0, out=value)
+        if high == d:  # the cell before the second text begins
+            value[-1], turn[-1] = 0, 1
+        at = int(np.argmax(value))
+        if value[at] > best or (value[at] == best > 0 and lo + int(i[at]) < best_at[0]):
+            best, best_at = int(value[at]), (lo + int(i[at]), int(j[at]))
+        if keep:
+            ways[i, j] = turn
+        if high == k:
+            last[d - k], last_way[d - k] = value[-1], turn[-1]
+        older, old, turned = old, np.zeros(k + 1, np.int64), np.zeros(k + 1, np.int8)
+        old[beside], turned[beside] = value, turn
+        if d <= n:
+            old[0], turned[0] = top[0][d], top[1][d]
+    return (last, last_way), best, best_at, ways
+
+
+def best_path(profile: np.ndarray, b: np.ndarray, free: tuple[np.ndarray, np.ndarray], gaps: Gaps, cells: int = 1 << 25) -> list[tuple[int, int]]:
+    """Matched places (i, j) of the best alignment of rows with scores ``profile[i, letter]`` with the letters ``b``.
+
+    ``free`` says for prefixes of both sides whether gaps cost nothing behind them. Rows are filled in blocks of about
+    ``cells`` cells, of which only the last row is kept; on the way back a block is filled again with its ways. So
+    memory is that of one block and one row a block, whatever the lengths.
+    """
+    m, n = len(profile), len(b)
+    if not m or not n:
+        return []
+    size = max(16, cells // (n + 1))
+    blocks = [(lo, min(m, lo + size)) for lo in range(0, m, size)]
+    tops = [(np.zeros(n + 1, np.int64), np.r_[np.int8(0), np.full(n, 2, np.int8)])]
+    best, best_at, ways = 0, (0, 0), None
+    for rows in blocks:
+        below, high, at, ways = _fill(profile, b, free, rows, tops[-1], gaps, len(blocks) == 1)
+        tops.append(below)
+        if high > best:
+            best, best_at = high, at
     i, j = best_at
     matches = []
-    while i > 0 or j > 0:
-        if way[i, j] == 0:
-            i, j = i - 1, j - 1
-            matches.append((i, j))
-        elif way[i, j] == 1:
-            i -= 1
-        else:
-            j -= 1
+    while i > 0 and j > 0:
+        block = (i - 1) // size
+        if len(blocks) > 1:
+            ways = _fill(profile, b, free, blocks[block], tops[block], gaps, True)[3]
+        lo = blocks[block][0]
+        while i > lo and j > 0:
+            way = ways[i - lo, j]
+            i, j = i - (way != 2), j - (way != 1)
+            if way == 0:
+                matches.append((i, j))
+    return matches[::-1]
+
+
+def align_pair(first: str, second: str, gap_open: int, gap_extend: int, table: np.ndarray, cells: int = 1 << 25) -> tuple[str, str]:
+    """The best alignment from the two origins, the rest of both behind it.
+
+    On equal scores a match goes before a gap in the second and that before a gap in the first; of equal best cells the
+    first in row order counts. Two texts of any length take the memory that ``best_path`` states.
+    """
+    a, b = (np.frombuffer(s.encode("ascii", "replace"), dtype=np.uint8) & 127 for s in (first, second))
+    matches = best_path(table[a], b, (_between(a), _between(b)), Gaps(gap_open, gap_extend), cells)
     left_text, right_text, p, q = [], [], 0, 0
-    for i, j in [*reversed(matches), (m, n)]:
+    for i, j in [*matches, (len(a), len(b))]:
         left_text += [first[p:i], GAP * (j - q), first[i : i + 1]]
         right_text += [GAP * (i - p), second[q:j], second[j : j + 1]]
         p, q = i + 1, j + 1
@@ -125,7 +167,7 @@ def align_pair(first: str, second: str, gap_open: int, gap_extend: int, table: n
 def align(pairs: DataFrame, gap_open: int = -5, gap_extend: int = -3) -> DataFrame:
     """Pairs with ``first`` and ``second`` aligned to each other; null texts count as empty.
 
-    Each pair is one row of a distributed table; a task holds one pair's byte matrix at a time.
+    Each pair is one row of a distributed table; a task holds one block of one pair at a time.
     """
     names = [f.name for f in pairs.schema]
     schema = StructType([StructField(f.name, StringType()) if f.name in ("first", "second") else f for f in pairs.schema])

@@ -9,6 +9,7 @@ from strandweave.adapters import Inputs
 from strandweave.functions import sequence as S
 from strandweave.operators import aggregates as A
 from strandweave.operators import joins as J
+from strandweave.operators import repair as E
 from strandweave.operators import tracks as T
 from strandweave.plans.registry import COVER, LONG, PAIRS, PEPTIDE, TARGETS, _add, _pairs, _strand, _targets
 
@@ -210,3 +211,32 @@ _add("AGG-19", lambda x: T.atlas(x.x_pair.select(F.floor(F.col("cognate_exon_id"
 _add("ALN-25", lambda x: T.template_row(x.x_aln.withColumn("name", F.concat_ws("_", F.when(F.col("seq_id") % 5 == 0, "template").otherwise("other"), F.col("seq_id").cast("string"))), "template"), "SELECT aln_id, min(seq_id) AS seq_id FROM x_aln WHERE seq_id%5=0 AND aln_id IS NOT NULL GROUP BY aln_id")
 _add("ALN-23", lambda x: T.notes(x.x_exon, x.x_pair.withColumn("similarity", F.col("similarity").cast("double")), x.x_exon.where("phase = 0").select("exon_id")),
      "SELECT e.exon_id, f AS mapped_from, s AS similarity, CASE WHEN s IS NULL THEN '-' WHEN phase=0 THEN 'Y' ELSE 'N' END AS is_novel FROM x_exon e LEFT JOIN (SELECT cognate_exon_id, exon_id AS f, CAST(similarity AS DOUBLE) AS s FROM (SELECT *, row_number() OVER (PARTITION BY cognate_exon_id ORDER BY similarity DESC, exon_id) AS rn FROM x_pair) q WHERE rn=1) p ON p.cognate_exon_id=e.exon_id")
+
+
+def ranked_rows(x: Inputs) -> DataFrame:
+    return _marked_peptides(x).withColumn("rank", F.col("seq_id"))
+
+
+def exons_to_repair(x: Inputs) -> DataFrame:
+    """Exons with residues of every fourth sequence; its first two share the first two exons of the reference."""
+    rows = _marked_peptides(x).where("seq_id % 4 = 1").select("aln_id", "seq_id", F.posexplode(F.split("seq", "Z")).alias("piece_no", "piece"))
+    shared = F.when(F.col("piece_no") < 2, 0)
+    return rows.select("aln_id", "seq_id", "piece_no", shared.alias("group_no"), F.lit(0).alias("first_ref"), F.lit(1).alias("last_ref"), _bare(F.col("piece")).alias("pep")).where("pep <> ''")
+
+
+def several_pieces(x: Inputs) -> DataFrame:
+    """Parts of three rows as the pieces of one sequence, a third of them apart from each other."""
+    at = F.when(F.floor(F.col("seq_id") / 3) % 3 == 0, F.col("seq_id") % 3 * 20).otherwise(F.col("seq_id") % 3 * 10).cast("int")
+    size = F.when(F.floor(F.col("seq_id") / 3) % 3 == 0, 20).otherwise(40).cast("int")
+    part = F.rpad(F.concat(F.repeat(F.lit("-"), at), F.substring(F.col("seq"), at + 1, size)), F.length("seq"), F.lit("-"))
+    return x.x_aln.select("aln_id", F.floor(F.col("seq_id") / 3).alias("seq_id"), F.lit(0).alias("group_no"), F.col("seq_id").alias("piece_no"), part.alias("seq"))
+
+
+def piece_templates(x: Inputs) -> DataFrame:
+    return x.x_aln.join(_targets(x).withColumnRenamed("aln_id", "of"), (F.col("aln_id") == F.col("of")) & (F.col("seq_id") == F.col("target_id"))).select("aln_id", F.lit(0).alias("group_no"), F.col("seq").alias("template"))
+
+
+_add("ALN-10", lambda x: E.clean_boundaries(ranked_rows(x)), None)
+_add("ALN-11-alike", lambda x: E.alike_pieces(several_pieces(x), piece_templates(x)).select("aln_id", "seq_id", "piece_no"), None)
+_add("ALN-12", lambda x: E.repaired(ranked_rows(x), _targets(x), exons_to_repair(x)), None)
+_add("ALN-12-paralogue", lambda x: E.repaired(ranked_rows(x), _targets(x), exons_to_repair(x), clean_slice=True), None)
