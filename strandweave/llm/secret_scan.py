@@ -41,7 +41,7 @@ DATES = [
 ]
 #: Bits to tell which kind of segment comes next.
 SEGMENT_BITS = log2(5)
-LONGEST_UNIT = 16
+LONGEST_UNIT, MOST_TIMES = 16, 32
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -114,15 +114,15 @@ def _walks(text: str) -> list[tuple[int, int, float]]:
 
 
 def _repeats(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, length of the unit) of each unit that comes twice or more in a row, the longest row from each start."""
+    """(start, end, length of the unit) of units that come in a row from each start: 2 to MOST_TIMES times, and as often as they do."""
     out = []
     n = len(text)
     for unit in range(1, min(LONGEST_UNIT, n // 2) + 1):
         same = 0
         for i in range(n - unit - 1, -1, -1):
             same = same + 1 if text[i] == text[i + unit] else 0
-            if same >= unit and (times := same // unit + 1) * unit >= 3:
-                out.append((i, i + times * unit, unit))
+            most = same // unit + 1
+            out.extend((i, i + times * unit, unit) for times in {*range(2, min(most, MOST_TIMES) + 1), most} if times > 1 and times * unit >= 3)
     return out
 
 

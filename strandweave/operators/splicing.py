@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from strandweave.functions import sequence as S
-from strandweave.operators.audits import best_hits
 from strandweave.operators.pairwise import GAP, align
+from strandweave.session import Cut
 
 # Background of the bases and the shares of each base at the two consensus places of both kinds of sites.
 BACKGROUND = {"A": 0.27, "C": 0.23, "G": 0.23, "T": 0.27}
@@ -20,6 +23,10 @@ ACCEPTOR = ({"A": 0.9903, "C": 0.0032, "G": 0.0034, "T": 0.0030}, {"A": 0.0027,
 # Place and length of the nine sub-words of the 21 letters beside an acceptor's consensus; the last four divide.
 PARTS = ((0, 7), (7, 7), (14, 7), (4, 7), (11, 7), (4, 3), (7, 4), (11, 3), (14, 4))
 DIVISORS_FROM = 5
+#: Spaced seeds of eleven bases each for the search of exons; two of them on about one diagonal make a candidate.
+SEEDS = ("111010010100110111", "110100110010101111", "1110110010100010111", "111001010011001111")
+_BASE_CODES = np.full(256, 4, np.int64)
+_BASE_CODES[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
 
 
 def _log_consensus(site: Column, place: int, shares: tuple[dict, dict]) -> Column:
@@ -77,34 +84,106 @@ def best_donor(windows: DataFrame, table: DataFrame, least: float, compat_zero:
     return out.where("shift <> 0") if compat_zero else out
 
 
-def missing_exons(templates: DataFrame, regions: DataFrame, piece: int = 15_000, lap: int = 1_000, word: int = 21, least_words: int = 2, window: int = 1_024) -> DataFrame:
-    """(query_id, target_id, match_length, first): the best place of each template (query_id, seq) in the regions (target_id, seq).
+def _letters(text: str) -> np.ndarray:
+    """0 to 3 for the bases of a text in either case, 4 for other letters."""
+    return _BASE_CODES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
 
-    Regions are cut to overlapping pieces. A window of a piece is a candidate if it shares words with the template (an
-    equi join); what lies around the shared words, a template's length on either side, is aligned, so a match over the
-    edge of a window is whole in both. The longest good match of each template stays; ``first`` is the 0-based place
-    in the whole region. Templates are searched in the direction they are given in.
+
+def seed_words(text: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """(places, words): the bases that a spaced seed picks at each place of a text where all of them are bases, packed two bits each."""
+    codes = _letters(text)
+    n = len(codes) - len(pattern) + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    word, known = np.zeros(n, np.int64), np.ones(n, bool)
+    for at in (i for i, c in enumerate(pattern) if c == "1"):
+        own = codes[at : at + n]
+        word, known = word * 4 + own, known & (own < 4)
+    return np.flatnonzero(known), word[known]
+
+
+def _seeds(rows: DataFrame, key: list[str]) -> DataFrame:
+    """(*key, at, pattern, word) of every seed of the texts ``seq``; ``at`` counts from ``start`` on."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r, text in enumerate(batch["seq"].to_pylist()):
+                start = batch["start"][r].as_py()
+                for k, pattern in enumerate(SEEDS):
+                    at, word = seed_words(text or "", pattern)
+                    own = [pa.repeat(batch[c][r], len(at)) for c in key]
+                    yield pa.record_batch([*own, pa.array(at + start), pa.array(np.full(len(at), k, np.int32)), pa.array(word)], [*key, "at", "pattern", "word"])
+
+    return rows.select(*key, "start", "seq").mapInArrow(work, ", ".join(f"{c} {kinds[c]}" for c in key) + ", at long, pattern int, word long")
+
+
+def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame, bin_width: int, slack: int, salts: int) -> DataFrame:
+    """(query_id, target_id, strand, lo, hi): stretches of a target, 0-based and half open, where two seeds of a template lie on about one diagonal.
+
+    Seeds of both strands of a template meet those of its targets in an equi join on target, seed and word; the words of
+    a target are dealt out by a salt, so that one common word is many keys. Hits count per bin of diagonals, bins overlap
+    by half, and bins with two hits that touch are one stretch, wider by the template and some slack on both sides.
+    """
+    both = F.explode(F.array(F.struct(F.lit(1).alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit(-1).alias("strand"), S.reverse_complement(F.col("seq")).alias("seq"))))
+    asked = templates.select("query_id", F.length("seq").alias("size"), both.alias("x")).select("query_id", "size", "x.strand", "x.seq", F.lit(0).cast("long").alias("start"))
+    own = _seeds(asked, ["query_id", "strand", "size"]).withColumnRenamed("at", "own_at").join(searches, "query_id")
+    own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    there = _seeds(pieces, ["target_id"]).withColumn("salt", (F.col("at") % salts).cast("int"))
+    # a seed that lies in the lap of two pieces is one
+    hits = own.join(there, ["target_id", "pattern", "word", "salt"]).select("query_id", "target_id", "strand", "size", "pattern", "at", "own_at").distinct()
+    diagonal = F.col("at") - F.col("own_at")
+    binned = hits.withColumn("diagonal", diagonal).withColumn("bin", F.explode(F.array(F.floor(diagonal / bin_width) - 1, F.floor(diagonal / bin_width))))
+    key = ["query_id", "target_id", "strand"]
+    full = binned.groupBy(*key, "bin").agg(F.count("*").alias("n"), F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"), F.first("size").alias("size")).where("n >= 2")
+    w = Window.partitionBy(*key).orderBy("bin")
+    islands = full.withColumn("new", (F.col("bin") - F.lag("bin", 1, -(1 << 40)).over(w) > 2).cast("int")).withColumn("island", F.sum("new").over(w))
+    spans = islands.groupBy(*key, "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("size").alias("size"))
+    return spans.select(*key, F.greatest(F.col("lo") - slack, F.lit(0)).alias("lo"), (F.col("hi") + F.col("size") + slack).alias("hi"))
+
+
+def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame, piece: int = 15_000, bin_width: int = 16, slack: int = 32, shortest: int = 36, salts: int = 8, least_share: float = 0.4, least_identity: float = 10.0) -> DataFrame:
+    """(query_id, target_id, strand, match_length, identity, first): the best place of each template in each region that it is searched in.
+
+    ``templates`` is (query_id, seq), ``regions`` (target_id, seq), ``searches`` (query_id, target_id). Regions are cut to
+    overlapping pieces; what ``search_windows`` finds in them is aligned with the template on its strand. Templates too
+    short for two seeds, under ``shortest`` bases, are aligned with the whole region instead, window by window. Of the
+    matches that are long and alike enough the one with most equal columns stays, then the longest, the forward strand,
+    the first place. ``first`` is the 0-based place in the whole region, ``match_length`` its aligned bases. Null and
+    empty texts find nothing; query_id and target_id are keys.
     """
-    step = piece - lap
-    starts = F.sequence(F.lit(0), F.greatest(F.length("seq") - lap - 1, F.lit(0)), F.lit(step))
-    pieces = regions.where(F.length("seq") >= word).select("target_id", F.explode(starts).alias("start"), "seq").select("target_id", "start", F.substring(F.col("seq"), F.col("start") + 1, F.lit(piece)).alias("text"))
-    cut = F.lit(f"(?=(.{{{word}}}))")
-    asked = templates.select("query_id", F.explode(F.array_distinct(F.regexp_extract_all("seq", cut, 1))).alias("w"))
-    known = asked.select("w").distinct()
-    found = pieces.select("target_id", "start", F.posexplode(F.regexp_extract_all("text", cut, 1)).alias("at", "w")).join(known, "w", "left_semi")
-    seen = found.join(asked, "w").groupBy("query_id", "target_id", "start", F.floor(F.col("at") / window).alias("window")).agg(F.countDistinct("w").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).where(F.col("n") >= least_words)
-    near = seen.drop("window").join(templates, "query_id").join(pieces, ["target_id", "start"])
-    from_ = F.greatest(F.col("lo") - F.length("seq"), F.lit(0))
-    pairs = near.select(F.col("query_id").alias("a_id"), F.col("target_id").alias("b_id"), (F.col("start") + from_).alias("offset"), F.concat(F.lit("B"), "seq", F.lit("Z")).alias("first"),
-                        F.concat(F.lit("B"), F.substring(F.col("text"), from_ + 1, F.col("hi") - from_ + word + F.length("seq")), F.lit("Z")).alias("second"))
+    longest_seed = max(map(len, SEEDS))
+    searches = searches.select("query_id", "target_id").distinct()
+    templates = templates.where("seq <> ''").join(searches, "query_id", "left_semi")
+    regions = regions.where("seq <> ''").join(searches, "target_id", "left_semi")
+    starts = F.sequence(F.lit(0), F.length("seq") - 1, F.lit(piece))
+    cut = lambda size: regions.select("target_id", F.length("seq").alias("total"), F.posexplode(starts).alias("chunk_no", "start"), "seq").select("target_id", "total", "chunk_no", F.col("start").cast("long").alias("start"), F.substring(F.col("seq"), F.col("start") + 1, F.lit(size)).alias("seq"))
+    long = F.length("seq") >= shortest
+    windows = search_windows(templates.where(long), cut(piece + longest_seed - 1), searches, bin_width, slack, salts)
+    sized = regions.select("target_id", F.length("seq").alias("total"))
+    size = F.length("seq")
+    short = templates.where(~long).select("query_id", size.alias("size")).join(searches, "query_id").join(sized, "target_id")
+    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("total").cast("long") - 1, F.lit(1024).cast("long")))
+    short = short.select("query_id", "target_id", F.explode(F.array(F.lit(1), F.lit(-1))).alias("strand"), at.alias("lo"), "size").withColumn("hi", F.col("lo") + 1024 + 2 * F.col("size")).drop("size")
+    all_windows = Cut(windows.unionByName(short), "search-windows").df
+    wanted = F.explode(F.sequence(F.floor(F.col("lo") / piece).cast("int"), F.floor((F.col("hi") - 1) / piece).cast("int")))
+    parts = all_windows.select("*", wanted.alias("chunk_no")).join(cut(piece), ["target_id", "chunk_no"])
+    inside = F.substring(F.col("seq"), (F.greatest(F.col("lo") - F.col("start"), F.lit(0)) + 1).cast("int"), (F.least(F.col("hi") - F.col("start"), F.lit(piece)) - F.greatest(F.col("lo") - F.col("start"), F.lit(0))).cast("int"))
+    texts = parts.groupBy("query_id", "target_id", "strand", "lo").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", inside.alias("seq")))), lambda x: x["seq"]), "").alias("second"))
+    own = templates.select("query_id", F.col("seq").alias("own"))
+    turned = F.when(F.col("strand") < 0, S.reverse_complement(F.col("own"))).otherwise(F.col("own"))
+    mark = lambda c: F.concat(F.lit("B"), F.upper(c), F.lit("Z"))
+    pairs = texts.join(own, "query_id").select(F.col("query_id").alias("a_id"), F.col("target_id").alias("b_id"), "strand", F.col("lo").alias("offset"), mark(turned).alias("first"), mark("second").alias("second"))
     tidy = lambda c: F.translate(c, GAP + "BZ", "---")
-    aligned = align(pairs).select("a_id", "b_id", "offset", tidy("first").alias("x"), tidy("second").alias("y"))
+    aligned = align(pairs).select("a_id", "b_id", "strand", "offset", tidy("first").alias("x"), tidy("second").alias("y"))
     line = S.cigar(F.col("x"), F.col("y"))
     lead = F.aggregate(F.regexp_extract_all(F.regexp_extract(line, r"^((?:\d+[AB])*)", 1), F.lit(r"(\d+)A"), 1), F.lit(0), lambda s, v: s + v.cast("int"))
     matched = F.aggregate(F.regexp_extract_all(line, F.lit(r"(\d+)M"), 1), F.lit(0), lambda s, v: s + v.cast("int"))
-    hits = aligned.select(F.col("a_id").alias("query_id"), F.col("b_id").alias("target_id"), "offset", matched.alias("match_length"), S.ungapped_length(F.col("x")).alias("query_length"), S.ungapped_length(F.col("y")).alias("target_length"), lead.alias("first"),
-                          (100.0 * S._pairs(F.col("x"), F.col("y"), lambda p, q: (p == q) & (p != "-")) / F.greatest(matched, F.lit(1))).alias("identity"))
-    return best_hits(hits)
+    equal = S._pairs(F.col("x"), F.col("y"), lambda p, q: (p == q) & (p != "-"))
+    hits = aligned.select(F.col("a_id").alias("query_id"), F.col("b_id").alias("target_id"), "strand", matched.alias("match_length"), equal.alias("equal"), (F.col("offset") + lead).alias("first"), F.least(S.ungapped_length(F.col("x")), S.ungapped_length(F.col("y"))).alias("shorter"))
+    good = hits.withColumn("identity", 100.0 * F.col("equal") / F.greatest("match_length", F.lit(1))).where((F.col("match_length") >= least_share * F.col("shorter")) & (F.col("match_length") > 0) & (F.col("identity") >= least_identity))
+    best = good.groupBy("query_id", "target_id").agg(F.max(F.struct("equal", "match_length", "strand", (-F.col("first")).alias("back"), "identity")).alias("b"))
+    return best.select("query_id", "target_id", "b.strand", "b.match_length", "b.identity", (-F.col("b.back")).alias("first"))
 
 
 @F.pandas_udf(StructType([StructField("ratio", DoubleType()), StructField("at", IntegerType()), StructField("size", IntegerType())]))

@@ -132,20 +132,57 @@ def test_sample_does_not_depend_on_the_split(spark):
     assert registry.queries()["TOP-05"](spark, SF).where(F.col("gene_id").isNull()).count() == 0
 
 
-def test_planted_exons_are_found_at_their_places(spark):
+def mutated(rnd, text, share):
+    return "".join(rnd.choice([b for b in "ACGT" if b != c]) if rnd.random() < share else c for c in text)
+
+
+def turned(text):
+    return text[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+
+def test_planted_exons_are_found_on_both_strands(spark):
     rnd = random.Random(9)
     bases = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
-    exons = [bases(90) for _ in range(6)]
-    changed = [e[:44] + ("A" if e[44] != "A" else "C") + e[45:] for e in exons]
-    regions, places = [], {}
-    for k, e in enumerate(changed[:5]):
-        before = bases(200 + 430 * k)
-        regions.append((100 + k, before + e + bases(700)))
-        places[k] = (100 + k, len(before))
-    templates = spark.createDataFrame(list(enumerate(exons)), "query_id long, seq string")
-    got = splicing.missing_exons(templates, spark.createDataFrame(regions, "target_id long, seq string"), piece=600, lap=150).collect()
-    assert {r.query_id: r.target_id for r in got} == {k: v[0] for k, v in places.items()}
-    assert all(r.match_length >= 90 and abs(r["first"] - places[r.query_id][1]) <= 60 for r in got)
+    for share, least in ((0.05, 1.0), (0.15, 1.0), (0.2, 0.9)):
+        templates, regions, places = [], [], {}
+        for k in range(60):
+            exon = bases(120)
+            copy = mutated(rnd, exon, share)
+            if k % 3 == 2:
+                copy = copy[:60] + copy[63:]  # a codon is missing
+            before = bases(300 + 53 * k)
+            templates.append((k, exon))
+            regions.append((100 + k, before + (turned(copy) if k % 2 else copy) + bases(1500)))
+            places[k] = (100 + k, -1 if k % 2 else 1, len(before))
+        got = splicing.missing_exons(spark.createDataFrame(templates, "query_id long, seq string"), spark.createDataFrame(regions, "target_id long, seq string"), spark.createDataFrame([(k, 100 + k) for k in range(60)], "query_id long, target_id long"), piece=600)
+        found = {r.query_id for r in got.collect() if (r.target_id, r.strand) == places[r.query_id][:2] and abs(r["first"] - places[r.query_id][2]) <= 8 and r.match_length >= 100}
+        assert len(found) >= least * 60, (share, len(found))
+
+
+def test_search_of_odd_templates(spark):
+    rnd = random.Random(2)
+    bases = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    short, tiny, long = bases(20), bases(9), bases(3000)
+    region = bases(2500) + short + bases(700) + turned(tiny) + bases(40) + mutated(rnd, long, 0.1) + bases(3000) + "A" * 3000
+    templates = [(1, short), (2, tiny), (3, long), (4, ""), (5, None), (6, "A" * 60), (7, bases(60)), (8, "N" * 50), (1, short)][:8]
+    regions = [(10, region), (11, None), (12, "")]
+    asked = [(k, t) for k in range(1, 9) for t in (10, 11, 12)] * 2
+    frame_ = lambda rows, names: spark.createDataFrame(rows, names)
+    run = lambda t, r, s: {x.query_id: (x.target_id, x.strand, x["first"], x.match_length) for x in splicing.missing_exons(frame_(t, "query_id long, seq string"), frame_(r, "target_id long, seq string"), frame_(s, "query_id long, target_id long"), piece=1000).collect()}
+    got = run(templates, regions, asked)
+    assert got[1] == (10, 1, 2500, 20) and got[2][0] == 10 and got[3][:2] == (10, 1) and abs(got[3][2] - region.index(region[2500 + 20 + 700 + 9 + 40 :])) <= 3
+    assert got[6][1] == 1 and got[6][3] == 60 and 4 not in got and 5 not in got
+    assert run([], regions, asked) == run(templates, [], asked) == run(templates, regions, []) == {}
+
+
+def test_registered_search_finds_each_exon_in_its_own_gene(spark):
+    x = Inputs(spark, SF)
+    exons = {r.query_id: r.seq for r in mapping.exon_templates(x).collect()}
+    texts = {r.seq_id: r.dna for r in x.x_seq.select("seq_id", "dna").collect()}
+    own = [r for r in registry.queries()["SIM-06"](spark, SF).collect() if r.query_id // 100 == r.target_id]
+    exact = [r for r in own if exons[r.query_id] in texts[r.target_id] or turned(exons[r.query_id]) in texts[r.target_id]]
+    assert {r.query_id for r in own} == {k for k, v in exons.items() if v} and len(exact) == len(own) > 0
+    assert sum(r.identity >= 99.9 and r.match_length == len(exons[r.query_id]) for r in exact) >= 0.98 * len(exact)
 
 
 def frame(template, seq, start, end):
