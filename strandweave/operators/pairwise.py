@@ -178,7 +178,10 @@ def align(pairs: DataFrame, gap_open: int = -5, gap_extend: int = -3) -> DataFra
             done = [align_pair(x or "", y or "", gap_open, gap_extend, table) for x, y in zip(batch["first"], batch["second"], strict=True)]
             yield batch.assign(first=[x for x, _ in done], second=[y for _, y in done])[names]
 
-    return pairs.repartition("a_id", "b_id").mapInPandas(work, schema)
+    # a number of parts of its own, as few bytes are much work here and would be put together to few parts at run time
+    spark = pairs.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return pairs.repartition(parts, "a_id", "b_id").mapInPandas(work, schema)
 
 
 def exon_pairs(aligned: DataFrame) -> DataFrame:

@@ -89,21 +89,24 @@ def _letters(text: str) -> np.ndarray:
     return _BASE_CODES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
 
 
-def seed_words(text: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
-    """(places, words): the bases that a spaced seed picks at each place of a text where all of them are bases, packed two bits each."""
+def seed_words(text: str, pattern: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, words, plain): the bases that a spaced seed picks at each place of a text where all of them are bases.
+
+    Words are packed two bits a base; plain ones have one or two bases only, as words of repeats do.
+    """
     codes = _letters(text)
     n = len(codes) - len(pattern) + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    word, known = np.zeros(n, np.int64), np.ones(n, bool)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    word, known, seen = np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n, np.int64)
     for at in (i for i, c in enumerate(pattern) if c == "1"):
         own = codes[at : at + n]
-        word, known = word * 4 + own, known & (own < 4)
-    return np.flatnonzero(known), word[known]
+        word, known, seen = word * 4 + own, known & (own < 4), seen | 1 << own
+    return np.flatnonzero(known), word[known], np.bitwise_count(seen[known]) <= 2
 
 
 def _seeds(rows: DataFrame, key: list[str]) -> DataFrame:
-    """(*key, at, pattern, word) of every seed of the texts ``seq``; ``at`` counts from ``start`` on."""
+    """(*key, at, pattern, word, plain) of every seed of the texts ``seq``; ``at`` counts from ``start`` on."""
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,25 +114,25 @@ def _seeds(rows: DataFrame, key: list[str]) -> DataFrame:
             for r, text in enumerate(batch["seq"].to_pylist()):
                 start = batch["start"][r].as_py()
                 for k, pattern in enumerate(SEEDS):
-                    at, word = seed_words(text or "", pattern)
+                    at, word, plain = seed_words(text or "", pattern)
                     own = [pa.repeat(batch[c][r], len(at)) for c in key]
-                    yield pa.record_batch([*own, pa.array(at + start), pa.array(np.full(len(at), k, np.int32)), pa.array(word)], [*key, "at", "pattern", "word"])
+                    yield pa.record_batch([*own, pa.array(at + start), pa.array(np.full(len(at), k, np.int32)), pa.array(word), pa.array(plain)], [*key, "at", "pattern", "word", "plain"])
 
-    return rows.select(*key, "start", "seq").mapInArrow(work, ", ".join(f"{c} {kinds[c]}" for c in key) + ", at long, pattern int, word long")
+    return rows.select(*key, "start", "seq").mapInArrow(work, ", ".join(f"{c} {kinds[c]}" for c in key) + ", at long, pattern int, word long, plain boolean")
 
 
 def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame, bin_width: int, slack: int, salts: int) -> DataFrame:
     """(query_id, target_id, strand, lo, hi): stretches of a target, 0-based and half open, where two seeds of a template lie on about one diagonal.
 
-    Seeds of both strands of a template meet those of its targets in an equi join on target, seed and word; the words of
-    a target are dealt out by a salt, so that one common word is many keys. Hits count per bin of diagonals, bins overlap
+    Seeds of both strands of a template meet those of its targets in an equi join on target, seed and word; words of
+    repeats are dealt out by a salt, so that each of them is many keys. Hits count per bin of diagonals, bins overlap
     by half, and bins with two hits that touch are one stretch, wider by the template and some slack on both sides.
     """
     both = F.explode(F.array(F.struct(F.lit(1).alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit(-1).alias("strand"), S.reverse_complement(F.col("seq")).alias("seq"))))
     asked = templates.select("query_id", F.length("seq").alias("size"), both.alias("x")).select("query_id", "size", "x.strand", "x.seq", F.lit(0).cast("long").alias("start"))
     own = _seeds(asked, ["query_id", "strand", "size"]).withColumnRenamed("at", "own_at").join(searches, "query_id")
-    own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    there = _seeds(pieces, ["target_id"]).withColumn("salt", (F.col("at") % salts).cast("int"))
+    own = own.withColumn("salt", F.explode(F.when(F.col("plain"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    there = _seeds(pieces, ["target_id"]).withColumn("salt", F.when(F.col("plain"), (F.col("at") % salts).cast("int")).otherwise(0))
     # a seed that lies in the lap of two pieces is one
     hits = own.join(there, ["target_id", "pattern", "word", "salt"]).select("query_id", "target_id", "strand", "size", "pattern", "at", "own_at").distinct()
     diagonal = F.col("at") - F.col("own_at")
@@ -142,12 +145,40 @@ def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame,
     return spans.select(*key, F.greatest(F.col("lo") - slack, F.lit(0)).alias("lo"), (F.col("hi") + F.col("size") + slack).alias("hi"))
 
 
+def best_places(rows: DataFrame, slack: int) -> DataFrame:
+    """(query_id, target_id, strand, lo, hi): around the place of each piece (target_id, start, seq) that has most bases of a short template ``own``.
+
+    The template is laid on every place of the piece without gaps, on both strands; the first of equal places counts.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo, hi = [], []
+            for own, text, start in zip(*(batch[c].to_pylist() for c in ("own", "seq", "start"))):
+                there, forward = _letters(text), _letters(own)
+                for letters in (forward, np.where(forward < 4, 3 - forward, 4)[::-1]):
+                    n = max(1, len(there) - len(letters) + 1)
+                    equal = np.zeros(n, np.int64)
+                    for k, base in enumerate(letters):
+                        beside = there[k : k + n]
+                        equal[: len(beside)] += (beside == base) & (base < 4)
+                    at = start + int(np.argmax(equal))
+                    lo.append(max(0, at - slack))
+                    hi.append(at + len(letters) + slack)
+            twice = [pa.array(batch[c].to_pylist(), batch[c].type).take(pa.array(np.arange(len(batch)).repeat(2))) for c in ("query_id", "target_id")]
+            strands = pa.array(np.tile(np.array([1, -1], np.int32), len(batch)))
+            yield pa.record_batch([*twice, strands, pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["query_id", "target_id", "strand", "lo", "hi"])
+
+    return rows.mapInArrow(work, f"query_id {kinds['query_id']}, target_id {kinds['target_id']}, strand int, lo long, hi long")
+
+
 def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame, piece: int = 15_000, bin_width: int = 16, slack: int = 32, shortest: int = 36, salts: int = 8, least_share: float = 0.4, least_identity: float = 10.0) -> DataFrame:
     """(query_id, target_id, strand, match_length, identity, first): the best place of each template in each region that it is searched in.
 
     ``templates`` is (query_id, seq), ``regions`` (target_id, seq), ``searches`` (query_id, target_id). Regions are cut to
     overlapping pieces; what ``search_windows`` finds in them is aligned with the template on its strand. Templates too
-    short for two seeds, under ``shortest`` bases, are aligned with the whole region instead, window by window. Of the
+    short for two seeds, under ``shortest`` bases, are aligned around their best place in each piece. Of the
     matches that are long and alike enough the one with most equal columns stays, then the longest, the forward strand,
     the first place. ``first`` is the 0-based place in the whole region, ``match_length`` its aligned bases. Null and
     empty texts find nothing; query_id and target_id are keys.
@@ -160,12 +191,8 @@ def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame,
     cut = lambda size: regions.select("target_id", F.length("seq").alias("total"), F.posexplode(starts).alias("chunk_no", "start"), "seq").select("target_id", "total", "chunk_no", F.col("start").cast("long").alias("start"), F.substring(F.col("seq"), F.col("start") + 1, F.lit(size)).alias("seq"))
     long = F.length("seq") >= shortest
     windows = search_windows(templates.where(long), cut(piece + longest_seed - 1), searches, bin_width, slack, salts)
-    sized = regions.select("target_id", F.length("seq").alias("total"))
-    size = F.length("seq")
-    short = templates.where(~long).select("query_id", size.alias("size")).join(searches, "query_id").join(sized, "target_id")
-    at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("total").cast("long") - 1, F.lit(1024).cast("long")))
-    short = short.select("query_id", "target_id", F.explode(F.array(F.lit(1), F.lit(-1))).alias("strand"), at.alias("lo"), "size").withColumn("hi", F.col("lo") + 1024 + 2 * F.col("size")).drop("size")
-    all_windows = Cut(windows.unionByName(short), "search-windows").df
+    short = templates.where(~long).select("query_id", F.col("seq").alias("own")).join(searches, "query_id").join(cut(piece + shortest - 1).select("target_id", "start", "seq"), "target_id")
+    all_windows = Cut(windows.unionByName(best_places(short, slack)), "search-windows").df
     wanted = F.explode(F.sequence(F.floor(F.col("lo") / piece).cast("int"), F.floor((F.col("hi") - 1) / piece).cast("int")))
     parts = all_windows.select("*", wanted.alias("chunk_no")).join(cut(piece), ["target_id", "chunk_no"])
     inside = F.substring(F.col("seq"), (F.greatest(F.col("lo") - F.col("start"), F.lit(0)) + 1).cast("int"), (F.least(F.col("hi") - F.col("start"), F.lit(piece)) - F.greatest(F.col("lo") - F.col("start"), F.lit(0))).cast("int"))
