@@ -132,12 +132,20 @@ def species_names(rows: DataFrame) -> DataFrame:
 
 
 def missing_class(exons: DataFrame) -> DataFrame:
-    """``neighbourhood`` of each unmapped exon: both, no_left or no_right, by mapped exons anywhere before and after."""
+    """(exon_id, neighbourhood, left_bound, right_bound) of each exon without a map: both, no_left or no_right.
+
+    ``exons`` is (gene_id, exon_id, start_in_gene, mapped, found), the last two 0 or 1: whether the exon has a map, and
+    whether a search has found it since. Classes ask the immediate neighbours, left before right; a first exon has no
+    left, a last one no right. A bound is the mapped neighbour's id; on the right of a ``no_left`` exon it is the nearest
+    exon that is mapped or was found, as the search goes on from what it found. Exons of which nothing is known on either
+    side have no bound.
+    """
     w = Window.partitionBy("gene_id").orderBy("start_in_gene", "exon_id")
-    left = F.max(F.col("mapped")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    right = F.max(F.col("mapped")).over(w.rowsBetween(1, Window.unboundedFollowing))
-    kind = F.when((left == 1) & (right == 1), "both").when(F.coalesce(left, F.lit(0)) == 0, "no_left").otherwise("no_right")
-    return exons.withColumn("neighbourhood", kind).where("mapped = 0")
+    left, right = (F.coalesce(f("mapped").over(w), F.lit(0)) == 1 for f in (F.lag, F.lead))
+    known = F.first(F.when((F.col("mapped") == 1) | (F.col("found") == 1), F.col("exon_id")), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    kind = F.when(left & right, "both").when(~left, "no_left").otherwise("no_right")
+    out = exons.withColumns({"neighbourhood": kind, "left_bound": F.when(left, F.lag("exon_id").over(w)), "right_bound": F.when(left & right, F.lead("exon_id").over(w)).when(~left, known)})
+    return out.where("mapped = 0").select("exon_id", "neighbourhood", "left_bound", "right_bound")
 
 
 # top-k and sets

@@ -117,8 +117,23 @@ def first_source(exons: DataFrame, exon_transcript: DataFrame) -> DataFrame:
     return exons.join(first, "exon_id", "left").withColumn("source_transcript", F.coalesce("source_transcript", F.lit(0)))
 
 
-def neighbour_spans(exons: DataFrame, extension: int) -> DataFrame:
-    """Search span of each exon between its mapped neighbours, one-sided by ``extension`` at the ends, from 1 on."""
-    w = Window.partitionBy("gene_id").orderBy("start_in_gene", "exon_id")
-    before, after = F.lag("end_in_gene").over(w), F.lead("start_in_gene").over(w)
-    return exons.withColumns({"span_start": F.greatest(F.lit(1), F.coalesce(before, F.col("start_in_gene") - extension)), "span_end": F.coalesce(after, F.col("end_in_gene") + extension)})
+def neighbour_spans(bounds: DataFrame, regions: DataFrame, extension: int) -> DataFrame:
+    """(exon_id, name, file, strand, span_start, span_end): where to search for an exon between its bounds (left_bound, right_bound).
+
+    ``regions`` is (exon_id, name, file, strand, start, end) of the bounds. Two bounds must agree in name, file and strand,
+    else the exon is left out, as it is without a bound; the span lies between them, in whichever order they stand on the
+    sequence. Beside one bound it is ``extension`` bases long, on the side that the strand tells. Spans start from 1 on.
+    """
+    side = lambda t: regions.select(F.col("exon_id").alias(f"{t}_bound"), F.struct("name", "file", "strand", F.col("start").alias("start"), F.col("end").alias("end")).alias(t))
+    rows = bounds.select("exon_id", "left_bound", "right_bound").join(side("left"), "left_bound", "left").join(side("right"), "right_bound", "left")
+    one, other = F.col("left"), F.col("right")
+    agree = (one["name"] == other["name"]) & (one["file"] == other["file"]) & (one["strand"] == other["strand"])
+    rows = rows.where((one.isNotNull() | other.isNotNull()) & F.coalesce(agree, one.isNull() | other.isNull()))
+    before = lambda r, on_left: (r["strand"] == 1) == F.lit(on_left)
+    single = lambda r, on_left: (F.when(before(r, on_left), r["start"] - extension).otherwise(r["end"]), F.when(before(r, on_left), r["start"]).otherwise(r["end"] + extension))
+    (left_start, left_end), (right_start, right_end) = single(other, True), single(one, False)
+    crossed = one["end"] > other["start"]
+    start = F.when(one.isNull(), left_start).when(other.isNull(), right_start).when(crossed, other["end"]).otherwise(one["end"])
+    end = F.when(one.isNull(), left_end).when(other.isNull(), right_end).when(crossed, one["start"]).otherwise(other["start"])
+    same = lambda c: F.coalesce(one[c], other[c]).alias(c)
+    return rows.select("exon_id", same("name"), same("file"), same("strand"), F.greatest(start, F.lit(1)).alias("span_start"), end.alias("span_end"))

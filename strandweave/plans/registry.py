@@ -104,7 +104,34 @@ _add("JOIN-10", lambda x: J.contained_in_genes(x.orders.select(F.col("o_orderkey
 _add("JOIN-15", lambda x: J.reliable_orthologues(P.route_homologies(_ortho(x)), x.x_gene).select("gene_id", "cognate_gene_id", "target"),
      f"WITH o AS (SELECT *, {ROUTE} AS target FROM {ORTHO} q) SELECT o.gene_id, o.cognate_gene_id, o.target FROM o JOIN x_gene g ON g.gene_id=o.cognate_gene_id AND g.biotype='protein_coding' WHERE o.target='orthologue' OR (o.target='unresolved_ortho' AND NOT EXISTS (SELECT 1 FROM o p WHERE p.target='orthologue' AND p.gene_id=o.gene_id AND p.cognate_species=o.cognate_species))")
 _add("JOIN-17", lambda x: J.paralogue_pairs(x.x_hom, x.x_homtype, x.x_gene), "SELECT DISTINCT species_id, first, second FROM (SELECT h.homology_id, g.species_id, count(*) AS n, min(g.gene_id) AS first, max(g.gene_id) AS second FROM x_hom h JOIN x_homtype t ON h.homology_id=t.homology_id AND t.description='within_species_paralog' JOIN x_gene g ON g.gene_id=h.gene_member_id AND g.biotype='protein_coding' GROUP BY h.homology_id, g.species_id) q WHERE n=2")
-_add("JOIN-24", lambda x: J.neighbour_spans(x.x_exon, 500).select("exon_id", "span_start", "span_end"), "SELECT exon_id, greatest(1, coalesce(lag(end_in_gene) OVER w, start_in_gene-500)) AS span_start, coalesce(lead(start_in_gene) OVER w, end_in_gene+500) AS span_end FROM x_exon WINDOW w AS (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)")
+
+
+def missing(x: Inputs) -> DataFrame:
+    """Exons outside the canonical set are without a map; a third of them have been found."""
+    found = F.when((F.col("is_canonical") == 0) & (F.col("exon_id") % 3 == 0), 1).otherwise(0)
+    return x.x_exon.select("gene_id", "exon_id", "start_in_gene", F.col("is_canonical").alias("mapped"), found.alias("found"))
+
+
+def exon_regions(x: Inputs) -> DataFrame:
+    """Places of exons on their regions; some carry the other strand or another file."""
+    rows = x.x_exon.join(x.x_gene.select("gene_id", "region_id", "region_start", "region_end", "strand"), "gene_id")
+    start = F.when(F.col("strand") > 0, F.col("region_start") + F.col("start_in_gene")).otherwise(F.col("region_end") - F.col("end_in_gene"))
+    end = F.when(F.col("strand") > 0, F.col("region_start") + F.col("end_in_gene")).otherwise(F.col("region_end") - F.col("start_in_gene"))
+    return rows.select("exon_id", F.col("region_id").alias("name"), (F.col("exon_id") % 7 == 0).cast("int").alias("file"), F.when(F.col("exon_id") % 11 == 0, -F.col("strand")).otherwise(F.col("strand")).alias("strand"), start.alias("start"), end.alias("end"))
+
+
+#: From the rules as stated: the neighbour beside each exon by its number in the gene, the next known one by a minimum.
+MISSING = """(SELECT m.exon_id, CASE WHEN p.mapped=1 AND n.mapped=1 THEN 'both' WHEN p.mapped=1 THEN 'no_right' ELSE 'no_left' END AS neighbourhood, CASE WHEN p.mapped=1 THEN p.exon_id END AS left_bound,
+ CASE WHEN p.mapped=1 AND n.mapped=1 THEN n.exon_id WHEN coalesce(p.mapped,0)=0 THEN (SELECT arg_min(k.exon_id, k.r) FROM nr k WHERE k.gene_id=m.gene_id AND k.r>m.r AND (k.mapped=1 OR k.exon_id%3=0)) END AS right_bound
+ FROM nr m LEFT JOIN nr p ON p.gene_id=m.gene_id AND p.r=m.r-1 LEFT JOIN nr n ON n.gene_id=m.gene_id AND n.r=m.r+1 WHERE m.mapped=0)"""
+NUMBERED = "nr AS (SELECT gene_id, exon_id, is_canonical AS mapped, row_number() OVER (PARTITION BY gene_id ORDER BY start_in_gene, exon_id) AS r FROM x_exon)"
+_add("JOIN-24", lambda x: J.neighbour_spans(A.missing_class(missing(x)), exon_regions(x), 500),
+     f"WITH {NUMBERED}, g AS (SELECT e.exon_id, region_id AS name, CAST(exon_id%7=0 AS INT) AS file, CASE WHEN exon_id%11=0 THEN -strand ELSE strand END AS strand, CASE WHEN strand>0 THEN region_start+start_in_gene ELSE region_end-end_in_gene END AS s, CASE WHEN strand>0 THEN region_start+end_in_gene ELSE region_end-start_in_gene END AS e FROM x_exon e JOIN x_gene USING (gene_id)), "
+     f"b AS (SELECT m.exon_id, p.name AS pn, p.file AS pf, p.strand AS ps, p.s AS p1, p.e AS p2, n.name AS nn, n.file AS nf, n.strand AS ns, n.s AS n1, n.e AS n2 FROM {MISSING} m LEFT JOIN g p ON p.exon_id=left_bound LEFT JOIN g n ON n.exon_id=right_bound), "
+     "c AS (SELECT exon_id, nn AS name, nf AS file, ns AS strand, n1-500 AS a, n1 AS z FROM b WHERE pn IS NULL AND ns=1 UNION ALL SELECT exon_id, nn, nf, ns, n2, n2+500 FROM b WHERE pn IS NULL AND ns<>1 "
+     "UNION ALL SELECT exon_id, pn, pf, ps, p2, p2+500 FROM b WHERE nn IS NULL AND ps=1 UNION ALL SELECT exon_id, pn, pf, ps, p1-500, p1 FROM b WHERE nn IS NULL AND ps<>1 "
+     "UNION ALL SELECT exon_id, pn, pf, ps, p2, n1 FROM b WHERE pn=nn AND pf=nf AND ps=ns AND p2<=n1 UNION ALL SELECT exon_id, pn, pf, ps, n2, p1 FROM b WHERE pn=nn AND pf=nf AND ps=ns AND p2>n1) "
+     "SELECT exon_id, name, file, strand, greatest(a,1) AS span_start, z AS span_end FROM c")
 
 # aggregations
 _add("AGG-01", lambda x: A.group_representatives(x.x_gene, x.nation.select(F.col("n_nationkey").alias("species_id"), F.col("n_regionkey").alias("group_id"))), "SELECT group_id, min(CASE WHEN r=1 THEN species_id END) AS representative, coalesce(string_agg(CASE WHEN r>1 THEN CAST(species_id AS VARCHAR) END, ',' ORDER BY r),'') AS members FROM (SELECT n_regionkey AS group_id, species_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY count(*) DESC, species_id) AS r FROM x_gene JOIN nation ON species_id=n_nationkey GROUP BY n_regionkey, species_id) q GROUP BY group_id")
@@ -130,7 +157,7 @@ _add("WIN-03", lambda x: A.neighbours(x.x_exon).select("exon_id", "prev_exon", "
 _add("WIN-04", lambda x: A.cdna_positions(_strand(x).where("is_coding = 1")).select("exon_id", "cdna_start", "cdna_end"), "SELECT exon_id, CAST(coalesce(sum(n) OVER w,0)+1 AS BIGINT) AS cdna_start, CAST(coalesce(sum(n) OVER w,0)+n AS BIGINT) AS cdna_end FROM (SELECT e.*, end_in_gene-start_in_gene+1 AS n, CASE WHEN strand<0 THEN -start_in_gene ELSE start_in_gene END AS k FROM x_exon e JOIN x_gene g ON e.gene_id=g.gene_id WHERE is_coding=1) q WINDOW w AS (PARTITION BY gene_id ORDER BY k, exon_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 _add("WIN-06", lambda x: A.overlaps_previous(x.x_exon), "SELECT gene_id, coalesce(max(h),0) AS overlapping FROM (SELECT gene_id, CAST(lag(end_in_gene) OVER (PARTITION BY gene_id ORDER BY start_in_gene, exon_id) > start_in_gene AS INT) AS h FROM x_exon) q GROUP BY gene_id")
 _add("WIN-07", lambda x: A.species_names(x.x_gene.select("species_id", "gene_id")), "SELECT species_id, gene_id, CASE WHEN n=1 THEN 's'||species_id ELSE 's'||species_id||'_'||n END AS name FROM (SELECT species_id, gene_id, row_number() OVER (PARTITION BY species_id ORDER BY gene_id) AS n FROM x_gene) q")
-_add("WIN-09", lambda x: A.missing_class(x.x_exon.withColumnRenamed("is_canonical", "mapped")).select("exon_id", "neighbourhood"), "SELECT exon_id, CASE WHEN l=1 AND r=1 THEN 'both' WHEN coalesce(l,0)=0 THEN 'no_left' ELSE 'no_right' END AS neighbourhood FROM (SELECT exon_id, is_canonical, max(is_canonical) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, max(is_canonical) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM x_exon WINDOW w AS (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)) q WHERE is_canonical=0")
+_add("WIN-09", lambda x: A.missing_class(missing(x)), f"WITH {NUMBERED} SELECT * FROM {MISSING} q")
 
 # top-k, sets
 _add("TOP-02", lambda x: A.best_maps(x.x_pair, 0.33333).select("species_id", "exon_id", "cognate_exon_id"), "SELECT species_id, exon_id, cognate_exon_id FROM (SELECT *, row_number() OVER (PARTITION BY species_id, exon_id ORDER BY similarity DESC, cognate_exon_id DESC, part DESC) AS rn FROM x_pair WHERE similarity>=0.33333) q WHERE rn=1")
