@@ -10,8 +10,10 @@ from strandweave.session import Cut
 #: ASCII white space, which separates words.
 BLANK = r"[\x20\x09-\x0D]"
 WINDOW = 8
-#: Rates that are compared with their group's quantiles, and the least distance from the median that counts as odd.
-SLACK = {"symbol_rate": 0.1, "dup_line_rate": 0.3, "repeat_rate": 0.2, "word_length": 6.0}
+#: Rates that are compared with the breaks of their group, and whether low values of them are odd, too.
+RATES = {"symbol_rate": False, "dup_line_rate": False, "repeat_rate": False, "word_length": True}
+#: Shares of a group's documents between whose quantiles a break is looked for; low values by the mirrored shares.
+LADDER = (0.9, 0.95, 0.97, 0.98, 0.99, 0.995, 1.0)
 
 
 def _repeated_words(hashes: Column, words: Column) -> Column:
@@ -70,33 +72,45 @@ def _rates(rows: DataFrame) -> DataFrame:
     })
 
 
-def thresholds(rates: DataFrame, shards: int = 16, least: int = 30, fence: float = 3.0) -> DataFrame:
+def _break(sketch: Column, shares: list[float]) -> Column:
+    """The middle of the widest gap between successive quantiles of a ladder, the first of equal ones; its end where all are equal."""
+    steps = F.array(*(F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in shares))
+
+    def middle(v: Column) -> Column:
+        gaps = F.transform(F.sequence(F.lit(0), F.lit(len(shares) - 2)), lambda i: F.struct(F.abs(F.get(v, i + 1) - F.get(v, i)).alias("wide"), (-i).alias("back")))
+        widest = F.array_max(gaps)
+        return F.when(widest["wide"] == 0, F.get(v, F.lit(len(shares) - 1))).otherwise((F.get(v, -widest["back"]) + F.get(v, 1 - widest["back"])) / 2)
+
+    # inside a one-element transform, so that the ladder is computed once
+    return F.get(F.transform(F.array(steps), middle), F.lit(0))
+
+
+def thresholds(rates: DataFrame, shards: int = 16, k: int = 1024, prior: int = 100) -> DataFrame:
     """Per (lang, source) the bounds of each rate, from quantile sketches.
 
-    Every shard of a group has a sketch of its own and the shards' sketches are merged, so a source that holds a third
-    of all rows is read by many tasks and only sketches meet. A bound lies ``fence`` times the distance from the median
-    to the 90th percentile above the median (word length: also below, to the 10th), and at least the rate's slack away.
-    Groups of fewer than ``least`` rows take the bounds of all rows together. Null keys form a group of their own.
+    Every shard of a group has a sketch of its own (KLL of size ``k``, exact up to about k rows) and the shards' sketches
+    are merged, so a source that holds a third of all rows is read by many tasks and only sketches meet. A bound is the
+    break in the tail of a group's rates: the middle of the widest gap between the quantiles of LADDER. The break of n
+    documents counts n / (n + prior), the rest comes from the sketch of the language and, likewise, that of all rows, so
+    small groups lean on larger ones without a jump. Null keys form a group of their own.
     """
-    names = list(SLACK)
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards))
-    parts = rates.groupBy("lang", "source", shard.alias("shard")).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(c).alias(c) for c in names))
+    parts = rates.groupBy("lang", "source", shard.alias("shard")).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(c, F.lit(k)).alias(c) for c in RATES))
     parts = Cut(parts, "quality-sketches").df
-    merged = [F.kll_merge_agg_double(c).alias(c) for c in names]
-    own = parts.groupBy("lang", "source").agg(F.sum("n").alias("n"), *merged)
-    whole = parts.groupBy().agg(*merged)
+    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(c, F.lit(k)).alias(c) for c in RATES)]
+    sides = [(c, side) for c, low in RATES.items() for side in (("high", "low") if low else ("high",))]
+    ladder = {"high": list(LADDER), "low": [1 - q for q in LADDER]}
 
-    def bounds(df: DataFrame, tag: str, keys: list[str]) -> DataFrame:
-        out = [*map(F.col, keys)]
-        for c in names:
-            low, mid, high = (F.kll_sketch_get_quantile_double(c, F.lit(q)) for q in (0.1, 0.5, 0.9))
-            out += [(mid + F.greatest(fence * (high - mid), F.lit(SLACK[c]))).alias(f"{tag}{c}_high"), (mid - F.greatest(fence * (mid - low), F.lit(SLACK[c]))).alias(f"{tag}{c}_low")]
-        return df.select(*out)
+    def breaks(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*(x for x in ("lang", "source") if x in df.columns), F.col("n").alias(f"{tag}_n"), *(_break(F.col(c), ladder[side]).alias(f"{tag}_{c}_{side}") for c, side in sides))
 
-    all_rows = F.broadcast(bounds(whole, "all_", []))  # one row
-    joined = bounds(own, "own_", ["lang", "source", "n"]).join(all_rows)
-    picked = [F.when(F.col("n") >= least, F.col(f"own_{c}_{side}")).otherwise(F.col(f"all_{c}_{side}")).alias(f"{c}_{side}") for c in names for side in ("low", "high")]
-    return joined.select("lang", "source", *picked)
+    # one row each for all and for a language; both are joined to as many rows as there are groups
+    of_all = breaks(parts.agg(*merged), "all")
+    of_lang = breaks(parts.groupBy("lang").agg(*merged), "lang").withColumnRenamed("lang", "of_lang")
+    own = breaks(parts.groupBy("lang", "source").agg(*merged), "own").join(F.broadcast(of_all)).join(of_lang, F.col("lang").eqNullSafe(F.col("of_lang")))
+    lean = lambda tag, value, parent: (F.col(f"{tag}_n") * value + prior * parent) / (F.col(f"{tag}_n") + prior)
+    at = lambda tag, c, side: F.col(f"{tag}_{c}_{side}")
+    return own.select("lang", "source", *(lean("own", at("own", c, side), lean("lang", at("lang", c, side), at("all", c, side))).alias(f"{c}_{side}") for c, side in sides))
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -111,8 +125,8 @@ def judge(docs: DataFrame) -> DataFrame:
     limits = thresholds(rows.where("not base_failed"))
     keyed = limits.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     fits = F.lit(True)
-    for c in SLACK:
+    for c, low in RATES.items():
         fits = fits & (F.col(c) <= F.col(f"{c}_high"))
-    fits = fits & (F.col("word_length") >= F.col("word_length_low"))
+        fits = fits & (F.col(c) >= F.col(f"{c}_low")) if low else fits
     joined = rows.join(keyed, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(fits, F.lit(True))).alias("kept"))

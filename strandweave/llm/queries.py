@@ -132,6 +132,27 @@ p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label
 r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
 SELECT v.vec_id, coalesce(n.k, 0) AS n_links, c.m AS component_id, v.vec_id = c.m AS kept FROM embeddings v JOIN (SELECT x, min(y) AS m FROM r GROUP BY x) c ON v.vec_id = c.x LEFT JOIN (SELECT x, count(*) AS k FROM p GROUP BY x) n ON n.x = v.vec_id
 """
+#: The breaks by exact quantiles: they are the sketches' as long as no group has more rows than a sketch keeps.
+_STEPS = [0.9, 0.95, 0.97, 0.98, 0.99, 0.995, 1.0]
+_LADDER = lambda c, low: "[" + ", ".join(f"quantile_disc({c}, {1 - q if low else q})" for q in _STEPS) + "]"
+_SIDES = [("symbol_rate", 0), ("dup_line_rate", 0), ("repeat_rate", 0), ("word_length", 0), ("word_length", 1)]
+_BREAKS = lambda keys: f"SELECT {keys}count(*) AS n, " + ", ".join(f"{_LADDER(c, low)} AS {c}_{low}" for c, low in _SIDES) + " FROM r WHERE NOT base_failed"
+_MIDDLE = "CASE WHEN list_max(list_transform(range(1, 7), lambda i: abs({0}[i + 1] - {0}[i]))) = 0 THEN {0}[7] ELSE ({0}[1 + list_position(list_transform(range(1, 7), lambda i: abs({0}[i + 1] - {0}[i])), list_max(list_transform(range(1, 7), lambda i: abs({0}[i + 1] - {0}[i]))))] + {0}[list_position(list_transform(range(1, 7), lambda i: abs({0}[i + 1] - {0}[i])), list_max(list_transform(range(1, 7), lambda i: abs({0}[i + 1] - {0}[i]))))]) / 2 END"
+_BOUND = lambda c, low: f"(o.n * ({_MIDDLE.format(f'o.{c}_{low}')}) + 100 * ((l.n * ({_MIDDLE.format(f'l.{c}_{low}')}) + 100 * ({_MIDDLE.format(f'a.{c}_{low}')})) / (l.n + 100))) / (o.n + 100)"
+OP3 = rf"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+h AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, unnest(list_transform(range(1, len(ws) - 6), lambda j: array_to_string(ws[j:j + 7], ' '))) AS x FROM w WHERE len(ws) >= 8),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS k FROM h),
+p AS (SELECT doc_id, sum(least(8, coalesce(nxt - i, 8))) AS n_repeat FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM g WHERE k > 1) q GROUP BY doc_id),
+m AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines, CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN p USING (doc_id)),
+r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_symbols / greatest(word_chars, 1) AS symbol_rate, n_dup_lines / greatest(n_lines, 1) AS dup_line_rate, n_repeat_words / greatest(n_words, 1) AS repeat_rate, word_chars / greatest(n_words, 1) AS word_length FROM m),
+o AS ({_BREAKS('lang, source, ')} GROUP BY lang, source), l AS ({_BREAKS('lang, ')} GROUP BY lang), a AS ({_BREAKS('')}),
+b AS (SELECT o.lang, o.source, {', '.join(f'{_BOUND(c, low)} AS {c}_{low}' for c, low in _SIDES)} FROM o JOIN l ON o.lang IS NOT DISTINCT FROM l.lang, a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(symbol_rate <= symbol_rate_0 AND dup_line_rate <= dup_line_rate_0 AND repeat_rate <= repeat_rate_0 AND word_length <= word_length_0 AND word_length >= word_length_1, true) AS kept
+FROM r LEFT JOIN b ON r.lang IS NOT DISTINCT FROM b.lang AND r.source IS NOT DISTINCT FROM b.source
+"""
 OP12 = r"""
 WITH RECURSIVE w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 f AS (SELECT doc_id, part, CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END
@@ -147,4 +168,4 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_exact_shapley": OP12, "op2_vector_graph": OP2, "op7_minhash_forest": OP7, "op8_digest_array": OP8, "op9_chat_grammar": OP9}
+    return {"op3_adaptive_quality": OP3, "op12_exact_shapley": OP12, "op2_vector_graph": OP2, "op7_minhash_forest": OP7, "op8_digest_array": OP8, "op9_chat_grammar": OP9}

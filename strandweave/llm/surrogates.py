@@ -42,7 +42,8 @@ SYLLABLES = {
 }
 _KIND_OF_NAME = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _GENDER_OF_TITLE = {title: gender for gender, titles in TITLES.items() for title in titles}
-_CUES = frozenset([*_KIND_OF_NAME, *_GENDER_OF_TITLE, *(w for p in PHRASES for w in p.replace("'", " ").split() if len(w) > 3)])
+#: Words one of which a text without any phrase must hold to have a name.
+_CUES = frozenset([*_KIND_OF_NAME, *_GENDER_OF_TITLE])
 _WORD = re.compile(r"\w+")
 _TITLE_WORD = rf"(?:{'|'.join(_GENDER_OF_TITLE)})(?!\w)"
 #: A capitalised word, or one of a script without case, with further ones behind hyphens or apostrophes.
@@ -83,7 +84,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
         found += [(*m.span(m.lastindex), "secret") for m in _SECRET.finditer(text) if any(c.isalpha() or c.isdecimal() for c in m[m.lastindex])]
     if _ANY_DIGIT.search(text):
         found += [(m.start(), m.end(), m.lastgroup) for m in _DIGITS.finditer(text) if m.lastgroup != "card" or luhn(_PUNCTUATION.sub("", m[0]))]
-    if not _CUES.isdisjoint(_WORD.findall(text)):
+    if any(p in text for p in PHRASES) or not _CUES.isdisjoint(_WORD.findall(text)):
         found += _names(text)
     out, end = [], 0
     for start, stop, kind in sorted(found, key=lambda x: x[0]):

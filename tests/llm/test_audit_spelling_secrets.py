@@ -74,7 +74,7 @@ def got_variants(df):
 def test_variants_equal_brute_force_on_documents(spark, real):
     rows = [(r.doc_id, r.text) for r in real.collect()]
     want = brute_variants(rows)
-    assert sum(bool(w[1]) for w in want) > 20
+    assert sum(bool(w[1]) for w in want) >= 10
     assert got_variants(queries.op11_bloom_spelling(spark, SF)) == want
     # many shards and rounds give what one does
     assert got_variants(spelling.variants(real, words_per_shard=150, round_bytes=1500)) == want
