@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -105,12 +104,19 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _neighbours(depth: int, reach: int, percent: int):
-    """Pairs of rows near one another in an order whose keys share a prefix.
+def depths(shared: np.ndarray, depth: int, sparse: int) -> np.ndarray:
+    """How long a prefix each row must share with a later one, from what it shares with its next 1, 2, ... rows (rows of ``shared``).
 
-    A row is paired with the next ``reach`` rows that share at least ``depth`` values. Where that many and more do, the
-    region is dense and its depth is raised to the prefix that the row shares with its nearest neighbour; what that
-    leaves out is compared by ``crowded``. The first and last ``reach`` rows of a task come out as well, with the hash
+    In a sparse region it is the least depth, from ``sparse`` on, that fewer rows share than are looked at. A region of
+    which more rows share ``depth`` values is dense; there it is the prefix shared with the nearest row.
+    """
+    return np.where(shared[-1] >= depth, np.maximum(shared[0], depth), np.maximum(shared[-1] + 1, sparse))
+
+
+def _neighbours(depth: int, sparse: int, reach: int, percent: int):
+    """Pairs of rows near one another in an order whose keys share a prefix, of the length that ``depths`` tells by region.
+
+    A row is paired with its next ``reach`` rows; what dense regions leave out is compared by ``crowded``. The first and last ``reach`` rows of a task come out as well, with the hash
     of their prefix as ``spot``, for ``across_edges``.
     """
 
@@ -129,7 +135,7 @@ def _neighbours(depth: int, reach: int, percent: int):
             for k in range(1, min(reach, size - 1) + 1):
                 same = (keys[:-k] == keys[k:]) & (tree[:-k] == tree[k:])[:, None]
                 shared[k - 1, :-k] = np.cumprod(same, axis=1, dtype=np.int8).sum(axis=1)
-            least = np.where(shared[-1] >= depth, np.maximum(shared[0], depth), depth)
+            least = depths(shared, depth, sparse)
             out_a, out_b = [], []
             for k in range(1, min(reach, size - 1) + 1):
                 at = np.flatnonzero(shared[k - 1, :-k] >= least[:-k])
@@ -189,16 +195,16 @@ def one_text(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, reach: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, sparse: int = 3, reach: int = 6) -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id, kept)``: documents linked where 100 * common >= percent * all shingles.
 
     Equal shingle sets are one class from the start, whatever its size. The class representatives stand in 24 sorted
     signature orders; neighbours with a long common prefix are candidates, so that a class or family of any size gives
     a number of candidates that grows with its members and is split over tasks by sort range. Every candidate is
-    confirmed on the full sets (64-bit shingle hashes). Where more than ``reach`` documents share a prefix, all of them
-    that are not yet in one component are compared as well; what stands on either side of a task's range is compared
-    by ``across_edges``. So every pair that shares ``depth`` values at the head of one of the 24 orders is compared,
-    wherever ranges are cut: of pairs of similarity 0.75 all but 1 in 10,000. component_id is the least doc_id
+    confirmed on the full sets (64-bit shingle hashes). Where more than ``reach`` documents share ``depth`` values, those
+    not yet in one component go through an exact join on their rarest shingles (``crowded``); what stands on either side
+    of a task's range is compared by ``across_edges``. So every pair that shares ``depth`` values at the head of one of
+    the 24 orders is found, wherever ranges are cut: of pairs of similarity 0.75 all but 1 in 10,000. component_id is the least doc_id
     reachable. Null, empty and wordless texts have no shingles and stand alone; an empty table has no rows. doc_id is an
     integer and identifies a document; a repeated row comes out as often, and of rows that share a doc_id but not the
     text, each has the class of its own text, while the one of least hash is compared for the class that the doc_id leads.
@@ -210,7 +216,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, depth: int = 4, reach: i
     firsts = full.join(classes.df.select(F.col("rep").alias("doc_id"), "set_hash"), ["doc_id", "set_hash"]).groupBy("doc_id").agg(F.min_by(F.struct("n_shingles", "sig"), "text_hash").alias("s")).select("doc_id", "s.*")
     orders = Cut(firsts.mapInArrow(_tree_rows, "tree int, key binary, doc_id long, n_shingles long"), "orders")
     dealt = orders.df.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
-    near = Cut(dealt.mapInArrow(_neighbours(depth, reach, percent), "a long, b long, spot long"), "neighbours")
+    near = Cut(dealt.mapInArrow(_neighbours(depth, sparse, reach, percent), "a long, b long, spot long"), "neighbours")
     pairs = Cut(near.df.where("spot is null").select("a", "b").unionByName(across_edges(near.df.where("spot is not null"), reach, percent)).distinct(), "candidates")
     near.drop()
     links = Cut(confirmed(rows, pairs.df, percent), "links")
@@ -245,84 +251,74 @@ def confirmed(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(common * 100 >= union * percent).select("a", "b")
 
 
-def crowded(rows: DataFrame, orders: DataFrame, groups: DataFrame, percent: int, depth: int, reach: int, members: int = 256, shingles: int = 1_000_000) -> DataFrame | None:
-    """Edges (a, b) between components, from all pairs that share a prefix with more than ``reach`` documents; None if there are none.
+def crowded(rows: DataFrame, orders: DataFrame, groups: DataFrame, percent: int, depth: int, reach: int) -> DataFrame | None:
+    """Edges (a, b) between components, of all links among the documents that share a prefix with more than ``reach`` others; None if there are none.
 
-    ``groups`` (node, component) holds the components found so far; pairs inside one are not compared, so a group of near
-    copies costs what it has members. A component of more than ``members`` documents or ``shingles`` shingles is cut to
-    parts, smaller ones are packed to parts; two parts at a time are compared in one task on their full sets, so no task
-    grows with the group. The number of comparisons grows with the square of a group that is not linked.
+    ``groups`` (node, component) holds the components found so far. Documents of prefixes that more than one component
+    has are joined on their rarest shingles: shingles stand in order of how many of these documents have them, and two
+    sets with enough in common share one among the first of both (``rarest``). So a family that stays below the threshold
+    meets in few pairs, however large it is, and one component's documents never meet each other.
     """
-    spots = orders.select(F.xxhash64("tree", F.substring("key", 1, 2 * depth)).alias("spot"), "doc_id", "n_shingles")
+    spots = orders.select(F.xxhash64("tree", F.substring("key", 1, 2 * depth)).alias("spot"), "doc_id")
     dense = spots.groupBy("spot").agg(F.count("*").alias("n")).where(F.col("n") > reach).select("spot")
     inside = Cut(spots.join(dense.hint("merge"), "spot"), "crowds")
-    of = Cut(inside.df.join(groups.select(F.col("node").alias("doc_id"), "component").hint("merge"), "doc_id", "left").select("spot", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("own")), "crowd-members")
+    of = Cut(inside.df.join(groups.select(F.col("node").alias("doc_id"), "component").hint("merge"), "doc_id", "left").select("spot", "doc_id", F.coalesce("component", "doc_id").alias("own")), "crowd-members")
     inside.drop()
-    parts = lambda n, total: F.ceil(F.greatest(n / members, total / shingles, F.lit(1.0))).cast("int")
-    sizes = of.df.groupBy("spot", "own").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-    sizes = Cut(sizes.withColumn("big", (F.col("n") > members) | (F.col("total") > shingles)), "crowd-sizes").df
-    small = lambda c: F.sum(F.when(~F.col("big"), F.col(c)).otherwise(0))
-    mixed = sizes.groupBy("spot").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), parts(small("n"), small("total")).alias("packed")).where("lo < hi").select("spot", "packed")
-    placed = sizes.join(mixed.hint("merge"), "spot").select("spot", "own", "big", F.when(F.col("big"), parts(F.col("n"), F.col("total"))).otherwise(F.col("packed")).alias("parts"))
-    placed = Cut(placed, "crowd-parts").df
-    if placed.isEmpty():
-        return None
-    name = lambda part: F.concat_ws("/", F.when(F.col("big"), F.col("own").cast("string")).otherwise("-"), part.cast("string")).alias("part")
-    mine = F.pmod(F.when(F.col("big"), F.xxhash64("doc_id")).otherwise(F.xxhash64("own")), F.col("parts"))
-    dealt = Cut(of.df.join(placed.hint("merge"), ["spot", "own"]).select("spot", "doc_id", "own", name(mine)), "crowd-dealt")
+    mixed = of.df.groupBy("spot").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo < hi").select("spot")
+    named = Cut(of.df.join(mixed.hint("merge"), "spot").select("doc_id", "own").distinct(), "crowd-named")
     of.drop()
-    slots = placed.select("spot", F.when(F.col("big"), F.col("own")).alias("whole"), "big", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k")).select("spot", "whole", name(F.col("k"))).distinct()
-    a, b = slots.select("spot", F.col("whole").alias("wa"), F.col("part").alias("pa")), slots.select("spot", F.col("whole").alias("wb"), F.col("part").alias("pb"))
-    meet = a.join(b, "spot").where((F.col("pa") <= F.col("pb")) & ~F.coalesce(F.col("wa") == F.col("wb"), F.lit(False))).withColumn("block", F.concat_ws(" ", F.col("spot").cast("string"), "pa", "pb"))
-    sides = F.when(F.col("pa") == F.col("pb"), F.array(F.struct(F.col("pa").alias("part"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("pa").alias("part"), F.lit(0).alias("side")), F.struct(F.col("pb").alias("part"), F.lit(1).alias("side"))))
-    called = meet.select("spot", "block", F.inline(sides))
-    named = dealt.df.select("doc_id").distinct()
-    sets = Cut(_sets(one_text(rows.join(named.hint("merge"), "doc_id", "left_semi"))), "crowd-sets")
-    blocks = dealt.df.join(called.hint("merge"), ["spot", "part"]).join(sets.df.hint("merge"), "doc_id").select("block", "side", "own", "shingles")
-    out = Cut(blocks.groupBy("block").applyInPandas(_across(percent), "a long, b long").distinct(), "crowd-links").df
-    dealt.drop()
-    sets.drop()
-    return out
-
-
-def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
-    """How many values each sorted set of the one side shares with each of the other."""
-    words = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    out = np.zeros((len(left), len(right)), np.int64)
-    if not len(words):
-        return out
-    sides = []
-    for sets in (left, right):
-        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
-        hit = words[at] == flat
-        at, row = at[hit], row[hit]
-        order = np.argsort(at, kind="stable")
-        sides.append((at[order], row[order]))
-    for low in range(0, len(words), width):
-        marks = []
-        for (at, row), sets in zip(sides, (left, right), strict=True):
-            first, last = np.searchsorted(at, [low, low + width])
-            own = np.zeros((len(sets), min(width, len(words) - low)), np.float32)
-            own[row[first:last], at[first:last] - low] = 1
-            marks.append(own)
-        out += (marks[0] @ marks[1].T).astype(np.int64)
+    if named.df.isEmpty():
+        return None
+    sets = Cut(_sets(one_text(rows.join(named.df.select("doc_id").hint("merge"), "doc_id", "left_semi"))), "crowd-sets")
+    first = Cut(rarest(sets.df.join(named.df.hint("merge"), "doc_id"), percent), "crowd-rarest")
+    pairs = Cut(_meeting(first.df, percent), "crowd-pairs")
+    first.drop()
+    left, right = (sets.df.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    common = F.size(F.array_intersect("sa", "sb"))
+    union = F.size("sa") + F.size("sb") - common
+    linked = pairs.df.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(common * 100 >= union * percent)
+    out = Cut(linked.select(F.least("own_a", "own_b").alias("a"), F.greatest("own_a", "own_b").alias("b")).distinct(), "crowd-links").df
+    for table in (named, sets, pairs):
+        table.drop()
     return out
 
 
-def _across(percent: int):
-    """The linked components (a, b) of a block: its left members (side 0 or 2) against its right ones (1 or 2)."""
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf.side != 1], pdf[pdf.side != 0]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        x, y = (list(map(np.asarray, side.shingles)) for side in (left, right))
-        common = common_shingles(x, y)
-        union = np.array(list(map(len, x)))[:, None] + np.array(list(map(len, y)))[None, :] - common
-        a, b = left.own.to_numpy(), right.own.to_numpy()
-        i, j = np.nonzero((100 * common >= percent * union) & (a[:, None] != b[None, :]))
-        pairs = np.unique(np.stack([np.minimum(a[i], b[j]), np.maximum(a[i], b[j])], axis=1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+def rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, doc_id, own, size, at, heads): the first shingles of each set (doc_id, shingles, own), the rarest first.
 
-    return work
+    Of two sets of which the smaller has m and the larger n shingles, ``common`` of them shared, 100 * common >= percent *
+    (m + n - common) needs common >= percent * n / 100 and common >= 2 * percent * m / (100 + percent). So one shared
+    shingle is among the first n - ceil(percent * n / 100) + 1 of the larger set, and among the first m - ceil(2 *
+    percent * m / (100 + percent)) + 1 of the smaller; ``heads`` says whether a place is among the latter. Shingles that
+    only one set has take their places and are left out.
+    """
+    tokens = sets.select("doc_id", "own", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    shared = tokens.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    kept = tokens.join(shared.hint("merge"), "shingle").groupBy("doc_id").agg(F.first("own").alias("own"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("order"))
+    most = lambda share: (F.col("size") - F.ceil(share) + 1).cast("int")
+    alone = F.col("size") - F.size("order")
+    larger, smaller = most(F.col("size") * percent / 100), most(2 * percent * F.col("size") / (100 + percent))
+    first = F.slice("order", 1, F.greatest(larger - alone, F.lit(0)))
+    placed = kept.select("doc_id", "own", "size", alone.alias("alone"), smaller.alias("smaller"), F.posexplode(first).alias("k", "x"))
+    at = F.col("alone") + F.col("k")
+    return placed.select(F.col("x.shingle").alias("shingle"), "doc_id", "own", "size", at.alias("at"), (at < F.col("smaller")).alias("heads"))
+
+
+def _meeting(first: DataFrame, percent: int) -> DataFrame:
+    """(a, b, own_a, own_b): documents of two components, a the smaller set, that meet on a shingle and whose places there leave enough to share.
+
+    Components meet on a shingle first, so that a component's own documents are never paired.
+    """
+    mixed = first.groupBy("shingle").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.bool_or("heads").alias("headed")).where("lo < hi and headed").select("shingle")
+    kept = Cut(first.join(mixed.hint("merge"), "shingle"), "crowd-kept").df
+    side = lambda df, t: df.select("shingle", F.col("doc_id").alias(t), F.col("own").alias(f"own_{t}"), F.col("size").alias(f"size_{t}"), F.col("at").alias(f"at_{t}"))
+    owners = lambda df, t: df.select("shingle", F.col("own").alias(f"own_{t}")).distinct()
+    heads = kept.where("heads")
+    meet = owners(heads, "a").join(owners(kept, "b").hint("merge"), "shingle").where("own_a <> own_b")
+    pairs = meet.join(side(heads, "a").hint("merge"), ["shingle", "own_a"]).join(side(kept, "b").hint("merge"), ["shingle", "own_b"])
+    order = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
+    fit = F.col("size_a") * 100 >= F.col("size_b") * percent
+    # what two sets can still share from their first shared shingle on
+    most = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    enough = most * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b"))
+    return pairs.where(order & fit & enough).select("a", "b", "own_a", "own_b").distinct()

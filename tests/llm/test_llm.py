@@ -130,10 +130,51 @@ def test_minhash_finds_pairs_across_range_edges_and_takes_repeats(spark):
     assert set(got) == {(j, 2 * i if i in set(linked) else j) for i in range(150) for j in (2 * i, 2 * i + 1)}
 
 
-def test_common_shingles_equal_brute_force():
-    rng = np.random.default_rng(5)
-    x, y = ([np.unique(rng.integers(-40, 40, n)) for n in (0, 1, 30, 60)] for _ in range(2))
-    assert minhash_forest.common_shingles(x, y, width=7).tolist() == [[len(np.intersect1d(a, b)) for b in y] for a in x]
+def test_depth_follows_the_region():
+    # what a row shares with its next 1, 2, ... rows: alone, a close pair, a small group, a dense region of less and of more alike rows
+    shared = np.array([[0, 3, 4, 5, 8], [0, 0, 4, 4, 8], [0, 0, 2, 4, 8]], np.int8)
+    assert minhash_forest.depths(shared, 4, 3).tolist() == [3, 3, 3, 5, 8]
+
+
+def family(rnd, n, own, size=200):
+    """Texts of one template of which a share of words is a text's own, in one stretch."""
+    template = [f"t{rnd.random()}" for _ in range(size)]
+    at = rnd.integers(0, size, n)
+    return [" ".join(w if (k - at[i]) % size >= own * size else f"o{i}x{k}" for k, w in enumerate(template)) for i in range(n)]
+
+
+def forest_of(spark, texts, groups=()):
+    """(edges of ``crowded``, links by brute force between groups): all texts share one prefix."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    orders = spark.createDataFrame([(0, bytes(16), i, 1) for i in range(len(texts))], "tree int, key binary, doc_id long, n_shingles long")
+    known = spark.createDataFrame(list(groups), "node long, component long")
+    out = minhash_forest.crowded(rows, orders, known, 75, 4, 6)
+    of = dict(groups)
+    got = set() if out is None else {(r.a, r.b) for r in out.collect()}
+    own = [sets(t) for t in texts]
+    links = {tuple(sorted((of.get(i, i), of.get(j, j)))) for i, j in combinations(range(len(texts)), 2) if 100 * len(own[i] & own[j]) >= 75 * len(own[i] | own[j])}
+    return got, {x for x in links if x[0] != x[1]}
+
+
+def test_crowded_prefixes_lose_no_link(spark):
+    rnd = np.random.default_rng(8)
+    texts = [t for own in (0.05, 0.1, 0.12, 0.14, 0.2) for t in family(rnd, 16, own)]
+    texts += [" ".join(t.split()[: int(k)]) for t, k in zip(texts, rnd.integers(120, 200, len(texts)))]
+    got, want = forest_of(spark, texts)
+    assert got == want and len(want) > 100
+    # components do not meet themselves, and links between them are named by them
+    groups = [(i, i % 4) for i in range(0, 60)]
+    got, want = forest_of(spark, texts, groups)
+    assert got == want and want
+
+
+def test_family_below_the_threshold_meets_in_few_pairs(spark):
+    rnd = np.random.default_rng(4)
+    texts = family(rnd, 1500, 0.18)
+    rows = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, own long")
+    shingles = minhash_forest._sets(rows.select("doc_id", "text")).join(rows.select("doc_id", "own"), "doc_id")
+    first = minhash_forest.rarest(shingles, 75)
+    assert minhash_forest._meeting(first, 75).count() <= 2 * len(texts)
 
 
 def test_near_vectors_equal_brute_force(spark):
