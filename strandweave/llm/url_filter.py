@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,22 +73,48 @@ def write_digests(entries: DataFrame, column: str, shard_rows: int = 2_000_000)
     return Cut(keyed.repartitionByRange("key").sortWithinPartitions("key", "entry").mapInArrow(write, "path string, low long, high long, n long"), "digest-files").df
 
 
-@lru_cache(maxsize=64)
+#: Bytes of digest files that a worker keeps where files cannot be mapped; the file in use comes on top.
+KEPT_BYTES = 256 << 20
+_KEPT: dict[str, tuple[np.ndarray, np.ndarray, memoryview]] = {}
+
+
 def digest_file(path: str) -> tuple[np.ndarray, np.ndarray, memoryview]:
-    """Keys, string ends and strings: mapped where the store is a mounted file system, else read."""
+    """Keys, string ends and strings: mapped where the store is a mounted file system, else read.
+
+    Files that were read are kept up to KEPT_BYTES, the last used ones first.
+    """
     store, inner = open_store(path)
-    whole = np.memmap(inner, np.uint8, "r") if store.type_name == "local" else np.frombuffer(read_file(path), np.uint8)
+    if store.type_name == "local":
+        return _parts(np.memmap(inner, np.uint8, "r"))
+    if (found := _KEPT.pop(path, None)) is None:
+        found = _parts(np.frombuffer(read_file(path), np.uint8))
+    _KEPT[path] = found
+    size = lambda f: f[0].nbytes + f[1].nbytes + f[2].nbytes
+    while len(_KEPT) > 1 and sum(map(size, _KEPT.values())) > KEPT_BYTES:
+        _KEPT.pop(next(iter(_KEPT)))
+    return found
+
+
+def _parts(whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, memoryview]:
     n = int(whole[:8].view("<i8")[0])
     return whole[8 : 8 + 8 * n].view("<i8"), whole[8 + 8 * n : 16 + 16 * n].view("<i8"), memoryview(whole[16 + 16 * n :])
 
 
 def probe(files: list[tuple[str, int, int, int]], candidates: list[str]) -> np.ndarray:
-    """Which candidates are listed: one vectorised binary search per file, then the stored strings are compared."""
+    """Which candidates are listed: one vectorised binary search per file that may hold some, then the stored strings are compared.
+
+    Candidates are looked up in order of their keys, so each file is opened once, whatever the number of files.
+    """
     raw = [c.encode() for c in candidates]
     keys = np.array([xxhash.xxh64_intdigest(r) for r in raw], np.uint64).view(np.int64)
+    order = np.argsort(keys, kind="stable")
+    placed = keys[order]
     out = np.zeros(len(raw), bool)
-    for path, low, high, _ in files:
-        mine = np.flatnonzero((keys >= low) & (keys <= high) & ~out)
+    starts = np.searchsorted(placed, [f[1] for f in files], "left")
+    stops = np.searchsorted(placed, [f[2] for f in files], "right")
+    for (path, *_), start, stop in zip(files, starts.tolist(), stops.tolist(), strict=True):
+        mine = order[start:stop]
+        mine = mine[~out[mine]]
         if not len(mine):
             continue
         digests, ends, strings = digest_file(path)
@@ -111,18 +136,16 @@ def listed_names(host: str, path: str) -> list[str]:
     return hosts + [s + path[:c] for s in hosts for c in dict.fromkeys(cuts) if path[:c] not in ("", "/")]
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], files: DataFrame, max_files: int = 4096) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], files: DataFrame) -> DataFrame:
     """Rows ``(page_id, host, path, rule, verdict)`` for every url.
 
     ``rules``: (verdict, host, path prefix); a rule holds for its host and all subdomains if the path starts with its
     path; the longest host + path decides (of equal ones, the first). Other urls are blocked if the digest files of
     ``write_digests`` hold one of their domains or path prefixes, else allowed. A null url and one without ``://`` have
-    an empty host and path and are allowed; repeated rows stay. Only the list of files goes to the tasks, at most
-    ``max_files`` rows; the files are mapped where they are.
+    an empty host and path and are allowed; repeated rows stay. Only the list of files goes to the tasks, a row
+    of some 100 bytes for every two million entries; the files are mapped where they are.
     """
-    listing = [(r["path"], r["low"], r["high"], r["n"]) for r in files.limit(max_files + 1).collect()]
-    if len(listing) > max_files:
-        raise ValueError(f"more than {max_files} digest files: raise shard_rows")
+    listing = sorted(((r["path"], r["low"], r["high"], r["n"]) for r in files.collect()), key=lambda f: f[1])
     by_host: dict[str, list[tuple[str, str]]] = {}
     for verdict, host, path in rules:
         by_host.setdefault(host, []).append((path, verdict))

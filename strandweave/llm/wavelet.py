@@ -280,6 +280,10 @@ def chunk_tokenizer(path: str, end: bytes = b"") -> ChunkEncoder:
     return ChunkEncoder(whole, pieces, split, end)
 
 
+#: The document id of a row without one: the least long, before all others.
+NO_ID = -(1 << 63)
+
+
 def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 2, shard_ids: int = 4_000_000, part_bytes: int = 16_000_000, most_parts: int = 20_000) -> DataFrame:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes shards in ascending ``doc_id`` order.
 
@@ -288,8 +292,8 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
     shards. A shard closes after ``shard_ids`` ids at the latest with the document that reaches it; memory is bounded by
     that, the encoder's run of texts and the longest document. Returns the manifest, one row per shard, for
     ``read_shards``: (path, first_doc, last_doc, n_docs, n_ids). A repeated doc_id is written as often as it comes, its
-    rows in the order of a hash of their texts; a null doc_id comes first and raises ValueError. An empty table has an
-    empty manifest.
+    rows in the order of a hash of their texts; a null doc_id comes first and is NO_ID in the files and the manifest. An
+    empty table has an empty manifest.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -313,9 +317,7 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("path", pa.string()), *((c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "n_ids"))]))
 
         for batch in batches:
-            if batch.column(0).null_count:
-                raise ValueError("a document without doc_id has no place in the order")
-            docs_, at = batch.column(0).to_numpy(), 0
+            docs_, at = batch.column(0).fill_null(NO_ID).to_numpy(), 0
             for ids, ends in own.runs(batch.column(1)):
                 mine, starts, base = docs_[at : at + len(ends)], np.concatenate([[0], ends[:-1]]), 0
                 at += len(ends)
@@ -344,7 +346,7 @@ def with_starts(manifest: DataFrame) -> DataFrame:
 
 
 def read_shards(manifest: DataFrame, spark: SparkSession) -> DataFrame:
-    """Per document, from the files alone: (doc_id, start, n_tokens, ids_crc32)."""
+    """Per document, from the files alone: (doc_id, start, n_tokens, ids_crc32); NO_ID is null again."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,7 +356,7 @@ def read_shards(manifest: DataFrame, spark: SparkSession) -> DataFrame:
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
                 sums = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids), pa.array(starts + base), pa.array(sizes), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, mask=doc_ids == NO_ID), pa.array(starts + base), pa.array(sizes), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = with_starts(manifest).select("path", "base")
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -534,3 +534,60 @@ def test_pipeline_stages_take_odd_tables(spark, docs, empty, real):
     assert all(2 * a == b for name, (a, b) in counts.items() if name in ("minhash", "pii")) and counts["language_id"][1] % 2 == 0, counts
     assert counts["pii"][0] == odd.count() and 0 < counts["mixing"][1] <= 3 * counts["mixing"][0]
     assert corpus_pipeline.STAGES[-1][1](spark, twice, SF).count() == twice.count()
+
+
+def test_wavelet_shards_take_null_and_repeated_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    rows = [(None, "no id"), (5, "five words in a row"), (5, "five again"), (5, "five again"), (None, None), (-3, ""), (2, "x" * 5000)]
+    got = wavelet.documents_to_shards(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, start int"), path).collect()
+    sizes = sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens) for r in got)
+    assert sizes == sorted((i is not None, i or 0, len(own.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in rows)
+    starts = sorted((r.start, r.n_tokens, r.doc_id) for r in got)
+    assert [s for s, *_ in starts] == [0, *np.cumsum([n for _, n, _ in starts])[:-1].tolist()] and [d for *_, d in starts] == [None, None, -3, 2, 5, 5, 5]
+
+
+def test_every_phrase_title_and_name_is_a_cue():
+    for phrase in surrogates.PHRASES:
+        assert [k.split(":")[0] for *_, k, _ in surrogates.detect(f"so {phrase} Zelda Quimby.")] == ["forename", "surname"], phrase
+    for titles in surrogates.TITLES.values():
+        for title in titles:
+            assert any(v == "Quimby" for *_, v in surrogates.detect(f"so {title} Quimby came")), title
+    for names in surrogates.GIVEN.values():
+        for name in names:
+            assert [v for *_, v in surrogates.detect(f"so {name} Quimby came")] == [name, "Quimby"], name
+    assert surrogates.detect("mon nom est Pierre Dupont.") and not surrogates.detect("nom est mon Pierre Dupont")
+
+
+def test_url_filter_takes_many_files_and_tells_collisions_apart(spark, monkeypatch):
+    entries = spark.createDataFrame([(f"h{i}.test",) for i in range(300)], "entry string")
+    files = url_filter.write_digests(entries, "entry", shard_rows=1)
+    pages = spark.createDataFrame([(i, f"http://h{i}.test/a", "x") for i in range(0, 600, 7)] + [(-1, None, "x"), (-2, "http://h3.test/", "x"), (-2, "http://h3.test/", "x")], "page_id long, url string, host string")
+    got = sorted((r.page_id, r.verdict) for r in url_filter.judge(pages, [], files).collect())
+    assert got == sorted([(i, "block" if i < 300 else "allow") for i in range(0, 600, 7)] + [(-1, "allow"), (-2, "block"), (-2, "block")])
+    assert url_filter.judge(pages.limit(0), [], files).count() == 0 and url_filter.judge(pages, [], files.limit(0)).where("verdict = 'block'").count() == 0
+    # two strings of one key: only the one that is stored is listed
+    listing = [(r["path"], r["low"], r["high"], r["n"]) for r in files.collect()]
+    stored = {t: url_filter.xxhash.xxh64_intdigest(t) for t in (b"h1.test", b"h2.test")}
+    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda raw: stored[b"h1.test"])
+    assert url_filter.probe(sorted(listing, key=lambda f: f[1]), ["h1.test", "h2.test", "other"]).tolist() == [True, False, False]
+
+
+def test_quality_bounds_equal_exact_quantiles(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.sql(queries.OP3)
+    got = queries.op3_adaptive_quality(spark, SF)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_quality_takes_ties_and_clashing_columns(spark):
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, words if i < 60 else words + " ###", "en", "s", "x", 1) for i in range(61)] + [(100, words, None, None, "x", 1), (None, words, "en", "s", "x", 1)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n string, symbol_rate int")).collect()
+    kept = {r.doc_id: r.kept for r in got}
+    assert len(got) == len(rows) and not kept[60] and sum(not k for k in kept.values()) == 1
