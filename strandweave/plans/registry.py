@@ -209,6 +209,11 @@ _add("GRA-03", lambda x: G.by_tree_distance(x.x_tree, "c7"), f"{UP} SELECT a.nod
 _add("GRA-05", lambda x: G.covering_roots(J.covering_pairs(x.x_exon)), f"WITH RECURSIVE e AS (SELECT gene_id, master, covered FROM {COVER} q), r AS (SELECT DISTINCT master AS exon_id, master AS root FROM e WHERE master NOT IN (SELECT covered FROM e) UNION SELECT e.covered, r.root FROM r JOIN e ON e.master=r.exon_id) SELECT exon_id, CASE WHEN min(root)=exon_id THEN -1 ELSE min(root) END AS root FROM r GROUP BY exon_id")
 _add("GRA-07", lambda x: G.serialised(x.x_tree), "WITH n AS (SELECT parent, '(' || string_agg(node, ',' ORDER BY node) || ')' || parent AS text FROM x_tree WHERE node LIKE 'c%' GROUP BY parent), t AS (SELECT x.node, x.parent, coalesce(n.text, x.node) AS text FROM x_tree x LEFT JOIN n ON n.parent=x.node WHERE x.node LIKE 'n%'), r AS (SELECT parent, '(' || string_agg(text, ',' ORDER BY node) || ')' || parent AS text FROM t GROUP BY parent) SELECT x.node, coalesce(r.text, x.node) AS text FROM x_tree x LEFT JOIN r ON r.parent=x.node WHERE x.parent='root'")
 
+KEPT = f"{UP}, l AS (SELECT DISTINCT node FROM x_tree WHERE node LIKE 'c%' AND CAST(substr(node,2) AS BIGINT)%7=1), m AS (SELECT node FROM l UNION SELECT ancestor FROM up WHERE node IN (SELECT node FROM l)), f AS (SELECT parent AS node FROM x_tree WHERE node IN (SELECT node FROM m) GROUP BY parent HAVING count(*)>1), k AS (SELECT node FROM l UNION SELECT node FROM f)"
+_add("GRA-01-tree", lambda x: G.species_tree(x.x_tree, x.customer.where("c_custkey % 7 = 1").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node"))),
+     f"{KEPT} SELECT k.node, (SELECT arg_min(ancestor, distance) FROM up WHERE up.node=k.node AND ancestor IN (SELECT node FROM k)) AS parent, k.node IN (SELECT node FROM l) AS is_leaf FROM k")
+_add("GRA-06-cliques", lambda x: G.paralogue_groups(J.paralogue_pairs(x.x_hom, x.x_homtype, x.x_gene).select(F.col("species_id").alias("graph"), F.col("first").alias("a"), F.col("second").alias("b"))).select("graph", "group_no", F.array_join(F.transform("members", lambda m: m.cast("string")), ",").alias("members"), "problem"), None)
+
 # sources and sinks
 _add("SRC-03", lambda x: R.fasta_text(x.x_seq.select("seq_id", "pep"), F.col("seq_id").cast("string"), F.col("pep")), r"SELECT '>' || seq_id || chr(10) || rtrim(regexp_replace(pep,'(.{50})','\1' || chr(10),'g'), chr(10)) AS value FROM x_seq")
 _add("SRC-10", lambda x: R.theme_genes(x.labels.where("quality = 1").select(F.concat(F.lit("G"), F.lpad(F.col("doc_id").cast("string"), 11, "0")).alias("stable_id")), x.x_gene), "SELECT gene_id, stable_id FROM x_gene WHERE gene_id IN (SELECT doc_id FROM labels WHERE quality=1)")
