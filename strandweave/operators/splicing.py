@@ -84,6 +84,109 @@ def best_donor(windows: DataFrame, table: DataFrame, least: float, compat_zero:
     return out.where("shift <> 0") if compat_zero else out
 
 
+def best_sites(windows: DataFrame, before: int, behind: int, score, least: float, compat_zero: bool = True) -> DataFrame:
+    """(window_id, shift, score): the best site of each window (window_id, text, zero, low, high) at shifts low to high - 1 of its joint.
+
+    ``zero`` is the 0-based place of the joint; a site has ``before`` bases ahead of the shifted joint and ``behind`` after
+    it, lies in the text and has no N. ``score`` makes (site, score) of distinct sites; of equal scores the least shift
+    counts. Sites under ``least`` are none, and with ``compat_zero`` so is a best site at a window's first possible shift.
+    """
+    shifts = F.explode(F.sequence(F.col("low"), F.col("high") - 1))
+    rows = windows.where("low < high and text is not null").select("window_id", "text", "zero", shifts.alias("shift"))
+    start = F.col("zero") + F.col("shift") - before
+    rows = rows.where((start >= 0) & (start + before + behind <= F.length("text")))
+    sites = rows.select("window_id", "shift", F.substring(F.col("text"), (start + 1).cast("int"), F.lit(before + behind)).alias("site")).where(~F.contains("site", F.lit("N")))
+    sites = sites.withColumn("is_first", F.col("shift") == F.min("shift").over(Window.partitionBy("window_id")))
+    # rounded, so that equal scores are equal whatever the order of their sums
+    scored = sites.join(score(sites.select("site").distinct()).select("site", F.round("score", 9).alias("score")), "site")
+    best = scored.groupBy("window_id").agg(F.max(F.struct("score", (-F.col("shift")).alias("back"), "is_first")).alias("b")).where(F.col("b.score") >= least)
+    out = best.where("not b.is_first") if compat_zero else best
+    return out.select("window_id", (-F.col("b.back")).alias("shift"), "b.score")
+
+
+def best_acceptor(windows: DataFrame, tables: DataFrame, least: float = 3.0, compat_zero: bool = True) -> DataFrame:
+    """The best 23-mer, 20 bases of the flank and 3 of the exon, of each window; see ``best_sites``."""
+    return best_sites(windows, 20, 3, lambda sites: acceptor_scores(sites, tables), least, compat_zero)
+
+
+def cleaned_exons(exons: DataFrame, acceptors: DataFrame, donors: DataFrame, least: float = 3.0, least_left: float = 6.0, reach: int = 10, donor_step: int = 1) -> DataFrame:
+    """Novel exons with their ends moved to the best splice sites; those that then do not hold together are left out.
+
+    ``exons`` is (exon_id, left_flank, dna, right_flank, pep, transl_start, transl_end, template_dna, template_pep,
+    is_first, is_mitochondrial); tables are those of ``acceptor_scores`` and ``donor_scores``. In order:
+
+    * what lies outside the translated part goes to the flanks; a length that is no multiple of three loses its rest at
+      the start, or else at the end, whichever gives the stored peptide, and is rejected if neither does;
+    * a first exon begins at its own ATG or the one nearest its joint in steps of three, if the template begins with M;
+      other exons at the best acceptor, ``reach`` bases to both sides and as many more as the template is longer (shorter: on the other side),
+      which counts from ``least_left``; the end is ``donor_step`` bases behind the best donor, from ``least``;
+    * the peptide is read between the phases that both shifts leave; where one end alone has a site, what is left over
+      by three counts at the other end;
+    * the exon is accepted if flanks and exon have their total length, the translated part is a multiple of three and
+      the peptide has no stop that the stored one has not.
+
+    Result: (exon_id, left_flank, dna, right_flank, pep, transl_start, transl_end, phase, end_phase, left_score,
+    right_score, start_shift, end_shift), shifts in bases along the reading direction, scores null where no site counts
+    (and for a start codon). Exons without any site stay as they are after the first step. Null texts count as empty.
+    """
+    texts = ("left_flank", "dna", "right_flank", "pep", "template_dna", "template_pep")
+    rows = exons.withColumns({c: F.coalesce(c, F.lit("")) for c in texts})
+    part = lambda text, first, n: F.substring(text, (first + 1).cast("int"), F.greatest(n, F.lit(0)).cast("int"))
+    size = F.length("dna")
+    inside = F.col("transl_end") - F.col("transl_start") == size
+    trimmed = {
+        "left_flank": F.when(inside, F.col("left_flank")).otherwise(F.concat("left_flank", part(F.col("dna"), F.lit(0), F.col("transl_start")))),
+        "right_flank": F.when(inside, F.col("right_flank")).otherwise(F.concat(part(F.col("dna"), F.col("transl_end"), size - F.col("transl_end")), "right_flank")),
+        "dna": F.when(inside, F.col("dna")).otherwise(part(F.col("dna"), F.col("transl_start"), F.col("transl_end") - F.col("transl_start"))),
+        "cut_left": F.when(inside, 0).otherwise(F.col("transl_start")), "cut_right": F.when(inside, 0).otherwise(size - F.col("transl_end")),
+    }
+    rows = rows.withColumns(trimmed)
+    rest = size % 3
+    from_left, from_right = part(F.col("dna"), rest, size - rest), part(F.col("dna"), F.lit(0), size - rest)
+    side = F.when(rest == 0, 0).when(S.translate(from_left) == F.col("pep"), 1).when(S.translate(from_right) == F.col("pep"), 2)
+    rows = rows.withColumns({"side": side, "rest": rest}).where("side is not null")
+    rows = rows.withColumns({
+        "left_flank": F.when(F.col("side") == 1, F.concat("left_flank", part(F.col("dna"), F.lit(0), F.col("rest")))).otherwise(F.col("left_flank")),
+        "right_flank": F.when(F.col("side") == 2, F.concat(part(F.col("dna"), size - F.col("rest"), F.col("rest")), "right_flank")).otherwise(F.col("right_flank")),
+        "dna": F.when(F.col("side") == 1, from_left).when(F.col("side") == 2, from_right).otherwise(F.col("dna")),
+        "cut_left": F.col("cut_left") + F.when(F.col("side") == 1, F.col("rest")).otherwise(0), "cut_right": F.col("cut_right") + F.when(F.col("side") == 2, F.col("rest")).otherwise(0),
+    })
+    rows = Cut(rows.drop("transl_start", "transl_end", "side", "rest"), "novel-exons").df
+    # how far to look: further outwards at both ends where the template is longer, inwards where it is shorter
+    apart = F.abs(size - F.length("template_dna"))
+    shorter = size < F.length("template_dna")
+    out, in_ = F.when(shorter, reach + apart).otherwise(F.lit(reach)), F.when(shorter, F.lit(reach)).otherwise(reach + apart)
+    left_windows = rows.where("not is_first").select(F.col("exon_id").alias("window_id"), F.concat("left_flank", "dna").alias("text"), F.length("left_flank").alias("zero"), (-out).alias("low"), in_.alias("high"))
+    right_windows = rows.select(F.col("exon_id").alias("window_id"), F.concat("dna", "right_flank").alias("text"), size.alias("zero"), (-in_).alias("low"), out.alias("high"))
+    left = best_acceptor(left_windows, acceptors, least).where(F.col("score") >= least_left).select(F.col("window_id").alias("exon_id"), F.col("shift").alias("left_shift"), F.col("score").alias("left_score"))
+    right = best_sites(right_windows, 3, 9, lambda sites: donor_scores(sites.select(F.col("site").alias("whole"), F.left("site", F.lit(9)).alias("site")), donors).select(F.col("whole").alias("site"), "score"), least)
+    right = right.select(F.col("window_id").alias("exon_id"), (F.col("shift") + donor_step).alias("right_shift"), F.col("score").alias("right_score"))
+    both = F.concat("left_flank", "dna")
+    begin = S.start_codon(both, F.length("left_flank"), F.floor((12 + F.when(shorter, apart).otherwise(0)) / 3).cast("int"), F.floor((12 + F.when(shorter, 0).otherwise(apart)) / 3).cast("int"))
+    begin = F.when(F.startswith("dna", F.lit("ATG")), F.length("left_flank")).otherwise(begin)
+    starts = F.when(F.col("is_first") & F.startswith("template_pep", F.lit("M")), begin - F.length("left_flank"))
+    found = rows.join(left, "exon_id", "left").join(right, "exon_id", "left").withColumn("left_shift", F.coalesce("left_shift", starts))
+    l, r = F.coalesce("left_shift", F.lit(0)), F.coalesce("right_shift", F.lit(0))
+    whole = F.concat("left_flank", "dna", "right_flank")
+    begins, ends = F.length("left_flank") + l, F.length("left_flank") + size + r
+    moved = found.withColumns({"whole": whole, "begins": begins, "ends": ends, "left_ok": F.col("left_shift").isNotNull(), "right_ok": F.col("right_shift").isNotNull()})
+    moved = moved.where((F.col("begins") >= 0) & (F.col("begins") < F.col("ends")) & (F.col("ends") <= F.length("whole")))
+    width = F.col("ends") - F.col("begins")
+    phase = F.when(F.col("left_ok") & ~F.col("is_first"), F.pmod(l, F.lit(3))).otherwise(0)
+    moved = moved.withColumns({"first": F.when(F.col("left_ok"), (3 - phase) % 3).otherwise(0), "last": width - F.when(F.col("right_ok"), F.pmod(r, F.lit(3))).otherwise(0), "phase": phase, "end_phase": F.when(F.col("right_ok"), F.pmod(r, F.lit(3))).otherwise(0)})
+    over = F.pmod(F.col("last") - F.col("first"), F.lit(3))
+    only_left, only_right = F.col("left_ok") & ~F.col("right_ok"), F.col("right_ok") & ~F.col("left_ok")
+    moved = moved.withColumns({"end_phase": F.when(only_left, over).otherwise(F.col("end_phase")), "phase": F.when(only_right, over).otherwise(F.col("phase")), "transl_end": F.when(only_left, F.col("last") - over).otherwise(F.col("last")), "transl_start": F.when(only_right, F.col("first") + over).otherwise(F.col("first"))})
+    moved = moved.withColumn("new_dna", part(F.col("whole"), F.col("begins"), width))
+    coding = part(F.col("new_dna"), F.col("transl_start"), F.col("transl_end") - F.col("transl_start"))
+    read = F.when(F.col("is_mitochondrial"), S.translate(coding, mitochondrial=True)).otherwise(S.translate(coding))
+    named = moved.withColumn("new_pep", read).where(((F.col("transl_end") - F.col("transl_start")) % 3 == 0) & (F.col("transl_end") >= F.col("transl_start")) & (~F.contains("new_pep", F.lit("*")) | F.contains("pep", F.lit("*"))))
+    return named.select(
+        "exon_id", part(F.col("whole"), F.lit(0), F.col("begins")).alias("left_flank"), F.col("new_dna").alias("dna"), part(F.col("whole"), F.col("ends"), F.length("whole") - F.col("ends")).alias("right_flank"), F.col("new_pep").alias("pep"),
+        F.col("transl_start").cast("int").alias("transl_start"), F.col("transl_end").cast("int").alias("transl_end"), F.col("phase").cast("int").alias("phase"), F.col("end_phase").cast("int").alias("end_phase"), "left_score", "right_score", (l + F.col("cut_left")).cast("int").alias("start_shift"), (r - F.col("cut_right")).cast("int").alias("end_shift"),
+    )
+
+
 def _letters(text: str) -> np.ndarray:
     """0 to 3 for the bases of a text in either case, 4 for other letters."""
     return _BASE_CODES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]

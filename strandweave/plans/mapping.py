@@ -96,3 +96,34 @@ def hits(x: Inputs) -> DataFrame:
 
 
 _add("SEQ-21", lambda x: Y.best_frames(hits(x)), None)
+
+
+def acceptor_windows(x: Inputs) -> DataFrame:
+    """60 bases before each coding exon and its own, looked through ten bases to both sides of the joint."""
+    return _slices(x, 60).select(F.col("exon_id").alias("window_id"), F.concat("left_flank", "dna").alias("text"), F.length("left_flank").alias("zero"), F.lit(-10).alias("low"), F.lit(10).alias("high"))
+
+
+def whole_acceptor_tables(x: Inputs) -> DataFrame:
+    """Sub-word counts of all 23-mers that the windows of acceptors can hold."""
+    rows = acceptor_windows(x).select("text", F.explode(F.sequence(F.greatest(F.col("zero") - 30, F.lit(0)), F.least(F.col("zero") + 10, F.length("text") - 23))).alias("at")).where("at + 23 <= length(text)")
+    words = rows.select(F.inline(Y.acceptor_words(F.substring(F.col("text"), F.col("at") + 1, F.lit(23)))))
+    return words.groupBy("part", "word").agg((F.count("*") / 8.0).alias("value"))
+
+
+def novel_exons(x: Inputs) -> DataFrame:
+    """Coding exons as a search might leave them: some bases too long or too short at both ends, beside the exon itself as template."""
+    rows = _slices(x, 60).where("length(dna) >= 12 and length(left_flank) >= 6")
+    whole, at = F.concat("left_flank", "dna", "right_flank"), F.length("left_flank")
+    first, end = at + F.col("exon_id") % 5 - 2, at + F.length("dna") + F.col("exon_id") % 4 - 1
+    cut = rows.withColumns({"whole": whole, "first": first.cast("int"), "end": F.least(end, F.length(whole)).cast("int")}).withColumn("own", F.expr("substr(whole, first + 1, end - first)"))
+    pep = F.when(F.col("exon_id") % 2 == 0, S.translate(F.expr("substr(own, length(own) % 3 + 1)"))).otherwise(S.translate(F.col("own")))
+    return cut.select("exon_id", F.expr("substr(whole, 1, first)").alias("left_flank"), F.col("own").alias("dna"), F.expr("substr(whole, end + 1)").alias("right_flank"), pep.alias("pep"), F.lit(0).alias("transl_start"), F.length("own").alias("transl_end"),
+                      F.expr("substr(dna, 1, length(dna) - exon_id % 6)").alias("template_dna"), S.translate(F.col("dna")).alias("template_pep"), (F.col("exon_id") % 100 == 1).alias("is_first"), (F.col("exon_id") % 7 == 0).alias("is_mitochondrial"))
+
+
+SITES23 = f"(SELECT exon_id, text, z, unnest(range(greatest(z-30,0), greatest(least(z+10,length(text)-23),-1)+1)) AS i FROM (SELECT exon_id, left60 || dna AS text, length(left60) AS z FROM {SLICES.replace('15', '60').replace('AS left_flank', 'AS left60')} q) q)"
+_add("SEQ-23-acceptor", lambda x: Y.best_acceptor(acceptor_windows(x), whole_acceptor_tables(x), 3.0).select("window_id", "shift"),
+     f"WITH s AS (SELECT exon_id, z, i, substr(text, CAST(i+1 AS INT), 23) AS site FROM {SITES23} q), a AS (SELECT site, substr(site,1,18) || substr(site,21,3) AS r FROM s), w AS ({WORDS}), t AS (SELECT part, word, count(*)/8.0 AS value FROM w GROUP BY part, word), "
+     f"v AS (SELECT DISTINCT site, {_LOG('substr(site,19,1)', Y.ACCEPTOR[0])}+{_LOG('substr(site,20,1)', Y.ACCEPTOR[1])} AS c FROM s), x AS (SELECT site, any_value(c)+sum(CASE WHEN part<5 THEN 1 ELSE -1 END*log2(value)) AS score FROM (SELECT DISTINCT v.site, c, part, word FROM v JOIN w ON w.site=v.site) d JOIN t USING (part, word) GROUP BY site), "
+     "p AS (SELECT exon_id, i+20-z AS shift, round(score,9) AS score, row_number() OVER (PARTITION BY exon_id ORDER BY i) AS k FROM s JOIN x USING (site) WHERE i+20-z BETWEEN -10 AND 9), b AS (SELECT *, row_number() OVER (PARTITION BY exon_id ORDER BY score DESC, shift) AS rn FROM p) SELECT exon_id AS window_id, CAST(shift AS INT) AS shift FROM b WHERE rn=1 AND score>=3 AND k>1")
+_add("SEQ-25", lambda x: Y.cleaned_exons(novel_exons(x), whole_acceptor_tables(x), _donor_table(x)), None)

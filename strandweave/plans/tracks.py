@@ -32,11 +32,11 @@ _add("SEQ-04", lambda x: x.x_seq.select("seq_id", S.retry_translation(F.col("dna
      f"WITH f AS (SELECT seq_id, k, substr(dna, 1+(3-(seq_id%3+k)%3)%3) AS dna FROM x_seq, (SELECT unnest([0,1,3]) AS k) q), t AS (SELECT seq_id, k, regexp_replace({PEPTIDE},'\\*$','') AS p FROM f) SELECT seq_id, coalesce(min_by(p, k) FILTER (WHERE NOT contains(p,'*')),'') AS pep FROM t GROUP BY seq_id")
 
 
-def _slices(x: Inputs) -> DataFrame:
-    """Coding exons with their slice of the gene's sequence and 15 bases on both sides, in reading direction."""
+def _slices(x: Inputs, flank: int = 15) -> DataFrame:
+    """Coding exons with their slice of the gene's sequence and some bases on both sides, in reading direction."""
     rows = _strand(x).where("is_coding = 1").join(x.x_seq.select(F.col("seq_id").alias("gene_id"), F.col("dna").alias("whole")), "gene_id").where("length(whole) >= end_in_gene and start_in_gene > 0")
     cut = lambda first, n: F.expr(f"substr(whole, {first}, {n})")
-    rows = rows.withColumns({"d": cut("start_in_gene", "end_in_gene - start_in_gene + 1"), "l": cut("greatest(start_in_gene - 15, 1)", "start_in_gene - greatest(start_in_gene - 15, 1)"), "r": cut("end_in_gene + 1", "15")})
+    rows = rows.withColumns({"d": cut("start_in_gene", "end_in_gene - start_in_gene + 1"), "l": cut(f"greatest(start_in_gene - {flank}, 1)", f"start_in_gene - greatest(start_in_gene - {flank}, 1)"), "r": cut("end_in_gene + 1", f"{flank}")})
     minus = F.col("strand") < 0
     turned = lambda own, other: F.when(minus, S.reverse_complement(F.col(other))).otherwise(F.col(own))
     return rows.select("gene_id", "exon_id", "start_in_gene", "end_in_gene", "strand", "is_coding", "phase", turned("d", "d").alias("dna"), turned("l", "r").alias("left_flank"), turned("r", "l").alias("right_flank"))
