@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import sequence as S
 from strandweave.operators.alignment import columns
 from strandweave.operators.components import connected_components
+from strandweave.session import Cut
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -217,3 +218,57 @@ def rebuilt_rows(bits: DataFrame, peptides: DataFrame) -> DataFrame:
     step = lambda s, b: F.struct((s["at"] + b.cast("int")).alias("at"), F.concat(s["text"], F.when(b == "0", "-").otherwise(F.substring(F.col("pep"), s["at"], F.lit(1)))).alias("text"))
     letters = F.filter(F.split("mask", ""), lambda x: x != "")
     return rows.select("aln_id", "seq_id", F.aggregate(letters, state, step, lambda s: s["text"]).alias("seq"))
+
+
+def transcript_tracks(exons: DataFrame, translations: DataFrame, genes: DataFrame, flank: int = 10, mark: str = "-Z-") -> DataFrame:
+    """(gene_id, transcript_id, dna, pep): the transcripts of a gene laid out on its sequence, one under another.
+
+    ``exons`` is (gene_id, transcript_id, start, end), ``translations`` (transcript_id, first, last), ``genes`` (gene_id,
+    seq); places are 0-based and half open. Exons are upper case, up to ``flank`` bases on both sides lower case, all
+    else gaps; what no transcript of the gene shows is left out. Where the flanks of any transcript begin or end, those
+    that begin or end there have the mark and the others gaps of its width; flanks cut by the sequence's ends have none.
+    ``pep`` has each residue over the middle base of its codon, read along the exons inside the translation.
+
+    The gene is cut where an exon, a flank or a translation of any transcript begins or ends. Cuts are numbered, so an
+    exon reaches its stretches by their numbers and the rows are those that are shown. Exons of a transcript that overlap
+    count once; exons beyond the sequence are cut off; transcripts without exons or sequence are left out.
+    """
+    size = F.length("seq")
+    own = exons.join(genes, "gene_id").where("start < end and start >= 0").where(F.col("start") < size)
+    own = own.select("gene_id", "transcript_id", F.col("start").cast("int").alias("start"), F.least("end", size).cast("int").alias("end"), size.alias("size"))
+    own = Cut(own.withColumns({"a": F.greatest(F.col("start") - flank, F.lit(0)), "z": F.least(F.col("end") + flank, F.col("size")), "opens": F.col("start") >= flank, "closes": F.col("end") + flank <= F.col("size")}).distinct(), "track-exons").df
+    inside = translations.join(own.groupBy("transcript_id").agg(F.first("gene_id").alias("gene_id"), F.first("size").alias("size")), "transcript_id")
+    inside = inside.select("gene_id", "transcript_id", *(F.greatest(F.least(c, "size"), F.lit(0)).cast("int").alias(c) for c in ("first", "last"))).where("first < last")
+    places = own.select("gene_id", F.explode(F.array("a", "start", "end", "z")).alias("at")).unionByName(inside.select("gene_id", F.explode(F.array("first", "last")).alias("at"))).distinct()
+    w = Window.partitionBy("gene_id").orderBy("at")
+    cuts = Cut(places.select("gene_id", "at", F.row_number().over(w).alias("no"), (F.lead("at").over(w) - F.col("at")).alias("n")), "track-cuts").df
+    numbered = lambda rows, place, name: rows.join(cuts.select("gene_id", F.col("at").alias(place), F.col("no").alias(name)), ["gene_id", place])
+    spans = own
+    for place, name in (("a", "no_a"), ("start", "no_start"), ("end", "no_end"), ("z", "no_z")):
+        spans = numbered(spans, place, name)
+    stretch = F.transform(F.sequence(F.col("no_a"), F.col("no_z") - 1), lambda k: F.struct(k.alias("no"), ((k >= F.col("no_start")) & (k < F.col("no_end"))).cast("int").alias("exon")))
+    shown = spans.where("a < z").select("gene_id", "transcript_id", F.explode(stretch).alias("x")).groupBy("gene_id", "transcript_id", F.col("x.no").alias("no")).agg(F.max("x.exon").alias("exon"))
+    texts = cuts.join(genes, "gene_id").select("gene_id", "no", "at", "n", F.substring(F.col("seq"), F.col("at") + 1, F.col("n")).alias("text"))
+    rows = shown.join(texts, ["gene_id", "no"]).join(inside.select("transcript_id", "first", "last"), "transcript_id", "left")
+    coding = F.coalesce((F.col("exon") == 1) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("last")), F.lit(False))
+    along = Window.partitionBy("gene_id", "transcript_id").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("coding", coding).withColumn("before", F.coalesce(F.sum(F.when(F.col("coding"), F.col("n")).otherwise(0)).over(along), F.lit(0)))
+    part = F.struct("no", F.when(F.col("exon") == 1, F.upper("text")).otherwise(F.lower("text")).alias("dna"), "coding", "before", "n")
+    tracks = rows.groupBy("gene_id", "transcript_id").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    read = S.translate(F.array_join(F.transform(F.filter("parts", lambda x: x["coding"]), lambda x: x["dna"]), ""))
+    tracks = tracks.withColumn("padded", F.regexp_replace(read, "(.)", "-$1-")).withColumn("by_no", F.map_from_entries(F.transform("parts", lambda x: F.struct(x["no"], x))))
+    ends = own.select("gene_id", "transcript_id", F.explode(F.array_compact(F.array(F.when(F.col("opens"), F.col("a")), F.when(F.col("closes"), F.col("z"))))).alias("at"))
+    ends = numbered(ends, "at", "no").select("gene_id", "transcript_id", "no").distinct()
+    marks = ends.groupBy("gene_id", "transcript_id").agg(F.collect_set("no").alias("own_marks"))
+    anywhere = ends.select("gene_id", "no").distinct().withColumn("marked", F.lit(True))
+    width = shown.select("gene_id", "no").distinct().withColumn("covered", F.lit(True))
+    layout = cuts.join(width, ["gene_id", "no"], "left").join(anywhere, ["gene_id", "no"], "left").where("covered or marked")
+    layout = layout.groupBy("gene_id").agg(F.array_sort(F.collect_list(F.struct("no", F.when(F.col("covered"), F.col("n")).otherwise(0).alias("n"), F.coalesce("marked", F.lit(False)).alias("marked")))).alias("layout"))
+    whole = tracks.join(layout, "gene_id").join(marks, ["gene_id", "transcript_id"], "left").withColumn("own_marks", F.coalesce("own_marks", F.array().cast("array<int>")))
+    gaps = lambda n: F.repeat(F.lit("-"), n)
+    bound = lambda x: F.when(x["marked"], F.when(F.array_contains("own_marks", x["no"]), mark).otherwise("-" * len(mark))).otherwise("")
+    held = lambda x: F.try_element_at("by_no", x["no"])
+    dna = lambda x: F.coalesce(held(x)["dna"], gaps(x["n"]))
+    pep = lambda x: F.when(held(x)["coding"], F.rpad(F.substring(F.col("padded"), (held(x)["before"] + 1).cast("int"), x["n"]), x["n"], F.lit("-"))).otherwise(gaps(x["n"]))
+    line = lambda text: F.array_join(F.transform("layout", lambda x: F.concat(bound(x), text(x))), "")
+    return whole.select("gene_id", "transcript_id", line(dna).alias("dna"), line(pep).alias("pep"))

@@ -240,3 +240,16 @@ _add("ALN-10", lambda x: E.clean_boundaries(ranked_rows(x)), None)
 _add("ALN-11-alike", lambda x: E.alike_pieces(several_pieces(x), piece_templates(x)).select("aln_id", "seq_id", "piece_no"), None)
 _add("ALN-12", lambda x: E.repaired(ranked_rows(x), _targets(x), exons_to_repair(x)), None)
 _add("ALN-12-paralogue", lambda x: E.repaired(ranked_rows(x), _targets(x), exons_to_repair(x), clean_slice=True), None)
+
+
+def transcript_exons(x: Inputs) -> DataFrame:
+    """Exons of the transcripts of genes with a sequence, 0-based and half open."""
+    return x.x_tr.join(x.x_exon.select("gene_id", "exon_id", "start_in_gene", "end_in_gene"), ["gene_id", "exon_id"]).select("gene_id", "transcript_id", (F.col("start_in_gene") - 1).alias("start"), F.col("end_in_gene").alias("end"))
+
+
+def transcript_translations(x: Inputs) -> DataFrame:
+    """Each transcript is read from its second base to its last but one."""
+    return transcript_exons(x).groupBy("transcript_id").agg((F.min("start") + 1).alias("first"), (F.max("end") - 1).alias("last"))
+
+
+_add("SEQ-28", lambda x: T.transcript_tracks(transcript_exons(x), transcript_translations(x), x.x_seq.select(F.col("seq_id").alias("gene_id"), F.col("dna").alias("seq"))), None)
