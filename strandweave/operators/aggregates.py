@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandweave.operators.ranks import ranked
+
 
 def group_representatives(genes: DataFrame, groups: DataFrame) -> DataFrame:
     """(group_id, representative, members): species by gene count, the first stands for its group, members after it."""
@@ -90,7 +92,8 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
 # windows
 
 def running_ids(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:
-    return rows.withColumn("id", F.row_number().over(Window.partitionBy(partition).orderBy(*order)))
+    """``id``: 1, 2, ... in each partition, which may be of any size."""
+    return ranked(rows, [partition], order, "id")
 
 
 def decorated(exons: DataFrame) -> DataFrame:
@@ -126,9 +129,8 @@ def overlaps_previous(exons: DataFrame) -> DataFrame:
 
 def species_names(rows: DataFrame) -> DataFrame:
     """``name``: the species for its first gene, the species with _2, _3, ... for the ones after."""
-    n = F.row_number().over(Window.partitionBy("species_id").orderBy("gene_id"))
     base = F.concat(F.lit("s"), F.col("species_id").cast("string"))
-    return rows.withColumn("n", n).withColumn("name", F.when(F.col("n") == 1, base).otherwise(F.concat(base, F.lit("_"), F.col("n").cast("string")))).drop("n")
+    return ranked(rows, ["species_id"], ["gene_id"], "n").withColumn("name", F.when(F.col("n") == 1, base).otherwise(F.concat(base, F.lit("_"), F.col("n").cast("string")))).drop("n")
 
 
 def missing_class(exons: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandweave.functions import sequence as S
+from strandweave.operators.ranks import ranked
 
 #: Classes of a base by its pair, transition and transversion, and CpG context; A and T have no CpG class.
 MUTATION_CLASSES = ("AT_transition", "AT_transversion", "CG_transition", "CG_transversion", "CpG_transition", "CpG_transversion")
@@ -41,6 +42,18 @@ def random_rows(rows: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
 
 
+def random_choices(rows: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """``draw`` from 0 on and one row for each of n choices with replacement, the same however the table is split.
+
+    Rows are numbered by ``key`` in parallel, a choice is the hash of its number and the seed, and the two meet in a join.
+    An empty table gives no choices.
+    """
+    numbered = ranked(rows, [], [key], "number")
+    total = rows.count()
+    draws = rows.sparkSession.range(n if total else 0).select(F.col("id").alias("draw"), (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1))) + 1).alias("of"))
+    return draws.join(numbered, F.col("of") == F.col("number")).select("draw", *rows.columns)
+
+
 def patch_regions(genes: DataFrame, exceptions: DataFrame, regions: DataFrame, only: str | None = "PATCH_%") -> DataFrame:
     """(gene_id, exc_type, region_name, exc_start, exc_end) of assembly exceptions on the genes' regions."""
     wanted = exceptions.where(F.col("exc_type").like(only)) if only else exceptions

@@ -71,6 +71,12 @@ def covering_roots(edges: DataFrame) -> DataFrame:
     return state.df.select("exon_id", F.when(F.col("root") == F.col("exon_id"), F.lit(-1).cast("long")).otherwise(F.col("root")).alias("root"))
 
 
+def unrooted(edges: DataFrame) -> DataFrame:
+    """(gene_id, exon_id): the exons of covering edges that no root reaches: those of a cycle, and what only they cover."""
+    nodes = edges.select("gene_id", F.explode(F.array("master", "covered")).alias("exon_id")).distinct()
+    return nodes.join(covering_roots(edges).select("exon_id"), "exon_id", "left_anti").select("gene_id", "exon_id")
+
+
 def serialised(tree: DataFrame) -> DataFrame:
     """(node, text): nested parentheses of each node directly below the root, children in order of name, bottom-up."""
     depth = ancestors(tree).groupBy("node").agg(F.max("distance").alias("depth"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandweave.operators.ranks import large_groups, meeting_pairs
+from strandweave.session import Cut
+
 
 def orthologues(members: DataFrame, types: DataFrame, genes: DataFrame, reference_species: int) -> DataFrame:
     """(gene_id, cognate_gene_id, cognate_species, description): partners of reference genes in the same homology."""
@@ -71,15 +74,33 @@ def coding_exons(exons: DataFrame, regions: DataFrame, exon_transcript: DataFram
     return joined.withColumn("coding", F.when(F.col("hit") & meets, 1).otherwise(0)).drop("hit", "tr_start", "tr_end")
 
 
-def covering_pairs(exons: DataFrame) -> DataFrame:
+def overlapping_exons(exons: DataFrame, columns: list[str], most: int = 1_000) -> DataFrame:
+    """(gene_id, a_*, b_*): pairs of exons of a gene that overlap, a the one of lesser id, with some of their columns.
+
+    The equi key is the gene, the interval test runs inside it. Genes of more than ``most`` exons take ``meeting_pairs``,
+    which gives the same pairs without comparing all.
+    """
+    side = lambda df, t: df.select("gene_id", *(F.col(c).alias(f"{t}_{c}") for c in dict.fromkeys(["exon_id", "start_in_gene", "end_in_gene", *columns])))
+    large = Cut(large_groups(exons, "gene_id", most), "large-genes")
+    if large.df.isEmpty():
+        large.drop()
+        few, many = exons, None
+    else:
+        few, many = exons.join(large.df, "gene_id", "left_anti"), exons.join(large.df, "gene_id", "left_semi")
+    pairs = side(few, "a").join(side(few, "b"), "gene_id").where(F.col("a_exon_id") < F.col("b_exon_id"))
+    pairs = pairs.where(overlap(*(F.col(f"{t}_{c}") for t in "ab" for c in ("start_in_gene", "end_in_gene"))))
+    if many is not None:
+        met = meeting_pairs(many, "gene_id", "exon_id", "start_in_gene", "end_in_gene").select("gene_id", F.least("a", "b").alias("a_exon_id"), F.greatest("a", "b").alias("b_exon_id"))
+        pairs = pairs.unionByName(met.join(side(many, "a"), ["gene_id", "a_exon_id"]).join(side(many, "b"), ["gene_id", "b_exon_id"]))
+    return pairs
+
+
+def covering_pairs(exons: DataFrame, most: int = 1_000) -> DataFrame:
     """(gene_id, master, covered) of overlapping exons of a gene, by the first rule that tells them apart.
 
     Canonical before not, then the two annotation sources in order, then the one that holds the other; else no row.
-    The equi key is the gene, the interval test runs inside it.
     """
-    side = lambda t: exons.select("gene_id", *(F.col(c).alias(f"{t}_{c}") for c in ("exon_id", "start_in_gene", "end_in_gene", "is_canonical", "logic_name")))
-    pairs = side("a").join(side("b"), "gene_id").where(F.col("a_exon_id") < F.col("b_exon_id"))
-    pairs = pairs.where(overlap(*(F.col(f"{t}_{c}") for t in "ab" for c in ("start_in_gene", "end_in_gene"))))
+    pairs = overlapping_exons(exons, ["is_canonical", "logic_name"], most)
     rules = [(F.col("a_is_canonical") == 1, F.col("b_is_canonical") == 1)]
     rules += [(F.col("a_logic_name") == x, F.col("b_logic_name") == x) for x in ("havana", "ensembl")]
     holds = lambda t, o: (F.col(f"{t}_start_in_gene") <= F.col(f"{o}_start_in_gene")) & (F.col(f"{t}_end_in_gene") >= F.col(f"{o}_end_in_gene"))

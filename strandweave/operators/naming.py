@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandweave.operators.ranks import ranked
+
 
 def underscored(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[ '\"]", "_")
@@ -92,8 +94,8 @@ def annotated_header(name: Column, annotation: Column, source: Column, own: Colu
 
 def by_rank(names: DataFrame, ranks: DataFrame) -> DataFrame:
     """(group_id, position, name) in the order of species ranks, names of unknown species left out; positions from 1."""
-    w = Window.partitionBy("group_id").orderBy("rank", "name")
-    return names.join(ranks, "species_id").select("group_id", F.row_number().over(w).alias("position"), "name")
+    own = names.join(ranks, "species_id").select("group_id", "rank", "name")
+    return ranked(own, ["group_id"], ["rank", "name"], "position").select("group_id", F.col("position").cast("int").alias("position"), "name")
 
 
 def output_order(hits: DataFrame) -> DataFrame:

@@ -233,6 +233,7 @@ _add("WIN-08", lambda x: C.renumbered(x.x_pair.groupBy("exon_id", "cognate_exon_
 _add("SIM-08", lambda x: C.input_set(x.customer.select(F.col("c_name").alias("symbol")), x.customer.select(F.col("c_name").alias("symbol"), F.col("c_custkey").alias("gene_id")), _ortho(x).where("description = 'ortholog_one2one'").select("gene_id", F.col("cognate_gene_id").alias("member_id"), F.col("cognate_species").alias("species_id")).distinct(), x.nation.select(F.col("n_nationkey").alias("species_id"), (-F.col("n_nationkey")).alias("rank"))),
      f"SELECT c_custkey AS gene_id, c_custkey AS member_id, 0 AS position FROM customer UNION ALL SELECT gene_id, cognate_gene_id, CAST(row_number() OVER (PARTITION BY gene_id ORDER BY -cognate_species, cognate_gene_id) AS INT) FROM (SELECT DISTINCT gene_id, cognate_gene_id, cognate_species FROM {ORTHO} q WHERE description='ortholog_one2one') q JOIN customer ON c_custkey=gene_id")
 _add("TOP-05", lambda x: C.random_rows(x.x_gene.select("gene_id", "species_id"), 30, 7, "gene_id"), None)
+_add("TOP-05-choices", lambda x: C.random_choices(x.x_gene.select("gene_id"), 50, 7, "gene_id"), None)
 _add("SIM-07", lambda x: _novel(x), "SELECT gene_id*10+exon_id%7 AS slot, CASE WHEN mod(max(exon_id),2)=0 THEN max(exon_id) ELSE min(exon_id) END AS exon_id FROM x_exon GROUP BY 1")
 
 

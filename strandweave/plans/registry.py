@@ -207,6 +207,7 @@ _add("GRA-01", lambda x: G.ancestors(x.x_tree), f"{UP} SELECT * FROM up")
 _add("GRA-02", lambda x: G.subtree_leaves(x.x_tree), f"{UP} SELECT ancestor, count(*) AS n_leaves FROM up WHERE node NOT IN (SELECT parent FROM x_tree) GROUP BY ancestor")
 _add("GRA-03", lambda x: G.by_tree_distance(x.x_tree, "c7"), f"{UP} SELECT a.node, CASE WHEN a.node='c7' THEN 0 ELSE min(b.distance) END AS steps FROM up a JOIN up b ON a.ancestor=b.ancestor AND b.node='c7' WHERE a.node NOT IN (SELECT parent FROM x_tree) GROUP BY a.node")
 _add("GRA-05", lambda x: G.covering_roots(J.covering_pairs(x.x_exon)), f"WITH RECURSIVE e AS (SELECT gene_id, master, covered FROM {COVER} q), r AS (SELECT DISTINCT master AS exon_id, master AS root FROM e WHERE master NOT IN (SELECT covered FROM e) UNION SELECT e.covered, r.root FROM r JOIN e ON e.master=r.exon_id) SELECT exon_id, CASE WHEN min(root)=exon_id THEN -1 ELSE min(root) END AS root FROM r GROUP BY exon_id")
+_add("GRA-05-cycles", lambda x: G.unrooted(J.covering_pairs(x.x_exon)), f"WITH RECURSIVE e AS (SELECT gene_id, master, covered FROM {COVER} q), r AS (SELECT DISTINCT master AS exon_id FROM e WHERE master NOT IN (SELECT covered FROM e) UNION SELECT e.covered FROM r JOIN e ON e.master=r.exon_id) SELECT DISTINCT gene_id, exon_id FROM (SELECT gene_id, master AS exon_id FROM e UNION ALL SELECT gene_id, covered FROM e) q WHERE exon_id NOT IN (SELECT exon_id FROM r)")
 _add("GRA-07", lambda x: G.serialised(x.x_tree), "WITH n AS (SELECT parent, '(' || string_agg(node, ',' ORDER BY node) || ')' || parent AS text FROM x_tree WHERE node LIKE 'c%' GROUP BY parent), t AS (SELECT x.node, x.parent, coalesce(n.text, x.node) AS text FROM x_tree x LEFT JOIN n ON n.parent=x.node WHERE x.node LIKE 'n%'), r AS (SELECT parent, '(' || string_agg(text, ',' ORDER BY node) || ')' || parent AS text FROM t GROUP BY parent) SELECT x.node, coalesce(r.text, x.node) AS text FROM x_tree x LEFT JOIN r ON r.parent=x.node WHERE x.parent='root'")
 
 KEPT = f"{UP}, l AS (SELECT DISTINCT node FROM x_tree WHERE node LIKE 'c%' AND CAST(substr(node,2) AS BIGINT)%7=1), m AS (SELECT node FROM l UNION SELECT ancestor FROM up WHERE node IN (SELECT node FROM l)), f AS (SELECT parent AS node FROM x_tree WHERE node IN (SELECT node FROM m) GROUP BY parent HAVING count(*)>1), k AS (SELECT node FROM l UNION SELECT node FROM f)"
@@ -238,7 +239,7 @@ _add("FLT-05", lambda x: P.with_clean_peptides(x.x_exon.where("is_coding = 1").j
 _add("FLT-08", lambda x: K.on_region(x.x_gene, x.nation.select(F.col("n_nationkey").cast("long").alias("region_id"), F.col("n_name").alias("region_name")), "NATION_4").select("gene_id"), "SELECT gene_id FROM x_gene WHERE region_id IN (SELECT n_nationkey FROM nation WHERE n_name='NATION_4')")
 _add("FLT-09", lambda x: K.by_synonym_or_description(x.customer.select(F.col("c_name").alias("name")), x.customer.where("c_custkey % 3 = 0").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("gene_id")), x.customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("name"), (-F.col("c_custkey")).alias("gene_id"))).where("gene_id is not null"),
      "SELECT c_name AS name, CASE WHEN c_custkey%3=0 THEN c_custkey ELSE -c_custkey END AS gene_id FROM customer WHERE c_custkey%3=0 OR c_custkey%2=0")
-_add("JOIN-11", lambda x: x.x_exon.select("gene_id", F.col("exon_id").alias("a"), F.col("start_in_gene").alias("s"), F.col("end_in_gene").alias("e")).join(x.x_exon, "gene_id").where(F.col("a") < F.col("exon_id")).where(J.overlap(F.col("s"), F.col("e"), F.col("start_in_gene"), F.col("end_in_gene"))).select("a", F.col("exon_id").alias("b")),
+_add("JOIN-11", lambda x: J.overlapping_exons(x.x_exon, []).select(F.col("a_exon_id").alias("a"), F.col("b_exon_id").alias("b")),
      "SELECT a.exon_id AS a, b.exon_id AS b FROM x_exon a JOIN x_exon b ON a.gene_id=b.gene_id AND a.exon_id<b.exon_id AND NOT (b.end_in_gene<a.start_in_gene) AND NOT (a.end_in_gene<b.start_in_gene)")
 _add("JOIN-13", lambda x: K.update_from(x.x_exon.select("exon_id"), x.x_seq.select((F.col("seq_id") * 100 + 1).alias("exon_id"), F.col("lang")), "exon_id", "lang").where("lang is not null"), "SELECT exon_id, lang FROM x_exon JOIN x_seq ON exon_id=seq_id*100+1 WHERE lang IS NOT NULL")
 _add("JOIN-14", lambda x: K.maps_of_genes(x.x_exon, x.x_pair).select("gene_id", "exon_id", "cognate_exon_id", "part"), "SELECT e.gene_id, e.exon_id, p.cognate_exon_id, p.part FROM x_exon e JOIN x_pair p ON e.exon_id=p.exon_id")
