@@ -10,14 +10,13 @@ from strandweave.functions import sequence as S
 from strandweave.operators import aggregates as A
 from strandweave.operators import pairwise as W
 from strandweave.operators import splicing as Y
-from strandweave.plans.registry import _add, _ortho, _strand
+from strandweave.plans.registry import _add, _ortho
 from strandweave.plans.tracks import SLICES, _slices
 
 
 def _strings(x: Inputs) -> DataFrame:
-    """(gene_id, decorated): exon n of a gene has residues of the gene's sequence from 7 n on."""
-    pep = F.expr("substr(pep, CAST(1 + exon_id % 100 * 7 AS INT), 15)")
-    rows = _strand(x).join(x.x_seq.select(F.col("seq_id").alias("gene_id"), "pep"), "gene_id").withColumn("pep", pep)
+    """(gene_id, decorated): the coding exons of a gene, each with the whole peptide of its own slice."""
+    rows = _slices(x).withColumn("pep", S.translate(F.col("dna")))
     return A.decorated(rows.where("length(pep) > 0"))
 
 

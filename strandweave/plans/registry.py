@@ -185,6 +185,8 @@ _add("SEQ-05", lambda x: x.x_seq.select("seq_id", S.crop(F.col("dna"), (F.col("s
 _add("SEQ-10", lambda x: _pairs(x).select("aln_id", "a_id", "b_id", S.identity(F.col("a"), F.col("b")).alias("identity")), f"SELECT aln_id, a_id, b_id, {COUNT(chr(39).join(['substr(a,p,1)=substr(b,p,1) AND substr(a,p,1)<>', '-', '']))}/length(a) AS identity FROM {PAIRS} q")
 _add("SEQ-12", lambda x: _pairs(x).select("aln_id", "a_id", "b_id", S.tanimoto(F.col("a"), F.col("b"), heuristics=False).alias("tanimoto")),
      f"SELECT aln_id, a_id, b_id, CASE WHEN m=0 OR n=0 OR c=0 THEN 0.0 ELSE sqrt(CAST(s AS DOUBLE)*s/(CAST(m AS DOUBLE)*n)) END AS tanimoto FROM (SELECT aln_id, a_id, b_id, length(replace(a,'-','')) AS m, length(replace(b,'-','')) AS n, len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(b,p,1)<>'-')) AS c, len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(translate(a,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)=substr(translate(b,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1))) AS s FROM {PAIRS} q) q")
+_add("SEQ-12-heuristics", lambda x: _pairs(x).select("aln_id", "a_id", "b_id", S.tanimoto(F.col("a"), F.col("b")).alias("tanimoto")),
+     f"SELECT aln_id, a_id, b_id, CASE WHEN m=0 OR n=0 OR c=0 THEN 0.0 WHEN s>0.9*m THEN s/m WHEN s>0.9*n THEN s/n WHEN s>=0.66*c AND 0.66*c>4 THEN s/c ELSE sqrt(s*s/(m*n)) END AS tanimoto FROM (SELECT aln_id, a_id, b_id, CAST(length(replace(a,'-','')) AS DOUBLE) AS m, CAST(length(replace(b,'-','')) AS DOUBLE) AS n, CAST(len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(b,p,1)<>'-')) AS DOUBLE) AS c, CAST(len(list_filter(ps, lambda p: substr(a,p,1)<>'-' AND substr(translate(a,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1)=substr(translate(b,'{S.CLASSES[0]}','{S.CLASSES[1]}'),p,1))) AS DOUBLE) AS s FROM {PAIRS} q) q")
 _add("SEQ-13", lambda x: L.length_check(x.x_aln), "SELECT aln_id, min(length(seq))=max(length(seq)) AND max(length(seq))>0 AS equal_lengths FROM x_aln GROUP BY aln_id")
 _add("SEQ-17", lambda x: x.x_aln.select("aln_id", "seq_id", F.lower(S.bitmap(F.col("seq"))).alias("bits")), "SELECT aln_id, seq_id, lower(array_to_string(list_transform(range(0,8), lambda k: lpad(to_hex(CAST(list_sum(list_transform(range(0,8), lambda j: CASE WHEN substr(rpad(seq,64,'-'),CAST(8*k+j+1 AS INT),1)='-' THEN 0 ELSE CAST(power(2,7-j) AS INT) END)) AS INT)),2,'0')),'')) AS bits FROM x_aln")
 _add("SEQ-31", lambda x: x.x_gene.select("gene_id", S.fasta_id(F.concat(F.lit(">"), "stable_id", F.lit(".1 note"))).alias("id")), "SELECT gene_id, stable_id AS id FROM x_gene")

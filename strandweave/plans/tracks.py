@@ -182,7 +182,7 @@ _add("ALN-17", lambda x: T.without_ghosts(_segments(x)),
 
 
 def _exon_rows(x: Inputs) -> DataFrame:
-    return _slices(x).select("gene_id", "exon_id", "start_in_gene", "end_in_gene", S.translate(F.substring("dna", 1, 45)).alias("pep"))
+    return _slices(x).select("gene_id", "exon_id", "start_in_gene", "end_in_gene", S.translate(F.col("dna")).alias("pep"))
 
 
 def _track_pieces(x: Inputs) -> DataFrame:
@@ -195,7 +195,7 @@ def _tracks(x: Inputs) -> DataFrame:
     return _track_pieces(x).groupBy("track_id").agg(items.alias("o")).select("track_id", F.array_join(F.transform("o", lambda e: F.concat(F.lit("-"), e["pep"], F.lit("-"))), "Z").alias("track"))
 
 
-ROWS = f"(SELECT gene_id, exon_id, start_in_gene, end_in_gene, row_number() OVER (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)-1 AS n, {PEPTIDE} AS pep FROM (SELECT gene_id, exon_id, start_in_gene, end_in_gene, substr(dna,1,45) AS dna FROM {SLICES} q) q)"
+ROWS = f"(SELECT gene_id, exon_id, start_in_gene, end_in_gene, row_number() OVER (PARTITION BY gene_id ORDER BY start_in_gene, exon_id)-1 AS n, {PEPTIDE} AS pep FROM {SLICES} q)"
 _add("ALN-19", lambda x: T.piece_check(_tracks(x), _track_pieces(x).select("track_id", "ordinal", F.when(F.col("exon_id") % 3 == 0, F.reverse("pep")).otherwise(F.col("pep")).alias("pep"))),
      f"SELECT gene_id AS track_id, CAST(n AS INT) AS ordinal, exon_id%3<>0 OR pep=reverse(pep) AS equal FROM {ROWS} q WHERE length(pep)>0")
 _joined = lambda x: T.concatenated(_exon_rows(x))
