@@ -36,7 +36,7 @@ def paralogue_strings(x: Inputs) -> DataFrame:
 
 
 _add("SIM-01", lambda x: W.align(orthologue_strings(x)), None)
-_add("SIM-02", lambda x: W.exon_maps(W.align(orthologue_strings(x))), None)
+_add("SIM-02", lambda x: W.exon_maps(W.align(orthologue_strings(x)), 0.33333), None)
 _add("SIM-03", lambda x: W.paralogue_maps(W.align(paralogue_strings(x))), None)
 
 
