@@ -307,23 +307,24 @@ def rarest(sets: DataFrame, percent: int) -> DataFrame:
 def _meeting(first: DataFrame, percent: int) -> DataFrame:
     """(a, b, own_a, own_b): documents of two components, a the smaller set, that meet on a shingle and whose places there leave enough to share.
 
-    What meets on a shingle first are units, the documents of one component and of about one size: only those of two
-    components of which some sizes and places leave enough are taken apart to documents. So a component's own documents
-    are never paired, nor a family's with those that share a little too little.
+    What meets on a shingle first are units, the documents of one component of about one size that have it at about one
+    place: only those of two components of which some sizes and places leave enough are taken apart to documents. So a
+    component's own documents are never paired, nor a family's with those that share a little too little.
     """
     mixed = first.groupBy("shingle").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.bool_or("heads").alias("headed")).where("lo < hi and headed").select("shingle")
-    # sizes of a unit differ by less than one in twenty
-    kept = Cut(first.join(mixed.hint("merge"), "shingle").withColumn("about", F.floor(20 * F.log("size")).cast("int")), "crowd-kept").df
+    # sizes of a unit differ by less than one in forty, places by less than that share of the size
+    about, deep = F.floor(40 * F.log("size")).cast("int"), F.floor(40 * F.col("at") / F.col("size")).cast("int")
+    kept = Cut(first.join(mixed.hint("merge"), "shingle").withColumns({"about": about, "deep": deep}), "crowd-kept").df
     heads = kept.where("heads")
-    key = ["shingle", "own", "about"]
+    key = ["shingle", "own", "about", "deep"]
     named = lambda df, t: df.select("shingle", *(F.col(c).alias(f"{c}_{t}") for c in df.columns if c != "shingle"))
     units = lambda df, t: named(df.groupBy(*key).agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("at")).alias("most")), t)
     # what two sets can still share from their first shared shingle on, against what they must share
     enough = lambda most, m, n: most * (100 + percent) >= percent * (F.col(m) + F.col(n))
     possible = (F.col("own_a") != F.col("own_b")) & (F.col("lo_a") <= F.col("hi_b")) & (F.col("hi_a") * 100 >= F.col("lo_b") * percent) & enough(F.least("most_a", "most_b"), "lo_a", "lo_b")
-    meet = units(heads, "a").join(units(kept, "b").hint("merge"), "shingle").where(possible).select("shingle", "own_a", "about_a", "own_b", "about_b")
+    meet = units(heads, "a").join(units(kept, "b").hint("merge"), "shingle").where(possible).select("shingle", *(f"{c}_{t}" for t in "ab" for c in key[1:]))
     documents = lambda df, t: named(df.select(*key, F.col("doc_id").alias("doc"), "size", "at"), t)
-    pairs = meet.join(documents(heads, "a").hint("merge"), ["shingle", "own_a", "about_a"]).join(documents(kept, "b").hint("merge"), ["shingle", "own_b", "about_b"])
+    pairs = meet.join(documents(heads, "a").hint("merge"), ["shingle", *(f"{c}_a" for c in key[1:])]).join(documents(kept, "b").hint("merge"), ["shingle", *(f"{c}_b" for c in key[1:])])
     order = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("doc_a") < F.col("doc_b")))
     fit = F.col("size_a") * 100 >= F.col("size_b") * percent
     most = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
