@@ -74,12 +74,14 @@ def acceptor_scores(sites: DataFrame, tables: DataFrame) -> DataFrame:
 def best_donor(windows: DataFrame, table: DataFrame, least: float, compat_zero: bool = True) -> DataFrame:
     """(window_id, shift, score): the best 9-mer of each window (window_id, text) without N, from a least score on.
 
-    With ``compat_zero`` a best site at shift 0 counts as none.
+    Of equal scores the least shift counts. With ``compat_zero`` a best site at shift 0 counts as none.
     """
     last = F.length("text") - 9
     sites = windows.where(last >= 0).select("window_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("shift"))
     sites = sites.select("window_id", "shift", F.substring(F.col("text"), F.col("shift") + 1, F.lit(9)).alias("site")).where(~F.contains("site", F.lit("N")))
-    best = donor_scores(sites, table).groupBy("window_id").agg(F.max(F.struct("score", (-F.col("shift")).alias("k"))).alias("b"))
+    # rounded, so that equal scores are equal whatever the order of their sums
+    scored = donor_scores(sites, table).withColumn("score", F.round("score", 9))
+    best = scored.groupBy("window_id").agg(F.max(F.struct("score", (-F.col("shift")).alias("k"))).alias("b"))
     out = best.select("window_id", (-F.col("b.k")).alias("shift"), F.col("b.score").alias("score")).where(F.col("score") >= least)
     return out.where("shift <> 0") if compat_zero else out
 

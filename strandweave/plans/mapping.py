@@ -68,7 +68,7 @@ WORDS = " UNION ALL ".join(f"SELECT site, {k} AS part, substr(r,{at + 1},{n}) AS
 _add("SEQ-22-acceptor", lambda x: Y.acceptor_scores(_acceptor_sites(x), _acceptor_tables(x)).select("site", F.round("score", 6).alias("score")),
      f"WITH a AS (SELECT site, substr(site,1,18) || substr(site,21,3) AS r FROM (SELECT substr(dna, 1+seq_id%40, 23) AS site FROM x_seq) q WHERE length(site)=23), w AS ({WORDS}), t AS (SELECT part, word, count(*)/8.0 AS value FROM w GROUP BY part, word) SELECT site, round({_LOG('substr(site,19,1)', Y.ACCEPTOR[0])}+{_LOG('substr(site,20,1)', Y.ACCEPTOR[1])}+sum(CASE WHEN part<5 THEN 1 ELSE -1 END*log2(value)),6) AS score FROM (SELECT DISTINCT site, part, word FROM w) d JOIN t USING (part, word) GROUP BY site")
 _add("SEQ-23", lambda x: Y.best_donor(_slices(x).select(F.col("exon_id").alias("window_id"), F.concat(F.right("dna", F.lit(13)), "right_flank").alias("text")), _donor_table(x), -12.0).select("window_id", "shift"),
-     f"WITH t AS (SELECT substr(site,1,3) || substr(site,6,4) AS word, count(*)/16.0 AS value FROM {SITES} q GROUP BY 1), w AS (SELECT exon_id, text, unnest(range(0, length(text)-8)) AS i FROM (SELECT exon_id, right(dna,13) || right_flank AS text FROM {SLICES} q) q), s AS (SELECT exon_id, i, {DONOR}+log2(value) AS score FROM (SELECT exon_id, i, substr(text, CAST(i+1 AS INT), 9) AS site FROM w) q JOIN t ON t.word=substr(site,1,3) || substr(site,6,4)), b AS (SELECT *, row_number() OVER (PARTITION BY exon_id ORDER BY score DESC, i) AS rn FROM s) SELECT exon_id AS window_id, CAST(i AS INT) AS shift FROM b WHERE rn=1 AND score>=-12 AND i<>0")
+     f"WITH t AS (SELECT substr(site,1,3) || substr(site,6,4) AS word, count(*)/16.0 AS value FROM {SITES} q GROUP BY 1), w AS (SELECT exon_id, text, unnest(range(0, length(text)-8)) AS i FROM (SELECT exon_id, right(dna,13) || right_flank AS text FROM {SLICES} q) q), s AS (SELECT exon_id, i, round({DONOR}+log2(value),9) AS score FROM (SELECT exon_id, i, substr(text, CAST(i+1 AS INT), 9) AS site FROM w) q JOIN t ON t.word=substr(site,1,3) || substr(site,6,4)), b AS (SELECT *, row_number() OVER (PARTITION BY exon_id ORDER BY score DESC, i) AS rn FROM s) SELECT exon_id AS window_id, CAST(i AS INT) AS shift FROM b WHERE rn=1 AND score>=-12 AND i<>0")
 
 
 def exon_templates(x: Inputs) -> DataFrame:

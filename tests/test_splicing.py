@@ -116,3 +116,13 @@ def test_cleanup_of_odd_exons(spark):
     want = {e.exon_id: clean(e, tables, donors) for e in exons.collect()}
     assert run(exons) == {k: v for k, v in want.items() if v is not None} and 7 not in run(exons)
     assert run(exons.limit(0)) == {}
+
+
+def test_equal_donor_scores_go_to_the_first_site(spark):
+    """Odds that are equal but for the last bit of their sums: the least shift counts."""
+    first, second = "AAAAGAAAA", "AAAGAACCC"
+    gap = consensus(second, 3, Y.DONOR) - consensus(first, 3, Y.DONOR)
+    table = spark.createDataFrame([("AAAAAAA", 2.0**gap * (1 + 1e-12)), ("AAAACCC", 1.0 + 3e-12)], "word string, value double")
+    windows = spark.createDataFrame([(1, "NN" + first + "N" + second), (2, "N" + second + "N" + first)], "window_id long, text string")
+    got = {r["window_id"]: r["shift"] for r in Y.best_donor(windows, table, -100.0).collect()}
+    assert got == {1: 2, 2: 1}
