@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandweave.functions import sequence as S
+from strandweave.operators import audits as C
 from strandweave.operators import pair_blocks as B
 from strandweave.operators import tracks as T
 
@@ -63,3 +64,51 @@ def test_framed_rows_and_spread(spark, monkeypatch):
     assert len(own) == pairs.count()
     # one alignment is the work of many tasks
     assert made.groupBy(F.spark_partition_id()).count().count() >= 8
+
+
+def test_settled_pieces_make_no_pairs(spark):
+    """Many pieces of one alignment, against all pairs of them; repeated ids are never rivals."""
+    rng = random.Random(5)
+    rows = [("p", i if i < 55 else i - 50, "-" * rng.randrange(20) + "".join(rng.choice("AC-") for _ in range(rng.randrange(5)))) for i in range(60)]
+    rows = [(a, i, s.ljust(24, "-")) for a, i, s in rows] + [("p", 99, None), ("q", 1, "-" * 24), ("q", 2, "A" + "-" * 23), ("r", 5, "AA"), ("r", 6, "AA")]
+    aln = spark.createDataFrame(rows, "aln_id string, seq_id long, seq string")
+    targets = spark.createDataFrame([("p", 3), ("q", 1), ("r", 5)], "aln_id string, target_id long")
+    for_target = {a: s for a, i, s in reversed(rows) if (a, i) in {("p", 3), ("q", 1), ("r", 5)}}
+    held = [(a, i, s, sum(x == y != "-" for x, y in zip(s, for_target[a])) / len(s)) for a, i, s in rows if s is not None]
+    lost = {(a, i if u < v else j) for a, i, s, u in held for b, j, t, v in held if a == b and i < j and any(x != "-" != y for x, y in zip(s, t))}
+    got = {(r["aln_id"], r["seq_id"]) for r in T.settled_pieces(aln, targets).collect()}
+    assert lost and got == {(a, i) for a, i, _ in rows} - lost
+    plan = T.settled_pieces(aln, targets)._jdf.queryExecution().optimizedPlan().toString()
+    assert "a_score" not in plan
+
+
+def test_fused_pairs(spark):
+    rng = random.Random(7)
+    rows = [("p", i, "".join(rng.choice("AC--") for _ in range(9)), rng.randrange(2), rng.choice([0, 1, None]), rng.choice([[1, 2], [2, 3], [4], [5, 6], [], [1, None]])) for i in range(60)]
+    both = spark.createDataFrame(rows, "aln_id string, seq_id long, seq string, species int, scaffold int, exons array<int>")
+    got = sorted(map(tuple, T.fused(both.select("aln_id", "seq_id", "seq"), both.select("aln_id", "seq_id", "species", "scaffold", "exons")).collect()))
+    fit = [r for r in rows if r[4] is not None and r[5] and None not in r[5]]
+    want = [("p", a[1], b[1], "".join(y if x == "-" else x for x, y in zip(a[2], b[2]))) for a in fit for b in fit
+            if a[1] < b[1] and a[3] == b[3] and a[4] != b[4] and (max(a[5]) < min(b[5]) or max(b[5]) < min(a[5]))]
+    assert want and got == sorted(want)
+
+
+def test_mutations_of_one_row_are_rows_by_kind(spark):
+    """What leaves the first step is a row a kind, whatever the length."""
+    dna = "".join(random.Random(1).choice("ACGT") for _ in range(3001))
+    rows = [(1, dna), (1, "ACG"), (2, "CGNCGA"), (3, None), (4, "AC")]
+    got = {(r["gene_id"], r["category"], r["effect"]): r["n"] for r in C.mutation_background(spark.createDataFrame(rows, "gene_id long, dna string")).collect()}
+    want = {}
+    residue = {a + b + c: S.STANDARD[16 * i + 4 * j + k] for i, a in enumerate(S.BASES) for j, b in enumerate(S.BASES) for k, c in enumerate(S.BASES)}
+    for gene, text in rows:
+        for i in range(3 * (len(text or "") // 3)):
+            codon, base = text[i // 3 * 3 : i // 3 * 3 + 3], text[i]
+            if codon in residue:
+                near = text[i : i + 2] == "CG" or text[max(i - 1, 0) : i + 1] == "CG"
+                for to in "ACGT".replace(base, ""):
+                    new = residue[codon[: i % 3] + to + codon[i % 3 + 1 :]]
+                    kind = ("CpG" if near else "AT" if base in "AT" else "CG") + ("_transition" if {base, to} in ({"A", "G"}, {"C", "T"}) else "_transversion")
+                    name = (gene, kind, "silent" if new == residue[codon] else "nonsense" if new == "*" else "missense")
+                    want[name] = want.get(name, 0) + 1
+    assert got == want
+    assert "Generate" not in C.mutation_background(spark.createDataFrame(rows, "gene_id long, dna string"))._jdf.queryExecution().optimizedPlan().toString()
