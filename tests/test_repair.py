@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from strandweave.adapters import Inputs
 from strandweave.functions import sequence as S
 from strandweave.operators import pairwise as W
@@ -278,3 +280,12 @@ def test_rows_without_news_are_not_visited_again(monkeypatch):
     out = repair.cleaned(rows)
     assert [r.replace("-", "").replace("Z", "") for r in out] == [r.replace("-", "").replace("Z", "") for r in rows]
     assert len(visits) < 10 * len(rows)
+
+
+def test_small_alignments_are_spread_over_tasks(spark):
+    """Few bytes are not put together to one task."""
+    rows = spark.createDataFrame([(f"a{k}", i, "AC-Z-DE", i) for k in range(40) for i in range(3)], "aln_id string, seq_id long, seq string, rank long")
+    refs = rows.select("aln_id", F.lit(0).cast("long").alias("target_id")).distinct()
+    exons = rows.where("seq_id = 1").select("aln_id", "seq_id", F.lit(0).alias("piece_no"), F.lit(0).alias("group_no"), F.lit(0).alias("first_ref"), F.lit(1).alias("last_ref"), F.lit("AC").alias("pep"))
+    for made in (repair.clean_boundaries(rows), repair.repaired(rows, refs, exons)):
+        assert made.groupBy(F.spark_partition_id()).count().count() >= 8
