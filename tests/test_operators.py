@@ -52,3 +52,12 @@ def test_fasta_and_dump_round_trip(spark, tmp_path):
     dump = spark.createDataFrame([(1, None), (2, "x")], "id int, v string")
     R.write_dump(dump, str(tmp_path / "d"))
     assert sorted(R.read_dump(spark, str(tmp_path / "d"), dump.schema).collect(), key=str) == sorted(dump.collect(), key=str)
+
+
+def test_start_codon_makes_its_text_once(spark):
+    rows = spark.createDataFrame([("xxATGCATGAAAATG", 8), ("xxCCC", 2), (None, 0), ("", 3)], "t string, j int")
+    got = rows.select(S.start_codon(F.regexp_replace("t", "x", "G"), F.col("j"), 2, 3).alias("p"))
+    assert [r.p for r in got.collect()] == [2, None, None, None]
+    # a text that is made inside the filter is made again for each place
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(regexp_replace" not in plan and plan.count("regexp_replace(") == 1
