@@ -70,7 +70,8 @@ class PieceCodec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(ranks))
         self.letters = {b: letter for b, letter in enumerate(byte_letters())}
         self.split = regex.compile(pattern).findall
-        self.encoder = ChunkEncoder(self._whole, self._pieces, self.split)
+        # shorter runs and memories than by default: a worker keeps what it met through all its tasks
+        self.encoder = ChunkEncoder(self._whole, self._pieces, self.split, limit=400_000, at_once=4_000_000)
 
     def _pieces(self, pres: list[str]) -> list[bytes]:
         """Each pre-token separately, as bytes in Latin-1; one that is a token is not merged again."""

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 from strandweave.llm import chat, language, minhash_forest, mixing, piece_bpe, quality, queries, surrogates, url_filter, vector_graph, wavelet
@@ -591,3 +592,12 @@ def test_quality_takes_ties_and_clashing_columns(spark):
     got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n string, symbol_rate int")).collect()
     kept = {r.doc_id: r.kept for r in got}
     assert len(got) == len(rows) and not kept[60] and sum(not k for k in kept.values()) == 1
+
+
+def test_what_a_worker_remembers_of_many_chunks_is_bounded():
+    own = piece_bpe.PieceCodec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    for at in range(0, 600_000, 50_000):
+        text = " ".join(f"q{i}z" for i in range(at, at + 50_000))
+        (ids,) = own.encode(pa.array([text]))
+        assert own.decode(ids) == text.encode()
+    assert len(own.encoder.keys) <= 400_000
