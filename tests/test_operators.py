@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from strandweave.functions import sequence as S
+from strandweave.operators import joins as J
 from strandweave.operators.components import connected_components
 from strandweave.sources import files as R
 
@@ -61,3 +62,12 @@ def test_start_codon_makes_its_text_once(spark):
     # a text that is made inside the filter is made again for each place
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "substring(regexp_replace" not in plan and plan.count("regexp_replace(") == 1
+
+
+def test_orthologues_meet_in_parts_that_are_not_put_together(spark):
+    members = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 10), (2, 11), (3, 12), (3, None), (None, 10)], "homology_id long, gene_member_id long")
+    genes = spark.createDataFrame([(10, 3), (11, 4), (12, 3)], "gene_id long, species_id int")
+    types = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "homology_id long, description string")
+    got = J.orthologues(members, types, genes, 3)
+    assert sorted(got.collect()) == [(10, 11, 4, "a"), (10, 12, 3, "a"), (12, 10, 3, "a"), (12, 11, 4, "a")]
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
