@@ -235,11 +235,12 @@ def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame,
     """
     both = F.explode(F.array(F.struct(F.lit(1).alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit(-1).alias("strand"), S.reverse_complement(F.col("seq")).alias("seq"))))
     asked = templates.select("query_id", F.length("seq").alias("size"), both.alias("x")).select("query_id", "size", "x.strand", "x.seq", F.lit(0).cast("long").alias("start"))
-    own = _seeds(asked, ["query_id", "strand", "size"]).withColumnRenamed("at", "own_at").join(searches, "query_id")
+    # files of ids and places are far smaller than their rows in memory, so their size must not make a join broadcast them
+    own = _seeds(asked, ["query_id", "strand", "size"]).withColumnRenamed("at", "own_at").join(searches.hint("merge"), "query_id")
     own = own.withColumn("salt", F.explode(F.when(F.col("plain"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     there = _seeds(pieces, ["target_id"]).withColumn("salt", F.when(F.col("plain"), (F.col("at") % salts).cast("int")).otherwise(0))
     # a seed that lies in the lap of two pieces is one
-    hits = own.join(there, ["target_id", "pattern", "word", "salt"]).select("query_id", "target_id", "strand", "size", "pattern", "at", "own_at").distinct()
+    hits = own.join(there.hint("merge"), ["target_id", "pattern", "word", "salt"]).select("query_id", "target_id", "strand", "size", "pattern", "at", "own_at").distinct()
     diagonal = F.col("at") - F.col("own_at")
     binned = hits.withColumn("diagonal", diagonal).withColumn("bin", F.explode(F.array(F.floor(diagonal / bin_width) - 1, F.floor(diagonal / bin_width))))
     key = ["query_id", "target_id", "strand"]
@@ -289,23 +290,23 @@ def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame,
     empty texts find nothing; query_id and target_id are keys.
     """
     longest_seed = max(map(len, SEEDS))
-    searches = searches.select("query_id", "target_id").distinct()
-    templates = templates.where("seq <> ''").join(searches, "query_id", "left_semi")
-    regions = regions.where("seq <> ''").join(searches, "target_id", "left_semi")
+    searches = Cut(searches.select("query_id", "target_id").distinct(), "searches").df
+    templates = Cut(templates.where("seq <> ''").join(searches.hint("merge"), "query_id", "left_semi"), "templates").df
+    regions = Cut(regions.where("seq <> ''").join(searches.hint("merge"), "target_id", "left_semi"), "regions").df
     starts = F.sequence(F.lit(0), F.length("seq") - 1, F.lit(piece))
     cut = lambda size: regions.select("target_id", F.length("seq").alias("total"), F.posexplode(starts).alias("chunk_no", "start"), "seq").select("target_id", "total", "chunk_no", F.col("start").cast("long").alias("start"), F.substring(F.col("seq"), F.col("start") + 1, F.lit(size)).alias("seq"))
     long = F.length("seq") >= shortest
     windows = search_windows(templates.where(long), cut(piece + longest_seed - 1), searches, bin_width, slack, salts)
-    short = templates.where(~long).select("query_id", F.col("seq").alias("own")).join(searches, "query_id").join(cut(piece + shortest - 1).select("target_id", "start", "seq"), "target_id")
+    short = templates.where(~long).select("query_id", F.col("seq").alias("own")).join(searches.hint("merge"), "query_id").join(cut(piece + shortest - 1).select("target_id", "start", "seq").hint("merge"), "target_id")
     all_windows = Cut(windows.unionByName(best_places(short, slack)), "search-windows").df
     wanted = F.explode(F.sequence(F.floor(F.col("lo") / piece).cast("int"), F.floor((F.col("hi") - 1) / piece).cast("int")))
-    parts = all_windows.select("*", wanted.alias("chunk_no")).join(cut(piece), ["target_id", "chunk_no"])
+    parts = all_windows.select("*", wanted.alias("chunk_no")).join(cut(piece).hint("merge"), ["target_id", "chunk_no"])
     inside = F.substring(F.col("seq"), (F.greatest(F.col("lo") - F.col("start"), F.lit(0)) + 1).cast("int"), (F.least(F.col("hi") - F.col("start"), F.lit(piece)) - F.greatest(F.col("lo") - F.col("start"), F.lit(0))).cast("int"))
     texts = parts.groupBy("query_id", "target_id", "strand", "lo").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", inside.alias("seq")))), lambda x: x["seq"]), "").alias("second"))
     own = templates.select("query_id", F.col("seq").alias("own"))
     turned = F.when(F.col("strand") < 0, S.reverse_complement(F.col("own"))).otherwise(F.col("own"))
     mark = lambda c: F.concat(F.lit("B"), F.upper(c), F.lit("Z"))
-    pairs = texts.join(own, "query_id").select(F.col("query_id").alias("a_id"), F.col("target_id").alias("b_id"), "strand", F.col("lo").alias("offset"), mark(turned).alias("first"), mark("second").alias("second"))
+    pairs = texts.join(own.hint("merge"), "query_id").select(F.col("query_id").alias("a_id"), F.col("target_id").alias("b_id"), "strand", F.col("lo").alias("offset"), mark(turned).alias("first"), mark("second").alias("second"))
     tidy = lambda c: F.translate(c, GAP + "BZ", "---")
     aligned = align(pairs).select("a_id", "b_id", "strand", "offset", tidy("first").alias("x"), tidy("second").alias("y"))
     line = S.cigar(F.col("x"), F.col("y"))

@@ -218,3 +218,11 @@ def test_best_frames(spark):
     got = {r.hit_id: (r.pep, r.match_start, r.match_end) for r in splicing.best_frames(hits).collect()}
     assert len(got) > len(odd) and got == want
     assert registry.queries()["SEQ-21"](spark, SF).count() == len(want) - len(odd)
+
+
+def test_the_search_of_exons_broadcasts_no_table(spark):
+    text = "ACGTTGCAAGCTTAGCCATGGATCCGTTAACGGCATCTAGACTTGCAGT"
+    frame_ = spark.createDataFrame
+    got = splicing.missing_exons(frame_([(1, text)], "query_id long, seq string"), frame_([(2, "TTGA" + text + "CCAG")], "target_id long, seq string"), frame_([(1, 2)], "query_id long, target_id long"))
+    assert [(r.query_id, r.target_id, r.strand, r["first"], r.match_length) for r in got.collect()] == [(1, 2, 1, 4, len(text))]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
