@@ -146,14 +146,15 @@ def cleaned_exons(exons: DataFrame, acceptors: DataFrame, donors: DataFrame, lea
     rest = size % 3
     from_left, from_right = part(F.col("dna"), rest, size - rest), part(F.col("dna"), F.lit(0), size - rest)
     side = F.when(rest == 0, 0).when(S.translate(from_left) == F.col("pep"), 1).when(S.translate(from_right) == F.col("pep"), 2)
-    rows = rows.withColumns({"side": side, "rest": rest}).where("side is not null")
+    rows = rows.withColumns({"side": side, "rest": rest})
     rows = rows.withColumns({
         "left_flank": F.when(F.col("side") == 1, F.concat("left_flank", part(F.col("dna"), F.lit(0), F.col("rest")))).otherwise(F.col("left_flank")),
         "right_flank": F.when(F.col("side") == 2, F.concat(part(F.col("dna"), size - F.col("rest"), F.col("rest")), "right_flank")).otherwise(F.col("right_flank")),
         "dna": F.when(F.col("side") == 1, from_left).when(F.col("side") == 2, from_right).otherwise(F.col("dna")),
         "cut_left": F.col("cut_left") + F.when(F.col("side") == 1, F.col("rest")).otherwise(0), "cut_right": F.col("cut_right") + F.when(F.col("side") == 2, F.col("rest")).otherwise(0),
     })
-    rows = Cut(rows.drop("transl_start", "transl_end", "side", "rest"), "novel-exons").df
+    # asked behind the cut, as a filter before it would work out the texts and their peptides a second time
+    rows = Cut(rows.drop("transl_start", "transl_end", "rest"), "novel-exons").df.where("side is not null").drop("side")
     # how far to look: further outwards at both ends where the template is longer, inwards where it is shorter
     apart = F.abs(size - F.length("template_dna"))
     shorter = size < F.length("template_dna")

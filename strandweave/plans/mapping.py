@@ -12,6 +12,15 @@ from strandweave.operators import pairwise as W
 from strandweave.operators import splicing as Y
 from strandweave.plans.registry import _add, _ortho
 from strandweave.plans.tracks import SLICES, _slices
+from strandweave.session import Cut, spread
+
+
+def held_slices(x: Inputs, flank: int = 15) -> DataFrame:
+    """Slices with up to 60 bases on both sides, written once a query; in plans that read them again they are plain columns."""
+    if "slices" not in vars(x):
+        x.slices = Cut(_slices(x, 60), "slices").df
+    rows = spread(x.slices, "exon_id")
+    return rows.withColumns({"left_flank": F.right("left_flank", F.lit(flank)), "right_flank": F.left("right_flank", F.lit(flank))})
 
 
 def _strings(x: Inputs) -> DataFrame:
@@ -42,7 +51,7 @@ _add("SIM-03", lambda x: W.paralogue_maps(W.align(paralogue_strings(x))), None)
 
 def _sites(x: Inputs) -> DataFrame:
     """9-mers over the ends of coding exons: three bases of the exon, six behind it."""
-    return _slices(x).select("exon_id", F.concat(F.right("dna", F.lit(3)), F.left("right_flank", F.lit(6))).alias("site")).where("length(site) = 9")
+    return held_slices(x).select("exon_id", F.concat(F.right("dna", F.lit(3)), F.left("right_flank", F.lit(6))).alias("site")).where("length(site) = 9")
 
 
 def _donor_table(x: Inputs) -> DataFrame:
@@ -89,7 +98,7 @@ _add("SIM-06", lambda x: Y.missing_exons(exon_templates(x), x.x_seq.select(F.col
 def hits(x: Inputs) -> DataFrame:
     """Coding exons between their flanks, found some bases beside their ends."""
     start = F.length("left_flank") + F.col("exon_id") % 5 - 2
-    rows = _slices(x).where("length(dna) >= 12").select(F.col("exon_id").alias("hit_id"), S.translate(F.col("dna")).alias("template"), F.concat("left_flank", "dna", "right_flank").alias("seq"),
+    rows = held_slices(x).where("length(dna) >= 12").select(F.col("exon_id").alias("hit_id"), S.translate(F.col("dna")).alias("template"), F.concat("left_flank", "dna", "right_flank").alias("seq"),
                                                        start.cast("int").alias("match_start"), (F.length("left_flank") + F.length("dna") + F.col("exon_id") % 3 - 1).cast("int").alias("match_end"))
     return rows.where("match_start >= 0")
 
@@ -99,7 +108,7 @@ _add("SEQ-21", lambda x: Y.best_frames(hits(x)), None)
 
 def acceptor_windows(x: Inputs) -> DataFrame:
     """60 bases before each coding exon and its own, looked through ten bases to both sides of the joint."""
-    return _slices(x, 60).select(F.col("exon_id").alias("window_id"), F.concat("left_flank", "dna").alias("text"), F.length("left_flank").alias("zero"), F.lit(-10).alias("low"), F.lit(10).alias("high"))
+    return held_slices(x, 60).select(F.col("exon_id").alias("window_id"), F.concat("left_flank", "dna").alias("text"), F.length("left_flank").alias("zero"), F.lit(-10).alias("low"), F.lit(10).alias("high"))
 
 
 def whole_acceptor_tables(x: Inputs) -> DataFrame:
@@ -111,7 +120,7 @@ def whole_acceptor_tables(x: Inputs) -> DataFrame:
 
 def novel_exons(x: Inputs) -> DataFrame:
     """Coding exons as a search might leave them: some bases too long or too short at both ends, beside the exon itself as template."""
-    rows = _slices(x, 60).where("length(dna) >= 12 and length(left_flank) >= 6")
+    rows = held_slices(x, 60).where("length(dna) >= 12 and length(left_flank) >= 6")
     whole, at = F.concat("left_flank", "dna", "right_flank"), F.length("left_flank")
     first, end = at + F.col("exon_id") % 5 - 2, at + F.length("dna") + F.col("exon_id") % 4 - 1
     cut = rows.withColumns({"whole": whole, "first": first.cast("int"), "end": F.least(end, F.length(whole)).cast("int")}).withColumn("own", F.expr("substr(whole, first + 1, end - first)"))

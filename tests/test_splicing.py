@@ -126,3 +126,10 @@ def test_equal_donor_scores_go_to_the_first_site(spark):
     windows = spark.createDataFrame([(1, "NN" + first + "N" + second), (2, "N" + second + "N" + first)], "window_id long, text string")
     got = {r["window_id"]: r["shift"] for r in Y.best_donor(windows, table, -100.0).collect()}
     assert got == {1: 2, 2: 1}
+
+
+def test_slices_are_written_once_a_query(spark):
+    x = Inputs(spark, SF)
+    texts = [mapping.novel_exons(x), mapping.whole_acceptor_tables(x), mapping._donor_table(x), mapping.hits(x)]
+    files = {f for df in texts for f in df.inputFiles()}
+    assert files and not any("documents.parquet" in f for f in files) and len({f.rsplit("/", 1)[0] for f in files}) == 1
