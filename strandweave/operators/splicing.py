@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from strandweave.functions import sequence as S
 from strandweave.operators.pairwise import GAP, align
-from strandweave.session import Cut
+from strandweave.session import Cut, spread
 
 # Background of the bases and the shares of each base at the two consensus places of both kinds of sites.
 BACKGROUND = {"A": 0.27, "C": 0.23, "G": 0.23, "T": 0.27}
@@ -320,16 +320,37 @@ def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame,
     return best.select("query_id", "target_id", "b.strand", "b.match_length", "b.identity", (-F.col("b.back")).alias("first"))
 
 
-@F.pandas_udf(StructType([StructField("ratio", DoubleType()), StructField("at", IntegerType()), StructField("size", IntegerType())]))
-def likeness(pep: pd.Series, template: pd.Series) -> pd.DataFrame:
-    """Share of two peptides in matching blocks, and the stretch of the first from its first block to its last."""
+@F.pandas_udf(StructType([StructField("own", DoubleType()), StructField("ratio", DoubleType()), *(StructField(c, IntegerType()) for c in ("place", "at", "size"))]))
+def likeness(own: pd.Series, peps: pd.Series, template: pd.Series, least: pd.Series) -> pd.DataFrame:
+    """Likeness of a template to a peptide and to the most alike of several, the place of the first such one and its stretch.
+
+    Likeness is the share in matching blocks, a stretch goes from the first block to the last. Each peptide is compared
+    once, those that could be most alike by their letters first, and no others; none if the own one does already.
+    """
     out = []
-    for own, other in zip(pep, template, strict=True):
-        matcher = SequenceMatcher(None, own, other)
-        blocks = [m for m in matcher.get_matching_blocks() if m.size]
-        at = blocks[0].a if blocks else 0
-        out.append((matcher.ratio(), at, blocks[-1].a + blocks[-1].size - at if blocks else 0))
-    return pd.DataFrame(out, columns=["ratio", "at", "size"])
+    for first, tried, other, enough in zip(own, peps, template, least, strict=True):
+        matcher = SequenceMatcher(None, first, other)
+        held = matcher.ratio()
+        best, at, size = (-1.0, 0), 0, 0
+        places: dict[str, int] = {}
+        if first != other and (held <= enough or "*" in first):
+            for k, pep in enumerate(tried):
+                places.setdefault(pep, k)
+        bounds = []
+        for pep, k in places.items():
+            matcher.set_seq1(pep)
+            bounds.append((matcher.quick_ratio(), -k, pep))
+        for bound, k, pep in sorted(bounds, reverse=True):
+            if bound < best[0]:
+                break
+            matcher.set_seq1(pep)
+            if (matcher.ratio(), k) > best:
+                best = matcher.ratio(), k
+                blocks = [m for m in matcher.get_matching_blocks() if m.size]
+                at = blocks[0].a if blocks else 0
+                size = blocks[-1].a + blocks[-1].size - at if blocks else 0
+        out.append((held, best[0], -best[1], at, size))
+    return pd.DataFrame(out, columns=["own", "ratio", "place", "at", "size"])
 
 
 def best_frames(hits: DataFrame, most_shift: int = 2, least: float = 0.5) -> DataFrame:
@@ -343,22 +364,23 @@ def best_frames(hits: DataFrame, most_shift: int = 2, least: float = 0.5) -> Dat
     """
     text = hits.select("hit_id", "match_start", "match_end", *(F.coalesce(c, F.lit("")).alias(c) for c in ("template", "seq")))
     shifts = F.sequence(F.lit(-most_shift), F.lit(most_shift))
-    tries = text.withColumn("b", F.explode(shifts)).withColumn("e", F.explode(shifts))
-    first, end = F.col("match_start") + F.col("b"), F.col("match_end") + F.col("e")
-    as_is = (F.col("b") == 0) & (F.col("e") == 0)
-    tries = tries.where(as_is | ((first >= 0) & (first <= F.length("seq")) & (end >= 0) & (end <= F.length("seq"))))
-    read = tries.select("hit_id", "template", first.alias("first"), end.alias("end"), "b", "e", as_is.alias("as_is"), (F.col("match_end") >= F.length("seq")).alias("over"),
-                        S.translate(F.substring("seq", first + 1, F.greatest(end - first, F.lit(0)))).alias("pep"))
-    scored = read.withColumn("like", likeness("pep", "template"))
-    stop = F.contains("pep", F.lit("*"))
-    enough = as_is & ((F.col("pep") == F.col("template")) | ((F.col("like.ratio") > least) & ~stop))
-    trim = stop & (F.length("pep") > F.length("template")) & (F.col("like.size") == F.length("template"))
-    start = F.col("first") + F.when(trim, 3 * F.col("like.at")).otherwise(0)
-    cut = F.when(trim, F.expr("substr(pep, like.at + 1, like.size)")).otherwise(F.col("pep"))
-    done = F.struct(F.when(F.contains(cut, F.lit("*")), "").otherwise(cut).alias("pep"), start.alias("match_start"), F.when(trim, start + 3 * F.col("like.size")).otherwise(F.col("end")).alias("match_end"))
-    plain = F.struct("pep", F.col("first").alias("match_start"), F.col("end").alias("match_end"))
-    rank = F.struct(F.col("like.ratio").alias("r"), (-F.col("b")).alias("b"), (-F.col("e")).alias("e"))
-    best = scored.groupBy("hit_id").agg(F.max_by(done, rank).alias("moved"), F.max("like.ratio").alias("r"), F.max(F.when(as_is, plain)).alias("own"), F.bool_or(enough).alias("enough"), F.bool_or("over").alias("over"))
-    none = F.struct(F.lit("").alias("pep"), F.col("own.match_start").alias("match_start"), F.col("own.match_end").alias("match_end"))
-    chosen = F.when(F.col("over"), none).when(F.col("enough"), F.col("own")).when(F.col("r") < least, none).otherwise(F.col("moved"))
+    read = lambda first, end: S.translate(F.substring(F.col("seq"), first + 1, F.greatest(end - first, F.lit(0))))
+    # a reading is the start of the longest one from the same base
+    longest = F.transform(shifts, lambda b: F.struct((F.col("match_start") + b).alias("first"), read(F.col("match_start") + b, F.col("match_end") + most_shift).alias("pep")))
+    part = lambda s, end: F.substring(s["pep"], F.lit(1), F.floor(F.greatest(end - s["first"], F.lit(0)) / 3).cast("int"))
+    tries = F.flatten(F.transform(longest, lambda s: F.transform(shifts, lambda e: F.struct(s["first"].alias("first"), (F.col("match_end") + e).alias("end"), part(s, F.col("match_end") + e).alias("pep")))))
+    as_is = lambda t: (t["first"] == F.col("match_start")) & (t["end"] == F.col("match_end"))
+    inside = lambda t: (t["first"] >= 0) & (t["first"] <= F.length("seq")) & (t["end"] >= 0) & (t["end"] <= F.length("seq"))
+    # spread, as few bytes are much work here
+    rows = spread(text, "hit_id").withColumns({"tries": F.filter(tries, lambda t: as_is(t) | inside(t)), "own": read(F.col("match_start"), F.col("match_end")), "over": F.col("match_end") >= F.length("seq")})
+    scored = rows.withColumn("like", likeness("own", F.transform("tries", lambda t: t["pep"]), "template", F.lit(least)))
+    enough = (F.col("own") == F.col("template")) | ((F.col("like.own") > least) & ~F.contains("own", F.lit("*")))
+    best = scored.select("hit_id", "match_start", "match_end", "template", "own", "over", "like", enough.alias("enough"), F.get("tries", F.col("like.place")).alias("best"))
+    pep = F.col("best.pep")
+    trim = F.contains(pep, F.lit("*")) & (F.length(pep) > F.length("template")) & (F.col("like.size") == F.length("template"))
+    start = F.col("best.first") + F.when(trim, 3 * F.col("like.at")).otherwise(0)
+    cut = F.when(trim, F.substring(pep, F.col("like.at") + 1, F.col("like.size"))).otherwise(pep)
+    moved = F.struct(F.when(F.contains(cut, F.lit("*")), "").otherwise(cut).alias("pep"), start.alias("match_start"), F.when(trim, start + 3 * F.col("like.size")).otherwise(F.col("best.end")).alias("match_end"))
+    unmoved = lambda pep: F.struct(pep.alias("pep"), "match_start", "match_end")
+    chosen = F.when(F.col("over"), unmoved(F.lit(""))).when(F.col("enough"), unmoved(F.col("own"))).when(F.col("like.ratio") < least, unmoved(F.lit(""))).otherwise(moved)
     return best.select("hit_id", chosen.alias("c")).select("hit_id", "c.*")

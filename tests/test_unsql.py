@@ -4,6 +4,7 @@ import itertools
 import random
 from difflib import SequenceMatcher
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from strandweave.adapters import Inputs
@@ -220,6 +221,14 @@ def test_best_frames(spark):
     assert registry.queries()["SEQ-21"](spark, SF).count() == len(want) - len(odd)
 
 
+def test_frames_are_compared_in_their_own_row(spark):
+    got = splicing.best_frames(mapping.hits(Inputs(spark, SF)))
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    tried = ["MKV", "AAA", "MKVL", "MKVL", "", "MKLV"]
+    own, ratio, place, at, size = splicing.likeness.func(*(pd.Series(v) for v in (["VVV"], [tried], ["MKVL"], [0.5]))).iloc[0]
+    assert (ratio, place, at, size) == (1.0, 2, 0, 4) and own == SequenceMatcher(None, "VVV", "MKVL").ratio()
+
+
 def test_the_search_of_exons_broadcasts_no_table(spark):
     text = "ACGTTGCAAGCTTAGCCATGGATCCGTTAACGGCATCTAGACTTGCAGT"
     frame_ = spark.createDataFrame
