@@ -72,3 +72,12 @@ def test_registered_tracks(spark):
             transcripts.setdefault(r.gene_id, {}).setdefault(r.transcript_id, []).append((r.start, r.end))
     got = {(r.gene_id, r.transcript_id): (r.dna, r.pep) for r in registry.queries()["SEQ-28"](spark, SF).collect()}
     assert got and got == {(g, t): v for g, own in transcripts.items() for t, v in plain_tracks(genes[g], own, inside).items()}
+
+
+def test_exons_of_transcripts_are_written_once_and_have_a_sequence(spark):
+    x = Inputs(spark, SF)
+    files = {f for df in (tracks.transcript_exons(x), tracks.transcript_translations(x)) for f in df.inputFiles()}
+    assert files and not any("lineitem.parquet" in f for f in files) and len({f.rsplit("/", 1)[0] for f in files}) == 1
+    own = x.x_seq.selectExpr("seq_id AS gene_id")
+    assert tracks.transcript_exons(x).join(own, "gene_id", "left_anti").isEmpty()
+    assert tracks.transcript_exons(x).count() == x.x_exon.join(own, "gene_id", "left_semi").count() > 0
