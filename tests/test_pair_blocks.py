@@ -112,3 +112,12 @@ def test_mutations_of_one_row_are_rows_by_kind(spark):
                     want[name] = want.get(name, 0) + 1
     assert got == want
     assert "Generate" not in C.mutation_background(spark.createDataFrame(rows, "gene_id long, dna string"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_grow_with_their_key(spark):
+    # 700,000 sequences were 342 blocks of 2,048, and each sequence went to as many units
+    rows = spark.range(700_000).select(F.lit("p").alias("aln_id"), F.repeat(F.lit("A"), 60).alias("seq"))
+    assert B.block_numbers(rows, ["aln_id"]).first().n_blocks == 32
+    # a block is as wide as its longest sequence
+    rows = spark.range(5_000).select(F.lit("p").alias("aln_id"), F.when(F.col("id") == 0, F.repeat(F.lit("A"), 100_000)).otherwise("A").alias("seq"))
+    assert B.block_numbers(rows, ["aln_id"]).first().n_blocks * B.LETTERS >= 5_000 * 100_000
