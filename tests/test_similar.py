@@ -3,8 +3,10 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
+from strandweave.operators import lookups
 from strandweave.operators.lookups import similar_sequences
 
 
@@ -29,3 +31,20 @@ def test_pairs_equal_brute_force_and_little_is_written(spark, tmp_path, monkeypa
     got = {(x.a, x.b): x.jaccard for x in similar_sequences(spark.createDataFrame(rows, "seq_id long, seq string"), 25, least).collect()}
     assert got == pytest.approx(_alike(rows, 25, least))
     assert sum(p.stat().st_size for p in Path(tmp_path).rglob("*.parquet")) < 4 * text + 200_000
+
+
+@pytest.mark.parametrize("size", [1, 3, 25])
+def test_hashed_grams_equal_brute_force(monkeypatch, size):
+    r = random.Random(7)
+    texts = ["".join(r.choices("ACGé", k=r.randrange(0, 90))) for _ in range(40)] + ["", "A" * 200]
+    sets = [{s[p : p + size] for p in range(max(1, len(s) - size + 1))} for s in texts]
+    owner, h = lookups.gram_hashes(texts, size)
+    own = [set(h[owner == i].tolist()) for i in range(len(texts))]
+    assert [len(x) for x in own] == [len(x) for x in sets] == [int((owner == i).sum()) for i in range(len(texts))]
+    assert all(len(x & y) == len(u & v) for x, u in zip(own, sets) for y, v in zip(own, sets))
+    # hashes that fall together change no share
+    plain = lookups._hashes
+    for mask in (2**64 - 1, 31):
+        monkeypatch.setattr(lookups, "_hashes", lambda codes, n: plain(codes, n) & np.uint64(mask))
+        made = [(lookups.Grams(s, size), u) for s, u in zip(texts, sets) if len(s) >= size]
+        assert all(x.share(y) == len(u & v) / len(u | v) for x, u in made for y, v in made)
