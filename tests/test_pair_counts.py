@@ -43,3 +43,22 @@ def test_merged_groups_equal_brute_force(spark):
             if n > 0.5 * len(sets[a]) or n > 0.5 * len(sets[b]):
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_lists_are_cut_and_a_key_of_many_pairs_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "PAIRS_A_PART", 300)
+    monkeypatch.setattr(aggregates, "LIST", 16)
+    rows = [(k, 0) for k in range(200)] + [(0, v) for v in range(1, 40)] + [(k, v) for v in range(1, 40) for k in range(300, 330)]
+    by_value = {}
+    for k, v in rows:
+        by_value.setdefault(v, []).append(k)
+    want = Counter(p for ks in by_value.values() for p in combinations(sorted(ks), 2))
+    df = spark.createDataFrame(rows, "k long, v long")
+    made = aggregates.shared_sets(df, "k", "v")
+    got = made.withColumn("part", F.spark_partition_id()).collect()
+    assert {(x.a, x.b): x.n_shared for x in got} == want and len(got) == len(want)
+    # key 0 meets 229 keys, 1369 times
+    assert len({x.part for x in got if x.a == 0}) > 1
+    # an a is sent once a value and piece of its list, not once a pair
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan.split("RepartitionByExpression")[0]
