@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -25,6 +26,7 @@ PARTS = ((0, 7), (7, 7), (14, 7), (4, 7), (11, 7), (4, 3), (7, 4), (11, 3), (14,
 DIVISORS_FROM = 5
 #: Spaced seeds of eleven bases each for the search of exons; two of them on about one diagonal make a candidate.
 SEEDS = ("111010010100110111", "110100110010101111", "1110110010100010111", "111001010011001111")
+COMPLEMENT = str.maketrans("ACGTacgt", "TGCAtgca")
 _BASE_CODES = np.full(256, 4, np.int64)
 _BASE_CODES[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
 
@@ -211,41 +213,83 @@ def seed_words(text: str, pattern: str) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.flatnonzero(known), word[known], np.bitwise_count(seen[known]) <= 2
 
 
-def _seeds(rows: DataFrame, key: list[str]) -> DataFrame:
-    """(*key, at, pattern, word, plain) of every seed of the texts ``seq``; ``at`` counts from ``start`` on."""
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r, text in enumerate(batch["seq"].to_pylist()):
-                start = batch["start"][r].as_py()
-                for k, pattern in enumerate(SEEDS):
-                    at, word, plain = seed_words(text or "", pattern)
-                    own = [pa.repeat(batch[c][r], len(at)) for c in key]
-                    yield pa.record_batch([*own, pa.array(at + start), pa.array(np.full(len(at), k, np.int32)), pa.array(word), pa.array(plain)], [*key, "at", "pattern", "word", "plain"])
+def _by_bin(query: np.ndarray, bins: np.ndarray, n: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(query, bin, n, lo, hi) with one row for each query and bin."""
+    key = query * (1 << 40) + bins + (1 << 39)
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    if not len(starts):
+        return query, bins, n, lo, hi
+    query, bins = query[order][starts], bins[order][starts]
+    return query, bins, np.add.reduceat(n[order], starts), np.minimum.reduceat(lo[order], starts), np.maximum.reduceat(hi[order], starts)
 
-    return rows.select(*key, "start", "seq").mapInArrow(work, ", ".join(f"{c} {kinds[c]}" for c in key) + ", at long, pattern int, word long, plain boolean")
 
+def seed_bins(templates: list[str], text: str, start: int, places: int, bin_width: int, at_once: int = 1 << 20) -> tuple[np.ndarray, ...]:
+    """(template, bin, n, lo, hi): seeds of templates that lie in the first ``places`` of a text, counted by bins of diagonals that overlap by half.
 
-def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame, bin_width: int, slack: int, salts: int) -> DataFrame:
+    ``lo`` and ``hi`` are the least and the greatest diagonal, counted from ``start`` on.
+    """
+    gap = max(map(len, SEEDS))
+    sizes = np.array([len(s) + gap for s in templates], np.int64)
+    begins, joined = np.cumsum(sizes) - sizes, "".join(s + "N" * gap for s in templates)
+    done = [tuple(np.empty(0, np.int64) for _ in range(5))]
+    for pattern in SEEDS:
+        at, word, _ = seed_words(text, pattern)
+        inside = at < places
+        order = np.argsort(word[inside])
+        at, word = at[inside][order] + start, word[inside][order]
+        own_at, own, _ = seed_words(joined, pattern)
+        left = np.searchsorted(word, own, "left")
+        many = np.searchsorted(word, own, "right") - left
+        met = np.flatnonzero(many)
+        own_at, left, many = own_at[met], left[met], many[met]
+        query = np.searchsorted(begins, own_at, "right") - 1
+        # words of repeats have very many hits, which are counted some at a time
+        step = np.cumsum(many) // at_once
+        for part in np.split(np.arange(len(met)), np.flatnonzero(np.diff(step)) + 1):
+            hit = np.repeat(part, many[part])
+            place = np.arange(len(hit)) - np.repeat(np.cumsum(many[part]) - many[part], many[part])
+            diagonal = at[left[hit] + place] - (own_at[hit] - begins[query[hit]])
+            bins = np.concatenate([diagonal // bin_width - 1, diagonal // bin_width])
+            twice = np.concatenate([diagonal, diagonal])
+            done.append(_by_bin(np.tile(query[hit], 2), bins, np.ones(len(twice), np.int64), twice, twice))
+    return _by_bin(*(np.concatenate(x) for x in zip(*done)))
+
+
+def search_windows(templates: DataFrame, pieces: DataFrame, searches: DataFrame, piece: int, bin_width: int, slack: int, queries: int) -> DataFrame:
     """(query_id, target_id, strand, lo, hi): stretches of a target, 0-based and half open, where two seeds of a template lie on about one diagonal.
 
-    Seeds of both strands of a template meet those of its targets in an equi join on target, seed and word; words of
-    repeats are dealt out by a salt, so that each of them is many keys. Hits count per bin of diagonals, bins overlap
-    by half, and bins with two hits that touch are one stretch, wider by the template and some slack on both sides.
+    A piece of a target and up to about ``queries`` of the templates that are searched in it are one unit of work, which
+    finds the seeds of both strands in the piece. Hits count per bin of diagonals, bins overlap by half, and bins with
+    two hits that touch are one stretch, wider by the template and some slack on both sides.
     """
-    both = F.explode(F.array(F.struct(F.lit(1).alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit(-1).alias("strand"), S.reverse_complement(F.col("seq")).alias("seq"))))
-    asked = templates.select("query_id", F.length("seq").alias("size"), both.alias("x")).select("query_id", "size", "x.strand", "x.seq", F.lit(0).cast("long").alias("start"))
+    kinds = {f.name: f.dataType.simpleString() for f in searches.schema}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                text, start, asked = batch["seq"][r].as_py(), batch["start"][r].as_py(), batch["asked"][r].values
+                ids, texts = asked.field("query_id"), asked.field("seq").to_pylist()
+                size = np.array([len(s) for s in texts], np.int32)
+                for strand, own in ((1, texts), (-1, [s.translate(COMPLEMENT)[::-1] for s in texts])):
+                    query, bins, n, lo, hi = seed_bins(own, text, start, piece, bin_width)
+                    # in a target of one piece a single hit meets no other
+                    held = np.flatnonzero((n > 1) | (batch["total"][r].as_py() > piece))
+                    query, columns = query[held], [x[held] for x in (bins, n, lo, hi)]
+                    yield pa.record_batch([ids.take(pa.array(query)), pa.repeat(batch["target_id"][r], len(held)), pa.array(np.full(len(held), strand, np.int32)), pa.array(size[query]), *map(pa.array, columns)], ["query_id", "target_id", "strand", "size", "bin", "n", "lo", "hi"])
+
+    many = F.ceil(F.count("*").over(Window.partitionBy("target_id")) / queries)
     # files of ids and places are far smaller than their rows in memory, so their size must not make a join broadcast them
-    own = _seeds(asked, ["query_id", "strand", "size"]).withColumnRenamed("at", "own_at").join(searches.hint("merge"), "query_id")
-    own = own.withColumn("salt", F.explode(F.when(F.col("plain"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    there = _seeds(pieces, ["target_id"]).withColumn("salt", F.when(F.col("plain"), (F.col("at") % salts).cast("int")).otherwise(0))
-    # a seed that lies in the lap of two pieces is one
-    hits = own.join(there.hint("merge"), ["target_id", "pattern", "word", "salt"]).select("query_id", "target_id", "strand", "size", "pattern", "at", "own_at").distinct()
-    diagonal = F.col("at") - F.col("own_at")
-    binned = hits.withColumn("diagonal", diagonal).withColumn("bin", F.explode(F.array(F.floor(diagonal / bin_width) - 1, F.floor(diagonal / bin_width))))
+    asked = searches.withColumn("salt", F.pmod(F.xxhash64("query_id"), many)).join(templates.select("query_id", "seq").hint("merge"), "query_id")
+    asked = asked.groupBy("target_id", "salt").agg(F.collect_list(F.struct("query_id", "seq")).alias("asked"))
+    units = pieces.select("target_id", "total", "start", "seq").join(asked.hint("merge"), "target_id")
+    spark = searches.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(searches.count() / 50_000))
+    units = units.repartition(parts, "target_id", "start", "salt").select("target_id", "total", "start", "seq", "asked")
+    found = units.mapInArrow(work, f"query_id {kinds['query_id']}, target_id {kinds['target_id']}, strand int, size int, bin long, n long, lo long, hi long")
     key = ["query_id", "target_id", "strand"]
-    full = binned.groupBy(*key, "bin").agg(F.count("*").alias("n"), F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"), F.first("size").alias("size")).where("n >= 2")
+    full = found.groupBy(*key, "bin").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("size").alias("size")).where("n >= 2")
     w = Window.partitionBy(*key).orderBy("bin")
     islands = full.withColumn("new", (F.col("bin") - F.lag("bin", 1, -(1 << 40)).over(w) > 2).cast("int")).withColumn("island", F.sum("new").over(w))
     spans = islands.groupBy(*key, "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("size").alias("size"))
@@ -280,7 +324,7 @@ def best_places(rows: DataFrame, slack: int) -> DataFrame:
     return rows.mapInArrow(work, f"query_id {kinds['query_id']}, target_id {kinds['target_id']}, strand int, lo long, hi long")
 
 
-def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame, piece: int = 15_000, bin_width: int = 16, slack: int = 32, shortest: int = 36, salts: int = 8, least_share: float = 0.4, least_identity: float = 10.0) -> DataFrame:
+def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame, piece: int = 15_000, bin_width: int = 16, slack: int = 32, shortest: int = 36, queries: int = 256, least_share: float = 0.4, least_identity: float = 10.0) -> DataFrame:
     """(query_id, target_id, strand, match_length, identity, first): the best place of each template in each region that it is searched in.
 
     ``templates`` is (query_id, seq), ``regions`` (target_id, seq), ``searches`` (query_id, target_id). Regions are cut to
@@ -297,7 +341,7 @@ def missing_exons(templates: DataFrame, regions: DataFrame, searches: DataFrame,
     starts = F.sequence(F.lit(0), F.length("seq") - 1, F.lit(piece))
     cut = lambda size: regions.select("target_id", F.length("seq").alias("total"), F.posexplode(starts).alias("chunk_no", "start"), "seq").select("target_id", "total", "chunk_no", F.col("start").cast("long").alias("start"), F.substring(F.col("seq"), F.col("start") + 1, F.lit(size)).alias("seq"))
     long = F.length("seq") >= shortest
-    windows = search_windows(templates.where(long), cut(piece + longest_seed - 1), searches, bin_width, slack, salts)
+    windows = search_windows(templates.where(long), cut(piece + longest_seed - 1), searches, piece, bin_width, slack, queries)
     short = templates.where(~long).select("query_id", F.col("seq").alias("own")).join(searches.hint("merge"), "query_id").join(cut(piece + shortest - 1).select("target_id", "start", "seq").hint("merge"), "target_id")
     all_windows = Cut(windows.unionByName(best_places(short, slack)), "search-windows").df
     wanted = F.explode(F.sequence(F.floor(F.col("lo") / piece).cast("int"), F.floor((F.col("hi") - 1) / piece).cast("int")))
