@@ -289,3 +289,14 @@ def test_small_alignments_are_spread_over_tasks(spark):
     exons = rows.where("seq_id = 1").select("aln_id", "seq_id", F.lit(0).alias("piece_no"), F.lit(0).alias("group_no"), F.lit(0).alias("first_ref"), F.lit(1).alias("last_ref"), F.lit("AC").alias("pep"))
     for made in (repair.clean_boundaries(rows), repair.repaired(rows, refs, exons)):
         assert made.groupBy(F.spark_partition_id()).count().count() >= 8
+
+
+def test_marks_that_cannot_move_are_not_tried(monkeypatch):
+    """A row whose marks have residues on both sides is visited for no anchor; rows that can move still do."""
+    rows = ["AC-Z-GTACGTAC"] + ["ACGTAC-Z-GTAC"] * 50 + ["AC---GT-Z-TAC", "ACG-Z---GTACG"]
+    tried = []
+    moved = repair._moved
+    monkeypatch.setattr(repair, "_moved", lambda row, bounds: tried.append(1) or moved(row, bounds))
+    got = repair.cleaned(rows)
+    assert len(tried) < 50 and len({len(r) for r in got}) == 1
+    assert [r.replace("-", "") for r in got] == [r.replace("-", "") for r in rows]
